@@ -23,12 +23,21 @@ def _col(c: Column | str) -> Column:
 
 
 def instant_from_ymd(year: Column | str, month: Column | str, day: Column | str) -> Column:
-    """(year, month, day) -> TIMESTAMP of London midnight, as a UTC wall time.
+    """(year, month, day) -> TIMESTAMP: the instant of London midnight.
 
-    ``try_make_timestamp`` gives null instead of failing for impossible dates.
+    Impossible dates give null (``try_make_timestamp``) instead of failing.
+    """
+    return F.try_make_timestamp(_col(year), _col(month), _col(day), F.lit(0), F.lit(0), F.lit(0), F.lit(LONDON))
+
+
+def utc_wall_time(year: Column | str, month: Column | str, day: Column | str) -> Column:
+    """London midnight of a date as a UTC wall-clock TIMESTAMP_NTZ.
+
+    Independent of the session time zone: 2020-04-01 gives 2020-03-31 23:00
+    (summer time), 2020-01-01 gives 2020-01-01 00:00.
     """
     local = F.try_make_timestamp_ntz(_col(year), _col(month), _col(day), F.lit(0), F.lit(0), F.lit(0))
-    return F.to_utc_timestamp(local.cast("timestamp"), LONDON)
+    return F.convert_timezone(F.lit(LONDON), F.lit("UTC"), local)
 
 
 def parse_date(text: Column | str) -> Column:
@@ -38,11 +47,17 @@ def parse_date(text: Column | str) -> Column:
 
 
 def instant_from_string(text: Column | str) -> Column:
-    """``y-m-d`` text -> London-midnight instant."""
+    """``y-m-d`` text -> London-midnight instant (D2); malformed text gives null."""
     d = parse_date(text)
     return instant_from_ymd(F.year(d), F.month(d), F.dayofmonth(d))
 
 
+def utc_wall_time_from_string(text: Column | str) -> Column:
+    """``y-m-d`` text -> London midnight as UTC wall-clock TIMESTAMP_NTZ."""
+    d = parse_date(text)
+    return utc_wall_time(F.year(d), F.month(d), F.dayofmonth(d))
+
+
 def date_literal(value) -> Column:
     """A cutoff given as ``'2000-1-1'``, ``date`` or Column -> DATE column."""
     if isinstance(value, Column):

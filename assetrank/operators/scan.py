@@ -343,7 +343,7 @@ def with_expanding(
         *[c for c in df.columns],
         n.cast("bigint").alias("exp_n"),
         F.when(n > 0, F.col("_tot")["sum"]).alias("exp_sum"),
-        F.when(n > 0, F.col("_tot")["mean"]).alias("exp_mean"),
+        F.when(n > 0, F.col("_tot")["sum"] / n).alias("exp_mean"),
         F.when(n > 0, F.sqrt(F.greatest(F.col("_tot")["m2"], F.lit(0.0)) / n)).alias("exp_std"),
         ((F.col("_lrn") == F.col("_bn")) & F.col("_lastblock")).alias("_last"),
     )
