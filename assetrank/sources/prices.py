@@ -63,5 +63,13 @@ def rejected_prices(raw: DataFrame) -> DataFrame:
 
 
 def load_prices(raw: DataFrame) -> DataFrame:
-    """F1 then P1, then drop rows whose fields did not parse (Q1)."""
-    return parse_prices(filter_null_prices(raw)).na.drop(how="any")
+    """F1 then P1, then drop rows whose fields did not parse (Q1).
+
+    An explicit ``IS NOT NULL`` test: ``na.drop`` would also drop a parsed
+    ``NaN``, which the reference keeps.
+    """
+    typed = parse_prices(filter_null_prices(raw))
+    ok = F.lit(True)
+    for c in typed.columns:
+        ok = ok & F.col(c).isNotNull()
+    return typed.where(ok)

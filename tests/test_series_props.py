@@ -1,0 +1,155 @@
+"""Series operators vs the literal per-list versions (tests/listref.py).
+
+One DataFrame holds many random series of lengths 0..size+1 and some long
+ones; blocks are made tiny so every series spans several blocks, which
+exercises the carries between blocks. Duplicate timestamps are ordered by the
+tie-break column.
+"""
+
+import datetime as dt
+import math
+import random
+from collections import defaultdict
+
+import pytest
+
+import listref as L
+from assetrank.operators import features as feat
+from assetrank.operators import series as S
+from assetrank.operators.scan import Series, plan_blocks
+
+SIZE = 5
+LENGTHS = [1, 2, SIZE - 1, SIZE, SIZE + 1, 17, 64, 203]
+
+
+def _data(spark, seed=7):
+    rnd = random.Random(seed)
+    rows = []
+    t0 = dt.datetime(2024, 1, 1)
+    for i, n in enumerate(LENGTHS * 2):
+        ticker = f"K{i:02d}"
+        ts = t0
+        for j in range(n):
+            if rnd.random() > 0.2:  # 20% share the previous timestamp
+                ts = ts + dt.timedelta(minutes=rnd.randint(1, 600))
+            x = round(rnd.uniform(-50, 150), 2)
+            h = x + round(rnd.uniform(0, 5), 2)
+            lo = x - round(rnd.uniform(0, 5), 2)
+            rows.append((ticker, ts, j, x, h, lo))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, seq long, x double, high double, low double")
+    series = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        series[r[0]].append(r)
+    return df.repartition(3), series
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    df, series = _data(spark)
+    s = Series.of("ticker", ("ts", "seq"))
+    plan = plan_blocks(df, s, block_rows=6)
+    assert plan.max_blocks > 3
+    return df, series, s, plan
+
+
+def _by_key(rows, col):
+    out = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.ticker, r.ts, r.seq)):
+        out[r.ticker].append(r[col])
+    return out
+
+
+def _close(a, b, rel=1e-9):
+    if a is None or b is None:
+        return a is None and b is None
+    if isinstance(a, float) and math.isnan(a):
+        return isinstance(b, float) and math.isnan(b)
+    return abs(a - b) <= rel * max(1.0, abs(a))
+
+
+def _check(got, series, fn):
+    for k, rows in series.items():
+        exp = fn([r[3] for r in rows])
+        g = got.get(k, [])
+        assert len(g) == len(exp), k
+        for a, b in zip(exp, g):
+            assert _close(a, b), (k, a, b)
+
+
+def test_positions(data):
+    df, series, s, plan = data
+    got = _by_key(S.order_within(df, s, plan=plan).collect(), "rn")
+    _check(got, series, lambda xs: list(range(1, len(xs) + 1)))
+
+
+def test_cum_sum(data):
+    df, series, s, plan = data
+    _check(_by_key(S.cum_sum(df, s, "x", plan=plan).collect(), "cum_sum"), series, L.cum_sum)
+
+
+def test_diff(data):
+    df, series, s, plan = data
+    _check(_by_key(S.diff(df, s, "x", plan=plan).collect(), "diff"), series, L.diff)
+
+
+@pytest.mark.parametrize("span", [1, 2, 12, 200])
+def test_ewm(data, span):
+    df, series, s, plan = data
+    got = _by_key(S.ewm(df, s, "x", span, plan=plan, block=8, sub=4).collect(), "ewm")
+    _check(got, series, lambda xs: L.ewm(xs, span))
+
+
+def test_true_range(data):
+    df, series, s, plan = data
+    got = _by_key(S.true_range(df, s, close="x", plan=plan).collect(), "true_range")
+    for k, rows in series.items():
+        exp = L.true_range([(r[4], r[5], r[3]) for r in rows])
+        assert all(_close(a, b) for a, b in zip(exp, got[k])) and len(exp) == len(got[k])
+
+
+def test_sliding(data):
+    df, series, s, plan = data
+    agg = S.sliding_agg(df, s, "x", SIZE, plan=plan, block=6).collect()
+    _check(_by_key(agg, "win_mean"), series, lambda xs: [L.lmean(w) for w in L.sliding(xs, SIZE)])
+    _check(_by_key(agg, "win_std"), series, lambda xs: [L.lstd(w) for w in L.sliding(xs, SIZE)])
+    _check(_by_key(agg, "win_sum"), series, lambda xs: [L.lsum(w) for w in L.sliding(xs, SIZE)])
+    lists = _by_key(S.sliding_list(df, s, "x", SIZE, plan=plan, block=6).collect(), "window")
+    for k, rows in series.items():
+        assert lists.get(k, []) == L.sliding([r[3] for r in rows], SIZE)
+
+
+def test_expanding(data):
+    df, series, s, plan = data
+    e = S.expanding_agg(df, s, "x", plan=plan).collect()
+    _check(_by_key(e, "exp_n"), series, lambda xs: [len(w) for w in L.expanding(xs)])
+    _check(_by_key(e, "exp_sum"), series, lambda xs: [L.lsum(w) if w else None for w in L.expanding(xs)])
+    _check(_by_key(e, "exp_mean"), series, lambda xs: [L.lmean(w) if w else None for w in L.expanding(xs)])
+    _check(_by_key(e, "exp_std"), series, lambda xs: [L.lstd(w) if w else None for w in L.expanding(xs)])
+    inc = S.expanding_agg(df, s, "x", plan=plan, inclusive=True).collect()
+    _check(_by_key(inc, "exp_mean"), series, lambda xs: [L.lmean(xs[: i + 1]) for i in range(len(xs))])
+
+
+def test_volatility_and_returns(data):
+    df, series, s, plan = data
+    vol = {r.ticker: r.vol for r in S.volatility(df, s, "x", plan=plan).collect()}
+    ret = {r.ticker: r.ret for r in feat.returns_k(df, SIZE, order=("ts", "seq"), value_col="x").collect()}
+    for k, rows in series.items():
+        xs = [r[3] for r in rows]
+        assert _close(L.volatility(xs), vol[k]), k
+        assert _close(L.returns(SIZE, xs), ret[k]), k
+
+
+def test_aggregates(data):
+    df, series, s, plan = data
+    agg = {r.ticker: r for r in S.series_aggregates(df, s, "x").collect()}
+    for k, rows in series.items():
+        xs = [r[3] for r in rows]
+        assert _close(L.lsum(xs), agg[k].sum) and _close(L.lmean(xs), agg[k].mean) and _close(L.lstd(xs), agg[k].std)
+
+
+def test_single_block_plan_matches(spark, data):
+    df, series, s, _ = data
+    big = plan_blocks(df, s, block_rows=1 << 20)
+    _check(_by_key(S.cum_sum(df, s, "x", plan=big).collect(), "cum_sum"), series, L.cum_sum)
+    _check(_by_key(S.ewm(df, s, "x", 12, plan=big).collect(), "ewm"), series, lambda xs: L.ewm(xs, 12))
