@@ -21,8 +21,19 @@ PRICE_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 TICK_TIEBREAK = ("event_id",)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables. The DataFrame (file listing and footer
+    schema) is reused within a session; DataFrames are immutable plans, so
+    sharing one is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +122,7 @@ def price_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = F.try_divide("l_extendedprice", "l_quantity")
     disc, tax = F.col("l_discount"), F.col("l_tax")
     return li.select(
-        F.date_format(F.col("l_shipdate").cast("date"), "yyyy-M-d").alias("date"),
+        F.concat_ws("-", F.year("l_shipdate"), F.month("l_shipdate"), F.dayofmonth("l_shipdate")).alias("date"),
         F.when(F.col("l_linenumber") != 7, _money(px * (1 - disc))).alias("open"),
         _money(px * (1 + tax)).alias("high"),
         _money(px * (1 - disc - tax)).alias("low"),
