@@ -36,6 +36,9 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 from assetrank.config import block_rows as conf_block_rows
 
 _MIN_BLOCK = -(1 << 62)
+# Internal series key: struct(key...) is never null, even when a key column is,
+# so null keys form their own series and joins stay plain equi-joins.
+KEY = "_k"
 
 
 @dataclass(frozen=True)
@@ -121,25 +124,49 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
     return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows)
 
 
+def max_block_rows(df: DataFrame, s: Series, plan: BlockPlan) -> int:
+    """Rows in the fullest time block: a partial aggregate over the key and
+    order columns only (no shuffle of row data); one number reaches the driver."""
+    counts = with_time_blocks(df.select(*s.key, s.order[0]), s, plan).groupBy(KEY, "_tb").count()
+    return int(counts.agg(F.max("count")).first()[0] or 0)
+
+
 def with_time_blocks(df: DataFrame, s: Series, plan: BlockPlan) -> DataFrame:
     """Add ``_tb``; rows with a null order value go to the first block."""
     tb = F.floor(order_scalar(df, s.order[0]) / F.lit(plan.width)).cast("bigint")
-    return df.withColumn("_tb", F.coalesce(tb, F.lit(_MIN_BLOCK)))
+    out = df.withColumns({KEY: F.struct(*s.key), "_tb": F.coalesce(tb, F.lit(_MIN_BLOCK))})
+    # the key travels only inside _k, so every branch reads the same columns
+    return out.drop(*s.key)
+
+
+def _finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
+    """Original columns in their order (keys restored from ``_k``) plus ``extra``."""
+    cols = [F.col(KEY)[c].alias(c) if c in s.key else F.col(c) for c in df.columns]
+    return res.select(*cols, *extra)
 
 
 def _local_window(s: Series, block: str = "_tb"):
-    return Window.partitionBy(*s.key, block).orderBy(*s.order_cols())
+    return Window.partitionBy(KEY, block).orderBy(*s.order_cols())
 
 
 def _block_window(s: Series, block: str = "_tb"):
-    return Window.partitionBy(*s.key).orderBy(block)
+    return Window.partitionBy(KEY).orderBy(block)
+
+
+def join_on(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left equi-join of per-block values onto rows.
+
+    ``rows`` is already hash-partitioned by the keys, so only the small
+    summary side moves (or is broadcast by AQE when its runtime size allows).
+    The keys are the non-nullable struct ``_k`` and block numbers, so Spark
+    infers no one-sided ``isnotnull`` filter: two branches reading the same
+    rows keep identical plans and share one exchange.
+    """
+    return rows.join(summary, list(keys), "left")
 
 
 def _join_block(rows: DataFrame, summary: DataFrame, s: Series, block: str = "_tb") -> DataFrame:
-    """Join per-block values back. ``rows`` is already hash-partitioned by
-    (key, block); only the small summary side moves (or is broadcast by AQE
-    when its runtime size allows)."""
-    return rows.join(summary, [*s.key, block], "left")
+    return join_on(rows, summary, [KEY, block])
 
 
 def scan_struct(
@@ -177,14 +204,16 @@ def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None) -> D
     Local row numbers per time block plus the row count of all earlier blocks.
     """
     plan = plan or plan_blocks(df, s)
-    b = with_time_blocks(df, s, plan).withColumn("_lrn", F.row_number().over(_local_window(s)))
-    sizes = b.groupBy(*s.key, "_tb").agg(F.max("_lrn").alias("_bn"))
+    blocked = with_time_blocks(df, s, plan)
+    b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
+    # a partial aggregate on the blocked input: only counts cross the network
+    sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
     offs = sizes.withColumn(
         "_off",
         F.coalesce(F.sum("_bn").over(_block_window(s).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(*s.key, "_tb", "_off")
+    ).select(KEY, "_tb", "_off")
     out = _join_block(b, offs, s)
-    return out.withColumn("_pos", (F.col("_lrn") + F.col("_off")).cast("bigint")).drop("_lrn", "_off", "_tb")
+    return _finish(out, df, s, (F.col("_lrn") + F.col("_off")).cast("bigint").alias("_pos"))
 
 
 def with_position_blocks(
@@ -224,17 +253,17 @@ def with_previous(df: DataFrame, s: Series, cols: Sequence[str], plan: BlockPlan
     block takes the last row of the previous non-empty block."""
     plan = plan or plan_blocks(df, s)
     wl = _local_window(s)
-    b = with_time_blocks(df, s, plan).withColumn("_lrn", F.row_number().over(wl))
-    for c in cols:
-        b = b.withColumn(f"prev_{c}", F.lag(c).over(wl))
-    last = b.groupBy(*s.key, "_tb").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("_lrn")).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(_block_window(s))).select(*s.key, "_tb", "_carry")
+    blocked = with_time_blocks(df, s, plan)
+    b = blocked.withColumn("_lrn", F.row_number().over(wl))
+    b = b.withColumns({f"prev_{c}": F.lag(c).over(wl) for c in cols})
+    # last row of each block: a partial aggregate on the blocked input
+    last = blocked.groupBy(KEY, "_tb").agg(
+        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in s.order])).alias("_last")
+    )
+    carry = last.withColumn("_carry", F.lag("_last").over(_block_window(s))).select(KEY, "_tb", "_carry")
     out = _join_block(b, carry, s)
-    for c in cols:
-        out = out.withColumn(
-            f"prev_{c}", F.when(F.col("_lrn") == 1, F.col("_carry")[c]).otherwise(F.col(f"prev_{c}"))
-        )
-    return out.drop("_lrn", "_carry", "_tb")
+    prev = [F.when(F.col("_lrn") == 1, F.col("_carry")[c]).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}") for c in cols]
+    return _finish(out, df, s, *prev)
 
 
 # --------------------------------------------------------------------------
@@ -247,13 +276,13 @@ def with_running_sum(df: DataFrame, s: Series, col: str, out: str, plan: BlockPl
     plan = plan or plan_blocks(df, s)
     frame = _local_window(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     b = with_time_blocks(df, s, plan).withColumn("_loc", F.sum(col).over(frame))
-    tot = b.groupBy(*s.key, "_tb").agg(F.sum(col).alias("_bs"))
+    tot = b.groupBy(KEY, "_tb").agg(F.sum(col).alias("_bs"))
     carry = tot.withColumn(
         "_carry", F.sum("_bs").over(_block_window(s).rowsBetween(Window.unboundedPreceding, -1))
-    ).select(*s.key, "_tb", "_carry")
+    ).select(KEY, "_tb", "_carry")
     res = _join_block(b, carry, s)
     total = F.when(F.col("_carry").isNull(), F.col("_loc")).otherwise(F.col("_loc") + F.col("_carry"))
-    return res.withColumn(out, total).drop("_loc", "_carry", "_tb")
+    return _finish(res, df, s, total.alias(out))
 
 
 def merge_moments(a: Column, b: Column) -> Column:
@@ -302,15 +331,15 @@ def with_expanding(
         .withColumn("_lm", F.avg(x).over(frame))
         .withColumn("_lv", F.var_pop(x).over(frame))
     )
-    summ = b.groupBy(*s.key, "_tb").agg(
-        F.max("_lrn").alias("_bn"),
+    summ = with_time_blocks(df, s, plan).groupBy(KEY, "_tb").agg(
+        F.count(F.lit(1)).alias("_bn"),
         F.count(x).alias("n"),
         F.sum(x).alias("sum"),
         F.avg(x).alias("mean"),
         F.var_pop(x).alias("var"),
     )
     summ = summ.select(
-        *s.key,
+        KEY,
         "_tb",
         "_bn",
         F.struct(
@@ -321,10 +350,10 @@ def with_expanding(
 
     comb = merge_moments
 
-    summ = scan_struct(summ, s.key, "_tb", "_m", comb, plan.rounds(plan.max_blocks))
+    summ = scan_struct(summ, [KEY], "_tb", "_m", comb, plan.rounds(plan.max_blocks))
     wb = _block_window(s)
     carry = summ.select(
-        *s.key,
+        KEY,
         "_tb",
         "_bn",
         F.lag("_m").over(wb).alias("_carry"),
@@ -339,8 +368,10 @@ def with_expanding(
     )
     res = res.withColumn("_tot", F.when(F.col("_carry").isNull(), local).otherwise(comb(F.col("_carry"), local)))
     n = F.col("_tot")["n"]
-    res = res.select(
-        *[c for c in df.columns],
+    res = _finish(
+        res,
+        df,
+        s,
         n.cast("bigint").alias("exp_n"),
         F.when(n > 0, F.col("_tot")["sum"]).alias("exp_sum"),
         F.when(n > 0, F.col("_tot")["sum"] / n).alias("exp_mean"),
@@ -371,63 +402,64 @@ def with_ewm(
     span: float,
     out: str = "ewm",
     plan: BlockPlan | None = None,
-    block: int = 1 << 16,
     sub: int = 64,
 ) -> DataFrame:
     """``out`` = exponentially weighted mean with alpha = 2 / (1 + span),
     seeded with the first value: y0 = x0, y = y_prev + alpha * (x - y_prev).
 
-    y_t = b * y_(t-1) + q_t (b = 1 - alpha, q = alpha * x, q0 = x0) is an
-    affine recurrence, so it scans in blocks:
-
-    1. exact positions, then position blocks of ``block`` rows, split into
-       sub-blocks of ``sub`` rows;
-    2. inside a sub-block, with offset o: loc = b^o * running_sum(q * b^-o)
-       (``sub`` is small enough that b^-o stays finite);
-    3. each sub-block is the affine map (b^len, loc_end); a Hillis-Steele scan
-       composes them inside each block, then the block maps along the key;
-    4. y = loc + b^(o+1) * state before the sub-block.
+    With b = 1 - alpha this is the affine recurrence y_t = b * y_(t-1) +
+    alpha * x_t started from the state x0. It scans in blocks:
+
+    1. inside each time block, sub-blocks of ``sub`` rows; with offset o,
+       loc = b^o * running_sum(alpha * x * b^-o), exact because b^-o stays
+       finite for o < ``sub``;
+    2. the rows and the sub-block summaries come from the same exchange
+       (Spark reuses it when the input has no extra columns; otherwise the
+       summary side re-reads only key, order and value);
+    3. a sub-block is the affine map (b^len, loc_end); a Hillis-Steele scan
+       composes them inside each time block, then the block maps along the
+       key;
+    4. y = loc + b^(o+1) * (state before the sub-block).
     """
     if span < 1:
         raise ValueError("span must be >= 1")
-    if block % sub:
-        raise ValueError("block must be a multiple of sub")
     alpha = 2.0 / (1.0 + span)
     beta = 1.0 - alpha
     if beta == 0.0:
         return df.withColumn(out, F.col(col).cast("double"))
     plan = plan or plan_blocks(df, s)
-    p = with_positions(df, s, plan)
-    i0 = F.col("_pos") - 1
-    p = (
-        p.withColumn("_pb", F.floor(i0 / block).cast("bigint"))
-        .withColumn("_sb", F.floor((i0 - F.col("_pb") * block) / sub).cast("bigint"))
-        .withColumn("_o", (i0 % sub).cast("int"))
-    )
-    q = F.when(F.col("_pos") == 1, F.col(col)).otherwise(F.lit(alpha) * F.col(col))
-    wsub = Window.partitionBy(*s.key, "_pb", "_sb").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    p = p.withColumn("_loc", F.pow(F.lit(beta), F.col("_o")) * F.sum(q * F.pow(F.lit(beta), -F.col("_o"))).over(wsub))
-
-    subs = p.groupBy(*s.key, "_pb", "_sb").agg(
-        F.count(F.lit(1)).alias("_len"), F.max_by("_loc", "_pos").alias("_end")
+    wl = _local_window(s)
+    b = with_time_blocks(df, s, plan).withColumn("_lrn", F.row_number().over(wl))
+    i0 = F.col("_lrn") - 1
+    b = b.withColumns({"_sb": F.floor(i0 / sub).cast("bigint"), "_o": (i0 % sub).cast("int")})
+    wsub = Window.partitionBy(KEY, "_tb", "_sb").orderBy("_lrn").rowsBetween(Window.unboundedPreceding, 0)
+    bo = F.pow(F.lit(beta), F.col("_o"))
+    b = b.withColumn("_loc", bo * F.sum(F.lit(alpha) * F.col(col) / bo).over(wsub))
+
+    subs = b.groupBy(KEY, "_tb", "_sb").agg(
+        F.count(F.lit(1)).alias("_len"),
+        F.max_by("_loc", "_lrn").alias("_end"),
+        F.min_by(col, "_lrn").alias("_first"),
     )
+    nsub = math.ceil(max(1, max_block_rows(df, s, plan)) / sub)
     subs = subs.withColumn("_f", _affine(F.pow(F.lit(beta), F.col("_len")), F.col("_end")))
-    subs = scan_struct(subs, [*s.key, "_pb"], "_sb", "_f", _compose, max(1, math.ceil(math.log2(block // sub))))
-    wsb = Window.partitionBy(*s.key, "_pb").orderBy("_sb")
-    subs = subs.withColumn("_before", F.lag("_f").over(wsb))
-
-    blocks = subs.groupBy(*s.key, "_pb").agg(F.max_by("_f", "_sb").alias("_g"))
-    nblocks = max(1, math.ceil(max(1, plan.max_rows) / block))
-    blocks = scan_struct(blocks, s.key, "_pb", "_g", _compose, plan.rounds(nblocks))
-    # the state before the first block is 0, so a block's end state is g.c
-    blocks = blocks.select(
-        *s.key, "_pb", F.coalesce(F.lag("_g").over(Window.partitionBy(*s.key).orderBy("_pb"))["c"], F.lit(0.0)).alias("_s0")
+    subs = scan_struct(subs, [KEY, "_tb"], "_sb", "_f", _compose, plan.rounds(nsub))
+    subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, "_tb").orderBy("_sb")))
+
+    blocks = subs.groupBy(KEY, "_tb").agg(
+        F.max_by("_f", "_sb").alias("_g"), F.min_by("_first", "_sb").alias("_bfirst")
     )
-    subs = subs.join(blocks, [*s.key, "_pb"], "left")
+    blocks = scan_struct(blocks, [KEY], "_tb", "_g", _compose, plan.rounds(plan.max_blocks))
+    wb = _block_window(s)
+    blocks = blocks.withColumns({"_x0": F.first("_bfirst").over(wb), "_pg": F.lag("_g").over(wb)})
+    # state before a block: the series starts from x0 (so that y0 = x0)
+    s0 = F.when(F.col("_pg").isNull(), F.col("_x0")).otherwise(F.col("_pg")["m"] * F.col("_x0") + F.col("_pg")["c"])
+    blocks = blocks.select(KEY, "_tb", s0.alias("_s0"))
+    subs = join_on(subs, blocks, [KEY, "_tb"])
     state = F.when(F.col("_before").isNull(), F.col("_s0")).otherwise(
         F.col("_before")["m"] * F.col("_s0") + F.col("_before")["c"]
     )
-    subs = subs.select(*s.key, "_pb", "_sb", state.alias("_state"))
-    res = p.join(subs, [*s.key, "_pb", "_sb"], "left")
+    subs = subs.select(KEY, "_tb", "_sb", state.alias("_state"))
+    res = join_on(b, subs, [KEY, "_tb", "_sb"])
     y = F.col("_loc") + F.pow(F.lit(beta), F.col("_o") + 1) * F.col("_state")
-    return res.withColumn(out, y).select(*df.columns, out)
+    return _finish(res, df, s, y.alias(out))

@@ -43,11 +43,21 @@ def test_blocked_scan_shuffles_by_key_and_block(spark):
     df = S.cum_sum(t, C.TICK_SERIES, "x")
     p = plan(df)
     ex = exchanges(p)
-    # the row-level exchange is by (ticker, block); per-ticker exchanges only see block summaries
-    assert any(re.match(r"hashpartitioning\(ticker#\d+, _tb#\d+L?, \d+\)", e) for e in ex), ex
+    # the row-level exchange is by (series key, block); per-key exchanges only see block summaries
+    assert any(re.match(r"hashpartitioning\(_k#\d+, _tb#\d+L?, \d+\)", e) for e in ex), ex
+    assert not any(re.match(r"hashpartitioning\(ticker#\d+, \d+\)", e) for e in ex), ex
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
+def test_ewm_shuffles_rows_once(spark):
+    df = C.QUERIES["ewm"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    rows = re.findall(r"\+- Exchange hashpartitioning\(_k#\d+, _tb#\d+L?, \d+\)", final)
+    assert len(rows) == 1, final
+    assert "ReusedExchange" in final
+
+
 def test_no_python_udf_anywhere(spark):
     for name in ("ewm", "sliding_agg", "expanding_agg", "volatility", "order_within_ticker"):
         p = plan(C.QUERIES[name](spark, SF))

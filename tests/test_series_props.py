@@ -96,7 +96,7 @@ def test_diff(data):
 @pytest.mark.parametrize("span", [1, 2, 12, 200])
 def test_ewm(data, span):
     df, series, s, plan = data
-    got = _by_key(S.ewm(df, s, "x", span, plan=plan, block=8, sub=4).collect(), "ewm")
+    got = _by_key(S.ewm(df, s, "x", span, plan=plan, sub=2).collect(), "ewm")
     _check(got, series, lambda xs: L.ewm(xs, span))
 
 
