@@ -3,20 +3,20 @@
 A plain ``Window.partitionBy(key)`` puts a whole series into one task; a key
 holding a third of all rows would then run as a third of the job in a single
 task. Every full-series operator here instead splits each series into
-**blocks** that are contiguous in the series order:
+**time blocks** ``_tb = floor(order_scalar / width)``, contiguous in the
+series order. One width serves all keys, sized from one small aggregate so
+that the densest key gets about ``block_rows`` rows per block; computing the
+block needs no shuffle.
 
-* *time blocks* ``_tb = floor(order_scalar / width)``: one width for all keys,
-  sized from one small aggregate so that the densest key gets about
-  ``block_rows`` rows per block. Computing the block needs no shuffle.
-* *position blocks* ``_pb = (pos - 1) div B`` once exact positions are known:
-  exactly ``B`` rows each.
-
-The work inside a block is an ordinary window over ``(key, block)``; what one
+The work inside a block is an ordinary window over ``(key, block)``. What one
 block needs from the blocks before it (a running total, the last value, the
-last few rows, an EWM state) is computed on the per-block summary table, which
-is ``block_rows`` times smaller than the data, and joined back on
-``(key, block)``. The big side is shuffled once by ``(key, block)``, a key that
-is never hot.
+last ``size - 1`` rows, Welford moments, an EWM state) comes from the
+per-block summary table, which is about ``block_rows`` times smaller than the
+data, and is joined back on ``(key, block)``. Summaries are partial
+aggregates of the blocked input, so each operator shuffles its rows exactly
+once, by ``(key, block)``, a key that is never hot. The key travels as the
+non-nullable struct ``_k``: null keys form their own series, and the block
+joins stay plain equi-joins that keep the rows' partitioning.
 
 Carries that are not plain sums (Welford moments, affine EWM states) are
 combined with a Hillis-Steele scan: ``rounds = ceil(log2(blocks per key))``
@@ -216,30 +216,53 @@ def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None) -> D
     return _finish(out, df, s, (F.col("_lrn") + F.col("_off")).cast("bigint").alias("_pos"))
 
 
-def with_position_blocks(
-    df: DataFrame, s: Series, block: int, halo: int = 0, plan: BlockPlan | None = None
-) -> DataFrame:
-    """Rows with ``_pos``, ``_pb`` (exact blocks of ``block`` rows) and ``_own``.
+def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | None = None) -> DataFrame:
+    """Rows plus halo copies for windows of ``size`` rows, on time blocks.
 
-    The last ``halo`` rows of each block are also copied into the next block
-    with ``_own = false``, so a window reaching ``halo`` rows back never
-    leaves its block. Copies add ``halo / block`` of the data.
+    Every row gets ``_pos`` (its place in the series) and ``_own = true``.
+    The last ``size - 1`` rows of a block are also copied, with
+    ``_own = false``, into each later block whose first window reaches back
+    to them; those blocks are found on the block table (at most ``size - 1``
+    of them, since every block holds a row). Only the copies are shuffled:
+    the union keeps the rows' (key, block) partitioning, so a window over
+    ``(_k, _tb)`` ordered by ``_pos`` sees every complete window whole.
+    Returns internal columns; finish with :func:`finish`.
     """
-    if halo > block:
-        raise ValueError("halo must not exceed the block size")
-    p = with_positions(df, s, plan)
-    pb = F.floor((F.col("_pos") - 1) / block).cast("bigint")
-    p = p.withColumn("_pb", pb)
-    if halo <= 0:
-        return p.withColumn("_own", F.lit(True))
-    off = (F.col("_pos") - 1) - F.col("_pb") * block
-    targets = F.when(off >= block - halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return (
-        p.withColumn("_shift", F.explode(targets))
-        .withColumn("_own", F.col("_shift") == 0)
-        .withColumn("_pb", F.col("_pb") + F.col("_shift"))
-        .drop("_shift")
+    if size < 1:
+        raise ValueError("size must be >= 1")
+    plan = plan or plan_blocks(df, s)
+    blocked = with_time_blocks(df, s, plan)
+    b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
+    sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
+    wb = _block_window(s)
+    blk = sizes.withColumn(
+        "_off", F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    )
+    later = F.struct(F.col("_tb").alias("tb"), (F.col("_off") + 1).alias("start"))
+    blk = blk.withColumn("_next", F.collect_list(later).over(wb.rowsBetween(1, max(1, size - 1))))
+    rows = join_on(b, blk, [KEY, "_tb"]).withColumn("_pos", (F.col("_lrn") + F.col("_off")).cast("bigint"))
+    keep = [c for c in rows.columns if c not in ("_lrn", "_bn", "_off", "_next")]
+    own = rows.select(*keep, F.lit(True).alias("_own"))
+    if size == 1:
+        return own
+    reach = F.filter("_next", lambda t: t["start"] - (size - 1) <= F.col("_pos"))
+    halo = (
+        rows.where(F.col("_lrn") > F.col("_bn") - (size - 1))
+        .select(*keep, F.explode(reach).alias("_t"))
+        .withColumn("_tb", F.col("_t")["tb"])
+        .select(*keep, F.lit(False).alias("_own"))
     )
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return own.unionByName(halo.repartition(n, KEY, "_tb"))
+
+
+def sliding_window(s: Series, size: int):
+    return Window.partitionBy(KEY, "_tb").orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
+
+
+def finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
+    """Public form of :func:`_finish`."""
+    return _finish(res, df, s, *extra)
 
 
 # --------------------------------------------------------------------------

@@ -19,18 +19,17 @@ from assetrank.functions.indicators import true_range as _true_range
 from assetrank.operators.scan import (
     BlockPlan,
     Series,
+    finish,
     plan_blocks,
+    sliding_window,
     with_ewm,
     with_expanding,
-    with_position_blocks,
     with_positions,
     with_previous,
     with_running_sum,
+    with_sliding_rows,
 )
 
-# Position-block size for bounded look-back windows (sliding).
-SLIDING_BLOCK = 1 << 16
-
 
 def group_prices(df: DataFrame, s: Series) -> DataFrame:
     """Per series: row count, first and last order value (G1). Partial aggregate."""
@@ -112,59 +111,38 @@ def volatility(df: DataFrame, s: Series, col: str = "close", plan: BlockPlan | N
     return g.select(*s.key, "n", F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("_sd")).alias("vol"))
 
 
-def _sliding_frame(df: DataFrame, s: Series, size: int, plan: BlockPlan | None, block: int):
-    if size < 1:
-        raise ValueError("size must be >= 1")
-    block = max(block, size)
-    rows = with_position_blocks(df, s, block, halo=size - 1, plan=plan)
-    w = Window.partitionBy(*s.key, "_pb").orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
-    return rows, w
-
-
-def sliding_agg(
-    df: DataFrame,
-    s: Series,
-    col: str,
-    size: int,
-    plan: BlockPlan | None = None,
-    block: int = SLIDING_BLOCK,
-) -> DataFrame:
+def sliding_agg(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan | None = None) -> DataFrame:
     """Complete windows of ``size`` consecutive rows (T9, aggregate form).
 
-    One row per window, at the window's last row, with the window's count,
-    sum, mean and population deviation. A series shorter than ``size`` gives
-    no windows. Rows are split into position blocks of ``block`` rows; the
-    last ``size - 1`` rows of a block are copied into the next, so every
-    window is evaluated inside one block.
+    One row per window, at the window's last row, with the window's sum,
+    mean and population deviation and ``win_end``, the window's last
+    position. A series shorter than ``size`` gives no windows. The rows are
+    shuffled once, by (key, time block); see :func:`scan.with_sliding_rows`.
     """
-    rows, w = _sliding_frame(df, s, size, plan, block)
+    rows = with_sliding_rows(df, s, size, plan)
+    w = sliding_window(s, size)
     x = F.col(col)
-    out = (
-        rows.withColumn("win_n", F.count(F.lit(1)).over(w))
-        .withColumn("win_sum", F.sum(x).over(w))
-        .withColumn("win_mean", F.avg(x).over(w))
-        .withColumn("win_std", F.stddev_pop(x).over(w))
-    )
-    return out.where(F.col("_own") & (F.col("win_n") == size)).select(
-        *df.columns, F.col("_pos").alias("win_end"), "win_sum", "win_mean", "win_std"
-    )
-
-
-def sliding_list(
-    df: DataFrame,
-    s: Series,
-    col: str,
-    size: int,
-    plan: BlockPlan | None = None,
-    block: int = SLIDING_BLOCK,
-) -> DataFrame:
+    out = rows.withColumns(
+        {
+            "win_n": F.count(F.lit(1)).over(w),
+            "win_sum": F.sum(x).over(w),
+            "win_mean": F.avg(x).over(w),
+            "win_std": F.stddev_pop(x).over(w),
+        }
+    ).where(F.col("_own") & (F.col("win_n") == size))
+    return finish(out, df, s, F.col("_pos").alias("win_end"), "win_sum", "win_mean", "win_std")
+
+
+def sliding_list(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan | None = None) -> DataFrame:
     """Complete windows of ``size`` consecutive values as arrays (T9, list form).
 
     Output is ``size`` times the input; each array is bounded by ``size``.
     """
-    rows, w = _sliding_frame(df, s, size, plan, block)
-    out = rows.withColumn("win_n", F.count(F.lit(1)).over(w)).withColumn("window", F.collect_list(col).over(w))
-    return out.where(F.col("_own") & (F.col("win_n") == size)).select(*df.columns, F.col("_pos").alias("win_end"), "window")
+    rows = with_sliding_rows(df, s, size, plan)
+    w = sliding_window(s, size)
+    out = rows.withColumns({"win_n": F.count(F.lit(1)).over(w), "window": F.collect_list(col).over(w)})
+    out = out.where(F.col("_own") & (F.col("win_n") == size))
+    return finish(out, df, s, F.col("_pos").alias("win_end"), "window")
 
 
 def expanding_agg(

@@ -110,11 +110,11 @@ def test_true_range(data):
 
 def test_sliding(data):
     df, series, s, plan = data
-    agg = S.sliding_agg(df, s, "x", SIZE, plan=plan, block=6).collect()
+    agg = S.sliding_agg(df, s, "x", SIZE, plan=plan).collect()
     _check(_by_key(agg, "win_mean"), series, lambda xs: [L.lmean(w) for w in L.sliding(xs, SIZE)])
     _check(_by_key(agg, "win_std"), series, lambda xs: [L.lstd(w) for w in L.sliding(xs, SIZE)])
     _check(_by_key(agg, "win_sum"), series, lambda xs: [L.lsum(w) for w in L.sliding(xs, SIZE)])
-    lists = _by_key(S.sliding_list(df, s, "x", SIZE, plan=plan, block=6).collect(), "window")
+    lists = _by_key(S.sliding_list(df, s, "x", SIZE, plan=plan).collect(), "window")
     for k, rows in series.items():
         assert lists.get(k, []) == L.sliding([r[3] for r in rows], SIZE)
 
