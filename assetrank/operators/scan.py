@@ -66,11 +66,12 @@ class Series:
 
 @dataclass(frozen=True)
 class BlockPlan:
-    """Block sizing for one input, from one small aggregate."""
+    """Block sizing for one input, from a few small aggregates."""
 
     width: float  # order-scalar units per time block
     max_blocks: int  # most time blocks any key spans
     max_rows: int  # longest series
+    max_block_rows: int = 0  # rows in the fullest (key, block)
 
     def rounds(self, groups: int) -> int:
         """Hillis-Steele passes needed to scan ``groups`` items."""
@@ -80,55 +81,77 @@ class BlockPlan:
 def order_scalar(df: DataFrame, col: str) -> Column:
     """A number that never decreases along ``col``'s order (for time blocks).
 
-    Dates give days, timestamps seconds, numbers themselves. Wall-clock
-    timestamps are read field by field, so no time zone is involved.
+    Dates give days, timestamps seconds with microsecond fractions, numbers
+    themselves. Wall-clock timestamps are read field by field, so no time
+    zone is involved.
     """
     dt = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dt, DateType):
         return F.unix_date(c).cast("double")
     if isinstance(dt, TimestampType):
-        return F.unix_seconds(c).cast("double")
+        return F.unix_micros(c).cast("double") / 1e6
     if isinstance(dt, TimestampNTZType):
         day = F.unix_date(c.cast("date")).cast("double")
-        return day * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + F.second(c)
+        secs = F.extract(F.lit("SECOND"), c).cast("double")
+        return day * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + secs
     if isinstance(dt, NumericType):
         return c.cast("double")
     raise TypeError(f"cannot block on order column {col} of type {dt.simpleString()}")
 
 
+# Smallest block width tried, in order-scalar units (a microsecond for timestamps).
+_MIN_WIDTH = 1e-6
+_REFINE_PASSES = 4
+
+
 def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> BlockPlan:
-    """Size time blocks with one aggregate job; only three numbers reach the driver.
+    """Size time blocks with a few aggregate jobs; only small numbers reach the driver.
+
+    1. Per key: rows ``n`` and order span; the densest key sets a first
+       width giving it about ``block_rows`` rows per block.
+    2. Bursts: count rows per (key, block) and, while the fullest block holds
+       more than twice ``block_rows``, set the width from that block's own
+       span and count (at most four passes; nested bursts take more than one).
 
-    Per key: rows ``n`` and order span; the densest key sets the width so its
-    blocks hold about ``block_rows`` rows. The per-key step is a partial
-    aggregate, so a hot key is combined map-side.
+    All steps are partial aggregates over the key and first order column,
+    so a hot key or a hot block is combined map-side. Rows that share one
+    order value cannot be split by time; they stay in one block.
     """
     if block_rows is None:
         block_rows = conf_block_rows(df.sparkSession)
-    sc = order_scalar(df, s.order[0])
-    per_key = df.groupBy(*s.key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(sc).alias("lo"), F.max(sc).alias("hi")
+    slim = df.select(*s.key, order_scalar(df, s.order[0]).alias("_sc"))
+    per_key = slim.groupBy(*s.key).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_sc").alias("lo"), F.max("_sc").alias("hi")
     )
-    span = F.col("hi") - F.col("lo") + 1.0
+    span = F.col("hi") - F.col("lo")
     row = per_key.agg(
-        F.max(F.col("n") / span).alias("density"),
+        F.max(F.col("n") / (span + 1.0)).alias("density"),
         F.max("n").alias("max_rows"),
         F.max(span).alias("max_span"),
     ).first()
     density = (row["density"] or 0.0) if row else 0.0
     max_rows = int((row["max_rows"] or 0) if row else 0)
-    max_span = float((row["max_span"] or 1.0) if row else 1.0)
-    width = max(1.0, math.floor(block_rows / density)) if density > 0 else 1.0
-    max_blocks = int(math.ceil(max_span / width)) + 1
-    return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows)
-
-
-def max_block_rows(df: DataFrame, s: Series, plan: BlockPlan) -> int:
-    """Rows in the fullest time block: a partial aggregate over the key and
-    order columns only (no shuffle of row data); one number reaches the driver."""
-    counts = with_time_blocks(df.select(*s.key, s.order[0]), s, plan).groupBy(KEY, "_tb").count()
-    return int(counts.agg(F.max("count")).first()[0] or 0)
+    max_span = float((row["max_span"] or 0.0) if row else 0.0)
+    width = max(1.0, float(math.floor(block_rows / density))) if density > 0 else 1.0
+    fullest = max_rows
+    for _ in range(_REFINE_PASSES):
+        blk = F.floor(F.col("_sc") / F.lit(width))
+        top = (
+            slim.groupBy(*s.key, blk.alias("_b"))
+            .agg(F.count(F.lit(1)).alias("c"), (F.max("_sc") - F.min("_sc")).alias("w"))
+            .orderBy(F.desc("c"))
+            .first()
+        )
+        fullest = int(top["c"]) if top else 0
+        if fullest <= 2 * block_rows or width <= _MIN_WIDTH or not top["w"]:
+            break
+        # the fullest block's own span and count set the next width, so a
+        # point-like burst is reached in one pass, not by halving steps
+        width = max(_MIN_WIDTH, min(width, float(top["w"])) * block_rows / fullest)
+    # non-empty blocks of a key: bounded by its span in widths and by its rows
+    max_blocks = max(1, min(int(math.ceil((max_span + width) / width)) + 1, max_rows))
+    return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows, max_block_rows=fullest)
 
 
 def with_time_blocks(df: DataFrame, s: Series, plan: BlockPlan) -> DataFrame:
@@ -464,7 +487,7 @@ def with_ewm(
         F.max_by("_loc", "_lrn").alias("_end"),
         F.min_by(col, "_lrn").alias("_first"),
     )
-    nsub = math.ceil(max(1, max_block_rows(df, s, plan)) / sub)
+    nsub = math.ceil(max(1, plan.max_block_rows or plan.max_rows) / sub)
     subs = subs.withColumn("_f", _affine(F.pow(F.lit(beta), F.col("_len")), F.col("_end")))
     subs = scan_struct(subs, [KEY, "_tb"], "_sb", "_f", _compose, plan.rounds(nsub))
     subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, "_tb").orderBy("_sb")))

@@ -153,3 +153,23 @@ def test_single_block_plan_matches(spark, data):
     big = plan_blocks(df, s, block_rows=1 << 20)
     _check(_by_key(S.cum_sum(df, s, "x", plan=big).collect(), "cum_sum"), series, L.cum_sum)
     _check(_by_key(S.ewm(df, s, "x", 12, plan=big).collect(), "ewm"), series, lambda xs: L.ewm(xs, 12))
+
+
+def test_burst_is_split_into_small_blocks(spark):
+    """A hot key whose rows crowd into one minute of a long span: the block
+    width narrows until no (key, block) holds more than twice block_rows."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(days=d), d, 1.0, 0.0, 0.0) for d in range(30)]
+    rows += [("hot", t0 + dt.timedelta(days=10, microseconds=37 * i), 100 + i, float(i % 7), 0.0, 0.0) for i in range(3000)]
+    rows += [("cold", t0 + dt.timedelta(hours=h), h, 2.0, 0.0, 0.0) for h in range(50)]
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, seq long, x double, high double, low double")
+    s = Series.of("ticker", ("ts", "seq"))
+    plan = plan_blocks(df, s, block_rows=100)
+    assert plan.max_block_rows <= 200, plan
+    got = _by_key(S.cum_sum(df, s, "x", plan=plan).collect(), "cum_sum")
+    series = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        series[r[0]].append(r)
+    _check(got, series, L.cum_sum)
+    ew = _by_key(S.ewm(df, s, "x", 12, plan=plan).collect(), "ewm")
+    _check(ew, series, lambda xs: L.ewm(xs, 12))
