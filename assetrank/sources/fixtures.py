@@ -36,21 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file written as one row group is read by one task, and all
-    per-row work before the first shuffle would run in that task. Real inputs
-    (many files, many row groups) have far more splits than cores, and then
-    this is a no-op. Filters and column pruning still reach the scan below
-    the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ticker, date, close plus the tie-break columns, one row per lineitem."""
     li = table(spark, sf_dir, "lineitem")
