@@ -22,6 +22,7 @@ from assetrank.operators import ranking as rk
 from assetrank.operators import report as rep
 from assetrank.operators import series as ser
 from assetrank.operators.scan import Series
+from assetrank.plans.program import rank_from_files
 from assetrank.plans.rank import rank_investments
 from assetrank.sources import assets as asrc
 from assetrank.sources import fixtures as fx
@@ -143,10 +144,12 @@ def _slog(r: str) -> str:
     return f"(case when isnan({r}) then {r} when {r} > 0 then ln({r}) when {r} < 0 then -ln(-{r}) else {r} end)"
 
 
-FEATURES = f"""fp as (select * from prices where date <= date '{END}'),
+def _features_sql(source: str, order_desc: str) -> str:
+    """The features CTE chain over ``source`` (ticker, date, close, ...)."""
+    return f"""fp as (select * from {source} where date <= date '{END}'),
 fx as (
   select ticker, close, row_number() over w as rn, lead(close) over w as prev from fp
-  window w as (partition by ticker order by {_ORD_DESC})),
+  window w as (partition by ticker order by {order_desc})),
 fy as (
   select ticker, rn, close, case when rn < {WINDOW} then {_jdiv('close - prev', 'prev')} end as r
   from fx where rn <= {WINDOW}),
@@ -162,6 +165,9 @@ features as (
   from fg where n >= {WINDOW})"""
 
 
+FEATURES = _features_sql("prices", _ORD_DESC)
+
+
 def _money(x: str) -> str:
     cents = f"cast(floor({x} * 100.0) as bigint)"
     return f"(cast({cents} // 100 as varchar) || '.' || lpad(cast((({cents} % 100) + 100) % 100 as varchar), 2, '0'))"
@@ -695,3 +701,41 @@ def q_instant_from_string(spark, sf_dir):
 def q_price_to_text(spark, sf_dir):
     b = fx.bars(spark, sf_dir)
     return rep.price_to_text(b).select("ticker", _bar_text(), "text")
+
+
+# --------------------------------------------------------------------------
+# The whole program from files
+# --------------------------------------------------------------------------
+
+_CSV_ORD_DESC = "date desc, close desc, open desc, high desc, low desc, adj_close desc, volume desc"
+
+
+@query(
+    "rank_from_files",
+    f"""with {PRICE_TEXT}, {PARSED},
+    clean as (select * from parsed where ticker is not null and date is not null and open is not null
+              and high is not null and low is not null and close is not null and adj_close is not null
+              and volume is not null),
+    {_features_sql("clean", _CSV_ORD_DESC)},
+    {ASSETS}, {ASSET_RECORDS},
+    ranked as (
+      select cast(row_number() over (order by ret desc, f.ticker) as bigint) as rank, f.ticker, name, industry,
+             sector, ret, vol, price_earning_ratio as pe
+      from features f join records r on f.ticker = r.symbol
+      where vol < {CEILING} and price_earning_ratio is not null and price_earning_ratio <> 0
+        and price_earning_ratio < {PE_MAX}
+      qualify rank <= {K}),
+    slots as (select cast(range as bigint) as rank from range(1, {K + 1}))
+    select s.rank, ticker, name, industry, sector, round(ret, 6) as ret, round(vol, 6) as vol, round(pe, 6) as pe
+    from slots s left join ranked r on s.rank = r.rank""",
+)
+def q_rank_from_files(spark, sf_dir):
+    prices_path = shared_dir(spark, "program_prices")
+    psrc.write_prices_csv(fx.price_text(spark, sf_dir), prices_path)
+    assets_path = shared_dir(spark, "program_assets")
+    asrc.write_assets_json(fx.asset_records(spark, sf_dir), assets_path)
+    padded = rank_from_files(
+        spark, prices_path, assets_path, end_date=END, volatility_ceiling=CEILING, pe_threshold=PE_MAX, k=K,
+        assets_multi_line=False,
+    )
+    return r6(padded)

@@ -247,3 +247,34 @@ def test_price_to_text(spark):
         "date date, open double, high double, low double, close double, adj_close double, volume double, ticker string",
     )
     assert rep.price_to_text(df).collect()[0].text == "8/1/1999 1.0 2.5 0.5 1.5 1.5 100.0 AAA"
+
+
+def test_program_from_files(spark, tmp_dir):
+    """The whole reference flow: CSV prices + multi-line JSON assets -> report file."""
+    from assetrank.plans.program import run_program
+
+    lines = []
+    for t, step in (("AAA", 1.01), ("BBB", 1.02), ("CCC", 1.03)):
+        closes = walk(260, step=step)
+        for i, c in enumerate(closes):
+            d = D0 + dt.timedelta(days=i)
+            lines.append(f"{d.year}-{d.month}-{d.day},{c},{c},{c},{c},{c},100,{t}")
+    lines.append("2019-1-2,,1,1,1,1,1,AAA")  # dropped by the null filter
+    lines.append("2019-1-3,1,1,1,x,1,1,AAA")  # dropped as unparsable
+    with open(f"{tmp_dir}/prices.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    with open(f"{tmp_dir}/assets.json", "w") as fh:
+        fh.write(
+            '[{"symbol": "AAA", "name": "A Co", "industry": "I1", "sector": "S1", "price_earning_ratio": 10},\n'
+            ' {"symbol": "BBB", "name": "B Co", "industry": "I2", "sector": "S2", "price_earning_ratio": 30.5},\n'
+            ' {"symbol": "CCC", "name": "C Co", "industry": "I3", "sector": "S3", "price_earning_ratio": 12.5}]'
+        )
+    padded = run_program(
+        spark, f"{tmp_dir}/prices.csv", f"{tmp_dir}/assets.json", f"{tmp_dir}/results", end_date="2030-01-01",
+        volatility_ceiling=100.0, k=5,
+    )
+    got = [(r.rank, r.ticker) for r in padded.orderBy("rank").collect()]
+    # BBB fails the P/E threshold; two filled slots, three empty
+    assert [g[1] for g in got[:2]] == ["CCC", "AAA"] and all(g[1] is None for g in got[2:])
+    report = rep.read_report(spark, f"{tmp_dir}/results").collect()[0].value
+    assert report.startswith("Rank 1: C Co (CCC)\n  - Industry: I3\n") and report.endswith("Rank 5: NULL\n\n")
