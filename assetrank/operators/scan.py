@@ -207,12 +207,12 @@ def scan_struct(
     cover groups of 2^rounds rows. Used only on per-block summary tables.
     """
     w = Window.partitionBy(*part).orderBy(order)
+    others = [c for c in df.columns if c != col]
     for r in range(rounds):
         # materialise the lag once; nesting it would repeat the window per use
         df = df.withColumn("_hs", F.lag(col, 1 << r).over(w))
-        df = df.withColumn(
-            col, F.when(F.col("_hs").isNull(), F.col(col)).otherwise(combine(F.col("_hs"), F.col(col)))
-        ).drop("_hs")
+        step = F.when(F.col("_hs").isNull(), F.col(col)).otherwise(combine(F.col("_hs"), F.col(col)))
+        df = df.select(*others, step.alias(col))
     return df
 
 
