@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetrank.functions.dates import date_literal
-from assetrank.functions.indicators import java_divide, pct_change, signed_log
+from assetrank.functions.indicators import pct_change, signed_log
 
 
 def _desc_window(key: Sequence[str], date_col: str, tiebreak: Sequence[str]):
@@ -36,9 +36,25 @@ def trailing_n(
     tiebreak: Sequence[str] = (),
     rn_col: str = "rn",
 ) -> DataFrame:
-    """Last ``n`` prices per ticker (G3); ``rn`` = 1 is the newest."""
-    w = _desc_window(key, date_col, tiebreak)
-    return prices.withColumn(rn_col, F.row_number().over(w)).where(F.col(rn_col) <= n)
+    """Last ``n`` prices per ticker (G3); ``rn`` = 1 is the newest.
+
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default)
+    Spark limits each map task to ``n`` rows per ticker before the shuffle.
+    Beyond it that limit is not planned, so the rank is computed as
+    count - position + 1 from skew-safe blocked positions (``scan.py``)
+    instead of one window per ticker.
+    """
+    limit = int(prices.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= limit:
+        w = _desc_window(key, date_col, tiebreak)
+        return prices.withColumn(rn_col, F.row_number().over(w)).where(F.col(rn_col) <= n)
+    from assetrank.operators.scan import Series, with_positions
+
+    s = Series(tuple(key), (date_col, *tiebreak))
+    counts = prices.groupBy(*key).agg(F.count(F.lit(1)).alias("_cnt"))
+    pos = with_positions(prices, s).join(counts, list(key), "left")
+    rn = (F.col("_cnt") - F.col("_pos") + 1).cast("int")
+    return pos.withColumn(rn_col, rn).where(F.col(rn_col) <= n).drop("_pos", "_cnt")
 
 
 def step_returns(
@@ -118,8 +134,7 @@ def returns_k(
     Only the newest k + 1 rows per key are needed, which Spark limits per map
     task before the shuffle.
     """
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    t = series.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k + 1)
+    t = trailing_n(series, k + 1, key=key, date_col=order[0], tiebreak=tuple(order[1:]), rn_col="_rn")
     g = t.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.when(F.col("_rn") == 1, F.col(value_col))).alias("_c0"),
@@ -129,13 +144,6 @@ def returns_k(
     return g.select(*key, ret.alias("ret"))
 
 
-def volatility_expr(step: Column | str, n: Column | str) -> Column:
-    """Aggregate-side volatility: deviation of steps, 0 under two points."""
-    s = F.col(step) if isinstance(step, str) else step
-    m = F.col(n) if isinstance(n, str) else n
-    return F.when(m < 2, F.lit(0.0)).otherwise(F.stddev_pop(s))
-
-
 __all__ = [
     "filter_end_date",
     "trailing_n",
@@ -143,5 +151,4 @@ __all__ = [
     "asset_features",
     "filter_min_history",
     "returns_k",
-    "java_divide",
 ]

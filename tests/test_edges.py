@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import Row
+
 from pyspark.sql import functions as F
 
 from assetrank.operators import features as feat
@@ -278,3 +278,17 @@ def test_program_from_files(spark, tmp_dir):
     assert [g[1] for g in got[:2]] == ["CCC", "AAA"] and all(g[1] is None for g in got[2:])
     report = rep.read_report(spark, f"{tmp_dir}/results").collect()[0].value
     assert report.startswith("Rank 1: C Co (CCC)\n  - Industry: I3\n") and report.endswith("Rank 5: NULL\n\n")
+
+
+def test_trailing_window_beyond_group_limit(spark):
+    """A window larger than Spark's WindowGroupLimit threshold takes the blocked path."""
+    rows = series_rows("A", walk(40)) + series_rows("B", walk(7))
+    df = prices_df(spark, rows)
+    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    try:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+        big = {(r.ticker, r.rn): r.close for r in feat.trailing_n(df, 30, tiebreak=("seq",)).collect()}
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    small = {(r.ticker, r.rn): r.close for r in feat.trailing_n(df, 30, tiebreak=("seq",)).collect()}
+    assert big == small and len(big) == 37

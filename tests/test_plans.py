@@ -2,7 +2,6 @@
 
 import re
 
-import pytest
 
 from assetrank.operators import series as S
 from assetrank.plans import catalog as C
