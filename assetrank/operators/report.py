@@ -78,3 +78,14 @@ def write_report(report: DataFrame, path: str) -> None:
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """The written report back as one ``value`` row per file."""
     return spark.read.text(path, wholetext=True)
+
+
+def print_report(padded: DataFrame, digits: int | None = None) -> str:
+    """Print the ranking report on the driver (S5) and return the text.
+
+    The padded ranking has exactly k rows, so collecting it is bounded by k.
+    """
+    blocks = ranking_report(padded, digits).orderBy("rank").collect()
+    text = "".join(r["text"] + NL for r in blocks)
+    print(text, end="")
+    return text

@@ -27,6 +27,7 @@ from assetrank.plans.rank import rank_investments
 from assetrank.sources import assets as asrc
 from assetrank.sources import fixtures as fx
 from assetrank.sources import prices as psrc
+from assetrank.streaming.prices import ingest_prices
 
 END = "2000-01-01"
 CEILING = 1.3
@@ -739,3 +740,20 @@ def q_rank_from_files(spark, sf_dir):
         assets_multi_line=False,
     )
     return r6(padded)
+
+
+@query(
+    "stream_prices",
+    f"""with {PRICE_TEXT}, {PARSED}
+    select ticker, date, round(open, 6) as open, round(high, 6) as high, round(low, 6) as low,
+           round(close, 6) as close, round(adj_close, 6) as adj_close, round(volume, 6) as volume
+    from parsed where ticker is not null and date is not null and open is not null and high is not null
+      and low is not null and close is not null and adj_close is not null and volume is not null""",
+)
+def q_stream_prices(spark, sf_dir):
+    """Price CSV files ingested by Structured Streaming (availableNow), read back."""
+    base = shared_dir(spark, "stream")
+    src, out, chk = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+    psrc.write_prices_csv(fx.price_text(spark, sf_dir), src)
+    ingest_prices(spark, src, out, chk).awaitTermination()
+    return r6(spark.read.parquet(out).drop("year"))

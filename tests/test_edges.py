@@ -292,3 +292,13 @@ def test_trailing_window_beyond_group_limit(spark):
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
     small = {(r.ticker, r.rn): r.close for r in feat.trailing_n(df, 30, tiebreak=("seq",)).collect()}
     assert big == small and len(big) == 37
+
+
+def test_print_report(spark, capsys):
+    ranked = spark.createDataFrame(
+        [(1, "T1", "Alpha", "Tech", "EU", 0.5, 1.25, 2.0)],
+        "rank bigint, ticker string, name string, industry string, sector string, ret double, vol double, pe double",
+    )
+    text = rep.print_report(rk.pad_ranking(spark, ranked, 2))
+    assert capsys.readouterr().out == text
+    assert text.endswith("  - P/E Ratio: 2.0\n\nRank 2: NULL\n\n")
