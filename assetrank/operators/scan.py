@@ -473,6 +473,8 @@ def with_ewm(
     beta = 1.0 - alpha
     if beta == 0.0:
         return df.withColumn(out, F.col(col).cast("double"))
+    # keep b^-(sub-1) far from overflow for spans close to 1 (tiny b)
+    sub = max(1, min(sub, int(250 / max(1e-12, -math.log10(beta))) + 1))
     plan = plan or plan_blocks(df, s)
     wl = _local_window(s)
     b = with_time_blocks(df, s, plan).withColumn("_lrn", F.row_number().over(wl))

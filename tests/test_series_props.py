@@ -93,7 +93,7 @@ def test_diff(data):
     _check(_by_key(S.diff(df, s, "x", plan=plan).collect(), "diff"), series, L.diff)
 
 
-@pytest.mark.parametrize("span", [1, 2, 12, 200])
+@pytest.mark.parametrize("span", [1, 1.0001, 2, 12, 200])
 def test_ewm(data, span):
     df, series, s, plan = data
     got = _by_key(S.ewm(df, s, "x", span, plan=plan, sub=2).collect(), "ewm")
