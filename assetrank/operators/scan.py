@@ -327,7 +327,12 @@ def with_running_sum(df: DataFrame, s: Series, col: str, out: str, plan: BlockPl
         "_carry", F.sum("_bs").over(_block_window(s).rowsBetween(Window.unboundedPreceding, -1))
     ).select(KEY, "_tb", "_carry")
     res = _join_block(b, carry, s)
-    total = F.when(F.col("_carry").isNull(), F.col("_loc")).otherwise(F.col("_loc") + F.col("_carry"))
+    # nulls are skipped as in a plain running SUM window: null only while
+    # every value so far is null
+    loc, car = F.col("_loc"), F.col("_carry")
+    total = F.when(loc.isNull() & car.isNull(), F.lit(None)).otherwise(
+        F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0))
+    )
     return _finish(res, df, s, total.alias(out))
 
 
