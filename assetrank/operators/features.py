@@ -22,9 +22,18 @@ def _desc_window(key: Sequence[str], date_col: str, tiebreak: Sequence[str]):
     return Window.partitionBy(*key).orderBy(F.col(date_col).desc(), *[F.col(c).desc() for c in tiebreak])
 
 
-def filter_end_date(prices: DataFrame, end_date, date_col: str = "date") -> DataFrame:
-    """Keep prices on or before the cutoff, inclusive (F2); reaches the scan."""
-    return prices.where(F.col(date_col) <= date_literal(end_date))
+def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_col: str = "year") -> DataFrame:
+    """Keep prices on or before the cutoff, inclusive (F2); reaches the scan.
+
+    When the prices carry a ``year`` column (the year-partitioned table the
+    streaming ingestion writes), ``year <= year(cutoff)`` is added so whole
+    partitions past the cutoff are never listed or read.
+    """
+    end = date_literal(end_date)
+    out = prices.where(F.col(date_col) <= end)
+    if year_col in prices.columns:
+        out = out.where(F.col(year_col) <= F.year(end))
+    return out
 
 
 def trailing_n(
