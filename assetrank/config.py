@@ -30,10 +30,20 @@ BLOCK_ROWS_CONF = "assetrank.blockRows"
 DEFAULT_BLOCK_ROWS = 1 << 17
 
 
+# Optional fixed time-block width (order units: days for dates, seconds for
+# timestamps). When set, the sizing jobs are skipped.
+BLOCK_WIDTH_CONF = "assetrank.blockWidth"
+
+
 def block_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BLOCK_ROWS_CONF, str(DEFAULT_BLOCK_ROWS)))
 
 
+def block_width(spark: SparkSession) -> float | None:
+    v = spark.conf.get(BLOCK_WIDTH_CONF, None)
+    return float(v) if v else None
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from assetrank.config import block_rows as conf_block_rows
+from assetrank.config import block_width as conf_block_width
 
 _MIN_BLOCK = -(1 << 62)
 # Internal series key: struct(key...) is never null, even when a key column is,
@@ -74,8 +75,9 @@ class BlockPlan:
     max_block_rows: int = 0  # rows in the fullest (key, block)
 
     def rounds(self, groups: int) -> int:
-        """Hillis-Steele passes needed to scan ``groups`` items."""
-        return max(1, math.ceil(math.log2(max(2, groups))))
+        """Hillis-Steele passes needed to scan ``groups`` items (lag offsets
+        are 32-bit, so at most 31 passes: 2^31 blocks per key)."""
+        return min(31, max(1, math.ceil(math.log2(max(2, groups)))))
 
 
 def order_scalar(df: DataFrame, col: str) -> Column:
@@ -116,8 +118,14 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
 
     All steps are partial aggregates over the key and first order column,
     so a hot key or a hot block is combined map-side. Rows that share one
-    order value cannot be split by time; they stay in one block.
+    order value cannot be split by time; they stay in one block. Setting
+    ``assetrank.blockWidth`` skips these jobs for a known, stable layout.
     """
+    fixed = conf_block_width(df.sparkSession)
+    if fixed:
+        # no sizing jobs: conservative bounds, so the carry scans run
+        # 31 rounds (the most) on the (small) summary tables
+        return BlockPlan(width=fixed, max_blocks=1 << 31, max_rows=1 << 31, max_block_rows=1 << 31)
     if block_rows is None:
         block_rows = conf_block_rows(df.sparkSession)
     slim = df.select(*s.key, order_scalar(df, s.order[0]).alias("_sc"))

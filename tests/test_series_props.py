@@ -188,3 +188,15 @@ def test_nulls_match_plain_windows(spark, data):
     assert want.keys() == got.keys()
     for k, v in want.items():
         assert _close(v, got[k]), (k, v, got[k])
+
+
+def test_fixed_width_skips_sizing(spark, data):
+    df, series, s, _ = data
+    spark.conf.set("assetrank.blockWidth", "3600")
+    try:
+        plan = plan_blocks(df, s)
+        assert plan.width == 3600.0
+        _check(_by_key(S.cum_sum(df, s, "x", plan=plan).collect(), "cum_sum"), series, L.cum_sum)
+        _check(_by_key(S.ewm(df, s, "x", 12, plan=plan).collect(), "ewm"), series, lambda xs: L.ewm(xs, 12))
+    finally:
+        spark.conf.unset("assetrank.blockWidth")
