@@ -60,8 +60,7 @@ def trailing_n(
     from assetrank.operators.scan import Series, with_positions
 
     s = Series(tuple(key), (date_col, *tiebreak))
-    counts = prices.groupBy(*key).agg(F.count(F.lit(1)).alias("_cnt"))
-    pos = with_positions(prices, s).join(counts, list(key), "left")
+    pos = with_positions(prices, s, with_total=True)
     rn = (F.col("_cnt") - F.col("_pos") + 1).cast("int")
     return pos.withColumn(rn_col, rn).where(F.col(rn_col) <= n).drop("_pos", "_cnt")
 

@@ -229,22 +229,30 @@ def scan_struct(
 # --------------------------------------------------------------------------
 
 
-def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None) -> DataFrame:
+def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None, with_total: bool = False) -> DataFrame:
     """Add ``_pos``: the row's 1-based place in its series (skew-safe ``row_number``).
 
     Local row numbers per time block plus the row count of all earlier blocks.
+    ``with_total`` also adds ``_cnt``, the series' length, from the same block
+    table (never a join on the key alone, which would gather a hot key).
     """
     plan = plan or plan_blocks(df, s)
     blocked = with_time_blocks(df, s, plan)
     b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
     # a partial aggregate on the blocked input: only counts cross the network
     sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
-    offs = sizes.withColumn(
-        "_off",
-        F.coalesce(F.sum("_bn").over(_block_window(s).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(KEY, "_tb", "_off")
+    wb = _block_window(s)
+    offs = sizes.withColumns(
+        {
+            "_off": F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_cnt": F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        }
+    ).select(KEY, "_tb", "_off", "_cnt")
     out = _join_block(b, offs, s)
-    return _finish(out, df, s, (F.col("_lrn") + F.col("_off")).cast("bigint").alias("_pos"))
+    extra = [(F.col("_lrn") + F.col("_off")).cast("bigint").alias("_pos")]
+    if with_total:
+        extra.append(F.col("_cnt").cast("bigint").alias("_cnt"))
+    return _finish(out, df, s, *extra)
 
 
 def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | None = None) -> DataFrame:

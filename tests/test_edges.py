@@ -287,7 +287,11 @@ def test_trailing_window_beyond_group_limit(spark):
     old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
     try:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
-        big = {(r.ticker, r.rn): r.close for r in feat.trailing_n(df, 30, tiebreak=("seq",)).collect()}
+        t = feat.trailing_n(df, 30, tiebreak=("seq",))
+        from tests_plan_util import plan_text
+
+        assert "hashpartitioning(ticker" not in plan_text(t)  # rows never gathered by ticker alone
+        big = {(r.ticker, r.rn): r.close for r in t.collect()}
     finally:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
     small = {(r.ticker, r.rn): r.close for r in feat.trailing_n(df, 30, tiebreak=("seq",)).collect()}
