@@ -73,6 +73,10 @@ class BlockPlan:
     max_blocks: int  # most time blocks any key spans
     max_rows: int  # longest series
     max_block_rows: int = 0  # rows in the fullest (key, block)
+    # over-full blocks whose rows share one order value: key columns, _major,
+    # _lo2, _w2 (how to split them by the second order column); at most
+    # HOT_COPY_BLOCKS rows, so broadcasting it is bounded
+    hot: DataFrame | None = None
 
     def rounds(self, groups: int) -> int:
         """Hillis-Steele passes needed to scan ``groups`` items (lag offsets
@@ -159,15 +163,79 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
         width = max(_MIN_WIDTH, min(width, float(top["w"])) * block_rows / fullest)
     # non-empty blocks of a key: bounded by its span in widths and by its rows
     max_blocks = max(1, min(int(math.ceil((max_span + width) / width)) + 1, max_rows))
-    return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows, max_block_rows=fullest)
+    hot = None
+    if fullest > 2 * block_rows and len(s.order) > 1 and _splittable(df, s.order[1]):
+        hot = _hot_copies(df, s, width, block_rows)
+    return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows, max_block_rows=fullest, hot=hot)
+
+
+# Most over-full single-value blocks split by the second order column; any
+# beyond stay whole (still exact, one task each).
+HOT_COPY_BLOCKS = 10000
+
+
+def _splittable(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, (DateType, TimestampType, TimestampNTZType, NumericType))
+
+
+def _hot_copies(df: DataFrame, s: Series, width: float, block_rows: int) -> DataFrame | None:
+    """Over-full blocks whose rows all share one order value ("copies").
+
+    Time cannot split them, but the second order column orders them: each
+    gets its own width on that column so its pieces hold about
+    ``block_rows`` rows. A partial aggregate finds them; at most
+    ``HOT_COPY_BLOCKS`` rows come back, so the table can be broadcast to the
+    scan side.
+    """
+    major = F.floor(order_scalar(df, s.order[0]) / F.lit(width)).cast("bigint")
+    sc2 = order_scalar(df, s.order[1])
+    stats = (
+        df.select(*s.key, F.coalesce(major, F.lit(_MIN_BLOCK)).alias("_major"), order_scalar(df, s.order[0]).alias("_sc"), sc2.alias("_sc2"))
+        .groupBy(*s.key, "_major")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            (F.max("_sc") - F.min("_sc")).alias("_span"),
+            F.min("_sc2").alias("_lo2"),
+            F.max("_sc2").alias("_hi2"),
+        )
+        .where((F.col("_n") > 2 * block_rows) & (F.col("_span") == 0) & (F.col("_hi2") > F.col("_lo2")))
+        .orderBy(F.desc("_n"))
+        .limit(HOT_COPY_BLOCKS)
+    )
+    rows = stats.collect()  # at most HOT_COPY_BLOCKS small rows
+    if not rows:
+        return None
+    data = [
+        (*[r[k] for k in s.key], r["_major"], float(r["_lo2"]), max(1e-9, (r["_hi2"] - r["_lo2"]) * block_rows / r["_n"]))
+        for r in rows
+    ]
+    schema = [*[df.schema[k] for k in s.key]]
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+    return df.sparkSession.createDataFrame(
+        data,
+        StructType(schema + [StructField("_major", LongType()), StructField("_lo2", DoubleType()), StructField("_w2", DoubleType())]),
+    )
 
 
 def with_time_blocks(df: DataFrame, s: Series, plan: BlockPlan) -> DataFrame:
-    """Add ``_tb``; rows with a null order value go to the first block."""
-    tb = F.floor(order_scalar(df, s.order[0]) / F.lit(plan.width)).cast("bigint")
-    out = df.withColumns({KEY: F.struct(*s.key), "_tb": F.coalesce(tb, F.lit(_MIN_BLOCK))})
+    """Add ``_tb`` = struct(major time block, minor piece); rows with a null
+    order value go to the first block.
+
+    The minor piece is 0 except in the plan's hot-copy blocks, which are
+    split by the second order column; the hot table is at most
+    ``HOT_COPY_BLOCKS`` rows, joined by broadcast before any shuffle.
+    """
+    major = F.coalesce(F.floor(order_scalar(df, s.order[0]) / F.lit(plan.width)).cast("bigint"), F.lit(_MIN_BLOCK))
+    out = df.withColumn("_major", major)
+    minor = F.lit(0).cast("bigint")
+    if plan.hot is not None:
+        out = out.join(F.broadcast(plan.hot), [*s.key, "_major"], "left")
+        piece = F.floor((order_scalar(df, s.order[1]) - F.col("_lo2")) / F.col("_w2")).cast("bigint")
+        minor = F.coalesce(piece, F.lit(0).cast("bigint"))
+    out = out.withColumns({KEY: F.struct(*s.key), "_tb": F.struct(F.col("_major").alias("t"), minor.alias("p"))})
     # the key travels only inside _k, so every branch reads the same columns
-    return out.drop(*s.key)
+    return out.drop(*s.key, "_major", "_lo2", "_w2")
 
 
 def _finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:

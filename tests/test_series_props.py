@@ -12,6 +12,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import listref as L
 from assetrank.operators import features as feat
@@ -200,3 +201,31 @@ def test_fixed_width_skips_sizing(spark, data):
         _check(_by_key(S.ewm(df, s, "x", 12, plan=plan).collect(), "ewm"), series, lambda xs: L.ewm(xs, 12))
     finally:
         spark.conf.unset("assetrank.blockWidth")
+
+
+def test_copies_sharing_one_timestamp_are_split(spark):
+    """A third of all rows share one (key, timestamp): time cannot split them,
+    the tie-break column does; every operator stays exact."""
+    from assetrank.operators.scan import with_time_blocks
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(days=d), d, float(d % 5), 0.0, 0.0) for d in range(40)]
+    rows += [("hot", t0 + dt.timedelta(days=20), 1000 + i, float(i % 9) - 3.0, 0.0, 0.0) for i in range(900)]
+    rows += [(f"k{j}", t0 + dt.timedelta(hours=h), h, float((h * j) % 7), 0.0, 0.0) for j in range(6) for h in range(300)]
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, seq long, x double, high double, low double")
+    s = Series.of("ticker", ("ts", "seq"))
+    plan = plan_blocks(df, s, block_rows=50)
+    assert plan.hot is not None and plan.hot.count() == 1
+    sizes = with_time_blocks(df, s, plan).groupBy("_k", "_tb").count().agg(F.max("count")).first()[0]
+    assert sizes <= 150
+    series = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        series[r[0]].append(r)
+    _check(_by_key(S.order_within(df, s, plan=plan).collect(), "rn"), series, lambda xs: list(range(1, len(xs) + 1)))
+    _check(_by_key(S.cum_sum(df, s, "x", plan=plan).collect(), "cum_sum"), series, L.cum_sum)
+    _check(_by_key(S.diff(df, s, "x", plan=plan).collect(), "diff"), series, L.diff)
+    _check(_by_key(S.ewm(df, s, "x", 12, plan=plan).collect(), "ewm"), series, lambda xs: L.ewm(xs, 12))
+    sl = S.sliding_agg(df, s, "x", SIZE, plan=plan).collect()
+    _check(_by_key(sl, "win_std"), series, lambda xs: [L.lstd(w) for w in L.sliding(xs, SIZE)])
+    ex = S.expanding_agg(df, s, "x", plan=plan).collect()
+    _check(_by_key(ex, "exp_std"), series, lambda xs: [L.lstd(w) if w else None for w in L.expanding(xs)])
