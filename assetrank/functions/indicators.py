@@ -54,3 +54,31 @@ def true_range(high: Column | str, low: Column | str, prev_close: Column | str)
     """max(|low - prev|, high - low, |high - prev|) (T6); caller supplies prev."""
     h, lo, p = _col(high), _col(low), _col(prev_close)
     return F.greatest(F.abs(lo - p), h - lo, F.abs(h - p))
+
+
+# SQL-text forms of the same expressions. Building one ``F.expr`` costs a
+# few py4j round trips, where composing Column objects costs several per
+# operator; the optimiser sees identical expressions either way.
+
+
+def ident(name: str) -> str:
+    """Quote a column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def java_divide_sql(num: str, den: str) -> str:
+    """SQL text of :func:`java_divide` for SQL operands."""
+    return (
+        f"CASE WHEN ({den}) <> 0 THEN ({num}) / ({den}) "
+        f"WHEN ({num}) > 0 THEN double('Infinity') WHEN ({num}) < 0 THEN double('-Infinity') "
+        f"WHEN ({num}) IS NOT NULL AND ({den}) IS NOT NULL THEN double('NaN') END"
+    )
+
+
+def pct_change_sql(cur: str, prev: str) -> str:
+    return java_divide_sql(f"{cur} - {prev}", prev)
+
+
+def signed_log_sql(r: str) -> str:
+    """SQL text of :func:`signed_log`."""
+    return f"CASE WHEN isnan({r}) THEN {r} WHEN {r} > 0 THEN ln({r}) WHEN {r} < 0 THEN -ln(-{r}) ELSE {r} END"

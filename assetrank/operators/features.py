@@ -11,15 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetrank.functions.dates import date_literal
-from assetrank.functions.indicators import pct_change, signed_log
+from assetrank.functions.indicators import ident, pct_change_sql, signed_log_sql
 
 
-def _desc_window(key: Sequence[str], date_col: str, tiebreak: Sequence[str]):
-    return Window.partitionBy(*key).orderBy(F.col(date_col).desc(), *[F.col(c).desc() for c in tiebreak])
+def _desc_over(key: Sequence[str], date_col: str, tiebreak: Sequence[str]) -> str:
+    """SQL window clause: per ticker, newest first."""
+    order = ", ".join(f"{ident(c)} DESC" for c in (date_col, *tiebreak))
+    return f"OVER (PARTITION BY {', '.join(ident(k) for k in key)} ORDER BY {order})"
 
 
 def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_col: str = "year") -> DataFrame:
@@ -55,8 +57,8 @@ def trailing_n(
     """
     limit = int(prices.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
-        w = _desc_window(key, date_col, tiebreak)
-        return prices.withColumn(rn_col, F.row_number().over(w)).where(F.col(rn_col) <= n)
+        rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
+        return prices.withColumn(rn_col, rn).where(F.expr(f"{ident(rn_col)} <= {int(n)}"))
     from assetrank.operators.scan import Series, with_positions
 
     s = Series(tuple(key), (date_col, *tiebreak))
@@ -79,10 +81,9 @@ def step_returns(
     row gets null and drops out of the deviation, so a price outside the
     window never leaks in.
     """
-    w = _desc_window(key, date_col, tiebreak)
-    t = trailing.withColumn("_prev", F.lead(price_col).over(w))
-    t = t.withColumn("_r", pct_change(F.col(price_col), F.col("_prev")))
-    return t.withColumn("step", signed_log("_r")).drop("_prev", "_r")
+    t = trailing.withColumn("_prev", F.expr(f"lead({ident(price_col)}) {_desc_over(key, date_col, tiebreak)}"))
+    t = t.withColumn("_r", F.expr(pct_change_sql(ident(price_col), "_prev")))
+    return t.withColumn("step", F.expr(signed_log_sql("_r"))).drop("_prev", "_r")
 
 
 def asset_features(
@@ -108,18 +109,18 @@ def asset_features(
     rn = "_rn"
     t = trailing_n(prices, window, key=key, date_col=date_col, tiebreak=tiebreak, rn_col=rn)
     t = step_returns(t, key=key, date_col=date_col, tiebreak=tiebreak, price_col=price_col)
-    c = F.col(price_col)
+    c = ident(price_col)
     f = t.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.stddev_pop("step").alias("_sd"),
-        F.max(F.when(F.col(rn) == 1, c)).alias("_c0"),
-        F.max(F.when(F.col(rn) == return_days + 1, c)).alias("_ck"),
+        F.expr("count(1)").alias("n"),
+        F.expr("stddev_pop(step)").alias("_sd"),
+        F.expr(f"max(CASE WHEN {rn} = 1 THEN {c} END)").alias("_c0"),
+        F.expr(f"max(CASE WHEN {rn} = {int(return_days) + 1} THEN {c} END)").alias("_ck"),
     )
-    ret = F.when(F.col("n") < return_days + 1, F.lit(0.0)).otherwise(pct_change("_c0", "_ck"))
-    vol = F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("_sd"))
-    f = f.select(*key, "n", ret.alias("ret"), vol.alias("vol"))
+    ret = f"CASE WHEN n < {int(return_days) + 1} THEN 0.0D ELSE {pct_change_sql('_c0', '_ck')} END AS ret"
+    vol = "CASE WHEN n < 2 THEN 0.0D ELSE _sd END AS vol"
+    f = f.selectExpr(*[ident(k) for k in key], "n", ret, vol)
     need = window if min_history is None else min_history
-    return f.where(F.col("n") >= need) if need > 0 else f
+    return f.where(F.expr(f"n >= {int(need)}")) if need > 0 else f
 
 
 def filter_min_history(
@@ -143,13 +144,14 @@ def returns_k(
     task before the shuffle.
     """
     t = trailing_n(series, k + 1, key=key, date_col=order[0], tiebreak=tuple(order[1:]), rn_col="_rn")
+    v = ident(value_col)
     g = t.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max(F.when(F.col("_rn") == 1, F.col(value_col))).alias("_c0"),
-        F.max(F.when(F.col("_rn") == k + 1, F.col(value_col))).alias("_ck"),
+        F.expr("count(1)").alias("_n"),
+        F.expr(f"max(CASE WHEN _rn = 1 THEN {v} END)").alias("_c0"),
+        F.expr(f"max(CASE WHEN _rn = {int(k) + 1} THEN {v} END)").alias("_ck"),
     )
-    ret = F.when(F.col("_n") < k + 1, F.lit(0.0)).otherwise(pct_change("_c0", "_ck"))
-    return g.select(*key, ret.alias("ret"))
+    ret = f"CASE WHEN _n < {int(k) + 1} THEN 0.0D ELSE {pct_change_sql('_c0', '_ck')} END AS ret"
+    return g.selectExpr(*[ident(x) for x in key], ret)
 
 
 __all__ = [

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetrank.functions.indicators import ident
+
 ASSET_COLUMNS = ("ticker", "name", "industry", "sector", "ret", "vol", "pe")
 
 
 def filter_volatility(features: DataFrame, ceiling: float, vol_col: str = "vol") -> DataFrame:
     """Keep vol strictly below the ceiling (F4). NaN orders above every number
     in Spark, so a NaN volatility fails the test, as in the reference."""
-    return features.where(F.col(vol_col) < F.lit(float(ceiling)))
+    return features.where(F.expr(f"{ident(vol_col)} < {float(ceiling)!r}D"))
 
 
 def filter_pe_ratio(assets: DataFrame, threshold: float, pe_col: str = "pe") -> DataFrame:
@@ -23,8 +25,8 @@ def filter_pe_ratio(assets: DataFrame, threshold: float, pe_col: str = "pe") ->
     to the metadata side, so it is evaluated before the join and reaches the
     metadata scan.
     """
-    pe = F.col(pe_col)
-    return assets.where(pe.isNotNull() & (pe != 0) & (pe < F.lit(float(threshold))))
+    pe = ident(pe_col)
+    return assets.where(F.expr(f"{pe} IS NOT NULL AND {pe} <> 0 AND {pe} < {float(threshold)!r}D"))
 
 
 def join_features_assets(features: DataFrame, assets: DataFrame, key: Sequence[str] = ("ticker",)) -> DataFrame:
@@ -45,10 +47,10 @@ def assemble_assets(joined: DataFrame, nested: bool = False) -> DataFrame:
     Flat columns by default; ``nested=True`` adds the reference's
     ``features`` struct (ret, vol, pe).
     """
-    cols = [F.col(c) for c in ASSET_COLUMNS]
+    cols = list(ASSET_COLUMNS)
     if nested:
-        cols.append(F.struct("ret", "vol", "pe").alias("features"))
-    return joined.select(*cols)
+        cols.append("named_struct('ret', ret, 'vol', vol, 'pe', pe) AS features")
+    return joined.selectExpr(*cols)
 
 
 def top_k(df: DataFrame, k: int, by: str = "ret", tiebreak: Sequence[str] = ("ticker",), descending: bool = True) -> DataFrame:
@@ -58,10 +60,9 @@ def top_k(df: DataFrame, k: int, by: str = "ret", tiebreak: Sequence[str] = ("ti
     keeps its own k best, only those reach one task. The rank is then numbered
     over at most k rows.
     """
-    main = F.col(by).desc() if descending else F.col(by).asc()
-    order = [main, *[F.col(c).asc() for c in tiebreak]]
-    limited = df.orderBy(*order).limit(k)
-    return limited.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    order = ", ".join([f"{ident(by)} {'DESC' if descending else 'ASC'}", *[f"{ident(c)} ASC" for c in tiebreak]])
+    limited = df.orderBy(F.desc(by) if descending else F.asc(by), *[F.asc(c) for c in tiebreak]).limit(k)
+    return limited.withColumn("rank", F.expr(f"CAST(row_number() OVER (ORDER BY {order}) AS BIGINT)"))
 
 
 def top_k_returns(df: DataFrame, k: int = 5) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from assetrank.config import shared_dir
 from assetrank.functions.dates import utc_wall_time, utc_wall_time_from_string
+from assetrank.functions.indicators import ident
 from assetrank.operators import features as feat
 from assetrank.operators import ranking as rk
 from assetrank.operators import report as rep
@@ -72,11 +73,18 @@ def round6(c):
     return F.when(F.isnan(y) | (F.abs(y) >= F.lit(1e15)), c).otherwise(F.floor(y).cast("double") / F.lit(1e6))
 
 
+def _round6_sql(c: str) -> str:
+    y = f"({c} * 1e6D + 0.5D)"
+    return f"CASE WHEN isnan({y}) OR abs({y}) >= 1e15D THEN {c} ELSE CAST(floor({y}) AS DOUBLE) / 1e6D END"
+
+
 def r6(df: DataFrame) -> DataFrame:
     """Round every double column to 6 places (the oracle does the same)."""
-    return df.select(
-        *[round6(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name) for f in df.schema]
-    )
+    cols = []
+    for f in df.schema:
+        q = ident(f.name)
+        cols.append(f"{_round6_sql(q)} AS {q}" if isinstance(f.dataType, DoubleType) else q)
+    return df.selectExpr(*cols)
 
 
 def _sql_round6(expr: str) -> str:

@@ -39,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ticker, date, close plus the tie-break columns, one row per lineitem."""
     li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.col("l_suppkey").alias("ticker"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.try_divide("l_extendedprice", "l_quantity").alias("close"),
+    return li.selectExpr(
+        "l_suppkey AS ticker",
+        "CAST(l_shipdate AS DATE) AS date",
+        "try_divide(l_extendedprice, l_quantity) AS close",
         *PRICE_TIEBREAK,
     )
 
@@ -57,14 +57,14 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (
-        s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-        .select(
-            F.col("s_suppkey").alias("ticker"),
-            F.col("s_name").alias("name"),
-            F.col("n_name").alias("industry"),
-            F.col("r_name").alias("sector"),
-            (F.col("s_acctbal") / F.lit(200.0)).alias("pe"),
+        s.join(F.broadcast(n.withColumnRenamed("n_nationkey", "s_nationkey")), "s_nationkey")
+        .join(F.broadcast(r.withColumnRenamed("r_regionkey", "n_regionkey")), "n_regionkey")
+        .selectExpr(
+            "s_suppkey AS ticker",
+            "s_name AS name",
+            "n_name AS industry",
+            "r_name AS sector",
+            "s_acctbal / 200.0D AS pe",
         )
     )
 
