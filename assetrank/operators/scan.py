@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from assetrank.config import block_rows as conf_block_rows
+from assetrank.functions.indicators import ident
 from assetrank.config import block_width as conf_block_width
 
 _MIN_BLOCK = -(1 << 62)
@@ -84,28 +85,34 @@ class BlockPlan:
         return min(31, max(1, math.ceil(math.log2(max(2, groups)))))
 
 
-def order_scalar(df: DataFrame, col: str) -> Column:
-    """A number that never decreases along ``col``'s order (for time blocks).
+def order_scalar_sql(df: DataFrame, col: str) -> str:
+    """SQL text of a number that never decreases along ``col``'s order.
 
     Dates give days, timestamps seconds with microsecond fractions, numbers
     themselves. Wall-clock timestamps are read field by field, so no time
     zone is involved.
     """
     dt = df.schema[col].dataType
-    c = F.col(col)
+    c = ident(col)
     if isinstance(dt, DateType):
-        return F.unix_date(c).cast("double")
+        return f"CAST(unix_date({c}) AS DOUBLE)"
     if isinstance(dt, TimestampType):
-        return F.unix_micros(c).cast("double") / 1e6
+        return f"CAST(unix_micros({c}) AS DOUBLE) / 1e6D"
     if isinstance(dt, TimestampNTZType):
-        day = F.unix_date(c.cast("date")).cast("double")
-        secs = F.extract(F.lit("SECOND"), c).cast("double")
-        return day * 86400.0 + F.hour(c) * 3600.0 + F.minute(c) * 60.0 + secs
+        return (
+            f"(CAST(unix_date(CAST({c} AS DATE)) AS DOUBLE) * 86400D + hour({c}) * 3600D + minute({c}) * 60D"
+            f" + CAST(extract(SECOND FROM {c}) AS DOUBLE))"
+        )
     if isinstance(dt, NumericType):
-        return c.cast("double")
+        return f"CAST({c} AS DOUBLE)"
     raise TypeError(f"cannot block on order column {col} of type {dt.simpleString()}")
 
 
+def order_scalar(df: DataFrame, col: str) -> Column:
+    """Column form of :func:`order_scalar_sql`."""
+    return F.expr(order_scalar_sql(df, col))
+
+
 # Smallest block width tried, in order-scalar units (a microsecond for timestamps).
 _MIN_WIDTH = 1e-6
 _REFINE_PASSES = 4
@@ -273,22 +280,23 @@ def scan_struct(
     part: Sequence[str],
     order: str,
     col: str,
-    combine: Callable[[Column, Column], Column],
+    combine: Callable[[str, str], str],
     rounds: int,
 ) -> DataFrame:
     """Inclusive Hillis-Steele scan of struct column ``col`` within ``part``.
 
-    ``combine(earlier, later)`` must be associative. After round r every row
-    holds the combination of the 2^(r+1) rows ending at it; ``rounds`` passes
-    cover groups of 2^rounds rows. Used only on per-block summary tables.
+    ``combine(earlier, later)`` returns the SQL text combining two struct
+    values and must be associative. After round r every row holds the
+    combination of the 2^(r+1) rows ending at it; ``rounds`` passes cover
+    groups of 2^rounds rows. Used only on per-block summary tables.
     """
-    w = Window.partitionBy(*part).orderBy(order)
-    others = [c for c in df.columns if c != col]
+    over = f"OVER (PARTITION BY {', '.join(ident(p) for p in part)} ORDER BY {ident(order)})"
+    others = [ident(c) for c in df.columns if c != col]
+    c = ident(col)
     for r in range(rounds):
         # materialise the lag once; nesting it would repeat the window per use
-        df = df.withColumn("_hs", F.lag(col, 1 << r).over(w))
-        step = F.when(F.col("_hs").isNull(), F.col(col)).otherwise(combine(F.col("_hs"), F.col(col)))
-        df = df.select(*others, step.alias(col))
+        df = df.withColumn("_hs", F.expr(f"lag({c}, {1 << r}) {over}"))
+        df = df.selectExpr(*others, f"CASE WHEN _hs IS NULL THEN {c} ELSE {combine('_hs', c)} END AS {c}")
     return df
 
 
@@ -420,22 +428,21 @@ def with_running_sum(df: DataFrame, s: Series, col: str, out: str, plan: BlockPl
     return _finish(res, df, s, total.alias(out))
 
 
-def merge_moments(a: Column, b: Column) -> Column:
-    """Chan et al. merge of moment structs (n, sum, mean, m2); an empty side
-    (n = 0) is the identity."""
-    na, nb = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
-    n = na + nb
-    delta = b["mean"] - a["mean"]
-    empty_a, empty_b = na == 0, nb == 0
+def merge_moments(a: str, b: str) -> str:
+    """SQL text of the Chan et al. merge of moment structs (n, sum, mean, m2);
+    an empty side (n = 0) is the identity."""
+    na, nb = f"coalesce({a}.n, 0L)", f"coalesce({b}.n, 0L)"
+    n = f"({na} + {nb})"
+    delta = f"({b}.mean - {a}.mean)"
 
-    def pick(field: str, merged: Column) -> Column:
-        return F.when(empty_a, b[field]).when(empty_b, a[field]).otherwise(merged)
+    def pick(field: str, merged: str) -> str:
+        return f"CASE WHEN {na} = 0 THEN {b}.{field} WHEN {nb} = 0 THEN {a}.{field} ELSE {merged} END"
 
-    return F.struct(
-        n.alias("n"),
-        pick("sum", a["sum"] + b["sum"]).alias("sum"),
-        pick("mean", a["mean"] + delta * nb / n).alias("mean"),
-        pick("m2", a["m2"] + b["m2"] + delta * delta * na * nb / n).alias("m2"),
+    return (
+        f"named_struct('n', {n}, "
+        f"'sum', {pick('sum', f'{a}.sum + {b}.sum')}, "
+        f"'mean', {pick('mean', f'{a}.mean + {delta} * {nb} / {n}')}, "
+        f"'m2', {pick('m2', f'{a}.m2 + {b}.m2 + {delta} * {delta} * {na} * {nb} / {n}')})"
     )
 
 
@@ -495,13 +502,11 @@ def with_expanding(
         F.lead("_tb").over(wb).isNull().alias("_lastblock"),
     )
     res = _join_block(b, carry, s)
-    local = F.struct(
-        F.col("_ln").alias("n"),
-        F.col("_ls").alias("sum"),
-        F.coalesce(F.col("_lm"), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.col("_lv") * F.col("_ln"), F.lit(0.0)).alias("m2"),
+    res = res.withColumn(
+        "_local",
+        F.expr("named_struct('n', _ln, 'sum', _ls, 'mean', coalesce(_lm, 0.0D), 'm2', coalesce(_lv * _ln, 0.0D))"),
     )
-    res = res.withColumn("_tot", F.when(F.col("_carry").isNull(), local).otherwise(comb(F.col("_carry"), local)))
+    res = res.withColumn("_tot", F.expr(f"CASE WHEN _carry IS NULL THEN _local ELSE {comb('_carry', '_local')} END"))
     n = F.col("_tot")["n"]
     res = _finish(
         res,
@@ -521,13 +526,9 @@ def with_expanding(
 # --------------------------------------------------------------------------
 
 
-def _affine(m: Column, c: Column) -> Column:
-    return F.struct(m.alias("m"), c.alias("c"))
-
-
-def _compose(a: Column, b: Column) -> Column:
-    """Apply ``a`` then ``b`` to a state: y -> b.m * (a.m * y + a.c) + b.c."""
-    return _affine(a["m"] * b["m"], a["c"] * b["m"] + b["c"])
+def _compose(a: str, b: str) -> str:
+    """SQL text: apply map ``a`` then ``b`` to a state, y -> b.m * (a.m * y + a.c) + b.c."""
+    return f"named_struct('m', {a}.m * {b}.m, 'c', {a}.c * {b}.m + {b}.c)"
 
 
 def with_ewm(
@@ -579,7 +580,7 @@ def with_ewm(
         F.min_by(col, "_lrn").alias("_first"),
     )
     nsub = math.ceil(max(1, plan.max_block_rows or plan.max_rows) / sub)
-    subs = subs.withColumn("_f", _affine(F.pow(F.lit(beta), F.col("_len")), F.col("_end")))
+    subs = subs.withColumn("_f", F.expr(f"named_struct('m', pow({beta!r}D, _len), 'c', _end)"))
     subs = scan_struct(subs, [KEY, "_tb"], "_sb", "_f", _compose, plan.rounds(nsub))
     subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, "_tb").orderBy("_sb")))
 
