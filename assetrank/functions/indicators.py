@@ -66,6 +66,16 @@ def ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def double_sql(x: float) -> str:
+    """A double literal in SQL text, infinities and NaN included."""
+    x = float(x)
+    if x != x:
+        return "double('NaN')"
+    if x in (float("inf"), float("-inf")):
+        return "double('Infinity')" if x > 0 else "double('-Infinity')"
+    return f"{x!r}D"
+
+
 def java_divide_sql(num: str, den: str) -> str:
     """SQL text of :func:`java_divide` for SQL operands."""
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.functions.indicators import ident
+from assetrank.functions.indicators import double_sql, ident
 
 ASSET_COLUMNS = ("ticker", "name", "industry", "sector", "ret", "vol", "pe")
 
@@ -15,7 +15,7 @@ ASSET_COLUMNS = ("ticker", "name", "industry", "sector", "ret", "vol", "pe")
 def filter_volatility(features: DataFrame, ceiling: float, vol_col: str = "vol") -> DataFrame:
     """Keep vol strictly below the ceiling (F4). NaN orders above every number
     in Spark, so a NaN volatility fails the test, as in the reference."""
-    return features.where(F.expr(f"{ident(vol_col)} < {float(ceiling)!r}D"))
+    return features.where(F.expr(f"{ident(vol_col)} < {double_sql(ceiling)}"))
 
 
 def filter_pe_ratio(assets: DataFrame, threshold: float, pe_col: str = "pe") -> DataFrame:
@@ -26,7 +26,7 @@ def filter_pe_ratio(assets: DataFrame, threshold: float, pe_col: str = "pe") ->
     metadata scan.
     """
     pe = ident(pe_col)
-    return assets.where(F.expr(f"{pe} IS NOT NULL AND {pe} <> 0 AND {pe} < {float(threshold)!r}D"))
+    return assets.where(F.expr(f"{pe} IS NOT NULL AND {pe} <> 0 AND {pe} < {double_sql(threshold)}"))
 
 
 def join_features_assets(features: DataFrame, assets: DataFrame, key: Sequence[str] = ("ticker",)) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from assetrank.config import block_rows as conf_block_rows
-from assetrank.functions.indicators import ident
+from assetrank.functions.indicators import double_sql, ident
 from assetrank.config import block_width as conf_block_width
 
 _MIN_BLOCK = -(1 << 62)
@@ -580,7 +580,7 @@ def with_ewm(
         F.min_by(col, "_lrn").alias("_first"),
     )
     nsub = math.ceil(max(1, plan.max_block_rows or plan.max_rows) / sub)
-    subs = subs.withColumn("_f", F.expr(f"named_struct('m', pow({beta!r}D, _len), 'c', _end)"))
+    subs = subs.withColumn("_f", F.expr(f"named_struct('m', pow({double_sql(beta)}, _len), 'c', _end)"))
     subs = scan_struct(subs, [KEY, "_tb"], "_sb", "_f", _compose, plan.rounds(nsub))
     subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, "_tb").orderBy("_sb")))
 
