@@ -44,3 +44,20 @@ def test_entry_smoke(spark):
     out = E.entry(spark)
     assert out.count() == 5
     assert out.columns == ["rank", "ticker", "name", "industry", "sector", "ret", "vol", "pe"]
+
+
+SERIES = ["cum_sum", "diff", "true_range", "sliding_agg", "sliding_list", "expanding_agg", "volatility", "order_within_ticker", "ewm"]
+
+
+@pytest.mark.parametrize("name", SERIES)
+def test_series_query_with_many_blocks(spark, con, name):
+    """The same oracles with tiny time blocks, so every series spans many blocks."""
+    spark.conf.set("assetrank.blockRows", "200")
+    try:
+        df = E.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset("assetrank.blockRows")
+    rel = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in rel.description]
+    assert digest(df.columns, rows)[0] == digest(ocols, rel.fetchall())[0]
