@@ -121,8 +121,10 @@ _REFINE_PASSES = 4
 def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> BlockPlan:
     """Size time blocks with a few aggregate jobs; only small numbers reach the driver.
 
-    1. Per key: rows ``n`` and order span; the densest key sets a first
-       width giving it about ``block_rows`` rows per block.
+    1. Per key: rows ``n`` and order span. Among keys longer than
+       ``block_rows`` (the only ones that need splitting) the densest sets a
+       first width giving it about ``block_rows`` rows per block; if there is
+       none, every series is one block and no further job runs.
     2. Bursts: count rows per (key, block) and, while the fullest block holds
        more than twice ``block_rows``, set the width from that block's own
        span and count (at most four passes; nested bursts take more than one).
@@ -144,15 +146,22 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
         F.count(F.lit(1)).alias("n"), F.min("_sc").alias("lo"), F.max("_sc").alias("hi")
     )
     span = F.col("hi") - F.col("lo")
+    # only keys longer than a block need splitting; a short key (even one
+    # whose rows share one instant) must not shrink everyone's blocks
+    big = F.col("n") > F.lit(block_rows)
     row = per_key.agg(
-        F.max(F.col("n") / (span + 1.0)).alias("density"),
+        F.max(F.when(big, F.col("n") / (span + 1.0))).alias("density"),
         F.max("n").alias("max_rows"),
         F.max(span).alias("max_span"),
     ).first()
     density = (row["density"] or 0.0) if row else 0.0
     max_rows = int((row["max_rows"] or 0) if row else 0)
     max_span = float((row["max_span"] or 0.0) if row else 0.0)
-    width = max(1.0, float(math.floor(block_rows / density))) if density > 0 else 1.0
+    if density <= 0:
+        # every series fits in one block: one block per key, nothing to refine
+        width = max(1.0, max_span + 1.0)
+        return BlockPlan(width=width, max_blocks=2, max_rows=max_rows, max_block_rows=max_rows)
+    width = max(1.0, float(math.floor(block_rows / density)))
     fullest = max_rows
     for _ in range(_REFINE_PASSES):
         blk = F.floor(F.col("_sc") / F.lit(width))

@@ -229,3 +229,15 @@ def test_copies_sharing_one_timestamp_are_split(spark):
     _check(_by_key(sl, "win_std"), series, lambda xs: [L.lstd(w) for w in L.sliding(xs, SIZE)])
     ex = S.expanding_agg(df, s, "x", plan=plan).collect()
     _check(_by_key(ex, "exp_std"), series, lambda xs: [L.lstd(w) if w else None for w in L.expanding(xs)])
+
+
+def test_short_keys_do_not_shrink_blocks(spark):
+    """Five rows at one instant must not set the width for a long, even series."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("tiny", t0, i, 1.0, 0.0, 0.0) for i in range(5)]
+    rows += [("long", t0 + dt.timedelta(hours=h), h, 1.0, 0.0, 0.0) for h in range(1000)]
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, seq long, x double, high double, low double")
+    s = Series.of("ticker", ("ts", "seq"))
+    plan = plan_blocks(df, s, block_rows=100)
+    assert 80 * 3600 <= plan.width <= 120 * 3600, plan
+    assert plan_blocks(df, s, block_rows=5000).max_blocks == 2  # everything fits: one block per key
