@@ -245,10 +245,35 @@ REPORT = f"""report as (
 # --------------------------------------------------------------------------
 
 
+_WRITTEN: dict[tuple[int, str, str], str] = {}
+
+
+def _written(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
+    """Write a text copy of a table once per session and table folder.
+
+    The CSV and JSON sources are tested on files Spark writes from the given
+    tables; the three CSV queries share one copy instead of writing the
+    whole lineitem table three times.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), kind)
+    path = _WRITTEN.get(key)
+    if path is None:
+        path = shared_dir(spark, kind)
+        write(path)
+        _WRITTEN[key] = path
+    return path
+
+
+def _price_csv_path(spark: SparkSession, sf_dir: str) -> str:
+    return _written(spark, sf_dir, "prices_csv", lambda p: psrc.write_prices_csv(fx.price_text(spark, sf_dir), p))
+
+
+def _assets_json_path(spark: SparkSession, sf_dir: str) -> str:
+    return _written(spark, sf_dir, "assets_json", lambda p: asrc.write_assets_json(fx.asset_records(spark, sf_dir), p))
+
+
 def _written_price_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "prices_csv")
-    psrc.write_prices_csv(fx.price_text(spark, sf_dir), path)
-    return psrc.scan_prices_csv(spark, path)
+    return psrc.scan_prices_csv(spark, _price_csv_path(spark, sf_dir))
 
 
 @query("scan_prices_csv", f"with {PRICE_TEXT} select * from price_text")
@@ -291,9 +316,7 @@ def q_parse_rejects(spark, sf_dir):
 
 
 def _written_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "assets_json")
-    asrc.write_assets_json(fx.asset_records(spark, sf_dir), path)
-    return asrc.scan_assets_json(spark, path, multi_line=False)
+    return asrc.scan_assets_json(spark, _assets_json_path(spark, sf_dir), multi_line=False)
 
 
 @query(
@@ -739,10 +762,8 @@ _CSV_ORD_DESC = "date desc, close desc, open desc, high desc, low desc, adj_clos
     from slots s left join ranked r on s.rank = r.rank""",
 )
 def q_rank_from_files(spark, sf_dir):
-    prices_path = shared_dir(spark, "program_prices")
-    psrc.write_prices_csv(fx.price_text(spark, sf_dir), prices_path)
-    assets_path = shared_dir(spark, "program_assets")
-    asrc.write_assets_json(fx.asset_records(spark, sf_dir), assets_path)
+    prices_path = _price_csv_path(spark, sf_dir)
+    assets_path = _assets_json_path(spark, sf_dir)
     padded = rank_from_files(
         spark, prices_path, assets_path, end_date=END, volatility_ceiling=CEILING, pe_threshold=PE_MAX, k=K,
         assets_multi_line=False,
@@ -761,7 +782,6 @@ def q_rank_from_files(spark, sf_dir):
 def q_stream_prices(spark, sf_dir):
     """Price CSV files ingested by Structured Streaming (availableNow), read back."""
     base = shared_dir(spark, "stream")
-    src, out, chk = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    psrc.write_prices_csv(fx.price_text(spark, sf_dir), src)
+    src, out, chk = _price_csv_path(spark, sf_dir), f"{base}/out", f"{base}/checkpoint"
     ingest_prices(spark, src, out, chk).awaitTermination()
     return r6(spark.read.parquet(out).drop("year"))
