@@ -257,13 +257,20 @@ def _written(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
     """
     key = (id(spark), sf_dir.rstrip("/"), kind)
     path = _WRITTEN.get(key)
-    if path is None:
+    if path is None or not _exists(spark, path):
         path = shared_dir(spark, kind)
         write(path)
         _WRITTEN[key] = path
     return path
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` (any Hadoop file system) still holds a finished write."""
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return bool(done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done))
+
+
 def _price_csv_path(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, sf_dir, "prices_csv", lambda p: psrc.write_prices_csv(fx.price_text(spark, sf_dir), p))
 
