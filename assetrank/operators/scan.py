@@ -346,9 +346,12 @@ def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | Non
     Every row gets ``_pos`` (its place in the series) and ``_own = true``.
     The last ``size - 1`` rows of a block are also copied, with
     ``_own = false``, into each later block whose first window reaches back
-    to them; those blocks are found on the block table (at most ``size - 1``
-    of them, since every block holds a row). Only the copies are shuffled:
-    the union keeps the rows' (key, block) partitioning, so a window over
+    to them. Blocks are contiguous in position, so the receivers of block i
+    are the index range (i, j_max], where j_max - 1 is the number of blocks
+    ending within ``size - 2`` positions of block i's end (a constant-offset
+    range window on the block table). Copies find their receiver by an
+    equi-join on (key, block index). Only the copies are shuffled: the union
+    keeps the rows' (key, block) partitioning, so a window over
     ``(_k, _tb)`` ordered by ``_pos`` sees every complete window whole.
     Returns internal columns; finish with :func:`finish`.
     """
@@ -359,21 +362,28 @@ def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | Non
     b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
     sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
     wb = _block_window(s)
-    blk = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    later = F.struct(F.col("_tb").alias("tb"), (F.col("_off") + 1).alias("start"))
-    blk = blk.withColumn("_next", F.collect_list(later).over(wb.rowsBetween(1, max(1, size - 1))))
-    rows = join_on(b, blk, [KEY, "_tb"]).withColumn("_pos", (F.col("_lrn") + F.col("_off")).cast("bigint"))
-    keep = [c for c in rows.columns if c not in ("_lrn", "_bn", "_off", "_next")]
+    blk = sizes.withColumns(
+        {
+            "_off": F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_bi": F.row_number().over(wb),
+        }
+    ).withColumn("_end", F.col("_off") + F.col("_bn"))
+    reach = Window.partitionBy(KEY).orderBy("_end").rangeBetween(Window.unboundedPreceding, max(0, size - 2))
+    blk = blk.withColumn("_jmax", F.count(F.lit(1)).over(reach) + 1)
+    rows = join_on(b, blk.select(KEY, "_tb", "_bn", "_off", "_bi", "_jmax"), [KEY, "_tb"])
+    rows = rows.withColumn("_pos", (F.col("_lrn") + F.col("_off")).cast("bigint"))
+    keep = [c for c in rows.columns if c not in ("_lrn", "_bn", "_off", "_bi", "_jmax")]
     own = rows.select(*keep, F.lit(True).alias("_own"))
     if size == 1:
         return own
-    reach = F.filter("_next", lambda t: t["start"] - (size - 1) <= F.col("_pos"))
+    receivers = blk.select(KEY, F.col("_bi").alias("_rj"), F.col("_tb").alias("_rtb"), (F.col("_off") + 1).alias("_rstart"))
+    cand = rows.where(F.col("_lrn") > F.col("_bn") - (size - 1)).withColumn(
+        "_rj", F.explode(F.sequence(F.col("_bi") + 1, F.greatest(F.col("_jmax"), F.col("_bi") + 1)))
+    )
     halo = (
-        rows.where(F.col("_lrn") > F.col("_bn") - (size - 1))
-        .select(*keep, F.explode(reach).alias("_t"))
-        .withColumn("_tb", F.col("_t")["tb"])
+        cand.join(receivers, [KEY, "_rj"], "inner")
+        .where(F.col("_rstart") - (size - 1) <= F.col("_pos"))
+        .withColumn("_tb", F.col("_rtb"))
         .select(*keep, F.lit(False).alias("_own"))
     )
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
