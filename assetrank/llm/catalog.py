@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import packing, sharding
+from assetrank.llm import ann, html_extract, packing, sharding, url_filter
 from assetrank.llm.tables import docs_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,59 @@ def op7_consistent_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs_of(spark, sf_dir), tokenizer_path(), max_tokens=4096)
+
+
+@query
+def op6_text_to_tag_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main = html_extract.extract_pages(docs_of(spark, sf_dir, "pages"))
+    return main.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: (verdict, host with path prefix)
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of pages: the number in a page's path is the document it shows, and
+    ``labels`` judges documents (good: of quality and not toxic)."""
+    pages = docs_of(spark, sf_dir, "pages")
+    _, path = url_filter.host_and_path(F.col("url"))
+    shown = pages.select("page_id", F.regexp_extract(path, "([0-9]{1,18})", 1).try_cast("bigint").alias("doc_id"))
+    labels = docs_of(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min((F.col("quality") == 1).cast("int") * (F.col("toxic") == 0).cast("int")).alias("good"))
+    return shown.join(labels, "doc_id").select("page_id", "good")
+
+
+@query
+def op2_path_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(docs_of(spark, sf_dir, "pages"), page_labels(spark, sf_dir), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op3_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(docs_of(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
+ORACLE["op3_vantage_point_trees"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v, row_number() OVER () AS rid
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, q.rid, c.vec_id,
+         sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])),
+                          lambda a, b: a + b)) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.rid <> c.rid
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id, rid ORDER BY score, vec_id) AS rank, vec_id, score FROM pairs
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
