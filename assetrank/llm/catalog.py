@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import ann, decontaminate, html_extract, packing, sharding, url_filter
+from assetrank.llm import ann, decontaminate, html_extract, packing, quality, sharding, url_filter
 from assetrank.llm.tables import docs_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,10 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 def op8_seed_and_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(docs_of(spark, sf_dir), docs_of(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "score", F.col("end").alias("end_word"))
+
+
+@query
+def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps, with their scores; rejected ones are absent."""
+    judged = quality.classify(docs_of(spark, sf_dir))
+    return judged.where("keep").select("doc_id", "score", "posterior")
