@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import ann, decontaminate, html_extract, packing, quality, sharding, url_filter
+from assetrank.llm import ann, decontaminate, html_extract, ngram_join, packing, quality, sharding, url_filter
 from assetrank.llm.tables import docs_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier keeps, with their scores; rejected ones are absent."""
     judged = quality.classify(docs_of(spark, sf_dir))
     return judged.where("keep").select("doc_id", "score", "posterior")
+
+
+@query
+def op5_vertical_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.jaccard_components(docs_of(spark, sf_dir), n=5, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id")
