@@ -34,10 +34,11 @@ class WordIds(dict):
     """Ids (little-endian uint32 bytes) of text between blanks, filled on demand.
 
     The tokenizer's splitting never joins text across white space, so a text's
-    ids are its blank-separated parts' ids in a row. ``most`` bounds the memory.
+    ids are its blank-separated parts' ids in a row. ``most`` bounds the memory:
+    a full table keeps what it has (frequent parts come early) and encodes the rest anew.
     """
 
-    def __init__(self, path: str, most: int = 200_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -45,9 +46,7 @@ class WordIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         ids = np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(part) <= 64:
-            if len(self) >= self.most:
-                self.clear()
+        if len(self) < self.most and len(part) <= 64:
             self[part] = ids
         return ids
 
