@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import ann, decontaminate, html_extract, ngram_join, packing, quality, sharding, url_filter
+from assetrank.llm import ann, decontaminate, html_extract, ngram_join, packing, pii, quality, sharding, url_filter
 from assetrank.llm.tables import docs_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,12 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_vertical_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.jaccard_components(docs_of(spark, sf_dir), n=5, percent=80)
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+#: The key of the surrogates; a deployment passes its own secret.
+PII_KEY = "corpus surrogates, key 1"
+
+
+@query
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(docs_of(spark, sf_dir), PII_KEY).select("doc_id", "text")
