@@ -4,7 +4,8 @@
    account numbers, IP addresses, long hex secrets, and names after a title.
 2. Every entity has a canonical form (case, separators and titles aside), so all
    its spellings share one surrogate: coreference holds over the whole corpus.
-   Names are taken word by word: ``Mr. John Smith`` and ``Mr Smith`` agree.
+   Names are taken word by word: ``Mr. John Smith`` and ``Mr Smith`` agree, and
+   a name that a title reveals is replaced wherever it recurs in the same text.
 3. The surrogate comes from a keyed hash of kind and canonical form: digits for
    digits, letters for letters, same length; the country code of a phone number,
    the issuer digit and checksum of a card, the width of an IP's parts and the
@@ -57,7 +58,8 @@ FAMILY = {
     "greek": "Αγγέλου Βασιλείου Δήμου Ιωάννου Λάμπρου Μάρκου Παππά Σταύρου".split(),
 }
 
-_TITLE = "|".join(t for kind in TITLES.values() for t in kind)
+_TITLED = {t: gender for gender, titles in TITLES.items() for title in titles for t in (title, title.upper())}
+_TITLE = "|".join(_TITLED)
 EMAIL = r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9-]*+(?:\.(?=[A-Za-z0-9]))?+)*+(?<=\.[A-Za-z]{2,24})"
 SECRET = r"(?<![A-Za-z0-9])[0-9a-fA-F]{32,}+(?![A-Za-z0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[47][0-9]{2}([ -]?)[0-9]{6}\2[0-9]{5})(?![0-9])"
@@ -101,20 +103,30 @@ def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
-def _parts(mention: Column) -> Column:
+def _is_titled(token: Column) -> Column:
+    return F.regexp_replace(F.element_at(token, 1), r"\.", "").isin(*_TITLED)
+
+
+def _parts(mention: Column, names: Column | None = None) -> Column:
     """A mention's parts: array of (kind, canon, surface). A name has a title
-    (kind ``plain``), given names and a family name; anything else has one part."""
+    (kind ``plain``), given names and a family name; anything else has one part.
+    A bare name takes its kind from ``names``, the parts known in the text."""
     kind = _kind(mention)
     token = F.split(mention, " ")
     title = F.regexp_replace(F.element_at(token, 1), r"\.", "")
-    gender = F.when(title.isin(*TITLES["f"]), "f").when(title.isin(*TITLES["m"]), "m").otherwise("n")
+    of = lambda gender: [t for t, g in _TITLED.items() if g == gender]
+    gender = F.when(title.isin(*of("f")), "f").when(title.isin(*of("m")), "m").otherwise("n")
 
     def of_name(word: Column, at: Column) -> Column:
         last = at == F.size(token) - 1
         named = F.when(last, F.concat(F.lit("family_"), _script(word))).otherwise(F.concat(F.lit("given_"), _script(word), F.lit("_"), gender))
         return F.struct(F.when(at == 0, "plain").otherwise(named).alias("kind"), F.lower(word).alias("canon"), word.alias("surface"))
 
-    one = F.array(F.struct(kind.alias("kind"), _canonical(kind, mention).alias("canon"), mention.alias("surface")))
+    if names is not None:
+        known = F.get(F.filter(names, lambda x: x["canon"] == F.lower(mention)), F.lit(0))["kind"]
+        kind = F.when((kind == "name") & ~_is_titled(token), F.coalesce(known, F.lit("plain"))).otherwise(kind)
+    canon = F.when(kind.contains("_") | (kind == "plain"), F.lower(mention)).otherwise(_canonical(kind, mention))
+    one = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), mention.alias("surface")))
     return F.when(kind == "name", F.transform(token, of_name)).otherwise(one)
 
 
@@ -256,14 +268,25 @@ def _text_key(text: Column) -> list[Column]:
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """h1, h2 (of the text), m, p (place of mention and part), kind, canon, surface; equal texts once."""
+    """h1, h2 (of the text), pattern, m, p (place of mention and part), kind, canon,
+    surface; equal texts once. ``pattern`` finds the text's mentions: PATTERN and
+    the names that titles reveal in it."""
     text = _text(F.col("text"))
     h1, h2 = _text_key(text)
-    found = docs.where(text.rlike(PATTERN)).select(h1.alias("h1"), h2.alias("h2"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("found"))
-    found = found.groupBy("h1", "h2").agg(F.first("found").alias("found"))
-    each = found.select("h1", "h2", F.posexplode("found").alias("m", "mention"))
-    part = each.select("h1", "h2", "m", F.posexplode(_parts(F.col("mention"))).alias("p", "part"))
-    return part.select("h1", "h2", "m", "p", "part.*")
+    found = docs.where(text.rlike(PATTERN)).select(h1.alias("h1"), h2.alias("h2"), text.alias("text"))
+    all_of = lambda pattern: F.regexp_extract_all("text", pattern, F.lit(0))
+    found = found.withColumn("found", all_of(F.lit(PATTERN)))
+    named = F.filter("found", lambda m: _kind(m) == "name")
+    known = F.filter(F.flatten(F.transform(named, lambda m: _parts(m))), lambda x: x["kind"] != "plain")
+    found = found.withColumn("names", F.array_distinct(known))
+    bare = F.array_join(F.array_distinct(F.transform("names", lambda x: x["surface"])), "|")
+    pattern = F.concat(F.lit(PATTERN + r"|(?<!\p{L})(?:"), bare, F.lit(r")(?!\p{L})"))
+    found = found.withColumn("pattern", F.when(F.size("names") > 0, pattern))
+    found = found.withColumn("found", F.when(F.size("names") > 0, all_of(F.col("pattern"))).otherwise(F.col("found")))
+    found = found.groupBy("h1", "h2").agg(*(F.first(c).alias(c) for c in ("pattern", "names", "found")))
+    each = found.select("h1", "h2", "pattern", "names", F.posexplode("found").alias("m", "mention"))
+    part = each.select("h1", "h2", "pattern", "m", F.posexplode(_parts(F.col("mention"), F.col("names"))).alias("p", "part"))
+    return part.select("h1", "h2", "pattern", "m", "p", "part.*")
 
 
 def replace(docs: DataFrame, key: str) -> DataFrame:
@@ -271,21 +294,21 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     parts = tables.stored(mentions(docs), "mentions")
     known = surrogates(parts.where("kind <> 'plain'").select("kind", "canon"), key)
     rendered = parts.join(tables.small_side(known, known.count(), 160), ["kind", "canon"], "left")
-    rendered = rendered.select("h1", "h2", "m", "p", _rendered(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new"))
-    by_mention = rendered.groupBy("h1", "h2", "m").agg(F.array_sort(F.collect_list(F.struct("p", "new"))).alias("parts"))
-    by_mention = by_mention.select("h1", "h2", "m", F.array_join(F.transform("parts", lambda x: x["new"]), " ").alias("new"))
-    by_text = by_mention.groupBy("h1", "h2").agg(F.array_sort(F.collect_list(F.struct("m", "new"))).alias("news"))
-    by_text = by_text.select("h1", "h2", F.transform("news", lambda x: x["new"]).alias("news"))
+    rendered = rendered.select("h1", "h2", "pattern", "m", "p", _rendered(F.col("kind"), F.col("surface"), F.col("surrogate")).alias("new"))
+    by_mention = rendered.groupBy("h1", "h2", "pattern", "m").agg(F.array_sort(F.collect_list(F.struct("p", "new"))).alias("parts"))
+    by_mention = by_mention.select("h1", "h2", "pattern", "m", F.array_join(F.transform("parts", lambda x: x["new"]), " ").alias("new"))
+    by_text = by_mention.groupBy("h1", "h2").agg(F.first("pattern").alias("pattern"), F.array_sort(F.collect_list(F.struct("m", "new"))).alias("news"))
+    by_text = by_text.select("h1", "h2", F.coalesce("pattern", F.lit(PATTERN)).alias("pattern"), F.transform("news", lambda x: x["new"]).alias("news"))
 
     columns = docs.columns
     fresh = lambda base: next(n for n in (base + "_" * k for k in range(len(columns) + 1)) if n not in columns)
-    one, two, news = fresh("pii_h1"), fresh("pii_h2"), fresh("pii_new")
-    by_text = by_text.toDF(one, two, news)
+    one, two, pattern, news = (fresh(f"pii_{c}") for c in ("h1", "h2", "pattern", "new"))
+    by_text = by_text.toDF(one, two, pattern, news)
     text = _text(docs["text"])
     h1, h2 = _text_key(text)
     private = F.coalesce(text.rlike(PATTERN), F.lit(False))
     touched = docs.where(private).join(by_text, (h1 == by_text[one]) & (h2 == by_text[two]))
-    between = F.split(text, PATTERN, -1)
+    between = F.split(text, by_text[pattern], -1)
     changed = F.array_join(F.zip_with(between, by_text[news], lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")
     touched = touched.select(*(changed.alias("text") if c == "text" else docs[c] for c in columns))
     return docs.where(~private).select(*(text.alias("text") if c == "text" else docs[c] for c in columns)).union(touched)
