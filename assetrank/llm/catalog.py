@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import ann, decontaminate, html_extract, ngram_join, packing, pii, quality, sharding, url_filter
+from assetrank.llm import ann, decontaminate, html_extract, license_scan, ngram_join, packing, pii, quality, sharding, url_filter
+from assetrank.llm.license_texts import LICENSES
 from assetrank.llm.tables import docs_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +120,8 @@ PII_KEY = "corpus surrogates, key 1"
 @query
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(docs_of(spark, sf_dir), PII_KEY).select("doc_id", "text")
+
+
+@query
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(docs_of(spark, sf_dir), LICENSES)
