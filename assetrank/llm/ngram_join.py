@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetrank.llm import tables, words
@@ -102,25 +102,30 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
     return total
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("\x00")))
+
+
 def _sets(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """doc_id, set (hash; null without words), size, head (n-grams in order)."""
+    """doc_id, key (hash of the text), set (hash; null without words), size, head (n-grams in order)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         for batch in batches:
             names, sizes, heads = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 grams = shingles(text.as_py(), n)
                 sizes.append(len(grams))
                 names.append(words.run_hash(grams) - (1 << 63) if len(grams) else None)
                 heads.append(words.signed(ordered(grams, table)[: head_size(len(grams), percent)]) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
-                names=["doc_id", "set", "size", "head"],
+                [batch.column(0), batch.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
+                names=["doc_id", "key", "set", "size", "head"],
             )
 
-    only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return only.mapInArrow(made, "doc_id long, set long, size long, head array<long>")
+    text = F.col("text").cast("string")
+    only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text"))
+    return only.mapInArrow(made, "doc_id long, key long, set long, size long, head array<long>")
 
 
 def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
@@ -214,8 +219,42 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
     roots = tables.stored(components(links.union(more)), "roots").withColumnRenamed("node", "set")
 
     # rows without a set stand alone; the others share their class's root
-    named = sets.select("doc_id", "set", "size").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    named = sets.select("doc_id", "key", "set", "size").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "root", "left")
     own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.select("doc_id", F.col("size").alias("n_shingles"), "set", own.alias("component_id"))
+    return named.select("doc_id", "key", F.col("size").alias("n_shingles"), "root", own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, fragments: int = 8) -> DataFrame:
+    """``docs`` with one row of each component, all columns kept.
+
+    The row with the smallest doc_id stays (of several with that id the one with
+    the smallest text hash; a null id counts as the largest). Of rows alike in id
+    and text one stays. Rows without a set all stay.
+    """
+    found = tables.stored(jaccard_components(docs, n, percent, fragments).where("root IS NOT NULL"), "found")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.count("*").alias("rows"))
+    several = found.join(first.where("rows > 1"), "root")
+    stays = several["doc_id"].eqNullSafe(F.col("first.doc_id")) & (several["key"] == F.col("first.key"))
+    marked = several.groupBy("doc_id", "key").agg(F.max(stays).alias("stays"), F.count("*").alias("alike"))
+    marked = tables.stored(marked.where("NOT stays OR alike > 1"), "marked")
+
+    taken = set(docs.columns)
+    fresh = lambda base: next(k for k in (base + "_" * i for i in range(len(taken) + 1)) if k not in taken)
+    own_id, own_key = docs["doc_id"].cast("long"), text_key(docs["text"].cast("string"))
+
+    def side(rows: DataFrame) -> tuple[DataFrame, Column]:
+        rows = rows.select(F.col("doc_id").alias(fresh("marked_id")), F.col("key").alias(fresh("marked_key")))
+        same = own_id.eqNullSafe(rows[fresh("marked_id")]) & (own_key == rows[fresh("marked_key")])
+        return tables.small_side(rows, rows.count(), 24), same
+
+    goes, same = side(marked)
+    left = docs.join(goes, same, "left_anti")
+    alike = marked.where("stays")
+    if alike.isEmpty():
+        return left
+    # rows alike in id and text of which one stays
+    some, same = side(alike)
+    one = docs.join(some, same, "left_semi").groupBy(own_id.alias(fresh("by_id")), own_key.alias(fresh("by_key")))
+    return left.union(one.agg(F.first(F.struct(*docs.columns)).alias("row")).select("row.*"))
