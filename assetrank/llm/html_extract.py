@@ -55,6 +55,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: ... unless one of these stands between.
 SCOPES = frozenset("ul ol dl table div section article main body html td th li aside nav header footer form blockquote".split())
+#: Elements that can hold a content region.
+HOLDERS = SCOPES - frozenset("ul ol li dl table blockquote".split())
 
 _WORDS = re.compile(r"[a-z]+")
 
@@ -168,7 +170,7 @@ class _Lines(HTMLParser):
             holder, landmark = 0, 0
             for name, _, mark, number in reversed(self.open):
                 landmark = landmark or mark
-                if name in SCOPES and name != "li":
+                if name in HOLDERS:
                     holder = number
                     break
             self.lines.append((text, self.tags, min(self.linked, len(text)), landmark, holder))
@@ -212,8 +214,13 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 0.5, land
         marks = {mark for mark, m in mass.items() if m >= least}
         kept = [line for line in lines if line[3] in marks]
     else:
-        holders = {line[4] for k, line in enumerate(lines) if chosen[k] and line[2] * 2 <= len(line[0])}
-        kept = [line for line in lines if line[4] in holders and line[2] * 2 <= len(line[0])]
+        # smoothing carries a cluster over its edge: a holder needs a dense line of its own,
+        # or a place between lines that stay
+        plain = [line[2] * 2 <= len(line[0]) for line in lines]
+        holders = {line[4] for k, line in enumerate(lines) if chosen[k] and plain[k] and ratios[k] >= threshold * ratios.std()}
+        stays = [k for k, line in enumerate(lines) if line[4] in holders and plain[k]]
+        first, last = (stays[0], stays[-1]) if stays else (0, -1)
+        kept = [line for k, line in enumerate(lines) if plain[k] and (line[4] in holders or chosen[k] and first < k < last)]
     return "\n\n".join(line[0] for line in kept)
 
 
