@@ -52,6 +52,10 @@ def shingles(text: str | None, n: int) -> np.ndarray:
     return np.array([words.run_hash(hashed)], dtype="uint64") if len(hashed) else np.empty(0, dtype="uint64")
 
 
+def set_name(grams: np.ndarray) -> int | None:
+    return words.run_hash(grams) - (1 << 63) if len(grams) else None
+
+
 def buckets(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - BUCKET_BITS)).astype("int64")
 
@@ -107,17 +111,21 @@ def text_key(text: Column) -> Column:
 
 
 def _sets(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """doc_id, key (hash of the text), set (hash; null without words), size, head (n-grams in order)."""
+    """doc_id, key (hash of the text), set (hash; null without words), size, head
+    (n-grams in order; only with a set's first row in a task, so copies bring few)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
+        seen: set[int] = set()
         for batch in batches:
             names, sizes, heads = [], [], []
             for text in batch.column(2):
                 grams = shingles(text.as_py(), n)
+                name = set_name(grams)
                 sizes.append(len(grams))
-                names.append(words.run_hash(grams) - (1 << 63) if len(grams) else None)
-                heads.append(words.signed(ordered(grams, table)[: head_size(len(grams), percent)]) if len(grams) else None)
+                names.append(name)
+                heads.append(None if name is None or name in seen else words.signed(ordered(grams, table)[: head_size(len(grams), percent)]))
+                seen.add(name)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
                 names=["doc_id", "key", "set", "size", "head"],
@@ -129,7 +137,7 @@ def _sets(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
 
 
 def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
-    """set, size, fragment, grams: the sets of ``docs`` cut along the global order.
+    """set, fragment, grams: the sets of ``docs`` cut along the global order.
     A fragment is a range of the count table's order, the same for all sets."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,26 +150,25 @@ def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
                 if not len(grams):
                     continue
                 at = np.searchsorted(bounds, table[buckets(grams)])
-                name = words.run_hash(grams) - (1 << 63)
-                rows += [(name, len(grams), int(k), words.signed(grams[at == k])) for k in np.unique(at)]
-            kinds = [("set", pa.int64()), ("size", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]
+                rows += [(set_name(grams), int(k), words.signed(grams[at == k])) for k in np.unique(at)]
+            kinds = [("set", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(cut, "set long, size long, fragment int, grams array<long>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(cut, "set long, fragment int, grams array<long>")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, counts, n: int, percent: int, fragments: int) -> DataFrame:
     """The pairs (a, a_size, b, b_size) whose summed partial overlaps reach the threshold, as (a, b)."""
     pairs = tables.stored(pairs, "pairs")
-    needed = tables.stored(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "needed")
-    needed = tables.small_side(needed, needed.count(), 24)
-    # one document per set that is in a pair; its text is read again
-    chosen = sets.join(needed, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("chosen_id")).select("chosen_id").distinct()
-    chosen = tables.stored(chosen, "chosen")
+    needed = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    # one text per set that is in a pair is read again
+    chosen = sets.join(needed, "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "key")).alias("c"))
+    chosen = tables.stored(chosen.select(F.col("c.doc_id").alias("chosen_id"), F.col("c.key").alias("chosen_key")), "chosen")
     chosen = tables.small_side(chosen, chosen.count(), 24)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")), "left_semi")
-    segments = _segments(texts, counts, n, fragments).join(needed, "set", "left_semi").dropDuplicates(["set", "fragment"])
-    segments = tables.stored(segments, "segments")
+    text = F.col("text").cast("string")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text"))
+    own = own.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key")), "left_semi")
+    segments = tables.stored(_segments(own.dropDuplicates(["doc_id", "key"]), counts, n, fragments), "segments")
     left = segments.select(F.col("set").alias("a"), "fragment", F.col("grams").alias("a_grams"))
     right = segments.select(F.col("set").alias("b"), "fragment", F.col("grams").alias("b_grams"))
     part = pairs.join(left, "a").join(right, ["b", "fragment"])
@@ -192,11 +199,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
     counts = spark.sparkContext.broadcast(bucket_counts(docs, n))  # of fixed size
     sets = tables.stored(_sets(docs, counts, n, percent), "sets")
 
-    # classes of equal sets, each with one head
-    classes = sets.where("set IS NOT NULL").groupBy("set", "size").agg(F.first("head").alias("head"))
-    posted = classes.select("set", "size", F.posexplode("head").alias("at", "gram")).repartition("gram")
+    # postings meet by n-gram in one exchange; equal sets become one there
+    posted = sets.where("head IS NOT NULL").select("set", "size", F.posexplode("head").alias("at", "gram")).repartition("gram")
+    posted = posted.groupBy("gram", "set", "size", "at").agg(F.lit(1).alias("one"))
     lists = posted.groupBy("gram").agg(F.count("*").alias("sets"), F.min(F.struct("at", "size", "set")).alias("c")).where("sets > 1")
-    lists = tables.stored(posted.join(lists.drop("sets"), "gram"), "lists")
+    lists = tables.stored(posted.drop("one").join(lists.drop("sets"), "gram"), "lists")
 
     # round one: every set of a list meets the list's most central set
     met = lists.select(F.struct("set", "size", "at").alias("l"), F.struct("c.set", "c.size", "c.at").alias("r"))
@@ -205,16 +212,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
 
     # round two: sets of different components, in lists that hold several
     roots = components(links).withColumnRenamed("node", "set")
-    rooted = lists.drop("c").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    rooted = tables.stored(rooted, "rooted")
+    roots = tables.small_side(roots, 2 * links.count(), 24)
+    rooted = lists.drop("c").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")).repartition("gram")
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-    rooted = rooted.join(mixed, "gram", "left_semi")
-    # sizes within the threshold fall into the same or neighbouring bands
-    band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(100 / percent)) + 1e-9)
-    left = rooted.withColumn("band", band).alias("l")
-    right = rooted.withColumn("band", F.explode(F.array(band - 1, band, band + 1))).alias("r")
-    same = (F.col("l.gram") == F.col("r.gram")) & (F.col("l.band") == F.col("r.band"))
-    across = left.join(right, same & (F.col("l.set") < F.col("r.set")) & (F.col("l.root") != F.col("r.root")) & _may_link(percent))
+    rooted = rooted.join(mixed, "gram")
+    ends = (F.col("l.gram") == F.col("r.gram")) & (F.struct("l.size", "l.set") < F.struct("r.size", "r.set"))
+    across = rooted.alias("l").join(rooted.alias("r"), ends & (F.col("l.root") != F.col("r.root")) & _may_link(percent))
     more = _linked(_pair(across), docs, sets, counts, n, percent, fragments)
     roots = tables.stored(components(links.union(more)), "roots").withColumnRenamed("node", "set")
 

@@ -68,8 +68,12 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
-NAME = rf"(?<![\p{{L}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{Ll}}\p{{Lu}}]+(?:[ ]\p{{Lu}}[\p{{Ll}}\p{{Lu}}]+){{0,2}}"
-PATTERN = "|".join((EMAIL, SECRET, CARD, SSN, IBAN, PHONE, IP, NAME))
+_INITIALS = "".join(sorted({t[0] for t in _TITLED}))
+NAME = rf"(?=[{_INITIALS}])(?<![\p{{L}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{Ll}}\p{{Lu}}]+(?:[ ]\p{{Lu}}[\p{{Ll}}\p{{Lu}}]+){{0,2}}"
+# a look at the next character spares most places the alternatives that can't begin there
+PATTERN = "|".join((EMAIL, f"(?=[0-9a-fA-F]){SECRET}", f"(?=[0-9+(])(?:{CARD}|{SSN}|{PHONE}|{IP})", f"(?=[A-Z]){IBAN}", NAME))
+#: Every mention holds one of these; most texts do not.
+TRIGGER = rf"[0-9@]|[a-fA-F]{{32}}|(?=[{_INITIALS}])(?:{_TITLE})\.? \p{{Lu}}"
 
 
 def _text(column: Column) -> Column:
@@ -263,6 +267,10 @@ def _rendered(kind: Column, surface: Column, surrogate: Column) -> Column:
     )
 
 
+def _private(text: Column) -> Column:
+    return F.coalesce(text.rlike(TRIGGER) & text.rlike(PATTERN), F.lit(False))
+
+
 def _text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
 
@@ -273,7 +281,7 @@ def mentions(docs: DataFrame) -> DataFrame:
     the names that titles reveal in it."""
     text = _text(F.col("text"))
     h1, h2 = _text_key(text)
-    found = docs.where(text.rlike(PATTERN)).select(h1.alias("h1"), h2.alias("h2"), text.alias("text"))
+    found = docs.where(_private(text)).select(h1.alias("h1"), h2.alias("h2"), text.alias("text"))
     all_of = lambda pattern: F.regexp_extract_all("text", pattern, F.lit(0))
     found = found.withColumn("found", all_of(F.lit(PATTERN)))
     named = F.filter("found", lambda m: _kind(m) == "name")
@@ -306,7 +314,7 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     by_text = by_text.toDF(one, two, pattern, news)
     text = _text(docs["text"])
     h1, h2 = _text_key(text)
-    private = F.coalesce(text.rlike(PATTERN), F.lit(False))
+    private = _private(text)
     touched = docs.where(private).join(by_text, (h1 == by_text[one]) & (h2 == by_text[two]))
     between = F.split(text, by_text[pattern], -1)
     changed = F.array_join(F.zip_with(between, by_text[news], lambda a, b: F.concat(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))), "")

@@ -54,8 +54,11 @@ INSULTS = frozenset(
 )
 
 _PUNCTUATION = string.punctuation.encode()
+_LONE_MARK = re.compile(r"(?<!\S)[^\w\s]{1,2}(?!\S)")
 _SYMBOL_RUN = re.compile(r"([^\w\s])\1(?=\s|$)")
-_SHAPES = (re.compile(r"[A-ZÀ-Þ]+"), re.compile(r"[a-zß-ÿ]+"), re.compile(r"[0-9]+"))
+_CLASSES = {ord(c): "9" for c in string.digits}
+_CLASSES |= {k: "X" if chr(k).isupper() else "x" for k in range(0x250) if chr(k).isalpha()}
+_SAME = re.compile(r"(.)\1+", re.DOTALL)
 
 
 class Measures:
@@ -71,7 +74,7 @@ class Measures:
         self.upper = sum(map(str.isupper, self.tokens)) / n
         self.shouts = text.count("!") / n
         self.runs = len(_SYMBOL_RUN.findall(text)) / n
-        self.lone = sum(len(t) < 3 and not t.strip(string.punctuation) for t in self.tokens) / n
+        self.lone = len(_LONE_MARK.findall(text)) / n
         self.repeats = sum(map(operator.eq, self.tokens, self.tokens[1:])) / n
         self.separators = (text.count(" | ") + text.count(" / ") + text.count(" - ") + text.count(" • ") + text.count(" > ")) / n
         # distinct words among each 50: a long text is not blamed for its length
@@ -160,12 +163,12 @@ def features(m: Measures, pattern: int, bits: int) -> tuple[np.ndarray, np.ndarr
     top = np.uint64(64 - bits)
     if not m.n:
         return np.empty(0, dtype="int32"), np.empty(0, dtype="float32")
-    word = (words.hashes(sorted(m.distinct)) >> top).astype("int32")
+    word = np.unique((words.hashes(m.plain) >> top).astype("int32"))
+    # shapes of some words from all over the text, runs of one class as one sign
+    some = " ".join(m.tokens[:: max(1, m.n // 32)])
     shapes: dict[str, int] = {}
-    for token in m.tokens[:: max(1, m.n // 64)]:
-        for mark, pattern_of in zip("Xx9", _SHAPES, strict=True):
-            token = pattern_of.sub(mark, token)
-        shapes[token[:8]] = shapes.get(token[:8], 0) + 1
+    for shape in _SAME.sub(r"\1", some.translate(_CLASSES)).split(" "):
+        shapes[shape[:8]] = shapes.get(shape[:8], 0) + 1
     total = sum(shapes.values())
     named = [f"shape {s}" for s in shapes] + [f"vote {k} {v}" for k, v in enumerate(unpack(np.array([pattern]))[0]) if v]
     other = np.array([xxhash.xxh64_intdigest(name) >> int(top) for name in named], dtype="int32")
@@ -247,24 +250,20 @@ def fit(docs: DataFrame, sample: int = 10_000, bits: int = 16) -> Model | None:
     return Model(labels, weights, bits)
 
 
-def _judge_of(docs: DataFrame, model: Model):
-    """A pandas UDF: text -> struct of score and posterior."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("score double, posterior double")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.judge(t) for t in texts], columns=["score", "posterior"])
-
-    return judge
-
-
 def classify(docs: DataFrame, threshold: float = 0.3, sample: int = 10_000, bits: int = 16) -> DataFrame:
     """doc_id, score, posterior, keep for every row."""
+    schema = "doc_id long, score double, posterior double"
+    only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = fit(docs, sample, bits)
-    if model is None:
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id")).limit(0).selectExpr("doc_id", "0D AS score", "0D AS posterior", "true AS keep")
-    judged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _judge_of(docs, model)(F.col("text").cast("string")).alias("j"))
-    return judged.select("doc_id", "j.score", "j.posterior", (F.col("j.score") >= threshold).alias("keep"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [shared.value.judge(text.as_py()) for text in batch.column(1)]
+            columns = [batch.column(0), *(pa.array([s[k] for s in scores], pa.float64()) for k in range(2))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "posterior"])
+
+    return only.mapInArrow(judged, schema).withColumn("keep", F.col("score") >= threshold)
 
 
 def keep_good(docs: DataFrame, threshold: float = 0.3, sample: int = 10_000, bits: int = 16) -> DataFrame:
@@ -272,4 +271,10 @@ def keep_good(docs: DataFrame, threshold: float = 0.3, sample: int = 10_000, bit
     model = fit(docs, sample, bits)
     if model is None:
         return docs
-    return docs.where(_judge_of(docs, model)(docs["text"].cast("string"))["score"] >= threshold)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.judge(t)[0] for t in texts], dtype="float64")
+
+    return docs.where(score(docs["text"].cast("string")) >= threshold)

@@ -8,7 +8,7 @@ runs and hex keys become shapes at once. Then, level by level down the tree of
 each host, the segments below a node that are too many and too rare turn into a
 wildcard, so their subtrees are pooled before the next level is looked at.
 Sibling branches whose labelled shares do not differ (two-proportion test)
-merge into a wildcard too. A template's purity is its share of good labels,
+merge too. A template's purity is its share of good labels,
 smoothed towards its host's share, which is smoothed towards the overall one;
 templates below ``min_purity`` are rejected.
 
@@ -84,32 +84,41 @@ def template_tree(paths: DataFrame, max_children: int, min_share: float, z: floa
     merged = paths.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
     merged = merged.withColumn("merged", F.col("template"))
     for level in reversed(range(depth)):
-        merged = _merge_branches(merged, level, z)
+        merged = tables.stored(_merge_branches(merged, level, z), f"merged-{level}")  # a level joins its input twice
     return paths.join(merged.select("host", "template", "merged"), ["host", "template"])
 
 
 def _merge_branches(nodes: DataFrame, level: int, z: float) -> DataFrame:
-    """Turn a literal segment into ``*`` where the branch's labelled share does not
-    differ from that of all its siblings (a branch without labels never differs)."""
+    """Merge sibling branches at a level whose labelled shares do not differ.
+
+    Siblings stand in the order of their share of good labels; a group ends where
+    the next share differs (two-proportion test). Branches without labels come
+    last and differ from none. A group of several branches becomes ``*`` if it
+    is the whole family, else ``{a|b}``. A family is what the tree kept
+    literal below one node, so it is small.
+    """
     seg = F.get("merged", F.lit(level))
-    family = F.when(
-        seg.isNotNull(),
-        F.concat(F.slice("merged", 1, level), F.array(F.lit("*")), F.slice("merged", level + 2, 1 << 20)),
-    )
-    of_branch = Window.partitionBy("host", "family", "branch")
-    of_family = Window.partitionBy("host", "family")
-    nodes = nodes.withColumn("family", family).withColumn("branch", seg)
-    for kind in ("good", "bad"):
-        nodes = nodes.withColumn(f"b_{kind}", F.sum(kind).over(of_branch)).withColumn(f"f_{kind}", F.sum(kind).over(of_family))
-    nodes = nodes.withColumn("branches", F.size(F.collect_set("branch").over(of_family)))
-    b_n, f_n = F.col("b_good") + F.col("b_bad"), F.col("f_good") + F.col("f_bad")
-    share = F.try_divide("f_good", f_n)
-    spread = share * (1 - share) * (F.try_divide(F.lit(1.0), b_n) + F.try_divide(F.lit(1.0), f_n))
-    differs = F.abs(F.try_divide("b_good", b_n) - share) > z * F.sqrt(F.greatest(spread, F.lit(0.0)))
-    alike = F.col("family").isNotNull() & (F.col("branches") > 1) & ~F.coalesce(differs, F.lit(False))
-    return nodes.withColumn("merged", F.when(alike, F.col("family")).otherwise(F.col("merged"))).select(
-        "host", "template", "n", "good", "bad", "merged"
+    nodes = nodes.withColumn("before", F.slice("merged", 1, level)).withColumn("branch", seg)
+    nodes = nodes.withColumn("after", F.when(seg.isNotNull(), F.slice("merged", level + 2, 1 << 20)))
+    family = ["host", "before", "after"]
+    branches = nodes.where("branch IS NOT NULL").groupBy(*family, "branch").agg(F.sum("good").alias("g"), F.sum(F.col("good") + F.col("bad")).alias("n"))
+    branches = branches.withColumn("share", F.try_divide("g", "n"))
+    line = Window.partitionBy(*family).orderBy(F.col("share").asc_nulls_last(), "branch")
+    g0, n0 = F.lag("g").over(line), F.lag("n").over(line)
+    pooled = (F.col("g") + g0) / F.nullif(F.col("n") + n0, F.lit(0))
+    spread = F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(0.0)) * (F.try_divide(F.lit(1.0), "n") + F.try_divide(F.lit(1.0), n0)))
+    differs = F.coalesce(F.col("share") - F.try_divide(g0, n0) > z * spread, F.lit(False))
+    branches = branches.withColumn("group", F.sum(differs.cast("int")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    names = F.array_sort(F.collect_set("branch").over(Window.partitionBy(*family, "group")))
+    branches = branches.withColumn("names", names).withColumn("siblings", F.count("*").over(Window.partitionBy(*family)))
+    label = (
+        F.when(F.size("names") == 1, F.col("branch"))
+        .when(F.size("names") == F.col("siblings"), "*")
+        .otherwise(F.concat(F.lit("{"), F.array_join("names", "|"), F.lit("}")))
     )
+    branches = branches.select(*family, "branch", label.alias("label"))
+    merged = F.when(F.col("label").isNull(), F.col("merged")).otherwise(F.concat("before", F.array("label"), "after"))
+    return nodes.join(branches, [*family, "branch"], "left").select("host", "template", "n", "good", "bad", merged.alias("merged"))
 
 
 def judge_urls(

@@ -1,0 +1,73 @@
+import numpy as np
+import pytest
+from helpers import docs, edge_rows, with_clashes
+
+from assetrank.llm import quality
+from assetrank.llm.catalog import op10_weak_label_quality
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    out = quality.classify(table)
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    return {r.doc_id: r for r in out.collect()}, labels
+
+
+def test_held_out_accuracy(judged):
+    """No label is used in fitting: all of them are held out."""
+    out, labels = judged
+    assert len(out) == 10000
+    junk = [out[k].keep for k, r in labels.items() if r.quality == 0]
+    clean = [out[k].keep for k, r in labels.items() if r.quality == 1 and r.toxic == 0]
+    assert np.mean(junk) < 0.02 and np.mean(clean) > 0.995
+
+
+def test_insults_are_rejected(spark, judged):
+    out, _ = judged
+    texts = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    toxic = [out[d].keep for d, t in texts if len(set((t or "").encode().lower().split()) & quality.INSULTS) > 1]
+    assert toxic and np.mean(toxic) < 0.01
+
+
+def test_query_keeps_what_the_classifier_keeps(spark):
+    sf = "/root/testdata/sf0.01"
+    want = {r.doc_id for r in quality.classify(spark.read.parquet(f"{sf}/documents.parquet")).collect() if r.keep}
+    got = [r.doc_id for r in op10_weak_label_quality(spark, sf).collect()]
+    assert sorted(got) == sorted(want) and 700 < len(got) < 1000
+
+
+def test_em_finds_planted_accuracies():
+    rng = np.random.default_rng(6)
+    n, count = len(quality.LABELLERS), 40_000
+    good = rng.random(count) < 0.5
+    right = rng.uniform(0.65, 0.95, n)
+    cast = rng.random((count, n)) < 0.6
+    votes = np.where(cast, np.where((rng.random((count, n)) < right) == good[:, None], quality.GOOD, quality.BAD), quality.NONE)
+    patterns, counts = np.unique(votes @ 3 ** np.arange(n - 1, -1, -1), return_counts=True)
+    model = quality.fit_labels(patterns, counts.astype(float))
+    assert np.abs(model.accuracy - right).max() < 0.02
+    agreed = (model.good(votes) > 0.5) == good
+    assert agreed.mean() > 0.95
+
+
+def test_vote_numbers_round_trip():
+    votes = np.random.default_rng(1).integers(0, 3, (50, len(quality.LABELLERS)))
+    assert (quality.unpack(votes @ 3 ** np.arange(votes.shape[1] - 1, -1, -1)) == votes).all()
+
+
+def test_edges(spark):
+    rows = edge_rows() + [(20, "SHOUT!! LOUD!! WORDS!! HERE!! NOW!! AGAIN!!"), (20, "SHOUT!! LOUD!! WORDS!! HERE!! NOW!! AGAIN!!")]
+    table = with_clashes(docs(spark, rows * 20))
+    out = quality.classify(table).collect()
+    assert len(out) == len(rows) * 20
+    assert {r.keep for r in out if r.doc_id == 20} == {False} and {r.keep for r in out if r.doc_id == 5} == {True}
+    same = {}
+    for r in out:
+        same.setdefault(r.doc_id, set()).add((r.score, r.keep))
+    assert len(same[1] | same[2] | same[3]) == 1  # null, empty and blank texts agree
+    kept = quality.keep_good(table)
+    assert kept.columns == table.columns and kept.count() == sum(r.keep for r in out)
+    assert quality.classify(table.limit(0)).count() == 0 and quality.keep_good(table.limit(0)).count() == 0
