@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -25,35 +26,27 @@ class Defaults:
     k: int = 5
 
 
-# Rows per block for the skew-safe ordered scans (operators/scan.py).
+# Rows per block of the skew-safe ordered scans (operators/scan.py). Unset, the
+# session's shuffle settings size the blocks.
 BLOCK_ROWS_CONF = "assetrank.blockRows"
-DEFAULT_BLOCK_ROWS = 1 << 17
 
 
-# Optional fixed time-block width (order units: days for dates, seconds for
-# timestamps). When set, the sizing jobs are skipped.
-BLOCK_WIDTH_CONF = "assetrank.blockWidth"
-
-
-def block_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BLOCK_ROWS_CONF, str(DEFAULT_BLOCK_ROWS)))
-
-
-def block_width(spark: SparkSession) -> float | None:
-    v = spark.conf.get(BLOCK_WIDTH_CONF, None)
-    return float(v) if v else None
+def block_rows(spark: SparkSession) -> int | None:
+    rows = spark.conf.get(BLOCK_ROWS_CONF, None)
+    return int(rows) if rows else None
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    The setting is read from the session; a local default is only set when it
-    is missing (tests, laptops). Never a machine-local temp folder otherwise.
+    Without that setting only a ``local`` session gets a temporary folder;
+    executors of a cluster could not read a machine-local one, so there it
+    raises. The session's settings are never changed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = os.environ.get("ASSETRANK_SCRATCH", "/tmp/assetrank-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = os.path.join(tempfile.gettempdir(), f"assetrank-{os.getpid()}")
     return f"{base.rstrip('/')}/assetrank/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,46 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-def _nan() -> Column:
-    return F.lit(float("nan"))
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def java_divide(num: Column | str, den: Column | str) -> Column:
-    """IEEE division as the JVM does it on doubles: x/0 is +-Infinity or NaN.
-
-    Spark's ANSI ``/`` raises on a zero divisor, ``try_divide`` gives null;
-    neither is what a double division yields.
-    """
-    n, d = _col(num), _col(den)
-    return (
-        F.when(d != 0, n / d)
-        .when(n > 0, F.lit(float("inf")))
-        .when(n < 0, F.lit(float("-inf")))
-        .when(n.isNotNull() & d.isNotNull(), _nan())
-    )
-
-
-def pct_change(cur: Column | str, prev: Column | str) -> Column:
-    """(cur - prev) / prev with the reference's double semantics."""
-    c, p = _col(cur), _col(prev)
-    return java_divide(c - p, p)
-
-
-def signed_log(r: Column | str) -> Column:
-    """r > 0 -> ln r, r < 0 -> -ln(-r), r = 0 -> 0, NaN and null pass through.
-
-    ``signum(r) * ln(abs(r))`` would be null at 0 and silently drop the point.
-    Spark orders NaN above every number, so NaN takes the first branch and
-    stays NaN.
-    """
-    x = _col(r)
-    return F.when(x.isNaN(), x).when(x > 0, F.ln(x)).when(x < 0, -F.ln(-x)).otherwise(x)
-
-
 def true_price(high: Column | str, low: Column | str, close: Column | str) -> Column:
     """Typical price (high + low + close) / 3."""
     return (_col(high) + _col(low) + _col(close)) / F.lit(3.0)
@@ -56,9 +20,8 @@ def true_range(high: Column | str, low: Column | str, prev_close: Column | str)
     return F.greatest(F.abs(lo - p), h - lo, F.abs(h - p))
 
 
-# SQL-text forms of the same expressions. Building one ``F.expr`` costs a
-# few py4j round trips, where composing Column objects costs several per
-# operator; the optimiser sees identical expressions either way.
+# SQL text: building one ``F.expr`` costs a few py4j round trips, where
+# composing Column objects costs several per operator.
 
 
 def ident(name: str) -> str:
@@ -77,7 +40,11 @@ def double_sql(x: float) -> str:
 
 
 def java_divide_sql(num: str, den: str) -> str:
-    """SQL text of :func:`java_divide` for SQL operands."""
+    """IEEE division as the JVM does it on doubles: x/0 is +-Infinity or NaN.
+
+    Spark's ANSI ``/`` raises on a zero divisor, ``try_divide`` gives null;
+    neither is what a double division yields.
+    """
     return (
         f"CASE WHEN ({den}) <> 0 THEN ({num}) / ({den}) "
         f"WHEN ({num}) > 0 THEN double('Infinity') WHEN ({num}) < 0 THEN double('-Infinity') "
@@ -86,9 +53,14 @@ def java_divide_sql(num: str, den: str) -> str:
 
 
 def pct_change_sql(cur: str, prev: str) -> str:
+    """(cur - prev) / prev with the reference's double semantics."""
     return java_divide_sql(f"{cur} - {prev}", prev)
 
 
 def signed_log_sql(r: str) -> str:
-    """SQL text of :func:`signed_log`."""
+    """r > 0 -> ln r, r < 0 -> -ln(-r), r = 0 -> 0, NaN and null pass through.
+
+    ``signum(r) * ln(abs(r))`` would be null at 0 and silently drop the point.
+    Spark orders NaN above every number, so NaN is asked for first.
+    """
     return f"CASE WHEN isnan({r}) THEN {r} WHEN {r} > 0 THEN ln({r}) WHEN {r} < 0 THEN -ln(-{r}) ELSE {r} END"

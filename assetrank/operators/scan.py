@@ -2,25 +2,22 @@
 
 A plain ``Window.partitionBy(key)`` puts a whole series into one task; a key
 holding a third of all rows would then run as a third of the job in a single
-task. Every full-series operator here instead splits each series into
-**time blocks** ``_tb = floor(order_scalar / width)``, contiguous in the
-series order. One width serves all keys, sized from one small aggregate so
-that the densest key gets about ``block_rows`` rows per block; computing the
-block needs no shuffle.
-
-The work inside a block is an ordinary window over ``(key, block)``. What one
-block needs from the blocks before it (a running total, the last value, the
-last ``size - 1`` rows, Welford moments, an EWM state) comes from the
-per-block summary table, which is about ``block_rows`` times smaller than the
-data, and is joined back on ``(key, block)``. Summaries are partial
-aggregates of the blocked input, so each operator shuffles its rows exactly
-once, by ``(key, block)``, a key that is never hot. The key travels as the
-non-nullable struct ``_k``: null keys form their own series, and the block
-joins stay plain equi-joins that keep the rows' partitioning.
-
-Carries that are not plain sums (Welford moments, affine EWM states) are
-combined with a Hillis-Steele scan: ``rounds = ceil(log2(blocks per key))``
-passes of ``lag(2^r)`` over the summary table.
+task. Here the rows are laid out once in the order of (key, order columns) by
+Spark's range partitioning and written to the shared folder. Every range is a
+**block**: the ranges hold about equally many rows, so a hot key spans many
+blocks, a burst or a pile of copies at one instant is cut like anything else
+(by the tie-break columns and, last, by an id per row), and short keys share a
+block. Null keys, null, NaN and infinite order values sort where Spark sorts
+them and need no care.
+
+The work inside a block is an ordinary window over ``(key, block)``. What a
+piece needs from the pieces before it (a running total, the last value, the
+last ``size - 1`` rows, moments, an EWM state) comes from a table with one row
+per (key, block), joined back on ``(key, block)``. A key is in as many blocks
+as its rows fill, so that table has at most blocks + keys rows.
+
+The key travels as the non-nullable struct ``_k``: null keys form their own
+series, and the joins stay plain equi-joins that keep the rows' partitioning.
 """
 
 from __future__ import annotations
@@ -31,24 +28,25 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from assetrank.config import block_rows as conf_block_rows
-from assetrank.functions.indicators import double_sql, ident
-from assetrank.config import block_width as conf_block_width
+from assetrank.config import shared_dir
+from assetrank.functions.indicators import ident
 
-_MIN_BLOCK = -(1 << 62)
-# Internal series key: struct(key...) is never null, even when a key column is,
-# so null keys form their own series and joins stay plain equi-joins.
+# Internal series key: struct(key...) is never null, even when a key column is.
 KEY = "_k"
+#: Block number, growing along the order.
+BLOCK = "_tb"
+#: A number per row, growing along the order over all blocks and gapless inside a block.
+INDEX = "_i"
 
 
 @dataclass(frozen=True)
 class Series:
     """How to read a DataFrame as many ordered series.
 
-    ``key`` names the series (ticker); ``order`` sorts within it: a date,
-    timestamp or number first, then tie-break columns that make it total.
+    ``key`` names the series (ticker); ``order`` sorts within it, most
+    significant first; tie-break columns make it total.
     """
 
     key: tuple[str, ...]
@@ -62,226 +60,87 @@ class Series:
             raise ValueError("a series needs at least one key and one order column")
         return Series(k, o)
 
-    def order_cols(self, descending: bool = False) -> list[Column]:
-        return [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
-
 
 @dataclass(frozen=True)
 class BlockPlan:
-    """Block sizing for one input, from a few small aggregates."""
-
-    width: float  # order-scalar units per time block
-    max_blocks: int  # most time blocks any key spans
-    max_rows: int  # longest series
-    max_block_rows: int = 0  # rows in the fullest (key, block)
-    # over-full blocks whose rows share one order value: key columns, _major,
-    # _lo2, _w2 (how to split them by the second order column); at most
-    # HOT_COPY_BLOCKS rows, so broadcasting it is bounded
-    hot: DataFrame | None = None
-
-    def rounds(self, groups: int) -> int:
-        """Hillis-Steele passes needed to scan ``groups`` items (lag offsets
-        are 32-bit, so at most 31 passes: 2^31 blocks per key)."""
-        return min(31, max(1, math.ceil(math.log2(max(2, groups)))))
-
+    """One input laid out in blocks, ready for any number of operators."""
 
-def order_scalar_sql(df: DataFrame, col: str) -> str:
-    """SQL text of a number that never decreases along ``col``'s order.
-
-    Dates give days, timestamps seconds with microsecond fractions, numbers
-    themselves. Wall-clock timestamps are read field by field, so no time
-    zone is involved.
-    """
-    dt = df.schema[col].dataType
-    c = ident(col)
-    if isinstance(dt, DateType):
-        return f"CAST(unix_date({c}) AS DOUBLE)"
-    if isinstance(dt, TimestampType):
-        return f"CAST(unix_micros({c}) AS DOUBLE) / 1e6D"
-    if isinstance(dt, TimestampNTZType):
-        return (
-            f"(CAST(unix_date(CAST({c} AS DATE)) AS DOUBLE) * 86400D + hour({c}) * 3600D + minute({c}) * 60D"
-            f" + CAST(extract(SECOND FROM {c}) AS DOUBLE))"
-        )
-    if isinstance(dt, NumericType):
-        return f"CAST({c} AS DOUBLE)"
-    raise TypeError(f"cannot block on order column {col} of type {dt.simpleString()}")
+    source: DataFrame
+    series: Series
+    rows: DataFrame  # the input's columns without the key's, with _k, _tb, _i
+    sizes: DataFrame  # _k, _tb, _n (rows), _lo (first _i): one row per (key, block)
 
+    def check(self, df: DataFrame, s: Series) -> "BlockPlan":
+        if s != self.series or not (df is self.source or df.sameSemantics(self.source)):
+            raise ValueError("the plan was made for another input or series")
+        return self
 
-def order_scalar(df: DataFrame, col: str) -> Column:
-    """Column form of :func:`order_scalar_sql`."""
-    return F.expr(order_scalar_sql(df, col))
-
-
-# Smallest block width tried, in order-scalar units (a microsecond for timestamps).
-_MIN_WIDTH = 1e-6
-_REFINE_PASSES = 4
+    def bounds(self) -> tuple[int, int]:
+        """(most blocks of a key, most rows of a key in a block): a small job on ``sizes``."""
+        top = self.sizes.groupBy(KEY).agg(F.count(F.lit(1)).alias("b"), F.max("_n").alias("n")).agg(F.max("b"), F.max("n")).first()
+        return (top[0] or 0, top[1] or 0)
 
 
 def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> BlockPlan:
-    """Size time blocks with a few aggregate jobs; only small numbers reach the driver.
-
-    1. Per key: rows ``n`` and order span. Among keys longer than
-       ``block_rows`` (the only ones that need splitting) the densest sets a
-       first width giving it about ``block_rows`` rows per block; if there is
-       none, every series is one block and no further job runs.
-    2. Bursts: count rows per (key, block) and, while the fullest block holds
-       more than twice ``block_rows``, set the width from that block's own
-       span and count (at most four passes; nested bursts take more than one).
-
-    All steps are partial aggregates over the key and first order column,
-    so a hot key or a hot block is combined map-side. Rows that share one
-    order value cannot be split by time; they stay in one block. Setting
-    ``assetrank.blockWidth`` skips these jobs for a known, stable layout.
-    """
-    fixed = conf_block_width(df.sparkSession)
-    if fixed:
-        # no sizing jobs: conservative bounds, so the carry scans run
-        # 31 rounds (the most) on the (small) summary tables
-        return BlockPlan(width=fixed, max_blocks=1 << 31, max_rows=1 << 31, max_block_rows=1 << 31)
-    if block_rows is None:
-        block_rows = conf_block_rows(df.sparkSession)
-    slim = df.select(*s.key, order_scalar(df, s.order[0]).alias("_sc"))
-    per_key = slim.groupBy(*s.key).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_sc").alias("lo"), F.max("_sc").alias("hi")
-    )
-    span = F.col("hi") - F.col("lo")
-    # only keys longer than a block need splitting; a short key (even one
-    # whose rows share one instant) must not shrink everyone's blocks
-    big = F.col("n") > F.lit(block_rows)
-    row = per_key.agg(
-        F.max(F.when(big, F.col("n") / (span + 1.0))).alias("density"),
-        F.max("n").alias("max_rows"),
-        F.max(span).alias("max_span"),
-    ).first()
-    density = (row["density"] or 0.0) if row else 0.0
-    max_rows = int((row["max_rows"] or 0) if row else 0)
-    max_span = float((row["max_span"] or 0.0) if row else 0.0)
-    if density <= 0:
-        # every series fits in one block: one block per key, nothing to refine
-        width = max(1.0, max_span + 1.0)
-        return BlockPlan(width=width, max_blocks=2, max_rows=max_rows, max_block_rows=max_rows)
-    width = max(1.0, float(math.floor(block_rows / density)))
-    fullest = max_rows
-    for _ in range(_REFINE_PASSES):
-        blk = F.floor(F.col("_sc") / F.lit(width))
-        top = (
-            slim.groupBy(*s.key, blk.alias("_b"))
-            .agg(F.count(F.lit(1)).alias("c"), (F.max("_sc") - F.min("_sc")).alias("w"))
-            .orderBy(F.desc("c"))
-            .first()
-        )
-        fullest = int(top["c"]) if top else 0
-        if fullest <= 2 * block_rows or width <= _MIN_WIDTH or not top["w"]:
-            break
-        # the fullest block's own span and count set the next width, so a
-        # point-like burst is reached in one pass, not by halving steps
-        width = max(_MIN_WIDTH, min(width, float(top["w"])) * block_rows / fullest)
-    # non-empty blocks of a key: bounded by its span in widths and by its rows
-    max_blocks = max(1, min(int(math.ceil((max_span + width) / width)) + 1, max_rows))
-    hot = None
-    if fullest > 2 * block_rows and len(s.order) > 1 and _splittable(df, s.order[1]):
-        hot = _hot_copies(df, s, width, block_rows)
-    return BlockPlan(width=width, max_blocks=max_blocks, max_rows=max_rows, max_block_rows=fullest, hot=hot)
-
-
-# Most over-full single-value blocks split by the second order column; any
-# beyond stay whole (still exact, one task each).
-HOT_COPY_BLOCKS = 10000
-
-
-def _splittable(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, (DateType, TimestampType, TimestampNTZType, NumericType))
-
-
-def _hot_copies(df: DataFrame, s: Series, width: float, block_rows: int) -> DataFrame | None:
-    """Over-full blocks whose rows all share one order value ("copies").
-
-    Time cannot split them, but the second order column orders them: each
-    gets its own width on that column so its pieces hold about
-    ``block_rows`` rows. A partial aggregate finds them; at most
-    ``HOT_COPY_BLOCKS`` rows come back, so the table can be broadcast to the
-    scan side.
+    """Lay ``df`` out in blocks. This runs jobs: Spark samples the input for the
+    ranges, and the rows are written, sorted, to the shared folder
+    (``spark.checkpoint.dir``). Make the plan once and pass it to every
+    operator on the same input; an operator called without one makes its own.
+
+    Without ``block_rows`` (and without ``assetrank.blockRows``) the session's
+    shuffle settings size the blocks; with it the rows are counted first and
+    blocks hold about that many.
     """
-    major = F.floor(order_scalar(df, s.order[0]) / F.lit(width)).cast("bigint")
-    sc2 = order_scalar(df, s.order[1])
-    stats = (
-        df.select(*s.key, F.coalesce(major, F.lit(_MIN_BLOCK)).alias("_major"), order_scalar(df, s.order[0]).alias("_sc"), sc2.alias("_sc2"))
-        .groupBy(*s.key, "_major")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            (F.max("_sc") - F.min("_sc")).alias("_span"),
-            F.min("_sc2").alias("_lo2"),
-            F.max("_sc2").alias("_hi2"),
-        )
-        .where((F.col("_n") > 2 * block_rows) & (F.col("_span") == 0) & (F.col("_hi2") > F.col("_lo2")))
-        .orderBy(F.desc("_n"))
-        .limit(HOT_COPY_BLOCKS)
-    )
-    rows = stats.collect()  # at most HOT_COPY_BLOCKS small rows
-    if not rows:
-        return None
-    data = [
-        (*[r[k] for k in s.key], r["_major"], float(r["_lo2"]), max(1e-9, (r["_hi2"] - r["_lo2"]) * block_rows / r["_n"]))
-        for r in rows
-    ]
-    schema = [*[df.schema[k] for k in s.key]]
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-
-    return df.sparkSession.createDataFrame(
-        data,
-        StructType(schema + [StructField("_major", LongType()), StructField("_lo2", DoubleType()), StructField("_w2", DoubleType())]),
-    )
+    block_rows = block_rows or conf_block_rows(df.sparkSession)
+    # the last sort column tells rows apart that are equal in all order columns
+    told = df.withColumns({KEY: F.struct(*s.key), "_id": F.monotonically_increasing_id()})
+    order = [F.col(KEY), *(F.col(c) for c in s.order), F.col("_id")]
+    if block_rows:
+        ranged = told.repartitionByRange(max(1, -(-df.count() // block_rows)), *order)
+    else:
+        ranged = told.repartitionByRange(*order)
+    laid = ranged.sortWithinPartitions(*order).withColumns({BLOCK: F.spark_partition_id(), INDEX: F.monotonically_increasing_id()})
+    rows = _written(laid.drop("_id", *s.key), "blocks")
+    sizes = rows.groupBy(KEY, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min(INDEX).alias("_lo"))
+    return BlockPlan(df, s, rows, _written(sizes, "block-sizes"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    # files know no "never null"; without it a join would filter one of two branches over
+    # the same rows and they could not share an exchange
+    sure = {c: F.coalesce(c, F.lit(-1).cast(df.schema[c].dataType)) for c in (BLOCK, INDEX) if c in df.columns}
+    return read.withColumns({KEY: F.struct(*(F.col(KEY)[f].alias(f) for f in df.schema[KEY].dataType.names))} | sure)
+
+
+def _plan(df: DataFrame, s: Series, plan: BlockPlan | None) -> BlockPlan:
+    return plan.check(df, s) if plan else plan_blocks(df, s)
 
 
-def with_time_blocks(df: DataFrame, s: Series, plan: BlockPlan) -> DataFrame:
-    """Add ``_tb`` = struct(major time block, minor piece); rows with a null
-    order value go to the first block.
-
-    The minor piece is 0 except in the plan's hot-copy blocks, which are
-    split by the second order column; the hot table is at most
-    ``HOT_COPY_BLOCKS`` rows, joined by broadcast before any shuffle.
-    """
-    major = F.coalesce(F.floor(order_scalar(df, s.order[0]) / F.lit(plan.width)).cast("bigint"), F.lit(_MIN_BLOCK))
-    out = df.withColumn("_major", major)
-    minor = F.lit(0).cast("bigint")
-    if plan.hot is not None:
-        out = out.join(F.broadcast(plan.hot), [*s.key, "_major"], "left")
-        piece = F.floor((order_scalar(df, s.order[1]) - F.col("_lo2")) / F.col("_w2")).cast("bigint")
-        minor = F.coalesce(piece, F.lit(0).cast("bigint"))
-    out = out.withColumns({KEY: F.struct(*s.key), "_tb": F.struct(F.col("_major").alias("t"), minor.alias("p"))})
-    # the key travels only inside _k, so every branch reads the same columns
-    return out.drop(*s.key, "_major", "_lo2", "_w2")
-
-
-def _finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
+def finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
     """Original columns in their order (keys restored from ``_k``) plus ``extra``."""
     cols = [F.col(KEY)[c].alias(c) if c in s.key else F.col(c) for c in df.columns]
     return res.select(*cols, *extra)
 
 
-def _local_window(s: Series, block: str = "_tb"):
-    return Window.partitionBy(KEY, block).orderBy(*s.order_cols())
+def _in_block() -> Window:
+    return Window.partitionBy(KEY, BLOCK).orderBy(INDEX)
 
 
-def _block_window(s: Series, block: str = "_tb"):
-    return Window.partitionBy(KEY).orderBy(block)
+def _over_blocks() -> Window:
+    return Window.partitionBy(KEY).orderBy(BLOCK)
 
 
-def join_on(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left equi-join of per-block values onto rows.
-
-    ``rows`` is already hash-partitioned by the keys, so only the small
-    summary side moves (or is broadcast by AQE when its runtime size allows).
-    The keys are the non-nullable struct ``_k`` and block numbers, so Spark
-    infers no one-sided ``isnotnull`` filter: two branches reading the same
-    rows keep identical plans and share one exchange.
-    """
-    return rows.join(summary, list(keys), "left")
+def _before() -> Window:
+    return _over_blocks().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _join_block(rows: DataFrame, summary: DataFrame, s: Series, block: str = "_tb") -> DataFrame:
-    return join_on(rows, summary, [KEY, block])
+def join_on(rows: DataFrame, summary: DataFrame, keys: Sequence[str] = (KEY, BLOCK)) -> DataFrame:
+    """Left equi-join of per-block values onto rows; Spark broadcasts the summary
+    when it is small enough and else moves it to the rows' partitioning."""
+    return rows.join(summary, list(keys), "left")
 
 
 def scan_struct(
@@ -290,19 +149,19 @@ def scan_struct(
     order: str,
     col: str,
     combine: Callable[[str, str], str],
-    rounds: int,
+    groups: int,
 ) -> DataFrame:
     """Inclusive Hillis-Steele scan of struct column ``col`` within ``part``.
 
     ``combine(earlier, later)`` returns the SQL text combining two struct
     values and must be associative. After round r every row holds the
-    combination of the 2^(r+1) rows ending at it; ``rounds`` passes cover
-    groups of 2^rounds rows. Used only on per-block summary tables.
+    combination of the 2^(r+1) rows ending at it; ``groups``, the largest
+    group's true size, sets the number of rounds.
     """
     over = f"OVER (PARTITION BY {', '.join(ident(p) for p in part)} ORDER BY {ident(order)})"
     others = [ident(c) for c in df.columns if c != col]
     c = ident(col)
-    for r in range(rounds):
+    for r in range(math.ceil(math.log2(max(1, groups)))):
         # materialise the lag once; nesting it would repeat the window per use
         df = df.withColumn("_hs", F.expr(f"lag({c}, {1 << r}) {over}"))
         df = df.selectExpr(*others, f"CASE WHEN _hs IS NULL THEN {c} ELSE {combine('_hs', c)} END AS {c}")
@@ -314,89 +173,55 @@ def scan_struct(
 # --------------------------------------------------------------------------
 
 
-def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None, with_total: bool = False) -> DataFrame:
-    """Add ``_pos``: the row's 1-based place in its series (skew-safe ``row_number``).
+def _offsets(plan: BlockPlan) -> DataFrame:
+    """``sizes`` with ``_off``, the rows of the key in earlier blocks."""
+    return plan.sizes.withColumn("_off", F.coalesce(F.sum("_n").over(_before()), F.lit(0)))
+
+
+def _placed(plan: BlockPlan) -> DataFrame:
+    """Rows with ``_pos``: no window over rows, only the sizes of earlier blocks."""
+    rows = join_on(plan.rows, _offsets(plan))
+    return rows.withColumn("_pos", (F.col(INDEX) - F.col("_lo") + F.col("_off") + 1).cast("bigint"))
 
-    Local row numbers per time block plus the row count of all earlier blocks.
-    ``with_total`` also adds ``_cnt``, the series' length, from the same block
-    table (never a join on the key alone, which would gather a hot key).
-    """
-    plan = plan or plan_blocks(df, s)
-    blocked = with_time_blocks(df, s, plan)
-    b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
-    # a partial aggregate on the blocked input: only counts cross the network
-    sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = _block_window(s)
-    offs = sizes.withColumns(
-        {
-            "_off": F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_cnt": F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }
-    ).select(KEY, "_tb", "_off", "_cnt")
-    out = _join_block(b, offs, s)
-    extra = [(F.col("_lrn") + F.col("_off")).cast("bigint").alias("_pos")]
-    if with_total:
-        extra.append(F.col("_cnt").cast("bigint").alias("_cnt"))
-    return _finish(out, df, s, *extra)
+
+def with_positions(df: DataFrame, s: Series, plan: BlockPlan | None = None) -> DataFrame:
+    """Add ``_pos``: the row's 1-based place in its series (skew-safe ``row_number``)."""
+    return finish(_placed(_plan(df, s, plan)), df, s, "_pos")
 
 
 def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | None = None) -> DataFrame:
-    """Rows plus halo copies for windows of ``size`` rows, on time blocks.
-
-    Every row gets ``_pos`` (its place in the series) and ``_own = true``.
-    The last ``size - 1`` rows of a block are also copied, with
-    ``_own = false``, into each later block whose first window reaches back
-    to them. Blocks are contiguous in position, so the receivers of block i
-    are the index range (i, j_max], where j_max - 1 is the number of blocks
-    ending within ``size - 2`` positions of block i's end (a constant-offset
-    range window on the block table). Copies find their receiver by an
-    equi-join on (key, block index). Only the copies are shuffled: the union
-    keeps the rows' (key, block) partitioning, so a window over
-    ``(_k, _tb)`` ordered by ``_pos`` sees every complete window whole.
-    Returns internal columns; finish with :func:`finish`.
+    """Rows plus halo copies for windows of ``size`` rows.
+
+    Every row gets ``_pos`` (its place in the series) and ``_own = true``. The
+    last ``size - 1`` rows before a block also come, with ``_own = false``, into
+    that block. Small consecutive pieces of a key first share a group, so that a
+    series has at most one group per ``size`` rows: the copies never outnumber
+    the rows, and a row is copied twice at most. Returns internal columns;
+    window with :func:`sliding_window`, finish with :func:`finish`.
     """
     if size < 1:
         raise ValueError("size must be >= 1")
-    plan = plan or plan_blocks(df, s)
-    blocked = with_time_blocks(df, s, plan)
-    b = blocked.withColumn("_lrn", F.row_number().over(_local_window(s)))
-    sizes = blocked.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_bn"))
-    wb = _block_window(s)
-    blk = sizes.withColumns(
-        {
-            "_off": F.coalesce(F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_bi": F.row_number().over(wb),
-        }
-    ).withColumn("_end", F.col("_off") + F.col("_bn"))
-    reach = Window.partitionBy(KEY).orderBy("_end").rangeBetween(Window.unboundedPreceding, max(0, size - 2))
-    blk = blk.withColumn("_jmax", F.count(F.lit(1)).over(reach) + 1)
-    rows = join_on(b, blk.select(KEY, "_tb", "_bn", "_off", "_bi", "_jmax"), [KEY, "_tb"])
-    rows = rows.withColumn("_pos", (F.col("_lrn") + F.col("_off")).cast("bigint"))
-    keep = [c for c in rows.columns if c not in ("_lrn", "_bn", "_off", "_bi", "_jmax")]
-    own = rows.select(*keep, F.lit(True).alias("_own"))
+    plan = _plan(df, s, plan)
+    rows = _placed(plan)
+    # a piece joins the group of the size-wide stretch of positions in which it begins
+    group = F.floor(F.col("_off") / size).cast("bigint")
+    rows = rows.withColumn("_g", group)
+    keep = [c for c in rows.columns if c not in ("_n", "_lo", "_off", "_g", BLOCK)]
+    own = rows.select(*keep, F.col("_g").alias(BLOCK), F.lit(True).alias("_own"))
     if size == 1:
         return own
-    receivers = blk.select(KEY, F.col("_bi").alias("_rj"), F.col("_tb").alias("_rtb"), (F.col("_off") + 1).alias("_rstart"))
-    cand = rows.where(F.col("_lrn") > F.col("_bn") - (size - 1)).withColumn(
-        "_rj", F.explode(F.sequence(F.col("_bi") + 1, F.greatest(F.col("_jmax"), F.col("_bi") + 1)))
-    )
-    halo = (
-        cand.join(receivers, [KEY, "_rj"], "inner")
-        .where(F.col("_rstart") - (size - 1) <= F.col("_pos"))
-        .withColumn("_tb", F.col("_rtb"))
-        .select(*keep, F.lit(False).alias("_own"))
-    )
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return own.unionByName(halo.repartition(n, KEY, "_tb"))
+    # a window reaches back over two groups at most: two together always hold more than ``size`` rows
+    starts = _offsets(plan).withColumn("_g", group).groupBy(KEY, "_g").agg((F.min("_off") + 1).alias("_from"))
+    nexts = Window.partitionBy(KEY).orderBy("_g")
+    starts = starts.select(KEY, "_g", *(F.lead(c, k).over(nexts).alias(f"{c}{k}") for c in ("_g", "_from") for k in (1, 2)))
+    near = rows.join(starts, [KEY, "_g"]).where(F.col("_from1") - F.col("_pos") < size)
+    target = F.explode(F.array(*(F.struct(F.col(f"_g{k}").alias("g"), F.col(f"_from{k}").alias("f")) for k in (1, 2))))
+    halo = near.withColumn("_t", target).where(F.col("_t.f") - F.col("_pos") < size)
+    return own.unionByName(halo.select(*keep, F.col("_t.g").alias(BLOCK), F.lit(False).alias("_own")))
 
 
 def sliding_window(s: Series, size: int):
-    return Window.partitionBy(KEY, "_tb").orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
-
-
-def finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
-    """Public form of :func:`_finish`."""
-    return _finish(res, df, s, *extra)
+    return Window.partitionBy(KEY, BLOCK).orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
 
 
 # --------------------------------------------------------------------------
@@ -407,20 +232,15 @@ def finish(res: DataFrame, df: DataFrame, s: Series, *extra) -> DataFrame:
 def with_previous(df: DataFrame, s: Series, cols: Sequence[str], plan: BlockPlan | None = None) -> DataFrame:
     """Add ``prev_<c>`` for each column: its value on the previous row, null
     on a series' first row. Inside a block it is ``lag``; the first row of a
-    block takes the last row of the previous non-empty block."""
-    plan = plan or plan_blocks(df, s)
-    wl = _local_window(s)
-    blocked = with_time_blocks(df, s, plan)
-    b = blocked.withColumn("_lrn", F.row_number().over(wl))
-    b = b.withColumns({f"prev_{c}": F.lag(c).over(wl) for c in cols})
-    # last row of each block: a partial aggregate on the blocked input
-    last = blocked.groupBy(KEY, "_tb").agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in s.order])).alias("_last")
-    )
-    carry = last.withColumn("_carry", F.lag("_last").over(_block_window(s))).select(KEY, "_tb", "_carry")
-    out = _join_block(b, carry, s)
-    prev = [F.when(F.col("_lrn") == 1, F.col("_carry")[c]).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}") for c in cols]
-    return _finish(out, df, s, *prev)
+    block takes the last row of the key's previous block."""
+    plan = _plan(df, s, plan)
+    b = plan.rows.withColumns({f"prev_{c}": F.lag(c).over(_in_block()) for c in cols})
+    last = plan.rows.groupBy(KEY, BLOCK).agg(*(F.max_by(c, INDEX).alias(f"_last{k}") for k, c in enumerate(cols)), F.min(INDEX).alias("_lo"))
+    carry = last.select(KEY, BLOCK, "_lo", *(F.lag(f"_last{k}").over(_over_blocks()).alias(f"_last{k}") for k in range(len(cols))))
+    out = join_on(b, carry)
+    first = F.col(INDEX) == F.col("_lo")
+    prev = [F.when(first, F.col(f"_last{k}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}") for k, c in enumerate(cols)]
+    return finish(out, df, s, *prev)
 
 
 # --------------------------------------------------------------------------
@@ -430,114 +250,67 @@ def with_previous(df: DataFrame, s: Series, cols: Sequence[str], plan: BlockPlan
 
 def with_running_sum(df: DataFrame, s: Series, col: str, out: str, plan: BlockPlan | None = None) -> DataFrame:
     """``out`` = sum of ``col`` over the series up to and including the row."""
-    plan = plan or plan_blocks(df, s)
-    frame = _local_window(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    b = with_time_blocks(df, s, plan).withColumn("_loc", F.sum(col).over(frame))
-    tot = b.groupBy(KEY, "_tb").agg(F.sum(col).alias("_bs"))
-    carry = tot.withColumn(
-        "_carry", F.sum("_bs").over(_block_window(s).rowsBetween(Window.unboundedPreceding, -1))
-    ).select(KEY, "_tb", "_carry")
-    res = _join_block(b, carry, s)
+    plan = _plan(df, s, plan)
+    b = plan.rows.withColumn("_loc", F.sum(col).over(_in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    tot = plan.rows.groupBy(KEY, BLOCK).agg(F.sum(col).alias("_bs"))
+    carry = tot.select(KEY, BLOCK, F.sum("_bs").over(_before()).alias("_carry"))
+    res = join_on(b, carry)
     # nulls are skipped as in a plain running SUM window: null only while
     # every value so far is null
     loc, car = F.col("_loc"), F.col("_carry")
-    total = F.when(loc.isNull() & car.isNull(), F.lit(None)).otherwise(
-        F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0))
-    )
-    return _finish(res, df, s, total.alias(out))
-
-
-def merge_moments(a: str, b: str) -> str:
-    """SQL text of the Chan et al. merge of moment structs (n, sum, mean, m2);
-    an empty side (n = 0) is the identity."""
-    na, nb = f"coalesce({a}.n, 0L)", f"coalesce({b}.n, 0L)"
-    n = f"({na} + {nb})"
-    delta = f"({b}.mean - {a}.mean)"
+    total = F.when(loc.isNull() & car.isNull(), F.lit(None)).otherwise(F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0)))
+    return finish(res, df, s, total.alias(out))
 
-    def pick(field: str, merged: str) -> str:
-        return f"CASE WHEN {na} = 0 THEN {b}.{field} WHEN {nb} = 0 THEN {a}.{field} ELSE {merged} END"
 
-    return (
-        f"named_struct('n', {n}, "
-        f"'sum', {pick('sum', f'{a}.sum + {b}.sum')}, "
-        f"'mean', {pick('mean', f'{a}.mean + {delta} * {nb} / {n}')}, "
-        f"'m2', {pick('m2', f'{a}.m2 + {b}.m2 + {delta} * {delta} * {na} * {nb} / {n}')})"
-    )
-
-
-def with_expanding(
-    df: DataFrame,
-    s: Series,
-    col: str,
-    plan: BlockPlan | None = None,
-    inclusive: bool = False,
-) -> DataFrame:
+def with_expanding(df: DataFrame, s: Series, col: str, plan: BlockPlan | None = None, inclusive: bool = False) -> DataFrame:
     """Add ``exp_n``, ``exp_sum``, ``exp_mean``, ``exp_std`` (population) over
     all earlier rows of the series (``inclusive`` adds the row itself), and
     ``_last`` marking each series' final row.
 
-    Inside a block Spark's running window aggregates give (n, sum, mean, M2);
-    the carry from earlier blocks is a Chan merge scanned over the block
-    summaries. Empty windows give n = 0 and null sum, mean and deviation.
+    Inside a block Spark's running aggregates give count, sum, mean and
+    variance. The earlier blocks add their count, sum and the sums of (x - c)
+    and (x - c)^2, plain running sums over the block table; c is the mean of
+    the key's finite block means, so the squares stay small. Empty windows
+    give n = 0 and null sum, mean and deviation.
     """
-    plan = plan or plan_blocks(df, s)
+    plan = _plan(df, s, plan)
     end = Window.currentRow if inclusive else -1
-    frame = _local_window(s).rowsBetween(Window.unboundedPreceding, end)
-    x = F.col(col)
-    b = (
-        with_time_blocks(df, s, plan)
-        .withColumn("_lrn", F.row_number().over(_local_window(s)))
-        .withColumn("_ln", F.count(x).over(frame))
-        .withColumn("_ls", F.sum(x).over(frame))
-        .withColumn("_lm", F.avg(x).over(frame))
-        .withColumn("_lv", F.var_pop(x).over(frame))
-    )
-    summ = with_time_blocks(df, s, plan).groupBy(KEY, "_tb").agg(
-        F.count(F.lit(1)).alias("_bn"),
-        F.count(x).alias("n"),
-        F.sum(x).alias("sum"),
-        F.avg(x).alias("mean"),
-        F.var_pop(x).alias("var"),
-    )
-    summ = summ.select(
-        KEY,
-        "_tb",
-        "_bn",
-        F.struct(
-            F.col("n"), F.col("sum"), F.coalesce(F.col("mean"), F.lit(0.0)).alias("mean"),
-            F.coalesce(F.col("var") * F.col("n"), F.lit(0.0)).alias("m2"),
-        ).alias("_m"),
+    frame = _in_block().rowsBetween(Window.unboundedPreceding, end)
+    x = F.col(col).cast("double")
+    aggregates = {"n": F.count, "sum": F.sum, "mean": F.avg, "var": F.var_pop}
+    b = plan.rows.withColumns({f"_l{name}": fn(x).over(frame) for name, fn in aggregates.items()})
+    blocks = plan.rows.groupBy(KEY, BLOCK).agg(*(fn(x).alias(f"_l{name}") for name, fn in aggregates.items()))
+    whole = Window.partitionBy(KEY)
+    finite = F.when(F.abs("_lmean") < float("inf"), F.col("_lmean"))
+    blocks = blocks.withColumn("_c", F.coalesce(F.avg(finite).over(whole), F.lit(0.0)))
+
+    def shifted(c: str) -> tuple[Column, Column]:
+        """Sums of (x - c) and (x - c)^2 of a block or of the block's part so far."""
+        off = F.col("_lmean") - F.col(c)
+        one = F.coalesce(F.col("_ln") * off, F.lit(0.0))
+        return one, F.coalesce(F.col("_ln") * (F.col("_lvar") + off * off), F.lit(0.0))
+
+    one, two = shifted("_c")
+    blocks = blocks.withColumns({"_one": one, "_two": two})
+    carry = blocks.join(plan.sizes, [KEY, BLOCK]).select(
+        KEY, BLOCK, "_c", (F.col("_lo") + F.col("_n") - 1).alias("_hi"), F.lead(BLOCK).over(_over_blocks()).isNull().alias("_end"),
+        *(F.coalesce(F.sum(v).over(_before()), F.lit(0)).alias(name) for v, name in (("_ln", "_pn"), ("_lsum", "_psum"), ("_one", "_pone"), ("_two", "_ptwo"))),
     )
-
-    comb = merge_moments
-
-    summ = scan_struct(summ, [KEY], "_tb", "_m", comb, plan.rounds(plan.max_blocks))
-    wb = _block_window(s)
-    carry = summ.select(
-        KEY,
-        "_tb",
-        "_bn",
-        F.lag("_m").over(wb).alias("_carry"),
-        F.lead("_tb").over(wb).isNull().alias("_lastblock"),
-    )
-    res = _join_block(b, carry, s)
-    res = res.withColumn(
-        "_local",
-        F.expr("named_struct('n', _ln, 'sum', _ls, 'mean', coalesce(_lm, 0.0D), 'm2', coalesce(_lv * _ln, 0.0D))"),
-    )
-    res = res.withColumn("_tot", F.expr(f"CASE WHEN _carry IS NULL THEN _local ELSE {comb('_carry', '_local')} END"))
-    n = F.col("_tot")["n"]
-    res = _finish(
-        res,
-        df,
-        s,
-        n.cast("bigint").alias("exp_n"),
-        F.when(n > 0, F.col("_tot")["sum"]).alias("exp_sum"),
-        F.when(n > 0, F.col("_tot")["sum"] / n).alias("exp_mean"),
-        F.when(n > 0, F.sqrt(F.greatest(F.col("_tot")["m2"], F.lit(0.0)) / n)).alias("exp_std"),
-        ((F.col("_lrn") == F.col("_bn")) & F.col("_lastblock")).alias("_last"),
-    )
-    return res
+    res = join_on(b, carry)
+    one, two = shifted("_c")
+    n = F.col("_pn") + F.col("_ln")
+    total = F.col("_psum") + F.coalesce("_lsum", F.lit(0.0))
+    s1, s2 = F.col("_pone") + one, F.col("_ptwo") + two
+    res = res.withColumns({"_tn": n, "_tsum": total, "_tvar": F.try_divide(s2, n) - F.try_divide(s1, n) * F.try_divide(s1, n)})
+    some = F.col("_tn") > 0
+    return finish(
+        res, df, s,
+        F.col("_tn").cast("bigint").alias("exp_n"),
+        F.when(some, F.col("_tsum")).alias("exp_sum"),
+        F.when(some, F.col("_tsum") / F.col("_tn")).alias("exp_mean"),
+        F.when(some, F.sqrt(F.greatest("_tvar", F.lit(0.0)))).alias("exp_std"),
+        (F.col("_end") & (F.col(INDEX) == F.col("_hi"))).alias("_last"),
+    )
 
 
 # --------------------------------------------------------------------------
@@ -546,8 +319,9 @@ def with_expanding(
 
 
 def _compose(a: str, b: str) -> str:
-    """SQL text: apply map ``a`` then ``b`` to a state, y -> b.m * (a.m * y + a.c) + b.c."""
-    return f"named_struct('m', {a}.m * {b}.m, 'c', {a}.c * {b}.m + {b}.c)"
+    """SQL text: apply map ``a`` then ``b`` to a state, y -> b.m * (a.m * y + a.c) + b.c;
+    v counts the values seen."""
+    return f"named_struct('m', {a}.m * {b}.m, 'c', {a}.c * {b}.m + {b}.c, 'v', {a}.v + {b}.v)"
 
 
 def with_ewm(
@@ -561,62 +335,69 @@ def with_ewm(
 ) -> DataFrame:
     """``out`` = exponentially weighted mean with alpha = 2 / (1 + span),
     seeded with the first value: y0 = x0, y = y_prev + alpha * (x - y_prev).
+    A null value leaves the mean as it is; before the first value it is null.
 
     With b = 1 - alpha this is the affine recurrence y_t = b * y_(t-1) +
     alpha * x_t started from the state x0. It scans in blocks:
 
-    1. inside each time block, sub-blocks of ``sub`` rows; with offset o,
-       loc = b^o * running_sum(alpha * x * b^-o), exact because b^-o stays
-       finite for o < ``sub``;
-    2. the rows and the sub-block summaries come from the same exchange
-       (Spark reuses it when the input has no extra columns; otherwise the
-       summary side re-reads only key, order and value);
-    3. a sub-block is the affine map (b^len, loc_end); a Hillis-Steele scan
-       composes them inside each time block, then the block maps along the
-       key;
-    4. y = loc + b^(o+1) * (state before the sub-block).
+    1. inside each block, sub-blocks of ``sub`` rows; with c values so far,
+       loc = b^c * running_sum(alpha * x * b^-c), exact because b^-c stays
+       finite for c <= ``sub``;
+    2. the sub-block summaries read key, index and value only, and are exchanged once;
+    3. a sub-block is the affine map (b^values, loc_end); a Hillis-Steele scan
+       composes them inside each block, then the block maps along the key, in
+       as many rounds as the fullest block and the longest key need;
+    4. y = loc + b^c * (state before the sub-block).
     """
     if span < 1:
         raise ValueError("span must be >= 1")
     alpha = 2.0 / (1.0 + span)
     beta = 1.0 - alpha
-    if beta == 0.0:
-        return df.withColumn(out, F.col(col).cast("double"))
-    # keep b^-(sub-1) far from overflow for spans close to 1 (tiny b)
-    sub = max(1, min(sub, int(250 / max(1e-12, -math.log10(beta))) + 1))
-    plan = plan or plan_blocks(df, s)
-    wl = _local_window(s)
-    b = with_time_blocks(df, s, plan).withColumn("_lrn", F.row_number().over(wl))
-    i0 = F.col("_lrn") - 1
-    b = b.withColumns({"_sb": F.floor(i0 / sub).cast("bigint"), "_o": (i0 % sub).cast("int")})
-    wsub = Window.partitionBy(KEY, "_tb", "_sb").orderBy("_lrn").rowsBetween(Window.unboundedPreceding, 0)
-    bo = F.pow(F.lit(beta), F.col("_o"))
-    b = b.withColumn("_loc", bo * F.sum(F.lit(alpha) * F.col(col) / bo).over(wsub))
-
-    subs = b.groupBy(KEY, "_tb", "_sb").agg(
-        F.count(F.lit(1)).alias("_len"),
-        F.max_by("_loc", "_lrn").alias("_end"),
-        F.min_by(col, "_lrn").alias("_first"),
+    plan = _plan(df, s, plan)
+    if beta == 0.0:  # every value replaces the mean
+        sub = 1
+    else:
+        # keep b^-sub far from overflow for spans close to 1 (tiny b)
+        sub = max(1, min(sub, int(250 / max(1e-12, -math.log10(beta)))))
+    most_blocks, most_rows = plan.bounds()
+    b = plan.rows.withColumn("_r", F.row_number().over(_in_block()) - 1)
+    b = b.withColumn("_sb", F.floor(F.col("_r") / sub).cast("bigint"))
+    wsub = Window.partitionBy(KEY, BLOCK, "_sb").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+    x = F.col(col).cast("double")
+    b = b.withColumn("_c", F.count(x).over(wsub))
+    # weights relative to the value itself when b is 0: pow(0, 0) = 1 keeps the newest
+    power = (lambda c: F.pow(F.lit(beta), c)) if beta else (lambda c: F.when(c == 0, 1.0).otherwise(0.0))
+    if beta:
+        loc = power(F.col("_c")) * F.coalesce(F.sum(F.lit(alpha) * x / power(F.col("_c"))).over(wsub), F.lit(0.0))
+    else:
+        loc = F.coalesce(x, F.lit(0.0))  # sub-blocks of one row
+    b = b.withColumn("_loc", loc)
+
+    subs = b.groupBy(KEY, BLOCK, "_sb").agg(
+        F.max("_c").alias("_v"),
+        F.max_by("_loc", "_r").alias("_endloc"),
+        F.min_by(x, F.when(x.isNotNull(), F.col("_r"))).alias("_first"),
     )
-    nsub = math.ceil(max(1, plan.max_block_rows or plan.max_rows) / sub)
-    subs = subs.withColumn("_f", F.expr(f"named_struct('m', pow({double_sql(beta)}, _len), 'c', _end)"))
-    subs = scan_struct(subs, [KEY, "_tb"], "_sb", "_f", _compose, plan.rounds(nsub))
-    subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, "_tb").orderBy("_sb")))
-
-    blocks = subs.groupBy(KEY, "_tb").agg(
-        F.max_by("_f", "_sb").alias("_g"), F.min_by("_first", "_sb").alias("_bfirst")
+    subs = subs.withColumn("_f", F.struct(power(F.col("_v")).alias("m"), F.col("_endloc").alias("c"), F.col("_v").alias("v"))).drop("_v", "_endloc")
+    subs = scan_struct(subs, [KEY, BLOCK], "_sb", "_f", _compose, -(-most_rows // sub))
+    subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, BLOCK).orderBy("_sb")))
+    blocks = subs.groupBy(KEY, BLOCK).agg(
+        F.max_by("_f", "_sb").alias("_g"), F.min_by("_first", F.when(F.col("_first").isNotNull(), F.col("_sb"))).alias("_bfirst")
     )
-    blocks = scan_struct(blocks, [KEY], "_tb", "_g", _compose, plan.rounds(plan.max_blocks))
-    wb = _block_window(s)
-    blocks = blocks.withColumns({"_x0": F.first("_bfirst").over(wb), "_pg": F.lag("_g").over(wb)})
+    blocks = scan_struct(blocks, [KEY], BLOCK, "_g", _compose, most_blocks)
+    blocks = blocks.select(
+        KEY, BLOCK, F.first("_bfirst", ignorenulls=True).over(_over_blocks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_x0"),
+        F.lag("_g").over(_over_blocks()).alias("_pg"),
+    )
     # state before a block: the series starts from x0 (so that y0 = x0)
     s0 = F.when(F.col("_pg").isNull(), F.col("_x0")).otherwise(F.col("_pg")["m"] * F.col("_x0") + F.col("_pg")["c"])
-    blocks = blocks.select(KEY, "_tb", s0.alias("_s0"))
-    subs = join_on(subs, blocks, [KEY, "_tb"])
-    state = F.when(F.col("_before").isNull(), F.col("_s0")).otherwise(
-        F.col("_before")["m"] * F.col("_s0") + F.col("_before")["c"]
-    )
-    subs = subs.select(KEY, "_tb", "_sb", state.alias("_state"))
-    res = join_on(b, subs, [KEY, "_tb", "_sb"])
-    y = F.col("_loc") + F.pow(F.lit(beta), F.col("_o") + 1) * F.col("_state")
-    return _finish(res, df, s, y.alias(out))
+    blocks = blocks.select(KEY, BLOCK, s0.alias("_s0"), F.coalesce(F.col("_pg")["v"], F.lit(0)).alias("_v0"))
+    subs = join_on(subs, blocks)
+    state = F.when(F.col("_before").isNull(), F.col("_s0")).otherwise(F.col("_before")["m"] * F.col("_s0") + F.col("_before")["c"])
+    seen = F.col("_v0") + F.coalesce(F.col("_before")["v"], F.lit(0))
+    res = join_on(b, subs.select(KEY, BLOCK, "_sb", state.alias("_state"), seen.alias("_seen")), [KEY, BLOCK, "_sb"])
+    y = F.col("_loc") + power(F.col("_c")) * F.col("_state")
+    return finish(res, df, s, F.when(F.col("_seen") + F.col("_c") > 0, y).alias(out))
+
+
+__all__ = ["BLOCK", "INDEX", "KEY", "BlockPlan", "Series", "finish", "plan_blocks", "sliding_window"]

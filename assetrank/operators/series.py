@@ -2,8 +2,9 @@
 time-series operators (T4-T10), all skew-safe (see ``scan.py``).
 
 Each function takes a DataFrame and a :class:`Series` (key + order) and
-returns a DataFrame; none collects anything but the few block-sizing numbers
-of :func:`scan.plan_blocks`.
+returns a DataFrame. The operators T4-T7, T9, T10, G2 and I2 work on a
+:class:`scan.BlockPlan`: make it once with :func:`scan.plan_blocks` (which runs
+jobs and writes the laid-out rows) and pass it on; without one each call makes its own.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetrank.functions.indicators import pct_change, signed_log
+from assetrank.functions.indicators import ident, pct_change_sql, signed_log_sql
 from assetrank.functions.indicators import true_price as _true_price
 from assetrank.functions.indicators import true_range as _true_range
 from assetrank.operators.scan import (
@@ -102,9 +103,9 @@ def volatility(df: DataFrame, s: Series, col: str = "close", plan: BlockPlan | N
     aggregate, so a hot series is combined map-side.
     """
     p = with_previous(df, s, [col], plan)
-    prev = F.col(f"prev_{col}")
-    p = p.withColumn("_r", F.when(prev.isNull(), F.lit(None).cast("double")).otherwise(pct_change(F.col(col), prev)))
-    p = p.withColumn("_step", signed_log("_r"))
+    prev = ident(f"prev_{col}")
+    p = p.withColumn("_r", F.expr(f"CASE WHEN {prev} IS NOT NULL THEN {pct_change_sql(ident(col), prev)} END"))
+    p = p.withColumn("_step", F.expr(signed_log_sql("_r")))
     g = p.groupBy(*s.key).agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("_step").alias("_sd"))
     return g.select(*s.key, "n", F.when(F.col("n") < 2, F.lit(0.0)).otherwise(F.col("_sd")).alias("vol"))
 
@@ -114,8 +115,7 @@ def sliding_agg(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan |
 
     One row per window, at the window's last row, with the window's sum,
     mean and population deviation and ``win_end``, the window's last
-    position. A series shorter than ``size`` gives no windows. The rows are
-    shuffled once, by (key, time block); see :func:`scan.with_sliding_rows`.
+    position. A series shorter than ``size`` gives no windows. See :func:`scan.with_sliding_rows`.
     """
     rows = with_sliding_rows(df, s, size, plan)
     w = sliding_window(s, size)
@@ -160,14 +160,6 @@ def expanding_agg(
     return e.drop("_last")
 
 
-def step_series(df: DataFrame, s: Series, col: str = "close", plan: BlockPlan | None = None) -> DataFrame:
-    """Signed-log one-step return per row (the terms of I2); null on each first row."""
-    p = with_previous(df, s, [col], plan)
-    prev = F.col(f"prev_{col}")
-    r = F.when(prev.isNull(), F.lit(None).cast("double")).otherwise(pct_change(F.col(col), prev))
-    return p.withColumn("_r", r).withColumn("step", signed_log("_r")).drop("_r", f"prev_{col}")
-
-
 __all__ = [
     "Series",
     "plan_blocks",
@@ -183,5 +175,4 @@ __all__ = [
     "sliding_agg",
     "sliding_list",
     "expanding_agg",
-    "step_series",
 ]

@@ -1,95 +1,86 @@
-"""Literal per-list versions of the series helpers, the test oracle.
+"""The series helpers by their formulas, over one Python list: the test oracle.
 
-Plain Python loops over one list, written from the helpers' documented
-behaviour; the Spark operators must agree with them on every series.
+Every value is computed on its own from its definition (a prefix, an explicit
+weight, a pair), never from the value before it.
 """
 
 from __future__ import annotations
 
 import math
+import statistics
+from itertools import accumulate, pairwise
 
 
 def lsum(xs):
-    return float(sum(xs)) if xs else 0.0
+    return math.fsum(xs)
 
 
 def lmean(xs):
-    return lsum(xs) / len(xs) if xs else float("nan")
+    return statistics.fmean(xs) if xs else math.nan
 
 
 def lstd(xs):
     if not xs:
-        return float("nan")
-    m = lmean(xs)
-    return math.sqrt(sum((x - m) ** 2 for x in xs) / len(xs))
+        return math.nan
+    return statistics.pstdev(xs) if all(map(math.isfinite, xs)) else math.nan
 
 
 def cum_sum(xs):
-    out, acc = [], None
-    for x in xs:
-        acc = x if acc is None else acc + x
-        out.append(acc)
-    return out
+    return list(accumulate(xs))
 
 
 def ewm(xs, span):
+    """y_t = b^t x_0 + sum over s = 1..t of a b^(t-s) x_s, with a = 2 / (1 + span), b = 1 - a."""
     a = 2.0 / (1.0 + span)
-    out, acc = [], None
-    for x in xs:
-        acc = x if acc is None else acc + a * (x - acc)
-        out.append(acc)
+    b = 1.0 - a
+    return [b**t * xs[0] + math.fsum(a * b ** (t - s) * xs[s] for s in range(max(1, t - 4000), t + 1)) if t else xs[0] for t in range(len(xs))]
+
+
+def ewm_with_nulls(xs, span):
+    """The mean over the values so far; None before the first."""
+    out = []
+    for t in range(len(xs)):
+        known = [x for x in xs[: t + 1] if x is not None]
+        out.append(ewm(known, span)[-1] if known else None)
     return out
 
 
 def diff(xs):
-    out, prev = [], None
-    for x in xs:
-        p = x if prev is None else prev
-        out.append(x - p)
-        prev = x
-    return out
+    return [0.0 * xs[0], *(b - a for a, b in pairwise(xs))] if xs else []
 
 
 def true_range(bars):
     """bars: list of (high, low, close)."""
-    out, prev = [], None
-    for h, lo, c in bars:
-        pc = c if prev is None else prev
-        out.append(max(abs(lo - pc), h - lo, abs(h - pc)))
-        prev = c
-    return out
+    closes = [c for _, _, c in bars]
+    return [max(h - lo, abs(h - p), abs(lo - p)) for (h, lo, _), p in zip(bars, closes[:1] + closes)]
 
 
 def sliding(xs, size):
-    return [xs[i : i + size] for i in range(0, len(xs) - size + 1)]
+    return [xs[end - size : end] for end in range(size, len(xs) + 1)]
 
 
 def expanding(xs):
-    return [xs[:end] for end in range(0, len(xs) - 1)]
+    return [xs[:end] for end in range(len(xs) - 1)]
+
+
+def change(old, new):
+    """(new - old) / old as doubles divide."""
+    if old:
+        return (new - old) / old
+    return math.nan if new == old else math.copysign(math.inf, new - old)
 
 
 def returns(k, closes):
-    if len(closes) < k + 1:
-        return 0.0
-    prev, cur = closes[-(k + 1)], closes[-1]
-    return (cur - prev) / prev if prev != 0 else (math.copysign(math.inf, cur - prev) if cur != prev else math.nan)
+    return change(closes[-1 - k], closes[-1]) if len(closes) > k else 0.0
 
 
 def signed_log(r):
-    if r > 0:
-        return math.log(r)
-    if r < 0:
-        return -math.log(-r)
-    return r
+    """The log of the size with the sign of the change; 0 stays 0."""
+    sign = (r > 0) - (r < 0)
+    return sign * math.log(abs(r)) if sign else r
 
 
 def volatility(closes):
-    if len(closes) < 2:
-        return 0.0
-    steps = []
-    for prev, cur in zip(closes[:-1], closes[1:]):
-        if prev == 0:
-            steps.append(math.nan)
-        else:
-            steps.append(signed_log((cur - prev) / prev))
-    return lstd(steps)
+    """Population deviation of the signed logs of all one-step changes (NaN from a zero price)."""
+    steps = [signed_log(change(a, b)) if a else math.nan for a, b in pairwise(closes)]
+    return lstd(steps) if steps else 0.0

@@ -4,27 +4,25 @@ import re
 
 
 from assetrank.operators import series as S
+from assetrank.operators.scan import plan_blocks
 from assetrank.plans import catalog as C
 from assetrank.sources import fixtures as fx
+from tests_plan_util import plan_text as plan
 
 SF = "/root/testdata/sf0.01"
 
 
-def plan(df):
-    jvm = df.sparkSession.sparkContext._jvm
-    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
-
-
 def exchanges(text):
     return re.findall(r"Arguments: (hashpartitioning\([^\]]*?\)|rangepartitioning\([^\]]*?\)|SinglePartition)", text)
 
 
 def test_flagship_plan(spark):
     p = plan(C._ranking(spark, SF))
-    # one exchange of price rows, keyed by ticker; trailing-window limit on both sides
-    ex = [e for e in exchanges(p) if e.startswith("hashpartitioning")]
-    assert len(ex) == 1 and re.match(r"hashpartitioning\(ticker#\d+L?, \d+\)", ex[0]), ex
-    assert p.count("WindowGroupLimit") >= 2 and "Partial" in p and "Final" in p
+    # the price rows meet by (ticker, salt), then by ticker; limits on both sides of both exchanges
+    ex = sorted(e for e in exchanges(p) if e.startswith("hashpartitioning"))
+    assert len(ex) == 2 and re.match(r"hashpartitioning\(ticker#\d+L?, _salt#\d+L?, \d+\)", ex[1]), ex
+    assert re.match(r"hashpartitioning\(ticker#\d+L?, \d+\)", ex[0]), ex
+    assert len(re.findall(r"\n\(\d+\) WindowGroupLimit", p)) == 4 and "Partial" in p and "Final" in p
     # cutoff reaches the scan; only the needed lineitem columns are read
     assert "LessThan(l_shipdate,2000-01-02" in p
     li = re.search(r"ReadSchema: (struct<l_[^>]*>)", p).group(1)
@@ -48,13 +46,13 @@ def test_blocked_scan_shuffles_by_key_and_block(spark):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_ewm_shuffles_rows_once(spark):
+def test_ewm_reads_the_layout_for_rows_and_summaries(spark):
     df = C.QUERIES["ewm"](spark, SF)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
-    rows = re.findall(r"\+- Exchange hashpartitioning\(_k#\d+, _tb#\d+L?, \d+\)", final)
-    assert len(rows) == 1, final
-    assert "ReusedExchange" in final
+    # the rows are exchanged once; the summaries, used twice, exchange key, index and value once
+    rows = re.findall(r"\+- Exchange hashpartitioning\(_k#\d+, _tb#\d+L?, \d+\)[^\n]*\n(?:[^\n]*\n){1,4}?[^\n]*FileScan", final)
+    assert len(rows) == 2 and "ReusedExchange" in final, final
 
 
 def test_no_python_udf_anywhere(spark):
@@ -62,3 +60,22 @@ def test_no_python_udf_anywhere(spark):
         p = plan(C.QUERIES[name](spark, SF))
         for slow in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
             assert slow not in p, (name, slow)
+
+
+def test_operators_read_the_laid_out_rows_only(spark):
+    """One layout serves all operators: they scan its files, never the input again, and sort no rows for an aggregate."""
+    t = fx.ticks(spark, SF)
+    blocks = plan_blocks(t, C.TICK_SERIES)
+    for op in (S.order_within, lambda *a, **k: S.cum_sum(*a, "x", **k), lambda *a, **k: S.diff(*a, "x", **k)):
+        p = plan(op(t, C.TICK_SERIES, plan=blocks))
+        assert "events.parquet" not in p and "SortAggregate" not in p
+        assert len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*/blocks-", p)) <= 2
+
+
+def test_sliding_rows_are_exchanged_once(spark):
+    t = fx.ticks(spark, SF)
+    df = S.sliding_agg(t, C.TICK_SERIES, "x", 20)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    rows = re.findall(r"\+- Exchange hashpartitioning\(_k#\d+, _tb#\d+L?, \d+\)", final)
+    assert len(rows) == 1, final

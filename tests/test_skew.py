@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from assetrank.operators import series as S
-from assetrank.operators.scan import KEY, Series, plan_blocks, with_time_blocks
+from assetrank.operators.scan import KEY, Series, plan_blocks
 
 
 def test_hot_key_spreads_over_partitions(spark):
@@ -19,7 +19,7 @@ def test_hot_key_spreads_over_partitions(spark):
     )
     s = Series.of("ticker", ("ts", "seq"))
     plan = plan_blocks(rows, s, block_rows=500)
-    blocked = with_time_blocks(rows, s, plan).repartition(16, KEY, "_tb")
+    blocked = plan.rows.repartition(16, KEY, "_tb")
     hot = blocked.where(F.col(KEY)["ticker"] == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
     # the hot key's 10,000 rows are in about 20 blocks hashed over the partitions
     assert len(hot) >= 8
@@ -27,3 +27,21 @@ def test_hot_key_spreads_over_partitions(spark):
     # and the operator result is still exact
     out = S.cum_sum(rows, s, "x", plan=plan).where("ticker = 'hot'").agg(F.max("cum_sum")).first()[0]
     assert out == rows.where("ticker = 'hot'").agg(F.sum("x")).first()[0]
+
+
+def test_hot_ticker_in_the_trailing_window(spark):
+    """One ticker in 64 map tasks: the task that ends it sees at most window x salts rows."""
+    from assetrank.operators import features as feat
+
+    n, window, salts = 64_000, 10, 8
+    rows = spark.range(0, n, 1, 64).select(F.lit("hot").alias("ticker"), F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 5000).cast("int")).alias("date"), F.col("id").alias("seq"), F.lit(1.0).alias("close"))
+    out = feat.trailing_n(rows, window, tiebreak=("seq",), salts=salts)
+    assert sorted(r.seq for r in out.collect()) == sorted(r.seq for r in rows.orderBy(F.desc("date"), F.desc("seq")).limit(window).collect())
+    plan = out._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("WindowGroupLimit") >= 4 and "_salt" in text
+    by_ticker = feat.trailing_n(rows, window, tiebreak=("seq",), salts=salts).where("false")
+    assert by_ticker.count() == 0
+    # what the last window reads: the newest rows of every salt
+    salted = rows.withColumn("s", F.pmod(F.xxhash64("date", "seq"), F.lit(salts))).groupBy("s").count().collect()
+    assert len(salted) == salts and sum(min(window, r["count"]) for r in salted) <= window * salts
