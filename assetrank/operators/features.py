@@ -1,10 +1,11 @@
 """Per-asset features over a trailing window: G3, G4, I1, I2.
 
 The trailing window is a ``row_number`` over (date desc, tie-break desc)
-filtered to ``rn <= window``; Spark plans that as ``WindowGroupLimit`` on
-both sides of the shuffle, so each map task ships at most ``window`` rows
-per ticker, however hot the ticker. Everything after is one window pass and
-one partial aggregate on that bounded set.
+filtered to ``rn <= window``, twice: first by (ticker, salt), then by ticker. Spark
+plans each as ``WindowGroupLimit`` on both sides of its shuffle. A hot ticker is
+spread over the salts, and the task that ends it sees at most ``window x salts``
+rows, however many tasks read the ticker. Everything after is one window pass
+and one partial aggregate on that bounded set.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from assetrank.functions.dates import date_literal
 from assetrank.functions.indicators import ident, pct_change_sql, signed_log_sql
@@ -24,17 +26,19 @@ def _desc_over(key: Sequence[str], date_col: str, tiebreak: Sequence[str]) -> st
     return f"OVER (PARTITION BY {', '.join(ident(k) for k in key)} ORDER BY {order})"
 
 
-def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_col: str = "year") -> DataFrame:
-    """Keep prices on or before the cutoff, inclusive (F2); reaches the scan.
+def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_partition: str | None = None) -> DataFrame:
+    """Keep prices on or before the cutoff day, inclusive (F2); reaches the scan.
 
-    When the prices carry a ``year`` column (the year-partitioned table the
-    streaming ingestion writes), ``year <= year(cutoff)`` is added so whole
-    partitions past the cutoff are never listed or read.
+    A timestamp column keeps all of the cutoff day. ``year_partition`` names a
+    partition column that holds the year of the date, as the table that the
+    streaming ingestion writes has one: partitions past the cutoff are then
+    never listed or read. A column is never taken for it by its name alone.
     """
     end = date_literal(end_date)
-    out = prices.where(F.col(date_col) <= end)
-    if year_col in prices.columns:
-        out = out.where(F.col(year_col) <= F.year(end))
+    dated = isinstance(prices.schema[date_col].dataType, (DateType, StringType))
+    out = prices.where(F.col(date_col) <= end) if dated else prices.where(F.col(date_col) < F.date_add(end, 1))
+    if year_partition is not None:
+        out = out.where(F.col(year_partition) <= F.year(end))
     return out
 
 
@@ -42,37 +46,34 @@ def trailing_n(
     prices: DataFrame,
     n: int,
     *,
+    tiebreak: Sequence[str],
     key: Sequence[str] = ("ticker",),
     date_col: str = "date",
-    tiebreak: Sequence[str] = (),
     rn_col: str = "rn",
+    salts: int = 32,
 ) -> DataFrame:
     """Last ``n`` prices per ticker (G3); ``rn`` = 1 is the newest.
 
-    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default)
-    Spark limits each map task to ``n`` rows per ticker before the shuffle.
-    Beyond it that limit is not planned, so the rank is computed as
-    count - position + 1 from skew-safe blocked positions (``scan.py``)
-    instead of one window per ticker.
+    Always two limits: the newest ``n`` per (ticker, salt), then per ticker. The
+    salt is a hash of the order columns, so a hot ticker's rows go to ``salts``
+    tasks. Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by
+    default) Spark also limits every map task to ``n`` rows per group; beyond
+    it the result is the same, and more ``salts`` keep the tasks small.
     """
-    limit = int(prices.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n <= limit:
-        rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
-        return prices.withColumn(rn_col, rn).where(F.expr(f"{ident(rn_col)} <= {int(n)}"))
-    from assetrank.operators.scan import Series, with_positions
-
-    s = Series(tuple(key), (date_col, *tiebreak))
-    pos = with_positions(prices, s, with_total=True)
-    rn = (F.col("_cnt") - F.col("_pos") + 1).cast("int")
-    return pos.withColumn(rn_col, rn).where(F.col(rn_col) <= n).drop("_pos", "_cnt")
+    salt = F.pmod(F.xxhash64(date_col, *tiebreak), F.lit(salts)).alias("_salt")
+    cut = F.expr(f"{ident(rn_col)} <= {int(n)}")
+    some = prices.select("*", salt)
+    some = some.withColumn(rn_col, F.expr(f"row_number() {_desc_over((*key, '_salt'), date_col, tiebreak)}")).where(cut)
+    rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
+    return some.drop("_salt", rn_col).withColumn(rn_col, rn).where(cut)
 
 
 def step_returns(
     trailing: DataFrame,
     *,
+    tiebreak: Sequence[str],
     key: Sequence[str] = ("ticker",),
     date_col: str = "date",
-    tiebreak: Sequence[str] = (),
     price_col: str = "close",
 ) -> DataFrame:
     """Signed-log one-step returns inside an already trailing-cut window (I2 steps).
@@ -89,11 +90,11 @@ def step_returns(
 def asset_features(
     prices: DataFrame,
     *,
+    tiebreak: Sequence[str],
     window: int = 251,
     return_days: int = 5,
     key: Sequence[str] = ("ticker",),
     date_col: str = "date",
-    tiebreak: Sequence[str] = (),
     price_col: str = "close",
     min_history: int | None = None,
 ) -> DataFrame:
@@ -102,7 +103,8 @@ def asset_features(
     ret = (c[0] - c[k]) / c[k] with c[0] the newest close, 0 when fewer than
     k + 1 prices; vol = population deviation of the signed-log step returns,
     0 when fewer than 2 prices. ``min_history`` (default: ``window``) drops
-    tickers with a shorter history (F3); pass 0 to keep all.
+    tickers with a shorter history (F3); pass 0 to keep all. More than ``window``
+    is counted over the whole history, before the cut.
     """
     if return_days < 0 or window < 1:
         raise ValueError("window must be >= 1 and return_days >= 0")
@@ -120,6 +122,11 @@ def asset_features(
     vol = "CASE WHEN n < 2 THEN 0.0D ELSE _sd END AS vol"
     f = f.selectExpr(*[ident(k) for k in key], "n", ret, vol)
     need = window if min_history is None else min_history
+    if need > window:
+        # null keys are a ticker of their own, as in the aggregate above
+        long = filter_min_history(prices, need, key=key).select(*(F.col(c).alias(f"_long_{c}") for c in key))
+        same = [F.col(c).eqNullSafe(F.col(f"_long_{c}")) for c in key]
+        return f.join(long, same, "left_semi")
     return f.where(F.expr(f"n >= {int(need)}")) if need > 0 else f
 
 
@@ -134,11 +141,12 @@ def returns_k(
     series: DataFrame,
     k: int,
     *,
+    order: Sequence[str],
     key: Sequence[str] = ("ticker",),
-    order: Sequence[str] = ("date",),
     value_col: str = "close",
 ) -> DataFrame:
     """Return over ``k`` steps at the end of each series (I1), 0 if under k + 1 points.
+    ``order`` is the date and the tie-break columns.
 
     Only the newest k + 1 rows per key are needed, which Spark limits per map
     task before the shuffle.

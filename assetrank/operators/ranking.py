@@ -78,8 +78,8 @@ def bottom_k_returns(df: DataFrame, k: int = 5) -> DataFrame:
 def pad_ranking(spark: SparkSession, ranked: DataFrame, k: int = 5) -> DataFrame:
     """Exactly ``k`` slots numbered 1..k; empty slots are all-null rows (K3).
 
-    ``ranked`` has at most k rows (a top-k result), so both join sides are
-    bounded by k.
+    Rows of ``ranked`` beyond rank k are cut off first, so a top-k result leaves at
+    most k rows on both sides; how to join them is left to Spark.
     """
     slots = spark.range(1, k + 1).select(F.col("id").alias("rank"))
-    return slots.join(F.broadcast(ranked), "rank", "left")
+    return slots.join(ranked.where(F.col("rank") <= k), "rank", "left")

@@ -14,6 +14,7 @@ RETURNS_LABEL = "  - Returns: "
 VOLATILITY_LABEL = "  - Volatility: "
 PE_LABEL = "  - P/E Ratio: "
 JAVA_NULL = "null"
+REPORT_NAME = "SPARK.DONE"
 
 NL = "\n"
 
@@ -66,26 +67,26 @@ def price_to_text(prices: DataFrame, date_col: str = "date") -> DataFrame:
     return prices.withColumn("text", F.concat_ws(" ", day, *nums, _text("ticker")))
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """Write the report as one text file under ``path``.
+def write_report(report: DataFrame, path: str) -> str:
+    """Write the report as one text file in ``<path>/SPARK.DONE`` (S4); returns that folder.
 
-    The report has one row per rank slot (k rows), so a single output file is
+    Only this child is ever replaced: whatever else lies in ``path`` stays. The
+    report has one row per rank slot (k rows), so a single output file is
     bounded by k.
     """
-    report.coalesce(1).sortWithinPartitions("rank").select("text").write.mode("overwrite").text(path)
+    target = f"{path.rstrip('/')}/{REPORT_NAME}"
+    report.coalesce(1).sortWithinPartitions("rank").select("text").write.mode("overwrite").text(target)
+    return target
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """The written report back as one ``value`` row per file."""
-    return spark.read.text(path, wholetext=True)
+    """The report written under ``path`` back as one ``value`` row per file."""
+    return spark.read.text(f"{path.rstrip('/')}/{REPORT_NAME}", wholetext=True)
 
 
-def print_report(padded: DataFrame, digits: int | None = None) -> str:
-    """Print the ranking report on the driver (S5) and return the text.
-
-    The padded ranking has exactly k rows, so collecting it is bounded by k.
-    """
-    blocks = ranking_report(padded, digits).orderBy("rank").collect()
+def print_report(padded: DataFrame, digits: int | None = None, k: int = 1000) -> str:
+    """Print the first ``k`` slots of the ranking report on the driver (S5) and return the text."""
+    blocks = ranking_report(padded.where(F.col("rank") <= k), digits).orderBy("rank").collect()
     text = "".join(r["text"] + NL for r in blocks)
     print(text, end="")
     return text

@@ -35,6 +35,10 @@ def rank_from_files(
     volatility_ceiling: float = _D.volatility_ceiling,
     pe_threshold: float = _D.pe_threshold,
     k: int = _D.k,
+    window: int = _D.window,
+    return_days: int = _D.return_days,
+    price_col: str = "close",
+    min_history: int | None = None,
     assets_multi_line: bool = True,
 ) -> DataFrame:
     """Padded top-``k`` ranking from a price CSV and an asset JSON file."""
@@ -47,6 +51,10 @@ def rank_from_files(
         volatility_ceiling=volatility_ceiling,
         pe_threshold=pe_threshold,
         k=k,
+        window=window,
+        return_days=return_days,
+        price_col=price_col,
+        min_history=min_history,
         tiebreak=CSV_TIEBREAK,
     )
     return pad_ranking(spark, ranked, k)

@@ -24,14 +24,16 @@ def rank_investments(
     prices: DataFrame,
     assets: DataFrame,
     *,
+    tiebreak: Sequence[str],
     end_date=_D.end_date,
     volatility_ceiling: float = _D.volatility_ceiling,
     pe_threshold: float = _D.pe_threshold,
     window: int = _D.window,
     return_days: int = _D.return_days,
     k: int = _D.k,
-    tiebreak: Sequence[str] = (),
     price_col: str = "close",
+    min_history: int | None = None,
+    year_partition: str | None = None,
 ) -> DataFrame:
     """Top ``k`` assets by ``return_days`` return, as one lazy plan.
 
@@ -40,13 +42,14 @@ def rank_investments(
     vol, pe. No action is triggered.
 
     Plan shape: the date cutoff and the P/E filter reach their scans; the
-    price side shuffles once by ticker after a per-task trailing-window
-    limit; features are a partial aggregate; the join sees one row per asset
+    price side passes a trailing-window limit by (ticker, salt), then by
+    ticker; features are a partial aggregate; the join sees one row per asset
     on both sides; the top-k is a per-partition take-ordered.
     """
-    p = filter_end_date(prices, end_date).select("ticker", "date", price_col, *tiebreak)
+    p = filter_end_date(prices, end_date, year_partition=year_partition)
+    p = p.select(*dict.fromkeys(("ticker", "date", price_col, *tiebreak)))
     feats = asset_features(
-        p, window=window, return_days=return_days, date_col="date", tiebreak=tiebreak, price_col=price_col
+        p, window=window, return_days=return_days, date_col="date", tiebreak=tiebreak, price_col=price_col, min_history=min_history
     )
     feats = filter_volatility(feats, volatility_ceiling)
     meta = filter_pe_ratio(assets.select("ticker", "name", "industry", "sector", "pe"), pe_threshold)

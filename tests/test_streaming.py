@@ -31,6 +31,6 @@ def test_year_partitions_pruned_by_cutoff(spark):
     psrc.write_prices_csv(fx.price_text(spark, SF), src)
     ingest_prices(spark, src, out, chk).awaitTermination(300)
     table = spark.read.parquet(out)
-    kept = filter_end_date(table, "1996-06-30")
+    kept = filter_end_date(table, "1996-06-30", year_partition="year")
     assert "PartitionFilters: [isnotnull(year" in plan_text(kept) and "(year#" in plan_text(kept)
     assert kept.count() == table.where("date <= date'1996-06-30'").count() > 0
