@@ -9,6 +9,7 @@ not matter.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from assetrank.config import shared_dir
-from assetrank.functions.dates import utc_wall_time, utc_wall_time_from_string
+from assetrank.functions.dates import instant_from_string, instant_from_ymd
 from assetrank.functions.indicators import ident
 from assetrank.operators import features as feat
 from assetrank.operators import ranking as rk
@@ -245,38 +246,39 @@ REPORT = f"""report as (
 # --------------------------------------------------------------------------
 
 
-_WRITTEN: dict[tuple[int, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str, int], str] = {}
 
 
-def _written(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
-    """Write a text copy of a table once per session and table folder.
+def _written(spark: SparkSession, sf_dir: str, kind: str, source: str, write) -> str:
+    """Write a text copy of a table once per application and state of the table.
 
     The CSV and JSON sources are tested on files Spark writes from the given
-    tables; the three CSV queries share one copy instead of writing the
-    whole lineitem table three times.
+    tables; the CSV queries share one copy instead of writing the whole
+    lineitem table each. A table that changed is copied anew.
     """
-    key = (id(spark), sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, _changed(spark, f"{sf_dir}/{source}.parquet"))
     path = _WRITTEN.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None or _changed(spark, f"{path}/_SUCCESS") is None:
         path = shared_dir(spark, kind)
         write(path)
         _WRITTEN[key] = path
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` (any Hadoop file system) still holds a finished write."""
+def _changed(spark: SparkSession, path: str) -> int | None:
+    """Time of the last change of ``path`` on any Hadoop file system; None if it is not there."""
     jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return bool(done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done))
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getFileStatus(at).getModificationTime() if system.exists(at) else None
 
 
 def _price_csv_path(spark: SparkSession, sf_dir: str) -> str:
-    return _written(spark, sf_dir, "prices_csv", lambda p: psrc.write_prices_csv(fx.price_text(spark, sf_dir), p))
+    return _written(spark, sf_dir, "prices_csv", "lineitem", lambda p: psrc.write_prices_csv(fx.price_text(spark, sf_dir), p))
 
 
 def _assets_json_path(spark: SparkSession, sf_dir: str) -> str:
-    return _written(spark, sf_dir, "assets_json", lambda p: asrc.write_assets_json(fx.asset_records(spark, sf_dir), p))
+    return _written(spark, sf_dir, "assets_json", "supplier", lambda p: asrc.write_assets_json(fx.asset_records(spark, sf_dir), p))
 
 
 def _written_price_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,6 +338,18 @@ def q_scan_assets_json(spark, sf_dir):
     return r6(_written_assets(spark, sf_dir))
 
 
+@query(
+    "scan_assets_json_documents",
+    f"""with {ASSETS}, {ASSET_RECORDS}
+    select symbol, isin, figi, name, description, industry, sector,
+           round(price_earning_ratio, 6) as price_earning_ratio, growth from records""",
+)
+def q_scan_assets_json_documents(spark, sf_dir):
+    """The multi-line form: every file is one JSON array over many lines."""
+    path = _written(spark, sf_dir, "assets_json_documents", "supplier", lambda p: asrc.write_assets_documents(fx.asset_records(spark, sf_dir), p))
+    return r6(asrc.scan_assets_json(spark, path, multi_line=True))
+
+
 @query(
     "project_assets",
     f"""with {ASSETS}, {ASSET_RECORDS}
@@ -704,6 +718,13 @@ def q_expanding_agg(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
+def _utc_text(instant):
+    """An instant as UTC wall-clock text, whatever the session's time zone."""
+    seconds = F.unix_seconds(instant).cast("decimal(18,6)")
+    wall = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.date_format(wall, "yyyy-MM-dd HH:mm:ss")
+
+
 @query(
     "instant_from_ymd",
     """select distinct cast(l_shipdate as date) as date,
@@ -713,8 +734,8 @@ def q_expanding_agg(spark, sf_dir):
 )
 def q_instant_from_ymd(spark, sf_dir):
     d = fx.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("date")).distinct()
-    wall = utc_wall_time(F.year("date"), F.month("date"), F.dayofmonth("date"))
-    return d.select("date", F.date_format(wall, "yyyy-MM-dd HH:mm:ss").alias("london_midnight_utc"))
+    instant = instant_from_ymd(F.year("date"), F.month("date"), F.dayofmonth("date"))
+    return d.select("date", _utc_text(instant).alias("london_midnight_utc"))
 
 
 @query(
@@ -726,7 +747,7 @@ def q_instant_from_ymd(spark, sf_dir):
 )
 def q_instant_from_string(spark, sf_dir):
     d = fx.price_text(spark, sf_dir).select(F.col("date").alias("date_text")).distinct()
-    return d.select("date_text", F.date_format(utc_wall_time_from_string("date_text"), "yyyy-MM-dd HH:mm:ss").alias("london_midnight_utc"))
+    return d.select("date_text", _utc_text(instant_from_string("date_text")).alias("london_midnight_utc"))
 
 
 @query(

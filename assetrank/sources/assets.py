@@ -25,13 +25,24 @@ def scan_assets_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     per file, which Spark cannot split; JSON Lines (``multi_line=False``) is
     the splittable form for large inputs.
     """
-    return spark.read.schema(ASSET_SCHEMA).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(ASSET_SCHEMA).option("multiLine", multi_line)
+    return reader.option("recursiveFileLookup", True).json(path)
 
 
 def write_assets_json(df: DataFrame, path: str) -> None:
     df.select(*[c for c in ASSET_SCHEMA.fieldNames() if c in df.columns]).write.mode("overwrite").json(path)
 
 
+def write_assets_documents(df: DataFrame, path: str, per_file: int = 64) -> None:
+    """Write records as multi-line JSON arrays, one per file, of about ``per_file`` records each."""
+    records = df.select(*[c for c in ASSET_SCHEMA.fieldNames() if c in df.columns])
+    files = max(1, -(-records.count() // per_file))
+    part = F.pmod(F.xxhash64("symbol"), F.lit(files)).alias("part")
+    arrays = records.groupBy(part).agg(F.collect_list(F.struct(*records.columns)).alias("a"))
+    text = arrays.select("part", F.to_json("a", {"pretty": "true"}).alias("value"))
+    text.write.partitionBy("part").text(path)  # one row, hence one file, per part
+
+
 def project_assets(raw: DataFrame, zero_missing_pe: bool = False) -> DataFrame:
     """Metadata rows -> the columns the ranking joins on.
 

@@ -21,19 +21,9 @@ PRICE_TIEBREAK = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 TICK_TIEBREAK = ("event_id",)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables. The DataFrame (file listing and footer
-    schema) is reused within a session; DataFrames are immutable plans, so
-    sharing one is safe."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    """One of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:

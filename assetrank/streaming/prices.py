@@ -29,14 +29,17 @@ def ingest_prices(
     target: str,
     checkpoint: str,
     available_now: bool = True,
+    files_per_year: int = 4,
 ) -> StreamingQuery:
     """Append cleaned prices to a Parquet table partitioned by year.
 
     ``checkpoint`` must be on shared storage (for example under
     ``spark.checkpoint.dir``) so a restarted driver resumes exactly once.
-    With ``available_now`` the query processes what is there and stops.
+    With ``available_now`` the query processes what is there and stops. A batch
+    writes at most ``files_per_year`` files for a year, whatever its tasks.
     """
     df = stream_prices(spark, source).withColumn("year", F.year("date"))
+    df = df.repartition(F.col("year"), F.pmod(F.xxhash64("ticker", "date"), F.lit(files_per_year)))
     writer = (
         df.writeStream.format("parquet")
         .option("path", target)
