@@ -7,8 +7,9 @@ into fragments, and with it every document's set.
 * The head fragments hold each set's rarest n-grams, as many as a set that
   reaches the threshold must share at least one of (prefix filter). Sets meet
   in the lists of their head n-grams, under length and position bounds.
-* For sets that met, overlaps are counted fragment by fragment, each fragment
-  on its own, and summed per pair; the sum decides exactly.
+* For sets that met, a short parity signature bounds the overlap from above; where
+  it allows a link, overlaps are counted fragment by fragment, each fragment on
+  its own, and summed per pair; the sum decides exactly.
 
 Documents with equal sets form a class first, and only classes are joined. Big
 groups of near copies would give all pairs, so pairs come in two rounds: first
@@ -65,6 +66,29 @@ def ordered(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return grams[np.argsort(counts[buckets(grams)], kind="stable")]
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """Per bucket of n-grams whether their number is odd, as 64-bit words. Two
+    sets differ in at least as many n-grams as their signatures do in bits. The
+    buckets are the low bits of the hashes, two to four per n-gram; a signature
+    folds to half its length by xor of its halves."""
+    bits = max(128, 1 << (2 * len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype("int64"), minlength=bits) & 1
+    return np.packbits(odd.astype("uint8")).view("int64")
+
+
+def _bits_apart(a: Column, b: Column) -> Column:
+    """In how many bits two signatures differ, the longer one folded. Lengths within
+    a link's bounds differ by one fold at most; others count as not apart."""
+
+    def folded(x: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+    one = F.when(F.size(a) == 2 * F.size(b), folded(a)).otherwise(a)
+    two = F.when(F.size(b) == 2 * F.size(a), folded(b)).otherwise(b)
+    return F.aggregate(F.zip_with(one, two, lambda p, q: F.coalesce(F.bit_count(p.bitwiseXOR(q)), F.lit(0))), F.lit(0), lambda n, x: n + x)
+
+
 def head_size(size: int, percent: int) -> int:
     """A set must share one of its first so many n-grams with every set it links to."""
     return size - -(-percent * size // 100) + 1
@@ -111,29 +135,33 @@ def text_key(text: Column) -> Column:
 
 
 def _sets(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """doc_id, key (hash of the text), set (hash; null without words), size, head
-    (n-grams in order; only with a set's first row in a task, so copies bring few)."""
+    """doc_id, key (hash of the text), set (hash; null without words), size, bits
+    (parity signature), head (n-grams in order). Bits and head come only with
+    a set's first row in a task, so copies bring few."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         seen: set[int] = set()
         for batch in batches:
-            names, sizes, heads = [], [], []
+            names, sizes, bits, heads = [], [], [], []
             for text in batch.column(2):
                 grams = shingles(text.as_py(), n)
                 name = set_name(grams)
                 sizes.append(len(grams))
                 names.append(name)
-                heads.append(None if name is None or name in seen else words.signed(ordered(grams, table)[: head_size(len(grams), percent)]))
+                new = name is not None and name not in seen
+                bits.append(parity(grams) if new else None)
+                heads.append(words.signed(ordered(grams, table)[: head_size(len(grams), percent)]) if new else None)
                 seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
-                names=["doc_id", "key", "set", "size", "head"],
+                [batch.column(0), batch.column(1), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())]
+                + [pa.array(x, pa.list_(pa.int64())) for x in (bits, heads)],
+                names=["doc_id", "key", "set", "size", "bits", "head"],
             )
 
     text = F.col("text").cast("string")
     only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text"))
-    return only.mapInArrow(made, "doc_id long, key long, set long, size long, head array<long>")
+    return only.mapInArrow(made, "doc_id long, key long, set long, size long, bits array<long>, head array<long>")
 
 
 def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
@@ -160,9 +188,17 @@ def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
 def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, counts, n: int, percent: int, fragments: int) -> DataFrame:
     """The pairs (a, a_size, b, b_size) whose summed partial overlaps reach the threshold, as (a, b)."""
     pairs = tables.stored(pairs, "pairs")
+    needed = tables.stored(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "needed")
+    some = sets.join(tables.small_side(needed, needed.count(), 24), "set", "left_semi")
+    some = tables.stored(some.groupBy("set").agg(F.min(F.struct("doc_id", "key")).alias("c"), F.first("bits", ignorenulls=True).alias("bits")), "signatures")
+    bits = some.select("set", "bits")
+    likely = pairs.join(bits.toDF("a", "a_bits"), "a").join(bits.toDF("b", "b_bits"), "b")
+    most = (F.col("a_size") + F.col("b_size") - _bits_apart(F.col("a_bits"), F.col("b_bits"))) / 2
+    pairs = tables.stored(likely.where(most >= least_overlap(F.col("a_size"), F.col("b_size"), percent)).select(*pairs.columns), "likely")
+
+    # one text per set that is still in a pair is read again
     needed = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    # one text per set that is in a pair is read again
-    chosen = sets.join(needed, "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "key")).alias("c"))
+    chosen = some.join(needed, "set", "left_semi")
     chosen = tables.stored(chosen.select(F.col("c.doc_id").alias("chosen_id"), F.col("c.key").alias("chosen_key")), "chosen")
     chosen = tables.small_side(chosen, chosen.count(), 24)
     text = F.col("text").cast("string")

@@ -132,3 +132,21 @@ def test_connected_components_of_long_paths(spark):
         root[max(x, y)] = min(x, y)
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert got == {k: find(k) for k in root if k in got} and {k for a, b in links if a != b for k in (a, b)} == set(got)
+
+
+def test_signatures_never_hide_a_link(spark):
+    """The bits that differ are no more than the n-grams that differ, also when one signature is folded."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (1, 3, 60, 64, 65, 500, 3000):
+        base = rng.integers(0, 2**63, n, dtype="uint64")
+        for cut in (0, 1, n // 10, n // 5):
+            other = np.concatenate([base[cut:], rng.integers(0, 2**63, cut // 2, dtype="uint64")])
+            if len(other):
+                a, b = np.unique(base), np.unique(other)
+                rows.append((ngram_join.parity(a).tolist(), ngram_join.parity(b).tolist(), len(np.setxor1d(a, b))))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, differ long")
+    got = df.select("differ", ngram_join._bits_apart(F.col("a"), F.col("b")).alias("bits")).collect()
+    assert all(r.bits <= r.differ for r in got) and any(r.bits for r in got) and any(len(a) != len(b) for a, b, _ in rows)
