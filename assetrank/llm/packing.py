@@ -135,18 +135,20 @@ class BestFit:
         return sequence, self.max_tokens - free
 
 
-def pack(pieces: DataFrame, max_tokens: int, open_sequences: int = 512, sequences_per_task: int = 16384) -> DataFrame:
+def pack(pieces: DataFrame, max_tokens: int, open_sequences: int = 512, sequences_per_task: int = 16384, lot: int = 2048) -> DataFrame:
     """Add ``sequence_id`` and ``offset``.
 
     Pieces are dealt by hash to as many tasks as the total length asks for
-    (about ``sequences_per_task`` sequences each), come in a fixed pseudo-random
-    order there and are packed online: a task holds its open sequences and one
-    batch. A rerun of a task gives the same rows.
+    (about ``sequences_per_task`` sequences each) and packed online: a task holds
+    its open sequences and one batch. They arrive in pseudo-random lots of about
+    ``lot`` pieces, the long ones of a lot first, so that the short ones fill
+    what the long ones leave while those sequences are still open. A rerun of
+    a task gives the same rows.
     """
-    total = pieces.agg(F.sum("length")).first()[0] or 0
+    total, count = pieces.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
     tasks = max(1, -(-total // (max_tokens * sequences_per_task)))
     keys = ["doc_id", "piece", "ids_crc32", "length", "start"]
-    order = F.xxhash64("ids_crc32", "doc_id", "piece")
+    order = [F.pmod(F.xxhash64("ids_crc32", "doc_id", "piece"), F.lit(max(1, count // (tasks * lot)))), F.desc("length")]
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer = BestFit(max_tokens, open_sequences, TaskContext.get().partitionId() << 40)
@@ -157,7 +159,7 @@ def pack(pieces: DataFrame, max_tokens: int, open_sequences: int = 512, sequence
             yield rows
 
     tables.ship(pieces.sparkSession)
-    dealt = pieces.repartition(tasks, F.xxhash64(*keys)).sortWithinPartitions(order, *keys)
+    dealt = pieces.repartition(tasks, F.xxhash64(*keys)).sortWithinPartitions(*order, *keys)
     return dealt.mapInPandas(packed, SEQUENCE_SCHEMA)
 
 
