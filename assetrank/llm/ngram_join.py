@@ -260,7 +260,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
     # rows without a set stand alone; the others share their class's root
     named = sets.select("doc_id", "key", "set", "size").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "root", "left")
+    # written, so that the join meets plain exchanges and Spark can split a big component's rows
+    named = named.join(tables.stored(least, "least"), "root", "left")
     own = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return named.select("doc_id", "key", F.col("size").alias("n_shingles"), "root", own.alias("component_id"))
 
