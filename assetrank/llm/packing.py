@@ -13,6 +13,7 @@ occur; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,23 +31,38 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SEQUENCE_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long"
 
 
+#: ASCII marks that the tokenizer splits off a word (an apostrophe can begin a contraction, < a special token).
+_MARKS = "".join(c for c in string.punctuation if c not in "'<|>_")
+
+
 class WordIds(dict):
     """Ids (little-endian uint32 bytes) of text between blanks, filled on demand.
 
-    The tokenizer's splitting never joins text across white space, so a text's
-    ids are its blank-separated parts' ids in a row. ``most`` bounds the memory:
-    a full table keeps what it has (frequent parts come early) and encodes the rest anew.
+    The tokenizer's splitting never joins text across white space, nor letters
+    with the marks after them, and it lower-cases: so a text's ids are its
+    blank-separated parts' ids in a row, and ``Word,`` has those of ``word`` and
+    ``,``. ``most`` bounds the memory: a full table keeps what it has (frequent
+    parts come early) and encodes the rest anew. Joined parts take a quarter at most.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) < self.most and len(part) <= 64:
+        word = part.rstrip(_MARKS)
+        if word.isalpha() and (len(word) < len(part) or word.isascii() and not word.islower()):
+            if word.isascii():
+                word = word.lower()
+            marks = part[len(word) :]
+            ids = self[word] + self[marks] if marks else self[word]
+            room = self.most // 4
+        else:
+            ids = np.asarray(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            room = self.most
+        if len(self) < room and len(part) <= 64:
             self[part] = ids
         return ids
 

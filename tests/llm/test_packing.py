@@ -25,7 +25,7 @@ def expected_pieces(tokenizer, text, most):
 
 @pytest.mark.parametrize(
     "text",
-    ["", "  ", "It's  a\ttest\n\nof\u00a0white\u2003space.", "<|startoftext|>x<|endoftext|> y", "e\u0301 \u0301x ΣΑΣ İ ﬁ", "a\x1cb\x85c\u200bd", "don't WE'LL 12345 !!!???", "漢字かな 한국어 \U0001f600\u200d\U0001f600", "x" * 3000],
+    ["", "  ", "It's  a\ttest\n\nof\u00a0white\u2003space.", "<|startoftext|>x<|endoftext|> y", "e\u0301 \u0301x ΣΑΣ İ ﬁ", "a\x1cb\x85c\u200bd", "don't WE'LL 12345 !!!???", "漢字かな 한국어 \U0001f600\u200d\U0001f600", "x" * 3000, "Word, word. WORD!? Straße; ÉTÉ) é. ß, I'M, you're. (don't) a_b _ a_, x<|endoftext|>, Ǆ, K, ﬀ. ١٢, e\u0301, ㅎㅏㄴ. ª, Ⅷ. a|b|, <|,"],
 )
 def test_word_table_equals_whole_text(tokenizer, text):
     table = packing.WordIds(tokenizer_path())
