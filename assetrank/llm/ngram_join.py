@@ -105,17 +105,23 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
     width = (1 << BUCKET_BITS) // SLICES
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << BUCKET_BITS, dtype="uint64")
+        total = np.zeros(1 << BUCKET_BITS, dtype="int64")
         for batch in batches:
-            every = [buckets(shingles(text.as_py(), n)) for text in batch.column(0)]
-            if every:
-                total += np.bincount(np.concatenate(every), minlength=1 << BUCKET_BITS).astype("uint64")
+            some, size = [], 0
+            for text in batch.column(0):
+                some.append(buckets(shingles(text.as_py(), n)))
+                size += len(some[-1])
+                if size > 1 << BUCKET_BITS:  # few enough to hold, many enough to pay for the table
+                    total += np.bincount(np.concatenate(some), minlength=1 << BUCKET_BITS)
+                    some, size = [], 0
+            if some:
+                total += np.bincount(np.concatenate(some), minlength=1 << BUCKET_BITS)
         parts = [zlib.compress(total[k * width : (k + 1) * width].tobytes(), 1) for k in range(SLICES)]
         names = {"slice": pa.array(range(SLICES), pa.int32()), "part": pa.array([TaskContext.get().partitionId()] * SLICES, pa.int32())}
         yield pa.RecordBatch.from_pydict(names | {"counts": pa.array(parts, pa.binary())})
 
     def summed(part: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(c), dtype="uint64") for c in part["counts"])
+        total = sum(np.frombuffer(zlib.decompress(c), dtype="int64") for c in part["counts"])
         return pd.DataFrame({"slice": part["slice"].iloc[:1], "part": part["part"].iloc[:1] // FAN_IN, "counts": [zlib.compress(total.tobytes(), 1)]})
 
     schema = "slice int, part int, counts binary"
@@ -124,9 +130,9 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
     while last:  # a tree of sums: a task adds up FAN_IN slices at most
         parts = parts.groupBy("slice", F.expr(f"part div {FAN_IN}")).applyInPandas(summed, schema)
         last //= FAN_IN
-    total = np.zeros(1 << BUCKET_BITS, dtype="uint64")
+    total = np.zeros(1 << BUCKET_BITS, dtype="int64")
     for row in parts.collect():  # SLICES rows
-        total[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype="uint64")
+        total[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype="int64")
     return total
 
 
@@ -179,8 +185,14 @@ def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
                     continue
                 at = np.searchsorted(bounds, table[buckets(grams)])
                 rows += [(set_name(grams), int(k), words.signed(grams[at == k])) for k in np.unique(at)]
-            kinds = [("set", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
+                if len(rows) >= 1000:
+                    yield as_batch(rows)
+                    rows = []
+            yield as_batch(rows)
+
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [("set", pa.int64()), ("fragment", pa.int32()), ("grams", pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], names=[k for k, _ in kinds])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(cut, "set long, fragment int, grams array<long>")
 

@@ -32,9 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
-    lineage, so a lost executor never sends later stages back to the source."""
+    lineage, so a lost executor never sends later stages back to the source. All
+    tables of an application lie in one folder, to be removed with it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/assetrank-llm/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/assetrank-llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,7 +14,7 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 class WordHashes(dict):
     """Word -> 64-bit hash; ``most`` bounds the memory (a full table keeps what it has)."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
