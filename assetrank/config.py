@@ -41,7 +41,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     Without that setting only a ``local`` session gets a temporary folder;
     executors of a cluster could not read a machine-local one, so there it
-    raises. The session's settings are never changed.
+    raises. The session's settings are never changed. All paths of an application
+    lie in one folder, to be removed with it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -49,4 +50,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), f"assetrank-{os.getpid()}")
-    return f"{base.rstrip('/')}/assetrank/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/assetrank/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
