@@ -60,12 +60,16 @@ def trailing_n(
     default) Spark also limits every map task to ``n`` rows per group; beyond
     it the result is the same, and more ``salts`` keep the tasks small.
     """
-    salt = F.pmod(F.xxhash64(date_col, *tiebreak), F.lit(salts)).alias("_salt")
-    cut = F.expr(f"{ident(rn_col)} <= {int(n)}")
-    some = prices.select("*", salt)
-    some = some.withColumn(rn_col, F.expr(f"row_number() {_desc_over((*key, '_salt'), date_col, tiebreak)}")).where(cut)
+    some = newest_per_salt(prices, n, tiebreak=tiebreak, key=key, date_col=date_col, salts=salts)
     rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
-    return some.drop("_salt", rn_col).withColumn(rn_col, rn).where(cut)
+    return some.withColumn(rn_col, rn).where(F.expr(f"{ident(rn_col)} <= {int(n)}"))
+
+
+def newest_per_salt(prices: DataFrame, n: int, *, tiebreak: Sequence[str], key: Sequence[str], date_col: str, salts: int) -> DataFrame:
+    """The first limit of :func:`trailing_n`: at most ``n x salts`` rows of a ticker."""
+    salted = prices.withColumn("_salt", F.pmod(F.xxhash64(date_col, *tiebreak), F.lit(salts)))
+    newest = F.expr(f"row_number() {_desc_over((*key, '_salt'), date_col, tiebreak)}")
+    return salted.withColumn("_nth", newest).where(F.expr(f"_nth <= {int(n)}")).drop("_salt", "_nth")
 
 
 def step_returns(
