@@ -125,3 +125,29 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(docs_of(spark, sf_dir), LICENSES)
+
+
+ORACLE["op5_vertical_jaccard_join"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'),
+         lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT doc_id, doc_id AS c FROM sets UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.doc_id
+)
+SELECT sets.doc_id, any_value(len(s))::BIGINT AS n_shingles, min(c) AS component_id
+FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id
+"""
