@@ -102,7 +102,7 @@ def _holders(docs: DataFrame, filter_bits, n: int) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         seen = filter_bits.value
-        for batch in batches:
+        for batch in tables.each(batches):
             held: Counter[int] = Counter()
             for text in batch.column(0):
                 grams = words.grams(words.hashes(words.plain_words(text.as_py() or "")), n)
@@ -117,7 +117,7 @@ def _windows(docs: DataFrame, filter_bits, n: int, margin: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = filter_bits.value
-        for batch in batches:
+        for batch in tables.each(batches):
             rows = []
             for k, text in enumerate(batch.column(2)):
                 hashed = words.hashes(words.plain_words(text.as_py() or ""))

@@ -228,7 +228,7 @@ def extract_pages(pages: DataFrame, sigma: float = 1.0, threshold: float = 0.5)
     """page_id, url, text of every row of ``pages`` (page_id, url, html)."""
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.each(batches):
             texts = pa.array([main_text(html.as_py(), sigma, threshold) for html in batch.column(2)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["page_id", "url", "text"])
 

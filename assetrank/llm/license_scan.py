@@ -164,7 +164,7 @@ def scan_licenses(docs: DataFrame, licenses: dict[str, str], min_coverage: float
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         templates = [Template(name, text, min_coverage, min_density, max_missing) for name, text in sorted(licenses.items())]
-        for batch in batches:
+        for batch in tables.each(batches):
             rows = [(doc_id, *m) for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for m in scan(text.as_py(), templates)]
             kinds = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
             names = ["doc_id", "license", "coverage", "first_word", "end_word", "n_words"]

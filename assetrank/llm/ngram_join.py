@@ -106,7 +106,7 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << BUCKET_BITS, dtype="int64")
-        for batch in batches:
+        for batch in tables.each(batches):
             some, size = [], 0
             for text in batch.column(0):
                 some.append(buckets(shingles(text.as_py(), n)))
@@ -148,7 +148,7 @@ def _sets(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         seen: set[int] = set()
-        for batch in batches:
+        for batch in tables.each(batches):
             names, sizes, bits, heads = [], [], [], []
             for text in batch.column(2):
                 grams = shingles(text.as_py(), n)
@@ -177,7 +177,7 @@ def _segments(docs: DataFrame, counts, n: int, fragments: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         bounds = np.quantile(table, np.arange(1, fragments) / fragments) if table.any() else np.zeros(fragments - 1)
-        for batch in batches:
+        for batch in tables.each(batches):
             rows = []
             for text in batch.column(0):
                 grams = shingles(text.as_py(), n)
@@ -287,7 +287,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, fragments: int = 8)
     """
     found = tables.stored(jaccard_components(docs, n, percent, fragments).where("root IS NOT NULL"), "found")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.count("*").alias("rows"))
-    several = found.join(first.where("rows > 1"), "root")
+    several = found.join(tables.stored(first.where("rows > 1"), "first"), "root")
     stays = several["doc_id"].eqNullSafe(F.col("first.doc_id")) & (several["key"] == F.col("first.key"))
     marked = several.groupBy("doc_id", "key").agg(F.max(stays).alias("stays"), F.count("*").alias("alike"))
     marked = tables.stored(marked.where("NOT stays OR alike > 1"), "marked")

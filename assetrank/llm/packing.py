@@ -45,7 +45,7 @@ class WordIds(dict):
     parts come early) and encodes the rest anew. Joined parts take a quarter at most.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -91,7 +91,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, end_i
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_ids(tokenizer_path)
         step = 4 * max_tokens
-        for batch in batches:
+        for batch in tables.each(batches):
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = document_ids(table, text.as_py(), end_id)

@@ -2,11 +2,13 @@
 
 1. Heuristic labellers vote on every document: good, bad or no vote. They
    overlap on purpose (several look at the same fault in different ways).
-2. The votes of the whole corpus are counted by pattern (a partial aggregate;
-   at most 3^labellers patterns). Expectation-maximisation on these counts
-   estimates each labeller's accuracy; a missing vote says nothing. The posterior of a pattern is a soft label.
+2. The votes of the whole corpus are counted by pattern (a partial aggregate; a
+   labeller votes for one side or not at all, so 2^labellers patterns at most).
+   Expectation-maximisation on these counts estimates each labeller's accuracy;
+   a missing vote says nothing. The posterior of a pattern is a soft label.
 3. A linear scorer over hashed features (words, word shapes, votes) is fitted to
-   the soft labels of a bounded sample: at most ``sample`` documents with votes, picked by hash.
+   the soft labels of a bounded sample: at most ``sample`` documents with votes,
+   picked by hash.
 4. Every document is scored; those below ``threshold`` are rejected.
 
 Defined cases: null and empty texts get no vote and no feature but the constant,
@@ -196,7 +198,7 @@ def _voted(docs: DataFrame, share: float, bits: int) -> DataFrame:
     limit = int(share * 2**32)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.each(batches):
             patterns, ats, values = [], [], []
             for text, pick in zip(batch.column(1), batch.column(0).to_pylist(), strict=True):
                 m = Measures(text.as_py() or "")
@@ -233,7 +235,7 @@ def fit(docs: DataFrame, sample: int = 10_000, bits: int = 16) -> Model | None:
     if not total:
         return None
     voted = tables.stored(_voted(docs, min(1.0, sample / total), bits), "votes")
-    counted = voted.groupBy("pattern").count().collect()  # at most 3^labellers rows
+    counted = voted.groupBy("pattern").count().collect()  # at most 2^labellers rows
     labels = fit_labels(np.array([r["pattern"] for r in counted]), np.array([r["count"] for r in counted], dtype="float64"))
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,7 +260,7 @@ def classify(docs: DataFrame, threshold: float = 0.3, sample: int = 10_000, bits
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tables.each(batches):
             scores = [shared.value.judge(text.as_py()) for text in batch.column(1)]
             columns = [batch.column(0), *(pa.array([s[k] for s in scores], pa.float64()) for k in range(2))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "posterior"])

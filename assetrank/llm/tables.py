@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,14 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
 
 
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a Python worker; what Arrow keeps of one is given back before the next."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def small_side(df: DataFrame, rows: int, row_bytes: int, most_bytes: int = 32 << 20) -> DataFrame:
     """Hint a broadcast when ``rows`` (counted by the caller) are small enough;
     otherwise leave the join to Spark's shuffle joins."""
