@@ -85,7 +85,7 @@ def _filter_of(grams: DataFrame) -> np.ndarray:
     """A bit per hash bucket that some gram falls into. At most 2^22 / 64 rows
     reach the driver, whatever the number of grams."""
     bucket = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
-    rows = grams.select(F.shiftright(bucket, 6).alias("at"), F.shiftleft(F.lit(1).cast("long"), 0).alias("one"), (bucket % 64).cast("int").alias("bit"))
+    rows = grams.select(F.shiftright(bucket, 6).alias("at"), (bucket % 64).cast("int").alias("bit"))
     rows = rows.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype="int64")
     for row in rows:
