@@ -12,7 +12,9 @@ template reach the least share of the template's length that a reported match
 needs; a running sum finds all such stretches, so none is missed, and a text whose
 words cannot reach it is done after one set intersection per template. The sum
 weighs no word by place, so several notices in one stretch are cut apart where
-the template's words begin anew: after each reported match the rest is aligned again.
+the template's words begin anew: windows begin where the template's rarest words say
+that a notice begins, the best matches that don't overlap are kept, and what lies
+before, between and after them is aligned again.
 
 Defined cases: null or empty texts give no row; a template of few words needs all
 but ``max_missing`` of them; a notice that occurs twice gives two rows; a stretch
@@ -119,23 +121,68 @@ class Template:
 
     def matches(self, text: list) -> Iterator[tuple[float, int, int]]:
         """(coverage, first, end) of the template's matches."""
+        found: list[list[tuple[int, int]]] = []
         todo = self.stretches(text)
         while todo:
             first, end = todo.pop()
-            step = max(1, self.span // 2)
-            best = None
-            # long stretches (notice after notice) in overlapping windows of twice the span
-            for at in range(first, max(first + 1, end - step), step):
-                stop = min(end, at + 2 * self.span)
-                pairs = self._dense(patience(text[at:stop], self.words))
-                if len(pairs) >= self.least:
-                    best = (len(pairs) / len(self.words), at + pairs[0][0], at + pairs[-1][0] + 1)
-                    break
-            if best is None:
-                continue
-            yield best
-            if end - best[2] >= self.least:
-                todo.append((best[2], end))
+            taken = self._apart(self._candidates(text, first, end))
+            found += taken
+            # what lies before, between and after the matches is aligned again
+            edges = [first, *(at for pairs in taken for at in (pairs[0][0], pairs[-1][0] + 1)), end]
+            if taken:
+                todo += [(a, b) for a, b in zip(edges[::2], edges[1::2]) if b - a >= self.least]
+        found.sort()
+        for k, pairs in enumerate(found):
+            # the words up to the neighbours may hold the rest of a notice that was cut by its window
+            low = max(pairs[0][0] - self.span, found[k - 1][-1][0] + 1 if k else 0)
+            stop = min(pairs[-1][0] + 1 + self.span, found[k + 1][0][0] if k + 1 < len(found) else len(text))
+            whole = self._aligned(text, low, stop)
+            if whole and len(whole) > len(pairs):
+                found[k] = pairs = whole
+            yield len(pairs) / len(self.words), pairs[0][0], pairs[-1][0] + 1
+
+    def _starts(self, text: list, first: int, end: int) -> list[int]:
+        """The place in each quarter span where most of the template's rarest words say that a notice begins."""
+        rarest = min(self.times.values())
+        places: dict[str, list[int]] = {}
+        for k, word in enumerate(self.words):
+            if self.times[word] == rarest:
+                places.setdefault(word, []).append(k)
+        votes = Counter(at - k for at in range(first, end) for k in places.get(text[at], ()))
+        step = max(1, self.span // 4)
+        best: dict[int, tuple[int, int]] = {}
+        for at, n in votes.items():
+            best[at // step] = max(best.get(at // step, (0, 0)), (n, -at))
+        return sorted(-at for _, at in best.values())
+
+    def _candidates(self, text: list, first: int, end: int) -> Iterator[list[tuple[int, int]]]:
+        """Matches in windows of a stretch. A window that holds two whole notices has no
+        unique word, so windows of less than two template lengths begin at likely starts."""
+        size, step = len(self.words), max(1, self.span // 2)
+        windows = {(at, at + 2 * self.span) for at in range(first, max(first + 1, end - step), step)}
+        for at in self._starts(text, first, end):
+            windows |= {(at, at + size), (at - size // 8, at + self.span + size // 8)}
+        for low, stop in sorted({(max(low, first), min(stop, end)) for low, stop in windows}):
+            if pairs := self._aligned(text, low, stop):
+                yield pairs
+
+    def _aligned(self, text: list, low: int, stop: int) -> list[tuple[int, int]] | None:
+        """The template's match in a window, if it has enough words."""
+        held = Counter(text[low:stop])
+        if sum(min(n, held[w]) for w, n in self.times.items()) < self.least:
+            return None
+        pairs = self._dense([(low + at, k) for at, k in patience(text[low:stop], self.words)])
+        return pairs if len(pairs) >= self.least else None
+
+    @staticmethod
+    def _apart(candidates: Iterator[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+        """Matches that don't overlap, in text order; those with most matched and fewest other words first."""
+        taken: list[list[tuple[int, int]]] = []
+        for pairs in sorted(candidates, key=lambda p: (p[-1][0] - p[0][0] + 1 - 2 * len(p), p[0][0])):
+            at = bisect_left(taken, pairs)
+            if (not at or taken[at - 1][-1][0] < pairs[0][0]) and (at == len(taken) or pairs[-1][0] < taken[at][0][0]):
+                taken.insert(at, pairs)
+        return taken
 
     def _dense(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """Drop stray matches at the ends until the rest is dense enough."""

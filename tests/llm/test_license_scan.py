@@ -59,6 +59,28 @@ def test_edited_copies_are_found_in_place(rate):
     assert abs(found[0][2] - 500) <= 3 and all(m[1] >= 0.8 for m in found)
 
 
+@pytest.mark.parametrize("name", ["MIT notice", "MIT", "Apache-2.0"])
+@pytest.mark.parametrize("copies", [1, 2, 3, 10])
+def test_notices_back_to_back(name, copies):
+    size = len(words.plain_words(LICENSES[name]))
+    for lead in (0, 3, size // 3, size + 7):
+        text = " ".join(["junk"] * lead + [LICENSES[name]] * copies + ["d e f"])
+        found = [m for m in license_scan.scan(text, templates()) if m[0] == name]
+        assert [m[1:4] for m in found] == [(1.0, lead + k * size, lead + (k + 1) * size) for k in range(copies)]
+
+
+@pytest.mark.parametrize("rate", [0.03, 0.08])
+def test_edited_notices_back_to_back(rate):
+    rng = random.Random(int(rate * 100))
+    body = words.plain_words(LICENSES["MIT"])
+    edits = {0: lambda w: ["changed"], 1: lambda w: [], 2: lambda w: [w, "added"]}
+    copies = [[v for w in body for v in ([w] if rng.random() >= rate else edits[rng.randrange(3)](w))] for _ in range(10)]
+    text = ["junk"] * 50 + [w for c in copies for w in c] + ["junk"] * 50
+    found = [m for m in license_scan.scan(" ".join(w if isinstance(w, str) else w.decode() for w in text), templates()) if m[0] == "MIT"]
+    starts = [50 + sum(map(len, copies[:k])) for k in range(10)]
+    assert len(found) == 10 and all(abs(m[2] - at) <= 5 for m, at in zip(found, starts))
+
+
 def test_edges(spark):
     rows = edge_rows() + [(8, "Released under the MIT License. " * 40), (8, "Released under the MIT License. " * 40), (9, "released under MIT"), (10, "under the " * 20000)]
     out = license_scan.scan_licenses(with_clashes(docs(spark, rows)), LICENSES).collect()
