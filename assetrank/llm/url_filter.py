@@ -6,7 +6,9 @@ subdomains, and paths that start with its prefix; the longest fitting rule wins.
 Every other url is judged by its template. Paths are cut into segments; digits
 runs and hex keys become shapes at once. Then, level by level down the tree of
 each host, the segments below a node that are too many and too rare turn into a
-wildcard, so their subtrees are pooled before the next level is looked at.
+wildcard, so their subtrees are pooled before the next level is looked at. A rare
+segment with ``min_labels`` labels stays if its share of good labels differs
+(two-proportion test) from the rest below the node, or from the segments with fewer.
 Sibling branches whose labelled shares do not differ (two-proportion test)
 merge too. A template's purity is its share of good labels,
 smoothed towards its host's share, which is smoothed towards the overall one;
@@ -62,7 +64,14 @@ def shapes(path: Column, max_depth: int) -> Column:
     return F.when(F.size(parts) > max_depth, F.concat(F.slice(parts, 1, max_depth), F.array(F.lit("**")))).otherwise(parts)
 
 
-def template_tree(paths: DataFrame, max_children: int, min_share: float, z: float) -> DataFrame:
+def differs(good: Column, n: Column, other_good: Column, other_n: Column, z: float) -> Column:
+    """Two-proportion test; without labels on both sides nothing differs."""
+    pooled = F.try_divide(good + other_good, n + other_n)
+    spread = F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(0.0)) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), other_n)))
+    return F.coalesce(F.abs(F.try_divide(good, n) - F.try_divide(other_good, other_n)) > z * spread, F.lit(False))
+
+
+def template_tree(paths: DataFrame, max_children: int, min_share: float, min_labels: int, z: float) -> DataFrame:
     """Templates of distinct paths (host, shape, n, good, bad): adds ``template``
     (generalised) and ``merged`` (after branches were merged)."""
     depth = paths.agg(F.max(F.size("shape"))).first()[0] or 0
@@ -70,10 +79,20 @@ def template_tree(paths: DataFrame, max_children: int, min_share: float, z: floa
     for level in range(depth):
         here = F.get("shape", F.lit(level))
         at = paths.withColumn("seg", here)
-        child = at.where("seg is not null").groupBy("host", "template", "seg").agg(F.sum("n").alias("child_n"))
-        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("child_n").alias("node_n"))
+        child = at.where("seg is not null").groupBy("host", "template", "seg").agg(
+            F.sum("n").alias("child_n"), F.sum("good").alias("g"), F.sum(F.col("good") + F.col("bad")).alias("l")
+        )
+        few = F.col("l") < min_labels
+        node = child.groupBy("host", "template").agg(
+            F.count("*").alias("children"),
+            F.sum("child_n").alias("node_n"),
+            *(F.sum(c).alias(f"node_{c}") for c in ("g", "l")),
+            *(F.sum(F.when(few, F.col(c)).otherwise(0)).alias(f"few_{c}") for c in ("g", "l")),
+        )
+        g, l = F.col("g"), F.col("l")
+        apart = differs(g, l, F.col("node_g") - g, F.col("node_l") - l, z) | differs(g, l, F.col("few_g"), F.col("few_l"), z)
         rare = child.join(node, ["host", "template"]).where(
-            (F.col("children") > max_children) & (F.col("child_n") < F.col("node_n") * min_share)
+            (F.col("children") > max_children) & (F.col("child_n") < F.col("node_n") * min_share) & (few | ~apart)
         )
         rare = rare.select("host", "template", "seg", F.lit(True).alias("wild"))
         at = at.join(rare, ["host", "template", "seg"], "left")
@@ -131,6 +150,7 @@ def judge_urls(
     z: float = 2.58,
     prior_weight: float = 10.0,
     min_purity: float = 0.5,
+    min_labels: int = 10,
 ) -> DataFrame:
     """Judge every row of ``pages`` (page_id, url).
 
@@ -148,7 +168,7 @@ def judge_urls(
         .agg(F.count("*").alias("n"), F.count_if(F.col("good") == 1).alias("good"), F.count_if(F.col("good") == 0).alias("bad"))
     )
     paths = tables.stored(paths, "paths")
-    tree = template_tree(paths, max_children, min_share, z)
+    tree = template_tree(paths, max_children, min_share, min_labels, z)
 
     overall = paths.agg(F.coalesce(F.try_divide(F.sum("good"), F.sum(F.col("good") + F.col("bad"))), F.lit(1.0)).alias("prior")).first()[0]
     smooth = lambda good, n, prior: (good + prior_weight * prior) / (n + prior_weight)

@@ -75,3 +75,28 @@ def test_templates_generalise_merge_and_reject(judged):
 def test_purity_is_smoothed_towards_the_host(judged):
     bad, good = judged[0].purity, judged[1].purity
     assert 0.0 < bad < 0.2 and 0.85 < good < 1.0
+
+
+def judged_sections(spark, sections):
+    """Verdicts by section of one host: sections maps a name to (pages, labelled, good)."""
+    rows, labels = [], []
+    for name, (pages, labelled, good) in sections.items():
+        for k in range(pages):
+            if k < labelled:
+                labels.append((len(rows), int(k < good)))
+            rows.append((len(rows), f"https://site.org/{name}/page{k}"))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    out = url_filter.judge_urls(pages, spark.createDataFrame(labels, "page_id long, good int"), []).collect()
+    return {name: {(r.template, r.verdict) for r in out if r.path.startswith(f"/{name}/")} for name in sections}
+
+
+def letters(k):
+    return "".join(chr(97 + int(d)) for d in f"{k:04d}")
+
+
+def test_small_sections_with_other_labels_stay_apart(spark):
+    sections = {letters(k): (100, 50, 48) for k in range(60)} | {"spam": (100, 50, 2), "mixed": (100, 50, 25)}
+    out = judged_sections(spark, sections | {f"rare{letters(k)}": (1, 1, 1) for k in range(200)})
+    assert out.pop("spam") == {("/spam/page#", "block")}
+    assert {len(v) for v in out.values()} == {1} and {verdict for v in out.values() for _, verdict in v} == {"allow"}
+    assert out["mixed"] == {("/mixed/page#", "allow")} and out["rareaaaa"] == {("/*/page#", "allow")}
