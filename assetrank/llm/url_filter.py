@@ -9,8 +9,8 @@ each host, the segments below a node that are too many and too rare turn into a
 wildcard, so their subtrees are pooled before the next level is looked at. A rare
 segment with ``min_labels`` labels stays if its share of good labels differs
 (two-proportion test) from the rest below the node, or from the segments with fewer.
-Sibling branches whose labelled shares do not differ (two-proportion test)
-merge too. A template's purity is its share of good labels,
+Sibling branches whose labelled shares do not differ (two-proportion test against
+a group's pooled counts, best-labelled branches first) merge too. A template's purity is its share of good labels,
 smoothed towards its host's share, which is smoothed towards the overall one;
 templates below ``min_purity`` are rejected.
 
@@ -24,9 +24,12 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import string
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetrank.llm import tables
@@ -107,37 +110,74 @@ def template_tree(paths: DataFrame, max_children: int, min_share: float, min_lab
     return paths.join(merged.select("host", "template", "merged"), ["host", "template"])
 
 
+def groups_of(branches: list[tuple[str, int, int]], z: float) -> list[list[str]]:
+    """Groups of sibling branches (name, good, labels) whose labelled shares do not differ.
+
+    The best-labelled come first; each joins the nearest group from whose pooled
+    counts it does not differ, or begins one. So a branch of few labels joins one
+    group and links none. Branches without labels say nothing: with more than one
+    group they form their own, which the host's share judges.
+    """
+    groups: list[tuple[list[str], int, int]] = []
+    for name, good, n in sorted((b for b in branches if b[2]), key=lambda b: (-b[2], b[0])):
+        near = []
+        for k, (_, g0, n0) in enumerate(groups):
+            pooled = (good + g0) / (n + n0)
+            apart = abs(good / n - g0 / n0)
+            if apart <= z * math.sqrt(pooled * (1 - pooled) * (1 / n + 1 / n0)):
+                near.append((apart, k))
+        if near:
+            k = min(near)[1]
+            names, g0, n0 = groups[k]
+            names.append(name)
+            groups[k] = (names, g0 + good, n0 + n)
+        else:
+            groups.append(([name], good, n))
+    out = [names for names, _, _ in groups]
+    rest = [name for name, _, n in branches if not n]
+    if rest and len(out) == 1:
+        out[0] += rest
+    elif rest:
+        out.append(rest)
+    return [sorted(names) for names in out]
+
+
+def group_label(names: list[str], siblings: int, most: int = 20) -> str:
+    """``*`` for the whole family, else ``{a|b}``; the first names and the number of the others tell a large group."""
+    if len(names) == 1:
+        return names[0]
+    if len(names) == siblings:
+        return "*"
+    return "{" + "|".join(names[:most] + [f"+{len(names) - most}"] * (len(names) > most)) + "}"
+
+
 def _merge_branches(nodes: DataFrame, level: int, z: float) -> DataFrame:
-    """Merge sibling branches at a level whose labelled shares do not differ.
+    """Merge sibling branches at a level whose labelled shares do not differ (``groups_of``).
 
-    Siblings stand in the order of their share of good labels; a group ends where
-    the next share differs (two-proportion test). Branches without labels come
-    last and differ from none. A group of several branches becomes ``*`` if it
-    is the whole family, else ``{a|b}``. A family is what the tree kept
-    literal below one node, so it is small.
+    A family is what the tree kept literal below one node: one row here.
     """
     seg = F.get("merged", F.lit(level))
     nodes = nodes.withColumn("before", F.slice("merged", 1, level)).withColumn("branch", seg)
     nodes = nodes.withColumn("after", F.when(seg.isNotNull(), F.slice("merged", level + 2, 1 << 20)))
     family = ["host", "before", "after"]
     branches = nodes.where("branch IS NOT NULL").groupBy(*family, "branch").agg(F.sum("good").alias("g"), F.sum(F.col("good") + F.col("bad")).alias("n"))
-    branches = branches.withColumn("share", F.try_divide("g", "n"))
-    line = Window.partitionBy(*family).orderBy(F.col("share").asc_nulls_last(), "branch")
-    g0, n0 = F.lag("g").over(line), F.lag("n").over(line)
-    pooled = (F.col("g") + g0) / F.nullif(F.col("n") + n0, F.lit(0))
-    spread = F.sqrt(F.greatest(pooled * (1 - pooled), F.lit(0.0)) * (F.try_divide(F.lit(1.0), "n") + F.try_divide(F.lit(1.0), n0)))
-    differs = F.coalesce(F.col("share") - F.try_divide(g0, n0) > z * spread, F.lit(False))
-    branches = branches.withColumn("group", F.sum(differs.cast("int")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    names = F.array_sort(F.collect_set("branch").over(Window.partitionBy(*family, "group")))
-    branches = branches.withColumn("names", names).withColumn("siblings", F.count("*").over(Window.partitionBy(*family)))
-    label = (
-        F.when(F.size("names") == 1, F.col("branch"))
-        .when(F.size("names") == F.col("siblings"), "*")
-        .otherwise(F.concat(F.lit("{"), F.array_join("names", "|"), F.lit("}")))
-    )
-    branches = branches.select(*family, "branch", label.alias("label"))
+    families = branches.groupBy(*family).agg(F.collect_list(F.struct("branch", "g", "n")).alias("all")).where(F.size("all") > 1)
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tables.each(batches):
+            rows = []
+            for all_ in batch.column(0).to_pylist():
+                groups = groups_of([(b["branch"], b["g"], b["n"]) for b in all_], z)
+                label = {name: group_label(names, len(all_)) for names in groups for name in names}
+                rows.append([label[b["branch"]] for b in all_])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], batch.column(0), pa.array(rows, pa.list_(pa.string()))], names=[*family, "all", "labels"])
+
+    tables.ship(nodes.sparkSession)
+    schema = "host string, before array<string>, after array<string>, all array<struct<branch: string, g: bigint, n: bigint>>, labels array<string>"
+    pairs = families.select("all", *family).mapInArrow(labelled, schema).select(*family, F.explode(F.arrays_zip("all.branch", "labels")).alias("pair"))
+    labels = pairs.select(*family, F.col("pair.branch").alias("branch"), F.col("pair.labels").alias("label"))
     merged = F.when(F.col("label").isNull(), F.col("merged")).otherwise(F.concat("before", F.array("label"), "after"))
-    return nodes.join(branches, [*family, "branch"], "left").select("host", "template", "n", "good", "bad", merged.alias("merged"))
+    return nodes.join(labels, [*family, "branch"], "left").select("host", "template", "n", "good", "bad", merged.alias("merged"))
 
 
 def judge_urls(

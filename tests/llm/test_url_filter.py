@@ -100,3 +100,20 @@ def test_small_sections_with_other_labels_stay_apart(spark):
     assert out.pop("spam") == {("/spam/page#", "block")}
     assert {len(v) for v in out.values()} == {1} and {verdict for v in out.values() for _, verdict in v} == {"allow"}
     assert out["mixed"] == {("/mixed/page#", "allow")} and out["rareaaaa"] == {("/*/page#", "allow")}
+
+
+def test_a_sparse_branch_links_no_groups(spark):
+    out = judged_sections(spark, {"bad": (500, 500, 50), "few": (2, 2, 1), "good": (500, 500, 450), "none": (2, 0, 0)})
+    assert {v for _, v in out["bad"]} == {"block"} and {v for _, v in out["good"]} == {"allow"}
+    assert out["bad"] != out["none"] != out["good"]
+
+
+def test_groups_of_branches():
+    groups = lambda *b: sorted(url_filter.groups_of(list(b), 2.58))
+    assert groups(("a", 50, 500), ("b", 1, 2), ("c", 450, 500)) in ([["a", "b"], ["c"]], [["a"], ["b", "c"]])
+    assert groups(("a", 90, 100), ("b", 0, 0), ("c", 9, 10)) == [["a", "b", "c"]]
+    assert groups(("a", 90, 100), ("b", 0, 0), ("c", 1, 100)) == [["a"], ["b"], ["c"]]
+    tail = [(f"t{k}", k % 3, 2) for k in range(30)]
+    split = groups(("a", 500, 5000), ("c", 4500, 5000), *tail)
+    assert not any({"a", "c"} <= set(names) for names in split) and sorted(sum(split, [])) == sorted(["a", "c", *(t[0] for t in tail)])
+    assert url_filter.group_label(["a", "b"], 3) == "{a|b}" and url_filter.group_label(["a", "b"], 2) == "*"
