@@ -22,6 +22,7 @@ from __future__ import annotations
 import operator
 import re
 import string
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -166,11 +167,11 @@ def features(m: Measures, pattern: int, bits: int) -> tuple[np.ndarray, np.ndarr
     if not m.n:
         return np.empty(0, dtype="int32"), np.empty(0, dtype="float32")
     word = np.unique((words.hashes(m.plain) >> top).astype("int32"))
-    # shapes of some words from all over the text, runs of one class as one sign
-    some = " ".join(m.tokens[:: max(1, m.n // 32)])
+    # shapes of all words, runs of one class as one sign; each distinct word is shaped once
+    times = Counter(m.tokens)
     shapes: dict[str, int] = {}
-    for shape in _SAME.sub(r"\1", some.translate(_CLASSES)).split(" "):
-        shapes[shape[:8]] = shapes.get(shape[:8], 0) + 1
+    for shape, n in zip(_SAME.sub(r"\1", " ".join(times).translate(_CLASSES)).split(" "), times.values(), strict=True):
+        shapes[shape] = shapes.get(shape, 0) + n
     total = sum(shapes.values())
     named = [f"shape {s}" for s in shapes] + [f"vote {k} {v}" for k, v in enumerate(unpack(np.array([pattern]))[0]) if v]
     other = np.array([xxhash.xxh64_intdigest(name) >> int(top) for name in named], dtype="int32")

@@ -58,6 +58,23 @@ def test_vote_numbers_round_trip():
     assert (quality.unpack(votes @ 3 ** np.arange(votes.shape[1] - 1, -1, -1)) == votes).all()
 
 
+def test_shapes_cover_the_whole_text():
+    def shapes(text):
+        at, value = quality.features(quality.Measures(text), 0, 16)
+        return dict(zip(at.tolist(), value.tolist()))
+
+    plain = ["word"] * 20_000
+    mark = int(quality.xxhash.xxh64_intdigest("shape #9#x") >> 48)
+    for place in (0, 1, 777, 19_999):
+        assert shapes(" ".join([*plain[:place], "##42##ab", *plain[place:]]))[mark] == pytest.approx(1 / 20_001)
+    long_shape = int(quality.xxhash.xxh64_intdigest("shape x-9-x-9-x-9") >> 48)
+    assert long_shape in shapes("word ab-12-cd-34-ef-56")
+    # one word added at the front moves no other word's shape
+    mixed = [f"A{k % 7}b" if k % 3 else "plain," for k in range(5_000)]
+    one, two = shapes(" ".join(mixed)), shapes(" ".join(["plain,", *mixed]))
+    assert max(abs(two.get(k, 0) - one.get(k, 0)) for k in one) < 1e-2
+
+
 def test_edges(spark):
     rows = edge_rows() + [(20, "SHOUT!! LOUD!! WORDS!! HERE!! NOW!! AGAIN!!"), (20, "SHOUT!! LOUD!! WORDS!! HERE!! NOW!! AGAIN!!")]
     table = with_clashes(docs(spark, rows * 20))
