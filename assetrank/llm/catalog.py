@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetrank.llm import ann, decontaminate, html_extract, license_scan, ngram_join, packing, pii, quality, sharding, url_filter
+from assetrank.llm import ann, collocations, conversation_repair, decontaminate, html_extract, license_scan, ngram_join, packing, pii, quality, sharding, simhash_tree, url_filter
 from assetrank.llm.license_texts import LICENSES
 from assetrank.llm.tables import docs_of
 
@@ -151,3 +151,58 @@ WITH RECURSIVE words AS (
 SELECT sets.doc_id, any_value(len(s))::BIGINT AS n_shingles, min(c) AS component_id
 FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id
 """
+
+
+@query
+def op11_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_tree.simhash_components(docs_of(spark, sf_dir), n=4, distance=4).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op12_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(docs_of(spark, sf_dir), least=10, top=2000, percent=50)
+
+
+ORACLE["op12_toivonen_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+  FROM documents
+), runs AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), one AS (
+  SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM runs) GROUP BY lang, x
+), two AS (
+  SELECT lang, p[1] AS x, p[2] AS y, count(*) AS f
+  FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) AS p FROM runs) GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+  SELECT lang, p[1] AS x, p[2] AS y, p[3] AS z, count(*) AS f
+  FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS p FROM runs) GROUP BY ALL HAVING count(*) >= 10
+), longer AS (
+  SELECT lang, x, y, max(f) AS f
+  FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY lang, x, y
+), cuts AS (
+  SELECT lang, x || ' ' || y AS phrase, two.f AS a, 1 AS k, l.f AS l, r.f AS r
+  FROM two JOIN one l USING (lang, x) JOIN (SELECT lang, x AS y, f FROM one) r USING (lang, y) LEFT JOIN longer USING (lang, x, y)
+  WHERE longer.f IS NULL OR 100 * longer.f < 50 * two.f
+  UNION ALL
+  SELECT lang, x || ' ' || y || ' ' || z, three.f, 1, l.f, r.f
+  FROM three JOIN one l USING (lang, x) JOIN (SELECT lang, x AS y, y AS z, f FROM two) r USING (lang, y, z)
+  UNION ALL
+  SELECT lang, x || ' ' || y || ' ' || z, three.f, 2, l.f, r.f
+  FROM three JOIN two l USING (lang, x, y) JOIN (SELECT lang, x AS z, f FROM one) r USING (lang, z)
+), scored AS (
+  SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN (SELECT lang, sum(f)::BIGINT AS n FROM one GROUP BY lang) USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_survivor_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_repair.repair(conversation_repair.damaged(docs_of(spark, sf_dir, "conversations")))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")

@@ -1,0 +1,108 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from helpers import with_clashes
+from pyspark.sql import functions as F
+
+from assetrank.llm import collocations
+from assetrank.llm.catalog import op12_toivonen_collocations
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def brute(rows, least=10, top=2000, percent=50):
+    words, phrases = {}, {}
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        words.setdefault(lang, Counter())
+        phrases.setdefault(lang, Counter())
+        text = re.sub(r"[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words[lang].update(w)
+            for n in (2, 3):
+                phrases[lang].update(tuple(w[k : k + n]) for k in range(len(w) - n + 1))
+    out = []
+    for lang in phrases:
+        count = Counter({(w,): c for w, c in words[lang].items()}) + phrases[lang]
+        candidates = {p: a for p, a in phrases[lang].items() if a >= least}
+        found = []
+        for p, a in candidates.items():
+            longer = [c for q, c in candidates.items() if len(q) > len(p) and p in (q[:2], q[1:])] if len(p) == 2 else []
+            if any(100 * c >= percent * a for c in longer):
+                continue
+            cuts = [(1000000 * a * a // (count[p[:k]] * count[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found.append((-score, -a, " ".join(p).encode(), count[p[:k]], count[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, sum(words[lang].values()), -score))
+    return sorted(out)
+
+
+def got(df, **kw):
+    return sorted(map(tuple, collocations.collocations(df, **kw).collect()))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(2)
+    vocabulary = [f"w{k}" for k in range(60)] + ["the", "of", "Éa", "\U0001f600", "x\x1cy"]
+    out = []
+    for k in range(160):
+        text = ""
+        for _ in range(rng.randrange(40)):
+            text += rng.choice([*vocabulary[: 8 + k % 50], "The of", "Alpha  beta\tgamma", "w1 w2"]) + rng.choice([" ", " ", " ", ", ", "\n", "\x0b", "."])
+        out.append((k, text, rng.choice(["en", "de", None])))
+    out += [(1000 + k, "all the same hot words here, again the same", "en") for k in range(80)]  # a third: copies
+    out += [(2000, "a b " * 5000 + "end", "xx"), (2001, None, "en"), (2002, "", None), (2002, "", None), (None, "aa bb " * 30, "zz")]
+    return out
+
+
+@pytest.mark.parametrize("share", [0.25, 1.0, 0.0])
+def test_equals_counting_everything(spark, rows, share):
+    """The sample proposes only: without any sample the passes find the same."""
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    assert got(frame, share=share) == brute(rows)
+
+
+def test_small_tables_and_chunks(spark, rows, monkeypatch):
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert got(with_clashes(frame), most_bits=1 << 10) == brute(rows)  # bit tables full of false hits
+    assert got(frame, least=3, top=7, percent=90) == brute(rows, 3, 7, 90)
+    assert got(spark.createDataFrame([], SCHEMA)) == []
+    assert got(spark.createDataFrame([(1, None, None), (2, "one", "en")], SCHEMA)) == []
+
+
+def test_border_failures_expand_until_closed(spark):
+    """What the sample can't see (no row is drawn) takes three passes: words, pairs, triples."""
+    frame = spark.createDataFrame([(k, "a b c", "en") for k in range(12)], SCHEMA)
+    _, phrases, passes = collocations.frequent(frame, 10, 0.0, 1 << 20)
+    assert passes == 3
+    assert sorted((r.h3 is None, r.n) for r in phrases.collect()) == [(False, 12), (True, 12), (True, 12)]
+    _, _, passes = collocations.frequent(frame, 10, 1.0, 1 << 20)
+    assert passes == 1
+
+
+def test_ranking_in_parts(spark, monkeypatch):
+    rows = [("en", f"p{k:05d}", k % 97, k % 13) for k in range(5000)] + [("de", "only", 1, 1)]
+    frame = spark.createDataFrame(rows, "lang string, phrase string, score long, a long")
+    monkeypatch.setattr(collocations, "RANK_ROWS", 150)
+    found = sorted((r.lang, r["rank"], r.phrase) for r in collocations.best(frame, 40).collect())
+    order = sorted((r for r in rows if r[0] == "en"), key=lambda r: (-r[2], -r[3], r[1]))[:40]
+    assert found == [("de", 1, "only")] + [("en", k, r[1]) for k, r in enumerate(order, 1)]
+
+
+def test_scores_are_exact(spark):
+    cases = [(10, 10, 10), (3, 7, 9), (10**9 + 7, 10**9 + 9, 3 * 10**9 + 1), (10**14, 10**14 + 1, 10**14 + 3), (123456789, 10**15, 987654321987)]
+    frame = spark.createDataFrame(cases, "a long, l long, r long")
+    found = frame.select("a", "l", "r", F.expr(collocations.score_sql("a", "l", "r")).alias("s")).collect()
+    assert [(r.a, r.l, r.r, r.s) for r in found] == [(a, x, y, 1000000 * a * a // (x * y)) for a, x, y in cases]
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    found = op12_toivonen_collocations(spark, "/root/testdata/sf0.001")
+    assert found.dtypes == [(c, "string" if c in ("lang", "phrase") else "bigint") for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")]
+    assert sorted(map(tuple, found.collect())) == brute(rows)
