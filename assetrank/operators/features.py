@@ -1,11 +1,13 @@
 """Per-asset features over a trailing window: G3, G4, I1, I2.
 
-The trailing window is a ``row_number`` over (date desc, tie-break desc)
-filtered to ``rn <= window``, twice: first by (ticker, salt), then by ticker. Spark
-plans each as ``WindowGroupLimit`` on both sides of its shuffle. A hot ticker is
-spread over the salts, and the task that ends it sees at most ``window x salts``
-rows, however many tasks read the ticker. Everything after is one window pass
-and one partial aggregate on that bounded set.
+The trailing window is cut by a histogram before any row moves: counts per
+(ticker, day), summed from the newest day on, give the day on which a ticker has
+its ``n`` rows; older rows go at the scan. The cuts of the tickers with the most rows
+are broadcast, ``HEAVIEST`` of them at most, whatever the table's size; a ticker
+beyond those holds less than one row in ``HEAVIEST`` and needs no cut. What is left
+passes one ``row_number`` per ticker (date desc, tie-break desc): ``n`` rows and the
+rest of one day for a hot ticker. Everything after is one window pass and
+one partial aggregate on that bounded set.
 """
 
 from __future__ import annotations
@@ -42,6 +44,10 @@ def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_pa
     return out
 
 
+#: Tickers whose cut is broadcast: key, day and count, a few MB whatever the table's size.
+HEAVIEST = 65_536
+
+
 def trailing_n(
     prices: DataFrame,
     n: int,
@@ -50,26 +56,38 @@ def trailing_n(
     key: Sequence[str] = ("ticker",),
     date_col: str = "date",
     rn_col: str = "rn",
-    salts: int = 32,
 ) -> DataFrame:
     """Last ``n`` prices per ticker (G3); ``rn`` = 1 is the newest.
 
-    Always two limits: the newest ``n`` per (ticker, salt), then per ticker. The
-    salt is a hash of the order columns, so a hot ticker's rows go to ``salts``
-    tasks. Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by
-    default) Spark also limits every map task to ``n`` rows per group; beyond
-    it the result is the same, and more ``salts`` keep the tasks small.
+    Rows before a heavy ticker's cut (:func:`newest_days`) are dropped before the
+    one exchange by ticker, for any ``n``. Up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark also limits every map
+    task to ``n`` rows per ticker.
     """
-    some = newest_per_salt(prices, n, tiebreak=tiebreak, key=key, date_col=date_col, salts=salts)
+    some = newest_days(prices, n, key=key, date_col=date_col)
     rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
     return some.withColumn(rn_col, rn).where(F.expr(f"{ident(rn_col)} <= {int(n)}"))
 
 
-def newest_per_salt(prices: DataFrame, n: int, *, tiebreak: Sequence[str], key: Sequence[str], date_col: str, salts: int) -> DataFrame:
-    """The first limit of :func:`trailing_n`: at most ``n x salts`` rows of a ticker."""
-    salted = prices.withColumn("_salt", F.pmod(F.xxhash64(date_col, *tiebreak), F.lit(salts)))
-    newest = F.expr(f"row_number() {_desc_over((*key, '_salt'), date_col, tiebreak)}")
-    return salted.withColumn("_nth", newest).where(F.expr(f"_nth <= {int(n)}")).drop("_salt", "_nth")
+def newest_days(prices: DataFrame, n: int, *, key: Sequence[str], date_col: str, heaviest: int = HEAVIEST) -> DataFrame:
+    """``prices`` without the days before each heavy ticker's cut, the newest day by
+    which the ticker has ``n`` rows.
+
+    Counting reads key and date only, and is summed map-side. The running count is a
+    window over a ticker's days, so its rows are as many as the days of the history.
+    """
+    day = f"to_date({ident(date_col)})"
+    keys = [ident(k) for k in key]
+    days = prices.groupBy(*key, F.expr(day).alias("_day")).agg(F.expr("count(1)").alias("_rows"))
+    so_far = F.expr(f"sum(_rows) OVER (PARTITION BY {', '.join(keys)} ORDER BY _day DESC)")
+    cuts = days.withColumn("_so_far", so_far).groupBy(*key)
+    cuts = cuts.agg(F.expr(f"max(CASE WHEN _so_far >= {int(n)} THEN _day END)").alias("_cut"), F.expr("sum(_rows)").alias("_all"))
+    # a ticker with a few windows of rows gains nothing by a cut
+    cuts = cuts.where(f"_cut IS NOT NULL AND _all > {4 * int(n)}").orderBy(F.expr("_all DESC")).limit(heaviest)
+    cuts = cuts.selectExpr(*[f"{k} AS _cut_key{i}" for i, k in enumerate(keys)], "_cut")
+    same = F.expr(" AND ".join(f"{k} <=> _cut_key{i}" for i, k in enumerate(keys)))
+    kept = prices.join(F.broadcast(cuts), same, "left").where(F.expr(f"_cut IS NULL OR {day} >= _cut"))
+    return kept.select(*prices.columns)
 
 
 def step_returns(

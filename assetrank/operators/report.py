@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetrank.sources import files
+
 # The report's labels, as the reference prints them.
 RANK_PREFIX = "Rank "
 EMPTY_SLOT = "NULL"
@@ -68,14 +72,23 @@ def price_to_text(prices: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> str:
-    """Write the report as one text file in ``<path>/SPARK.DONE`` (S4); returns that folder.
+    """Write the report as the text file ``<path>/SPARK.DONE`` (S4); returns that file.
 
-    Only this child is ever replaced: whatever else lies in ``path`` stays. The
-    report has one row per rank slot (k rows), so a single output file is
-    bounded by k.
+    One task writes the rank slots' blocks (one row each) into a folder aside, whose
+    only file is then renamed: whoever waits for the report finds it whole. Only
+    the report itself is replaced, whatever else lies in ``path`` stays.
     """
-    target = f"{path.rstrip('/')}/{REPORT_NAME}"
-    report.coalesce(1).sortWithinPartitions("rank").select("text").write.mode("overwrite").text(target)
+    spark = report.sparkSession
+    folder = path.rstrip("/")
+    aside = f"{folder}/.{REPORT_NAME}-{uuid.uuid4().hex[:12]}"
+    report.coalesce(1).sortWithinPartitions("rank").select("text").write.text(aside)
+    parts = [n for n in files.names(spark, aside) if n.startswith("part-")]
+    target = f"{folder}/{REPORT_NAME}"
+    # an empty report has no part in some Spark versions
+    done = files.move(spark, f"{aside}/{parts[0]}", target, replace=True) if parts else files.write_text(spark, target, "")
+    files.remove(spark, aside)
+    if not done:
+        raise OSError(f"the report could not be moved to {target}")
     return target
 
 
@@ -84,9 +97,11 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(f"{path.rstrip('/')}/{REPORT_NAME}", wholetext=True)
 
 
-def print_report(padded: DataFrame, digits: int | None = None, k: int = 1000) -> str:
-    """Print the first ``k`` slots of the ranking report on the driver (S5) and return the text."""
-    blocks = ranking_report(padded.where(F.col("rank") <= k), digits).orderBy("rank").collect()
-    text = "".join(r["text"] + NL for r in blocks)
-    print(text, end="")
-    return text
+def print_report(padded: DataFrame, digits: int | None = None) -> str:
+    """Print the ranking report on the driver, slot by slot (S5), and return the text.
+    All slots are printed; their number is the ranking's ``k``."""
+    text = []
+    for row in ranking_report(padded, digits).orderBy("rank").toLocalIterator():
+        print(row["text"])
+        text.append(row["text"] + NL)
+    return "".join(text)

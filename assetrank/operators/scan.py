@@ -26,12 +26,12 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assetrank.config import block_rows as conf_block_rows
 from assetrank.config import shared_dir
-from assetrank.functions.indicators import ident
 
 # Internal series key: struct(key...) is never null, even when a key column is.
 KEY = "_k"
@@ -75,6 +75,15 @@ class BlockPlan:
             raise ValueError("the plan was made for another input or series")
         return self
 
+    def summary(self, name: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What an operator needs of each (key, block), ``of(rows)``. A stored layout
+        (``layout.py``) keeps it by ``name``, so appended rows go on from it."""
+        return of(self.rows)
+
+    def whole(self) -> bool:
+        """Whether ``rows`` are all rows that ``sizes`` counts."""
+        return True
+
     def bounds(self) -> tuple[int, int]:
         """(most blocks of a key, most rows of a key in a block): a small job on ``sizes``."""
         top = self.sizes.groupBy(KEY).agg(F.count(F.lit(1)).alias("b"), F.max("_n").alias("n")).agg(F.max("b"), F.max("n")).first()
@@ -91,6 +100,14 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
     shuffle settings size the blocks; with it the rows are counted first and
     blocks hold about that many.
     """
+    rows = _written(lay_out(df, s, block_rows), "blocks")
+    sizes = block_sizes(rows)
+    return BlockPlan(df, s, rows, _written(sizes, "block-sizes"))
+
+
+def lay_out(df: DataFrame, s: Series, block_rows: int | None = None, first_block: int = 0) -> DataFrame:
+    """The input's columns without the key's, with _k, _tb, _i, sorted and cut into
+    ranges; block numbers begin at ``first_block``."""
     block_rows = block_rows or conf_block_rows(df.sparkSession)
     # the last sort column tells rows apart that are equal in all order columns
     told = df.withColumns({KEY: F.struct(*s.key), "_id": F.monotonically_increasing_id()})
@@ -99,20 +116,28 @@ def plan_blocks(df: DataFrame, s: Series, block_rows: int | None = None) -> Bloc
         ranged = told.repartitionByRange(max(1, -(-df.count() // block_rows)), *order)
     else:
         ranged = told.repartitionByRange(*order)
-    laid = ranged.sortWithinPartitions(*order).withColumns({BLOCK: F.spark_partition_id(), INDEX: F.monotonically_increasing_id()})
-    rows = _written(laid.drop("_id", *s.key), "blocks")
-    sizes = rows.groupBy(KEY, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min(INDEX).alias("_lo"))
-    return BlockPlan(df, s, rows, _written(sizes, "block-sizes"))
+    # a block's rows are numbered from block << 33 on
+    number = {BLOCK: F.spark_partition_id() + first_block, INDEX: F.monotonically_increasing_id() + (first_block << 33)}
+    return ranged.sortWithinPartitions(*order).withColumns(number).drop("_id", *s.key)
+
+
+def block_sizes(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.groupBy(KEY, BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.min(INDEX).alias("_lo"), *more)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_laid(df.sparkSession, df.schema, path)
+
+
+def read_laid(spark: SparkSession, schema: StructType, *paths: str) -> DataFrame:
+    """Written rows or a table per (key, block) of them."""
+    read = spark.read.schema(schema).parquet(*paths)
     # files know no "never null"; without it a join would filter one of two branches over
     # the same rows and they could not share an exchange
-    sure = {c: F.coalesce(c, F.lit(-1).cast(df.schema[c].dataType)) for c in (BLOCK, INDEX) if c in df.columns}
-    return read.withColumns({KEY: F.struct(*(F.col(KEY)[f].alias(f) for f in df.schema[KEY].dataType.names))} | sure)
+    sure = {c: F.coalesce(c, F.lit(-1).cast(schema[c].dataType)) for c in (BLOCK, INDEX) if c in schema.names}
+    return read.withColumns({KEY: F.struct(*(F.col(KEY)[f].alias(f) for f in schema[KEY].dataType.names))} | sure)
 
 
 def _plan(df: DataFrame, s: Series, plan: BlockPlan | None) -> BlockPlan:
@@ -143,31 +168,6 @@ def join_on(rows: DataFrame, summary: DataFrame, keys: Sequence[str] = (KEY, BLO
     return rows.join(summary, list(keys), "left")
 
 
-def scan_struct(
-    df: DataFrame,
-    part: Sequence[str],
-    order: str,
-    col: str,
-    combine: Callable[[str, str], str],
-    groups: int,
-) -> DataFrame:
-    """Inclusive Hillis-Steele scan of struct column ``col`` within ``part``.
-
-    ``combine(earlier, later)`` returns the SQL text combining two struct
-    values and must be associative. After round r every row holds the
-    combination of the 2^(r+1) rows ending at it; ``groups``, the largest
-    group's true size, sets the number of rounds.
-    """
-    over = f"OVER (PARTITION BY {', '.join(ident(p) for p in part)} ORDER BY {ident(order)})"
-    others = [ident(c) for c in df.columns if c != col]
-    c = ident(col)
-    for r in range(math.ceil(math.log2(max(1, groups)))):
-        # materialise the lag once; nesting it would repeat the window per use
-        df = df.withColumn("_hs", F.expr(f"lag({c}, {1 << r}) {over}"))
-        df = df.selectExpr(*others, f"CASE WHEN _hs IS NULL THEN {c} ELSE {combine('_hs', c)} END AS {c}")
-    return df
-
-
 # --------------------------------------------------------------------------
 # Positions (exact 1-based row numbers along the series)
 # --------------------------------------------------------------------------
@@ -202,6 +202,8 @@ def with_sliding_rows(df: DataFrame, s: Series, size: int, plan: BlockPlan | Non
     if size < 1:
         raise ValueError("size must be >= 1")
     plan = _plan(df, s, plan)
+    if not plan.whole():
+        raise ValueError("sliding windows need the rows before the newest generation: pass the whole layout")
     rows = _placed(plan)
     # a piece joins the group of the size-wide stretch of positions in which it begins
     group = F.floor(F.col("_off") / size).cast("bigint")
@@ -224,6 +226,39 @@ def sliding_window(s: Series, size: int):
     return Window.partitionBy(KEY, BLOCK).orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
 
 
+def with_window_parts(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan | None = None) -> DataFrame:
+    """Complete windows of ``size`` rows as two parts each, in constant time a row.
+
+    Positions are cut into stretches of ``size`` rows. A window that ends at a row
+    is the row's stretch up to it (``_late``) and the end of the stretch before it,
+    from the row ``size - 1`` places earlier on (``_early``). Both are running
+    aggregates, one forwards and one backwards, and the second is looked up at that
+    row; a moving frame would go over ``size`` rows again for every row. Nothing is
+    taken off a running value, so no digits cancel, and minimum and maximum work too.
+    Each part is a struct (n, sum, mean, var, min, max) of the non-null values.
+    """
+    # one exchange serves the three windows: all are inside (key, block)
+    rows = with_sliding_rows(df, s, size, plan).repartition(KEY, BLOCK)
+    rows = rows.withColumn("_s", F.floor((F.col("_pos") - 1) / size).cast("bigint"))
+    x = F.col(col).cast("double")
+    aggregates = {"n": F.count, "sum": F.sum, "mean": F.avg, "var": F.var_pop, "min": F.min, "max": F.max}
+
+    def running(order: Column) -> Column:
+        frame = Window.partitionBy(KEY, BLOCK, "_s").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.struct(*(fn(x).over(frame).alias(name) for name, fn in aggregates.items()))
+
+    rows = rows.withColumn("_tail", running(F.col("_pos").desc())).withColumn("_late", running(F.col("_pos").asc()))
+    if size > 1:
+        early = F.lag("_tail", size - 1).over(Window.partitionBy(KEY, BLOCK).orderBy("_pos"))
+    else:
+        early = F.col("_tail")
+    none = F.lit(None)
+    alone = F.struct(F.lit(0).cast("bigint").alias("n"), *(none.cast("double").alias(c) for c in ("sum", "mean", "var", "min", "max")))
+    # a window that is a whole stretch has no earlier part
+    rows = rows.withColumn("_early", F.when(F.col("_pos") % size == 0, alone).otherwise(early))
+    return rows.where(F.col("_own") & (F.col("_pos") >= size))
+
+
 # --------------------------------------------------------------------------
 # Previous value (lag by one along the series)
 # --------------------------------------------------------------------------
@@ -235,7 +270,11 @@ def with_previous(df: DataFrame, s: Series, cols: Sequence[str], plan: BlockPlan
     block takes the last row of the key's previous block."""
     plan = _plan(df, s, plan)
     b = plan.rows.withColumns({f"prev_{c}": F.lag(c).over(_in_block()) for c in cols})
-    last = plan.rows.groupBy(KEY, BLOCK).agg(*(F.max_by(c, INDEX).alias(f"_last{k}") for k, c in enumerate(cols)), F.min(INDEX).alias("_lo"))
+
+    def ends(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(KEY, BLOCK).agg(*(F.max_by(c, INDEX).alias(f"_last{k}") for k, c in enumerate(cols)), F.min(INDEX).alias("_lo"))
+
+    last = plan.summary(f"last {','.join(cols)}", ends)
     carry = last.select(KEY, BLOCK, "_lo", *(F.lag(f"_last{k}").over(_over_blocks()).alias(f"_last{k}") for k in range(len(cols))))
     out = join_on(b, carry)
     first = F.col(INDEX) == F.col("_lo")
@@ -252,7 +291,7 @@ def with_running_sum(df: DataFrame, s: Series, col: str, out: str, plan: BlockPl
     """``out`` = sum of ``col`` over the series up to and including the row."""
     plan = _plan(df, s, plan)
     b = plan.rows.withColumn("_loc", F.sum(col).over(_in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    tot = plan.rows.groupBy(KEY, BLOCK).agg(F.sum(col).alias("_bs"))
+    tot = plan.summary(f"sum {col}", lambda rows: rows.groupBy(KEY, BLOCK).agg(F.sum(col).alias("_bs")))
     carry = tot.select(KEY, BLOCK, F.sum("_bs").over(_before()).alias("_carry"))
     res = join_on(b, carry)
     # nulls are skipped as in a plain running SUM window: null only while
@@ -279,7 +318,7 @@ def with_expanding(df: DataFrame, s: Series, col: str, plan: BlockPlan | None =
     x = F.col(col).cast("double")
     aggregates = {"n": F.count, "sum": F.sum, "mean": F.avg, "var": F.var_pop}
     b = plan.rows.withColumns({f"_l{name}": fn(x).over(frame) for name, fn in aggregates.items()})
-    blocks = plan.rows.groupBy(KEY, BLOCK).agg(*(fn(x).alias(f"_l{name}") for name, fn in aggregates.items()))
+    blocks = plan.summary(f"moments {col}", lambda rows: rows.groupBy(KEY, BLOCK).agg(*(fn(x).alias(f"_l{name}") for name, fn in aggregates.items())))
     whole = Window.partitionBy(KEY)
     finite = F.when(F.abs("_lmean") < float("inf"), F.col("_lmean"))
     blocks = blocks.withColumn("_c", F.coalesce(F.avg(finite).over(whole), F.lit(0.0)))
@@ -318,10 +357,8 @@ def with_expanding(df: DataFrame, s: Series, col: str, plan: BlockPlan | None =
 # --------------------------------------------------------------------------
 
 
-def _compose(a: str, b: str) -> str:
-    """SQL text: apply map ``a`` then ``b`` to a state, y -> b.m * (a.m * y + a.c) + b.c;
-    v counts the values seen."""
-    return f"named_struct('m', {a}.m * {b}.m, 'c', {a}.c * {b}.m + {b}.c, 'v', {a}.v + {b}.v)"
+#: A weight b^k goes down to 2^-WEIGHT_BITS inside a stretch of values.
+WEIGHT_BITS = 340
 
 
 def with_ewm(
@@ -331,73 +368,120 @@ def with_ewm(
     span: float,
     out: str = "ewm",
     plan: BlockPlan | None = None,
-    sub: int = 64,
 ) -> DataFrame:
     """``out`` = exponentially weighted mean with alpha = 2 / (1 + span),
     seeded with the first value: y0 = x0, y = y_prev + alpha * (x - y_prev).
     A null value leaves the mean as it is; before the first value it is null.
-
-    With b = 1 - alpha this is the affine recurrence y_t = b * y_(t-1) +
-    alpha * x_t started from the state x0. It scans in blocks:
-
-    1. inside each block, sub-blocks of ``sub`` rows; with c values so far,
-       loc = b^c * running_sum(alpha * x * b^-c), exact because b^-c stays
-       finite for c <= ``sub``;
-    2. the sub-block summaries read key, index and value only, and are exchanged once;
-    3. a sub-block is the affine map (b^values, loc_end); a Hillis-Steele scan
-       composes them inside each block, then the block maps along the key, in
-       as many rounds as the fullest block and the longest key need;
-    4. y = loc + b^c * (state before the sub-block).
+    After an infinite or NaN value it is that value, NaN once they differ.
+
+    With b = 1 - alpha this is y_t = b * y_(t-1) + alpha * x_t started from the state
+    x0, a sum of all values weighted by powers of b. Over a long series the
+    powers leave the range of a double, so their exponent is split: values are
+    counted, every ``stretch`` values make a stretch over which the weight falls to
+    2^-340, and a value's weight is taken to the end of its stretch, in (2^-340, 1].
+
+    1. a running sum inside a stretch of a block gives ``loc``, what the stretch
+       itself adds to the state at a row;
+    2. the state before a stretch is the end of the one before it, and 2^-340 of
+       the one before that; three are taken, an older one adds less than 2^-1020 of
+       its value, which no double shows;
+    3. blocks of a key are put together the same way on the block table: running
+       sums inside stretches of values, then the three stretches before.
+
+    Each step is a window pass; there are no rounds, whatever the lengths.
     """
     if span < 1:
         raise ValueError("span must be >= 1")
     alpha = 2.0 / (1.0 + span)
     beta = 1.0 - alpha
+    # values in a stretch; with b = 0 every value replaces the mean
+    stretch = min(1 << 40, max(1, int(WEIGHT_BITS / -math.log2(beta)))) if beta else 1
     plan = _plan(df, s, plan)
-    if beta == 0.0:  # every value replaces the mean
-        sub = 1
-    else:
-        # keep b^-sub far from overflow for spans close to 1 (tiny b)
-        sub = max(1, min(sub, int(250 / max(1e-12, -math.log10(beta)))))
-    most_blocks, most_rows = plan.bounds()
-    b = plan.rows.withColumn("_r", F.row_number().over(_in_block()) - 1)
-    b = b.withColumn("_sb", F.floor(F.col("_r") / sub).cast("bigint"))
-    wsub = Window.partitionBy(KEY, BLOCK, "_sb").orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+
+    def power(k: Column) -> Column:
+        return F.pow(F.lit(beta), k)
+
+    rows = _ewm_rows(plan.rows, col, alpha, stretch, power)
+    ends = _ewm_ends(rows, stretch, power)
+    blocks = plan.summary(f"ewm {col} {span!r}", lambda of: _ewm_blocks(_ewm_ends(_ewm_rows(of, col, alpha, stretch, power), stretch, power), power))
+    blocks = _states_before(blocks, stretch, power)
+
+    starts = ends.select(KEY, BLOCK, "_st", "_before").join(blocks, [KEY, BLOCK])
+    state = F.col("_before") + power(F.col("_st") * stretch) * F.col("_s0")
+    starts = starts.select(KEY, BLOCK, "_st", state.alias("_state"), "_seen", F.col("_odd").alias("_odd0"))
+    res = join_on(rows, starts, [KEY, BLOCK, "_st"])
+    y = F.col("_loc") + power(F.col("_c")) * F.col("_state")
+    odd = F.when(F.col("_odd").isNotNull() | F.col("_odd0").isNotNull(), F.coalesce("_odd", F.lit(0.0)) + F.coalesce("_odd0", F.lit(0.0)))
+    return finish(res, df, s, F.when(F.col("_seen") + F.col("_v") > 0, F.coalesce(odd, y)).alias(out))
+
+
+Power = Callable[[Column], Column]
+
+
+def _ewm_rows(rows: DataFrame, col: str, alpha: float, stretch: int, power: Power) -> DataFrame:
+    """Rows with ``_v`` (values of the block so far), ``_odd`` (sum of the infinite and NaN ones),
+    ``_st`` (stretch in the block), ``_c`` (values in it so far) and ``_loc``."""
     x = F.col(col).cast("double")
-    b = b.withColumn("_c", F.count(x).over(wsub))
-    # weights relative to the value itself when b is 0: pow(0, 0) = 1 keeps the newest
-    power = (lambda c: F.pow(F.lit(beta), c)) if beta else (lambda c: F.when(c == 0, 1.0).otherwise(0.0))
-    if beta:
-        loc = power(F.col("_c")) * F.coalesce(F.sum(F.lit(alpha) * x / power(F.col("_c"))).over(wsub), F.lit(0.0))
+    finite = F.abs(x) < float("inf")
+    so_far = _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if alpha == 1.0:  # every value replaces the mean, whatever it is
+        b = rows.withColumns({"_x": x, "_odd": F.lit(None).cast("double")})
     else:
-        loc = F.coalesce(x, F.lit(0.0))  # sub-blocks of one row
-    b = b.withColumn("_loc", loc)
+        b = rows.withColumns({"_x": F.when(finite, x).when(x.isNotNull(), F.lit(0.0)), "_odd": F.when(~finite, x)})
+    b = b.withColumns({"_v": F.count("_x").over(so_far), "_odd": F.sum("_odd").over(so_far)})
+    b = b.withColumn("_st", F.floor(F.greatest(F.col("_v") - 1, F.lit(0)) / stretch).cast("bigint"))
+    b = b.withColumn("_c", F.col("_v") - F.col("_st") * stretch)
+    inside = Window.partitionBy(KEY, BLOCK, "_st").orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    weight = power(F.lit(stretch) - F.col("_c"))
+    b = b.withColumn("_sum", F.sum(F.lit(alpha) * F.col("_x") * weight).over(inside))
+    return b.withColumn("_loc", F.when(F.col("_c") > 0, F.col("_sum") / weight).otherwise(0.0)).drop("_sum")
+
+
+def _ewm_ends(rows: DataFrame, stretch: int, power: Power) -> DataFrame:
+    """One row per (key, block, stretch), with ``_before``: the state before it, from the
+    block's own stretches alone."""
+    ends = rows.groupBy(KEY, BLOCK, "_st").agg(
+        F.max_by("_loc", INDEX).alias("_end"), F.max("_c").alias("_n"), F.max("_v").alias("_v"), F.max_by("_odd", INDEX).alias("_odd"),
+        F.min_by("_x", F.when(F.col("_x").isNotNull(), F.col(INDEX))).alias("_first"),
+    )
+    along = Window.partitionBy(KEY, BLOCK).orderBy("_st")
+    before = [F.coalesce(F.lag("_end", d).over(along), F.lit(0.0)) * power(F.lit(stretch * (d - 1))) for d in (1, 2, 3)]
+    return ends.withColumn("_before", before[0] + before[1] + before[2])
 
-    subs = b.groupBy(KEY, BLOCK, "_sb").agg(
-        F.max("_c").alias("_v"),
-        F.max_by("_loc", "_r").alias("_endloc"),
-        F.min_by(x, F.when(x.isNotNull(), F.col("_r"))).alias("_first"),
-    )
-    subs = subs.withColumn("_f", F.struct(power(F.col("_v")).alias("m"), F.col("_endloc").alias("c"), F.col("_v").alias("v"))).drop("_v", "_endloc")
-    subs = scan_struct(subs, [KEY, BLOCK], "_sb", "_f", _compose, -(-most_rows // sub))
-    subs = subs.withColumn("_before", F.lag("_f").over(Window.partitionBy(KEY, BLOCK).orderBy("_sb")))
-    blocks = subs.groupBy(KEY, BLOCK).agg(
-        F.max_by("_f", "_sb").alias("_g"), F.min_by("_first", F.when(F.col("_first").isNotNull(), F.col("_sb"))).alias("_bfirst")
-    )
-    blocks = scan_struct(blocks, [KEY], BLOCK, "_g", _compose, most_blocks)
-    blocks = blocks.select(
-        KEY, BLOCK, F.first("_bfirst", ignorenulls=True).over(_over_blocks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_x0"),
-        F.lag("_g").over(_over_blocks()).alias("_pg"),
+
+def _ewm_blocks(ends: DataFrame, power: Power) -> DataFrame:
+    return ends.groupBy(KEY, BLOCK).agg(
+        F.max("_v").alias("_v"), F.max_by(F.col("_end") + power(F.col("_n")) * F.col("_before"), "_st").alias("_end"),
+        F.max_by("_odd", "_st").alias("_odd"), F.min_by("_first", F.when(F.col("_first").isNotNull(), F.col("_st"))).alias("_first"),
+    )
+
+
+def _states_before(blocks: DataFrame, stretch: int, power: Power) -> DataFrame:
+    """KEY, BLOCK, ``_s0`` (the state before the block), ``_seen`` (values before it),
+    ``_odd`` (sum of the infinite and NaN values before it) of a block table with the
+    block's values ``_v``, its end ``_end`` from a state of zero, and its ``_first`` value.
+
+    A block's end counts in the stretch of values (along the key) in which it ends.
+    """
+    upto = _over_blocks().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = _over_blocks().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    t = blocks.withColumns({"_seen": F.sum("_v").over(upto), "_x0": F.first("_first", ignorenulls=True).over(whole), "_odds": F.sum("_odd").over(upto)})
+    t = t.withColumn("_e", F.floor((F.col("_seen") - 1) / stretch).cast("bigint"))
+    last = (F.col("_e") + 1) * stretch
+    weight = power(last - F.col("_seen"))
+    inside = Window.partitionBy(KEY, "_e").orderBy(BLOCK)
+    t = t.withColumn("_run", F.sum(F.col("_end") * weight).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    totals = t.groupBy(KEY, "_e").agg(F.max_by("_run", BLOCK).alias("_t"))
+    order = Window.partitionBy(KEY).orderBy("_e")
+    totals = totals.select(KEY, "_e", *(F.lag(c, d).over(order).alias(f"{c}{d}") for c in ("_e", "_t") for d in (1, 2, 3)))
+    t = t.join(totals, [KEY, "_e"])
+    older = [F.coalesce(F.col(f"_t{d}") * power(F.col("_seen") - (F.col(f"_e{d}") + 1) * stretch), F.lit(0.0)) for d in (1, 2, 3)]
+    after = F.col("_run") / weight + older[0] + older[1] + older[2] + power(F.col("_seen")) * F.col("_x0")
+    t = t.withColumn("_after", after)
+    return t.select(
+        KEY, BLOCK, F.coalesce(F.lag("_after").over(_over_blocks()), "_x0").alias("_s0"),
+        F.coalesce(F.lag("_seen").over(_over_blocks()), F.lit(0)).alias("_seen"), F.lag("_odds").over(_over_blocks()).alias("_odd"),
     )
-    # state before a block: the series starts from x0 (so that y0 = x0)
-    s0 = F.when(F.col("_pg").isNull(), F.col("_x0")).otherwise(F.col("_pg")["m"] * F.col("_x0") + F.col("_pg")["c"])
-    blocks = blocks.select(KEY, BLOCK, s0.alias("_s0"), F.coalesce(F.col("_pg")["v"], F.lit(0)).alias("_v0"))
-    subs = join_on(subs, blocks)
-    state = F.when(F.col("_before").isNull(), F.col("_s0")).otherwise(F.col("_before")["m"] * F.col("_s0") + F.col("_before")["c"])
-    seen = F.col("_v0") + F.coalesce(F.col("_before")["v"], F.lit(0))
-    res = join_on(b, subs.select(KEY, BLOCK, "_sb", state.alias("_state"), seen.alias("_seen")), [KEY, BLOCK, "_sb"])
-    y = F.col("_loc") + power(F.col("_c")) * F.col("_state")
-    return finish(res, df, s, F.when(F.col("_seen") + F.col("_c") > 0, y).alias(out))
 
 
 __all__ = ["BLOCK", "INDEX", "KEY", "BlockPlan", "Series", "finish", "plan_blocks", "sliding_window"]

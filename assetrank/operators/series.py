@@ -27,6 +27,7 @@ from assetrank.operators.scan import (
     with_previous,
     with_running_sum,
     with_sliding_rows,
+    with_window_parts,
 )
 
 
@@ -61,10 +62,10 @@ def cum_sum(df: DataFrame, s: Series, col: str, out: str = "cum_sum", plan: Bloc
 
 
 def ewm(
-    df: DataFrame, s: Series, col: str, span: int, out: str = "ewm", plan: BlockPlan | None = None, **kw
+    df: DataFrame, s: Series, col: str, span: int, out: str = "ewm", plan: BlockPlan | None = None
 ) -> DataFrame:
     """Exponential average, alpha = 2 / (1 + span), seeded with the first value (T5)."""
-    return with_ewm(df, s, col, float(span), out, plan, **kw)
+    return with_ewm(df, s, col, float(span), out, plan)
 
 
 def diff(df: DataFrame, s: Series, col: str, out: str = "diff", plan: BlockPlan | None = None) -> DataFrame:
@@ -114,21 +115,25 @@ def sliding_agg(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan |
     """Complete windows of ``size`` consecutive rows (T9, aggregate form).
 
     One row per window, at the window's last row, with the window's sum,
-    mean and population deviation and ``win_end``, the window's last
-    position. A series shorter than ``size`` gives no windows. See :func:`scan.with_sliding_rows`.
+    mean, population deviation, minimum and maximum and ``win_end``, the window's
+    last position. A series shorter than ``size`` gives no windows. The cost of a
+    row does not depend on ``size``, see :func:`scan.with_window_parts`.
     """
-    rows = with_sliding_rows(df, s, size, plan)
-    w = sliding_window(s, size)
-    x = F.col(col)
-    out = rows.withColumns(
-        {
-            "win_n": F.count(F.lit(1)).over(w),
-            "win_sum": F.sum(x).over(w),
-            "win_mean": F.avg(x).over(w),
-            "win_std": F.stddev_pop(x).over(w),
-        }
-    ).where(F.col("_own") & (F.col("win_n") == size))
-    return finish(out, df, s, F.col("_pos").alias("win_end"), "win_sum", "win_mean", "win_std")
+    parts = with_window_parts(df, s, col, size, plan)
+    n, total = F.col("_early.n") + F.col("_late.n"), F.coalesce("_early.sum", F.lit(0.0)) + F.coalesce("_late.sum", F.lit(0.0))
+    off = F.col("_late.mean") - F.col("_early.mean")
+    # squares around the joint mean: those of both parts, and what the parts' means are apart
+    both = F.col("_early.n") * F.col("_early.var") + F.col("_late.n") * F.col("_late.var") + off * off * F.col("_early.n") * F.col("_late.n") / n
+    squares = F.when(F.col("_early.n") == 0, F.col("_late.n") * F.col("_late.var")).when(F.col("_late.n") == 0, F.col("_early.n") * F.col("_early.var")).otherwise(both)
+    some = F.when(n > 0, F.lit(1.0))
+    return finish(
+        parts, df, s, F.col("_pos").alias("win_end"),
+        (some * total).alias("win_sum"),
+        (some * total / n).alias("win_mean"),
+        F.when(n > 0, F.sqrt(F.greatest(squares, F.lit(0.0)) / n)).alias("win_std"),
+        F.least("_early.min", "_late.min").alias("win_min"),
+        F.greatest("_early.max", "_late.max").alias("win_max"),
+    )
 
 
 def sliding_list(df: DataFrame, s: Series, col: str, size: int, plan: BlockPlan | None = None) -> DataFrame:

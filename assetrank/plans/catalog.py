@@ -27,6 +27,7 @@ from assetrank.operators.scan import Series
 from assetrank.plans.program import rank_from_files
 from assetrank.plans.rank import rank_investments
 from assetrank.sources import assets as asrc
+from assetrank.sources import files
 from assetrank.sources import fixtures as fx
 from assetrank.sources import prices as psrc
 from assetrank.streaming.prices import ingest_prices
@@ -256,23 +257,15 @@ def _written(spark: SparkSession, sf_dir: str, kind: str, source: str, write) ->
     tables; the CSV queries share one copy instead of writing the whole
     lineitem table each. A table that changed is copied anew.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, _changed(spark, f"{sf_dir}/{source}.parquet"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, files.changed(spark, f"{sf_dir}/{source}.parquet"))
     path = _WRITTEN.get(key)
-    if path is None or _changed(spark, f"{path}/_SUCCESS") is None:
+    if path is None or files.changed(spark, f"{path}/_SUCCESS") is None:
         path = shared_dir(spark, kind)
         write(path)
         _WRITTEN[key] = path
     return path
 
 
-def _changed(spark: SparkSession, path: str) -> int | None:
-    """Time of the last change of ``path`` on any Hadoop file system; None if it is not there."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.getFileStatus(at).getModificationTime() if system.exists(at) else None
-
-
 def _price_csv_path(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, sf_dir, "prices_csv", "lineitem", lambda p: psrc.write_prices_csv(fx.price_text(spark, sf_dir), p))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetrank.config import Defaults
+from assetrank.config import Defaults, shared_dir
 from assetrank.operators.ranking import pad_ranking
 from assetrank.operators.report import ranking_report, write_report
 from assetrank.plans.rank import rank_investments
@@ -61,7 +61,14 @@ def rank_from_files(
 
 
 def run_program(spark: SparkSession, prices_path: str, assets_path: str, results_dir: str, **kw) -> DataFrame:
-    """Rank, write the text report under ``results_dir`` and return the ranking."""
+    """Rank, write the text report under ``results_dir`` and return the ranking.
+
+    The ranking is computed once: its ``k`` rows are written to the shared folder, and the
+    report and the returned DataFrame read them.
+    """
     padded = rank_from_files(spark, prices_path, assets_path, **kw)
-    write_report(ranking_report(padded), results_dir)
-    return padded
+    path = shared_dir(spark, "ranking")
+    padded.write.parquet(path)
+    ranked = spark.read.schema(padded.schema).parquet(path)
+    write_report(ranking_report(ranked), results_dir)
+    return ranked.orderBy("rank")

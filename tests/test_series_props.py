@@ -97,7 +97,7 @@ def test_diff(data):
 @pytest.mark.parametrize("span", [1, 1.0001, 2, 12, 200])
 def test_ewm(data, span):
     df, series, s, plan = data
-    got = _by_key(S.ewm(df, s, "x", span, plan=plan, sub=2).collect(), "ewm")
+    got = _by_key(S.ewm(df, s, "x", span, plan=plan).collect(), "ewm")
     _check(got, series, lambda xs: L.ewm(xs, span))
 
 
@@ -289,7 +289,7 @@ def test_ewm_skips_nulls(spark, span):
     s = Series.of("ticker", "i")
     for block_rows in (None, 2):
         got = defaultdict(list)
-        for r in sorted(S.ewm(df, s, "x", span, plan=plan_blocks(df, s, block_rows), sub=2).collect(), key=lambda r: (r.ticker, r.i)):
+        for r in sorted(S.ewm(df, s, "x", span, plan=plan_blocks(df, s, block_rows)).collect(), key=lambda r: (r.ticker, r.i)):
             got[r.ticker].append(r.ewm)
         for k, xs in values.items():
             assert all(_close(a, b) for a, b in zip(L.ewm_with_nulls(xs, span), got[k], strict=True)), (k, got[k])
