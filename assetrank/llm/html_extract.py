@@ -4,15 +4,19 @@ The standard library's parser streams events. Block elements cut the page into
 lines; each line has a text-to-tag ratio (characters outside links per tag).
 The ratios are smoothed with a Gaussian over neighbouring lines, and lines above
 the threshold (a share of the ratios' standard deviation) form the content
-clusters. A cluster selects the region it lies in: the article or main element
-if the page marks one, else the element that directly holds the cluster's
+clusters. A cluster selects the region it lies in: the article and main elements
+if it lies in one, else the element that directly holds the cluster's
 lines. All lines of a selected region stay, whatever their length, except
 those inside navigation, headers, footers, asides, forms, adverts, notices,
-scripts, comments and the like.
+scripts, comments and the like. Outside articles a line that is mostly links, and is
+neither a headline nor a paragraph, goes too.
 
 Defined cases: null or empty html gives an empty text; broken or unclosed tags
-are closed by their ancestors; text without any tag is one line; duplicate rows
-give duplicate results; an empty table gives an empty result.
+are closed by their ancestors; text without any tag is one line; any ``<!..>`` that
+is no comment is skipped to its ``>``, and an unclosed one or comment to the page's
+end; a page of any length is read whole, in time proportional to it; duplicate rows
+give duplicate results; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -37,10 +41,12 @@ BLOCKS = frozenset(
 )
 NEVER = frozenset(
     "head nav footer aside form script style noscript template iframe object svg canvas button select textarea option"
-    " dialog menu audio video math map".split()
+    " dialog audio video map".split()
 )
 LANDMARKS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Lines of these elements are text even where most of it is linked.
+PROSE = HEADINGS | {"p"}
 #: Words in class and id names. Furniture may wrap an article by name (``page with-sidebar``); the others may not.
 FURNITURE = frozenset(
     "nav navbar navigation menu header masthead topbar footer sidebar rail breadcrumb breadcrumbs toolbar pagination pager".split()
@@ -59,21 +65,23 @@ SCOPES = frozenset("ul ol dl table div section article main body html td th li a
 HOLDERS = SCOPES - frozenset("ul ol li dl table blockquote".split())
 
 _WORDS = re.compile(r"[a-z]+")
+#: Searched from a comment's first two hyphens on, which may be the last two as well.
+_COMMENT_END = re.compile(r"--!?>")
 
 KEEP, FURNISHED, DROPPED = 0, 1, 2
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, link characters, landmark, parent) per line."""
+    """Collects (text, tags, link characters, landmark, holder, block element) per line."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        # open elements: (name, state, landmark, number)
-        self.open: list[tuple[str, int, int, int]] = []
+        # open elements: (name, state, landmark, holder, block)
+        self.open: list[tuple[str, int, int, int, str]] = []
         self.names: Counter[str] = Counter()
         self.count = 0
         self.links = 0
-        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, int, str]] = []
         self.buffer: list[str] = []
         self.tags = 0
         self.linked = 0
@@ -100,7 +108,8 @@ class _Lines(HTMLParser):
             landmark = self.count
         elif tag in HEADINGS and landmark and state == FURNISHED:
             own = state = KEEP  # a headline inside the article's own header
-        self.open.append((tag, max(state, own), landmark, self.count))
+        holder, block = (self.open[-1][3], self.open[-1][4]) if self.open else (0, "")
+        self.open.append((tag, max(state, own), landmark, self.count if tag in HOLDERS else holder, tag if tag in BLOCKS else block))
         self.names[tag] += 1
         self.links += tag == "a"
 
@@ -167,19 +176,27 @@ class _Lines(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
-            holder, landmark = 0, 0
-            for name, _, mark, number in reversed(self.open):
-                landmark = landmark or mark
-                if name in HOLDERS:
-                    holder = number
-                    break
-            self.lines.append((text, self.tags, min(self.linked, len(text)), landmark, holder))
+            _, _, landmark, holder, block = self.open[-1] if self.open else ("", KEEP, 0, 0, "")
+            self.lines.append((text, self.tags, min(self.linked, len(text)), landmark, holder, block))
         self.buffer = []
         self.tags = self.linked = 0
 
+    # -- declarations: the page is fed at once, so what has no end yet never gets one
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        end = _COMMENT_END.search(self.rawdata, i + 2)
+        return end.end() if end else len(self.rawdata)
 
-def text_to_tag_ratios(lines: list[tuple[str, int, int, int, int]]) -> np.ndarray:
-    return np.array([(len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
+    def parse_html_declaration(self, i: int) -> int:
+        end = super().parse_html_declaration(i)
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+
+def text_to_tag_ratios(lines: list[tuple[str, int, int, int, int, str]]) -> np.ndarray:
+    return np.array([(len(line[0]) - line[2]) / max(1, line[1]) for line in lines])
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -190,7 +207,7 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / weight
 
 
-def main_text(html: str | None, sigma: float = 1.0, threshold: float = 0.5, landmark_share: float = 0.2) -> str:
+def main_text(html: str | None, sigma: float = 1.0, threshold: float = 0.5) -> str:
     """The page's article: lines in page order, joined by an empty line."""
     if not html:
         return ""
@@ -204,23 +221,19 @@ def main_text(html: str | None, sigma: float = 1.0, threshold: float = 0.5, land
     ratios = text_to_tag_ratios(lines)
     smooth = smoothed(ratios, sigma)
     chosen = smooth >= threshold * ratios.std()
-    # landmarks that hold a good share of the largest landmark's clustered ratio
-    mass: Counter[int] = Counter()
-    for k, line in enumerate(lines):
-        if line[3] and chosen[k]:
-            mass[line[3]] += float(ratios[k])
-    if mass:
-        least = landmark_share * max(mass.values())
-        marks = {mark for mark, m in mass.items() if m >= least}
-        kept = [line for line in lines if line[3] in marks]
+    if any(line[3] and chosen[k] for k, line in enumerate(lines)):
+        # the page marks its articles: each stays, a short one as well
+        kept = [line for line in lines if line[3]]
     else:
         # smoothing carries a cluster over its edge: a holder needs a dense line of its own,
         # or a place between lines that stay
         plain = [line[2] * 2 <= len(line[0]) for line in lines]
         holders = {line[4] for k, line in enumerate(lines) if chosen[k] and plain[k] and ratios[k] >= threshold * ratios.std()}
-        stays = [k for k, line in enumerate(lines) if line[4] in holders and plain[k]]
+        # lists of links go, linked headlines and paragraphs don't
+        text = [plain[k] or line[5] in PROSE for k, line in enumerate(lines)]
+        stays = [k for k, line in enumerate(lines) if line[4] in holders and text[k]]
         first, last = (stays[0], stays[-1]) if stays else (0, -1)
-        kept = [line for k, line in enumerate(lines) if plain[k] and (line[4] in holders or chosen[k] and first < k < last)]
+        kept = [line for k, line in enumerate(lines) if line[4] in holders and text[k] or plain[k] and chosen[k] and first < k < last]
     return "\n\n".join(line[0] for line in kept)
 
 

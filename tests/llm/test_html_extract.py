@@ -1,5 +1,7 @@
 import html as H
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -37,6 +39,16 @@ CASES = [
     (f"<article><p>a&nbsp;b\n c&#233;&lt;p&gt;</p><script>if (a<b) {{}}</script><!-- {LONG} --><p hidden>{LONG}</p></article>", "a b cé<p>"),
     (f"<article><p><b>{LONG}<br>x</article><p>outside</p>", f"{LONG} x"),
     ("<article>" * 300 + LONG, LONG),
+    # declarations of any kind, closed or not
+    ("<article><p>x</p><![foo[ bar ]]></article>", "x"),
+    ("<article><p>x</p><![CDATA[ bar ]]><!doctype a><!ELEMENT b><!><!-><!--></article>", "x"),
+    (f"<article><p>{LONG}</p><!-- unclosed <article><p>no</p>", LONG),
+    ("<article><p>x</p><![if", "x"),
+    ("<article><p>x</p><!", "x"),
+    # linked headlines and paragraphs, formulas, menus of text, a short second article
+    (f"<div><h1><a href=x>A linked headline</a></h1><p>{LONG}</p><p>{LONG}</p><p><a href=y>Mostly a link, this one</a> here.</p></div>", f"A linked headline\n\n{LONG}\n\n{LONG}\n\nMostly a link, this one here."),
+    (f"<main><p>Let <math>x=2</math> be.</p><menu><li>First</li></menu><p>{LONG}</p></main>", f"Let x=2 be.\n\nFirst\n\n{LONG}"),
+    (f"<article><p>{LONG}</p><p>{LONG}</p></article><article><p>Brief.</p></article>", f"{LONG}\n\n{LONG}\n\nBrief."),
 ]
 
 
@@ -66,3 +78,31 @@ def test_clusters_choose_the_region_without_landmark():
     menu = "".join(f"<li><a href='/{k}'>Item {k}</a></li>" for k in range(40))
     page = f"<body><div><ul>{menu}</ul></div><div><p>{LONG}</p><p>{LONG}</p><p>Ok.</p></div><div><span>Imprint</span> <a href=x>Contact</a></div></body>"
     assert html_extract.main_text(page) == f"{LONG}\n\n{LONG}\n\nOk."
+
+
+def test_no_page_ends_the_job():
+    """Random pieces of markup, and random bytes, are read without an exception."""
+    rng = random.Random(6)
+    pieces = ["<!", "<![", "<!--", "-->", "--!>", "]]>", "<?", "<", ">", "</", "<p", "<a href='", "'", '"', "=", "&", "&#", "&#x", ";", "&#99999999999;", "&amp", "<script>", "</script", "<style>",
+              "<![CDATA[", "<![if IE]>", "<!DOCTYPE", "[", "]", "text ", "\x00", "\ud800", "\U0001f600", "/", "<article>", "</article>", "<svg/>", "<br", "<title>", "<textarea>", "<plaintext>", "-", "!"]
+    for _ in range(10_000):
+        assert isinstance(html_extract.main_text("".join(rng.choice(pieces) for _ in range(rng.randrange(25)))), str)
+    for _ in range(2000):
+        html_extract.main_text(rng.randbytes(rng.randrange(200)).decode("latin-1"))
+
+
+def test_time_grows_with_the_page():
+    def seconds(n):
+        pages = ["<font>" * n + "<h1>x</h1>" * n, "<p>" + "<b>" * n + "<h1>x</h1>" * n, "<ul><li>" * n + "x" * n, "<!--" * n, "<![" * n, "a&" * n]
+        began = time.process_time()
+        for page in pages:
+            html_extract.main_text(page)
+        return time.process_time() - began
+
+    seconds(500)
+    assert seconds(16_000) < 12 * max(0.1, seconds(4000))
+
+
+def test_very_long_page():
+    text = " ".join(f"word{k}" for k in range(200_000))
+    assert html_extract.main_text(f"<nav>x</nav><article><p>{text}</p></article>") == text
