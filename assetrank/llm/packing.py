@@ -53,7 +53,8 @@ class WordIds(dict):
 
     def __missing__(self, part: str) -> bytes:
         word = part.rstrip(_MARKS)
-        if word.isalpha() and (len(word) < len(part) or word.isascii() and not word.islower()):
+        # lower-casing may end a word in a combining mark, which the tokenizer joins to what follows
+        if word.isalpha() and word.lower().isalpha() and (len(word) < len(part) or word.isascii() and not word.islower()):
             if word.isascii():
                 word = word.lower()
             marks = part[len(word) :]

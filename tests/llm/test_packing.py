@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -33,6 +34,17 @@ def test_word_table_equals_whole_text(tokenizer, text):
         assert np.frombuffer(table.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_fuzzed_texts(tokenizer):
+    """Marks after words whose lower case ends in a combining mark, contractions, odd blanks, scripts."""
+    rng = random.Random(12)
+    marks = list("abcXYZ.,!?-()<>|_'#123 \n\t") + ["\u0130", "\u0131", "\u00df", "\u0301", "\u0307", "\ufb01", "\u2167", "\u4e2d", "\u30a2", "\u03c2", "\u03a3", "\u01f0", "\u200d", "\u00ad", "\u2019", "\u00a0", "\u2003", "\u0085", "\U0001f600", "'s", "'LL"]
+    parts = ["gelir", "A\u0130LER\u0130,", "TE\u015eEKK\u00dcRLER\u0130,", "A\u0130. x", "DON'T!", "IT'S.", "stra\u00dfe,", "\u03a3\u0391\u03a3,"]
+    table = packing.WordIds(tokenizer_path())
+    for _ in range(20_000):
+        text = " ".join(rng.choices(parts, k=rng.randrange(4))) + "".join(rng.choices(marks, k=rng.randrange(1, 20)))
+        assert np.frombuffer(table.encode(text), dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_full_word_table_stays_right(tokenizer):
     table = packing.WordIds(tokenizer_path(), most=2)
     text = "one two three four two one five"
