@@ -3,8 +3,10 @@
 Explicit rules come first: a rule ``host/path-prefix`` fits its host, all
 subdomains, and paths that start with its prefix; the longest fitting rule wins.
 
-Every other url is judged by its template. Paths are cut into segments; digits
-runs and hex keys become shapes at once. Then, level by level down the tree of
+Every other url is judged by its template. Paths are cut into segments. Digit
+runs and hex keys become shapes, but a segment with ``min_labels`` labels whose share of
+good ones differs from that of the other segments of its shape stays as it is
+(``/forum1/`` good, ``/forum2/`` bad). Then, level by level down the tree of
 each host, the segments below a node that are too many and too rare turn into a
 wildcard, so their subtrees are pooled before the next level is looked at. A rare
 segment with ``min_labels`` labels stays if its share of good labels differs
@@ -15,9 +17,11 @@ smoothed towards its host's share, which is smoothed towards the overall one;
 templates below ``min_purity`` are rejected.
 
 All counts are partial aggregates over distinct (host, shape) paths, so a host
-with a third of all rows costs one row per shape. Defined cases: a url that is
-null or without ``://`` has empty host and path; segments beyond ``max_depth``
-are one tail wildcard; pages without labels anywhere get the prior 1 (allow);
+with a third of all rows costs one row per shape. Paths are followed to their last
+segment; a node that holds one path is finished, so a long path of its own costs
+no levels. Defined cases: a url that is
+null or without ``://`` has empty host and path; a url of any length is used whole;
+pages without labels anywhere get the prior 1 (allow);
 duplicate pages count as often as they occur; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -59,12 +63,45 @@ def longest_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
     return rule, verdict
 
 
-def shapes(path: Column, max_depth: int) -> Column:
-    """Path segments with digit runs as ``#`` and long hex keys as ``%``; a deeper tail is ``**``."""
-    trimmed = F.regexp_replace(path, "^/+|/+$", "")
-    plain = F.regexp_replace(F.regexp_replace(trimmed, r"(?i)\b(?=[a-z-]*[0-9])[0-9a-f-]{12,}\b", "%"), "[0-9]+", "#")
-    parts = F.filter(F.split(plain, "/+"), lambda s: s != "")
-    return F.when(F.size(parts) > max_depth, F.concat(F.slice(parts, 1, max_depth), F.array(F.lit("**")))).otherwise(parts)
+def segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/+"), lambda s: s != "")
+
+
+def shape_of(segment: Column) -> Column:
+    """A segment with long hex keys as ``%`` and digit runs as ``#``."""
+    return F.regexp_replace(F.regexp_replace(segment, r"(?i)\b(?=[a-z-]*[0-9])[0-9a-f-]{12,}\b", "%"), "[0-9]+", "#")
+
+
+def with_shapes(rows: DataFrame, marked: DataFrame, min_labels: int, z: float) -> DataFrame:
+    """``rows`` (page_id, host, path) with ``shape``: the path's segments as shapes, but
+    literal where labels tell a segment from the others of its shape.
+
+    Only labelled paths are looked at, and of them only the levels where some literal
+    segment has enough labels.
+    """
+    rows = rows.withColumn("raw", segments(F.col("path"))).withColumn("shape", F.transform("raw", shape_of))
+    judged = rows.join(marked, "page_id").groupBy("host", "raw", "shape").agg(F.sum("good").alias("good"), F.count("*").alias("labels"))
+    judged = tables.stored(judged, "labelled")
+    each = judged.select("host", "labels", F.posexplode(F.arrays_zip("raw", "shape")).alias("level", "s")).where("s.raw <> s.shape")
+    levels = each.groupBy("host", "level", "s.raw").agg(F.sum("labels").alias("n")).where(F.col("n") >= min_labels).select("level").distinct()
+    for level in sorted(r["level"] for r in levels.collect()):  # as many as a path has segments
+        here = judged.where(F.size("raw") > level).withColumns({"before": F.slice("shape", 1, level), "seg": F.get("raw", F.lit(level)), "kind": F.get("shape", F.lit(level))})
+        own = here.groupBy("host", "before", "kind", "seg").agg(F.sum("good").alias("g"), F.sum("labels").alias("n"))
+        alike = own.groupBy("host", "before", "kind").agg(F.sum("g").alias("all_g"), F.sum("n").alias("all_n"))
+        own = own.where((F.col("seg") != F.col("kind")) & (F.col("n") >= min_labels)).join(alike, ["host", "before", "kind"])
+        apart = differs(F.col("g"), F.col("n"), F.col("all_g") - F.col("g"), F.col("all_n") - F.col("n"), z)
+        kept = tables.stored(own.where(apart).select(F.col("host").alias("kept_host"), F.col("before").alias("kept_before"), F.col("seg").alias("kept_seg")), f"literal-{level}")
+        if kept.isEmpty():
+            continue
+        size = kept.agg(F.sum(F.octet_length("kept_host") + F.octet_length("kept_seg") + F.octet_length(F.concat_ws("/", "kept_before")) + 64)).first()[0]
+
+        def with_literals(df: DataFrame, level: int = level, kept: DataFrame = tables.small_side(kept, 1, size)) -> DataFrame:
+            same = (F.col("host") == F.col("kept_host")) & (F.slice("shape", 1, level) == F.col("kept_before")) & (F.get("raw", F.lit(level)) == F.col("kept_seg"))
+            literal = F.concat(F.slice("shape", 1, level), F.array("kept_seg"), F.slice("shape", level + 2, 1 << 30))
+            return df.join(kept, same, "left").withColumn("shape", F.when(F.col("kept_seg").isNotNull(), literal).otherwise(F.col("shape"))).drop(*kept.columns)
+
+        rows, judged = with_literals(rows), with_literals(judged)
+    return rows.drop("raw")
 
 
 def differs(good: Column, n: Column, other_good: Column, other_n: Column, z: float) -> Column:
@@ -77,11 +114,13 @@ def differs(good: Column, n: Column, other_good: Column, other_n: Column, z: flo
 def template_tree(paths: DataFrame, max_children: int, min_share: float, min_labels: int, z: float) -> DataFrame:
     """Templates of distinct paths (host, shape, n, good, bad): adds ``template``
     (generalised) and ``merged`` (after branches were merged)."""
-    depth = paths.agg(F.max(F.size("shape"))).first()[0] or 0
     paths = paths.withColumn("template", F.array().cast("array<string>"))
-    for level in range(depth):
-        here = F.get("shape", F.lit(level))
-        at = paths.withColumn("seg", here)
+    finished, level = [], 0
+    while True:
+        # a node with one path is finished: its segments have no siblings
+        alone = paths.groupBy("host", "template").agg(F.count("*").alias("paths")).where("paths = 1").drop("paths").withColumn("alone", F.lit(True))
+        at = paths.join(alone, ["host", "template"], "left").withColumn("alone", F.coalesce("alone", F.lit(False)))
+        at = at.withColumn("seg", F.when(~F.col("alone"), F.get("shape", F.lit(level))))
         child = at.where("seg is not null").groupBy("host", "template", "seg").agg(
             F.sum("n").alias("child_n"), F.sum("good").alias("g"), F.sum(F.col("good") + F.col("bad")).alias("l")
         )
@@ -99,13 +138,21 @@ def template_tree(paths: DataFrame, max_children: int, min_share: float, min_lab
         )
         rare = rare.select("host", "template", "seg", F.lit(True).alias("wild"))
         at = at.join(rare, ["host", "template", "seg"], "left")
-        step = F.when(F.col("seg").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.array(F.when(F.col("wild"), F.lit("*")).otherwise(F.col("seg"))))
-        )
-        paths = tables.stored(at.withColumn("template", step).drop("seg", "wild"), f"paths-{level}")
+        step = F.when(F.col("alone"), F.concat("template", F.slice("shape", level + 1, 1 << 30))).when(F.col("seg").isNull(), F.col("template"))
+        step = step.otherwise(F.concat("template", F.array(F.when(F.col("wild"), F.lit("*")).otherwise(F.col("seg")))))
+        at = at.withColumns({"template": step, "done": F.col("seg").isNull()}).drop("seg", "wild", "alone")
+        at = tables.stored(at, f"paths-{level}")
+        finished.append(at.where("done").drop("done"))
+        paths = at.where("NOT done").drop("done")
+        if paths.isEmpty():
+            break
+        level += 1
+    paths = finished[0]
+    for more in finished[1:]:
+        paths = paths.union(more.select(*paths.columns))
     merged = paths.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
     merged = merged.withColumn("merged", F.col("template"))
-    for level in reversed(range(depth)):
+    for level in reversed(range(level)):  # deeper down no node has two paths
         merged = tables.stored(_merge_branches(merged, level, z), f"merged-{level}")  # a level joins its input twice
     return paths.join(merged.select("host", "template", "merged"), ["host", "template"])
 
@@ -184,7 +231,6 @@ def judge_urls(
     pages: DataFrame,
     labels: DataFrame,
     rules: list[Rule],
-    max_depth: int = 8,
     max_children: int = 20,
     min_share: float = 0.02,
     z: float = 2.58,
@@ -200,8 +246,8 @@ def judge_urls(
     url = F.col("url").cast("string")
     host, path = host_and_path(url)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("shape", shapes(F.col("path"), max_depth))
-    marked = labels.where("good is not null").groupBy("page_id").agg(F.min("good").alias("good"))
+    marked = tables.stored(labels.where("good is not null").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.min("good").alias("good")), "marked")
+    rows = with_shapes(rows, marked, min_labels, z)
     paths = (
         rows.join(marked, "page_id", "left")
         .groupBy("host", "shape")
@@ -219,6 +265,7 @@ def judge_urls(
     judged = tables.stored(judged.select("host", "shape", F.concat(F.lit("/"), F.concat_ws("/", "merged")).alias("template"), "purity"), "templates")
 
     rule, ruled = longest_rule(rules, F.col("host"), F.col("path"))
-    found = rows.join(tables.small_side(judged, judged.count(), 256), ["host", "shape"])
+    size = judged.agg(F.sum(F.octet_length("host") + 2 * F.octet_length("template") + 64)).first()[0] or 0
+    found = rows.join(tables.small_side(judged, 1, size), ["host", "shape"])
     by_method = F.when(F.col("purity") < min_purity, F.lit("block")).otherwise(F.lit("allow"))
     return found.select("page_id", "url", "host", "path", rule.alias("rule"), "template", "purity", F.coalesce(ruled, by_method).alias("verdict"))

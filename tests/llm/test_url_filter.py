@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -117,3 +118,110 @@ def test_groups_of_branches():
     split = groups(("a", 500, 5000), ("c", 4500, 5000), *tail)
     assert not any({"a", "c"} <= set(names) for names in split) and sorted(sum(split, [])) == sorted(["a", "c", *(t[0] for t in tail)])
     assert url_filter.group_label(["a", "b"], 3) == "{a|b}" and url_filter.group_label(["a", "b"], 2) == "*"
+
+
+def verdicts(spark, urls, good):
+    """template and verdict of each url; ``good`` is 1, 0 or None by url."""
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(k, g) for k, g in enumerate(good) if g is not None] + [(-1, 1)], "page_id long, good int")
+    out = {r.page_id: (r.template, r.verdict) for r in url_filter.judge_urls(pages, labels, []).collect()}
+    return [out[k] for k in range(len(urls))]
+
+
+def test_deep_paths_are_judged_to_their_end(spark):
+    urls = [f"http://h.org/a/b/c/d/e/f/g/h/{'spam' if k % 2 else 'good'}/p{k}" for k in range(400)]
+    urls.append("http://h.org/" + "/".join(f"x{k}y" for k in range(3000)))  # a very long url of its own
+    found = verdicts(spark, urls, [1 - k % 2 for k in range(400)] + [None])
+    assert {v for k, (_, v) in enumerate(found[:400]) if k % 2} == {"block"}
+    assert {v for k, (_, v) in enumerate(found[:400]) if not k % 2} == {"allow"}
+    assert found[1][0] == "/a/b/c/d/e/f/g/h/spam/p#" and found[400][0].count("/") == 3000
+
+
+def test_digits_generalise_by_evidence(spark):
+    urls = [f"http://h.org/forum{1 + k % 2}/p{k}" for k in range(400)] + [f"http://h.org/year20{k:02d}/x" for k in range(20)]
+    found = verdicts(spark, urls, [1 - k % 2 for k in range(400)] + [1] * 20)
+    assert {f for k, f in enumerate(found[:400]) if k % 2} == {("/forum2/p#", "block")}
+    assert {v for k, (_, v) in enumerate(found[:400]) if not k % 2} == {"allow"}
+    assert len({t for t, _ in found[400:]}) == 1  # few labels each: one shape
+    # below a literal segment the next level is looked at on its own
+    urls = [f"http://h.org/v{k % 2}/s{(k // 2) % 2}/p{k}" for k in range(400)]
+    found = verdicts(spark, urls, [int((k % 2, (k // 2) % 2) != (1, 0)) for k in range(400)])
+    assert {v for k, (_, v) in enumerate(found) if (k % 2, (k // 2) % 2) == (1, 0)} == {"block"}
+    assert {v for k, (_, v) in enumerate(found) if (k % 2, (k // 2) % 2) != (1, 0)} == {"allow"}
+
+
+def plain_tree(urls, good, max_children=20, min_share=0.02, z=2.58, prior_weight=10.0, min_purity=0.5, min_labels=10):
+    """The method over one host in plain Python, urls of letters only (no shapes): verdict by url."""
+
+    def apart(g, n, g2, n2):
+        if not n or not n2:
+            return False
+        p = (g + g2) / (n + n2)
+        return abs(g / n - g2 / n2) > z * math.sqrt(p * (1 - p) * (1 / n + 1 / n2))
+
+    def count(rows):
+        return sum(1 for k in rows if good[k] == 1), sum(1 for k in rows if good[k] is not None)
+
+    paths = [tuple(s for s in u.split("://")[1].split("/")[1:] if s) for u in urls]
+    template = {}
+
+    def descend(rows, done):
+        below = {}
+        for k in rows:
+            if len(paths[k]) == len(done):
+                template[k] = done
+            else:
+                below.setdefault(paths[k][len(done)], []).append(k)
+        total = sum(map(len, below.values()))
+        node_g, node_l = count([k for r in below.values() for k in r])
+        few_g, few_l = count([k for r in below.values() if count(r)[1] < min_labels for k in r])
+        pooled = {}
+        for seg, r in below.items():
+            g, n = count(r)
+            tells = n >= min_labels and (apart(g, n, node_g - g, node_l - n) or apart(g, n, few_g, few_l))
+            rare = len(below) > max_children and len(r) < total * min_share and not tells
+            pooled.setdefault("*" if rare else seg, []).extend(r)
+        for seg, r in pooled.items():
+            descend(r, (*done, seg))
+
+    descend(range(len(urls)), ())
+    merged = {t: t for t in set(template.values())}
+    for level in reversed(range(max(map(len, merged)))):
+        families = {}
+        for t, m in merged.items():
+            if len(m) > level:
+                families.setdefault((m[:level], m[level + 1 :]), {}).setdefault(m[level], []).append(t)
+        for (before, after), branches in families.items():
+            if len(branches) > 1:
+                counted = [(b, *count([k for k, t in template.items() if t in ts])) for b, ts in branches.items()]
+                for names in url_filter.groups_of(counted, z):
+                    for name in names:
+                        for t in branches[name]:
+                            merged[t] = (*before, url_filter.group_label(names, len(branches)), *after)
+    g, n = count(range(len(urls)))
+    host = (g + prior_weight * (g / n if n else 1.0)) / (n + prior_weight)
+    by = {}
+    for k in range(len(urls)):
+        by.setdefault(merged[template[k]], []).append(k)
+    out = {}
+    for rows in by.values():
+        g, n = count(rows)
+        for k in rows:
+            out[k] = "block" if (g + prior_weight * host) / (n + prior_weight) < min_purity else "allow"
+    return [out[k] for k in range(len(urls))]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_verdicts_equal_a_plain_tree(spark, seed):
+    """Urls without a rule, judged by the method alone."""
+    rng = random.Random(seed)
+    word = lambda size: "".join(rng.choice("ghijklmnop") for _ in range(size))
+    sections = [word(4) for _ in range(30)]
+    quality = {s: rng.choice([0.05, 0.5, 0.9]) for s in sections}
+    urls, good = [], []
+    for _ in range(1500):
+        section = rng.choice(sections[: rng.choice([3, 30])])
+        tail = [rng.choice([word(1), word(6)]) for _ in range(rng.randrange(4))]
+        urls.append("http://one.org/" + "/".join([section, *tail]))
+        good.append(int(rng.random() < quality[section]) if rng.random() < 0.4 else None)
+    assert [v for _, v in verdicts(spark, urls, good)] == plain_tree(urls, good)
