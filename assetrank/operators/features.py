@@ -7,7 +7,9 @@ are broadcast, ``HEAVIEST`` of them at most, whatever the table's size; a ticker
 beyond those holds less than one row in ``HEAVIEST`` and needs no cut. What is left
 passes one ``row_number`` per ticker (date desc, tie-break desc): ``n`` rows and the
 rest of one day for a hot ticker. Everything after is one window pass and
-one partial aggregate on that bounded set.
+one partial aggregate on that bounded set. A table that Spark estimates below
+``HISTOGRAM_BYTES`` would fit one task as a whole, so there the counting is left out;
+the rows are the same either way.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ def filter_end_date(prices: DataFrame, end_date, date_col: str = "date", year_pa
 
 #: Tickers whose cut is broadcast: key, day and count, a few MB whatever the table's size.
 HEAVIEST = 65_536
+#: From this estimated size of the prices on the histogram is made.
+HISTOGRAM_BYTES = 1 << 30
 
 
 def trailing_n(
@@ -56,15 +60,19 @@ def trailing_n(
     key: Sequence[str] = ("ticker",),
     date_col: str = "date",
     rn_col: str = "rn",
+    histogram: bool | None = None,
 ) -> DataFrame:
     """Last ``n`` prices per ticker (G3); ``rn`` = 1 is the newest.
 
     Rows before a heavy ticker's cut (:func:`newest_days`) are dropped before the
     one exchange by ticker, for any ``n``. Up to
     ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark also limits every map
-    task to ``n`` rows per ticker.
+    task to ``n`` rows per ticker. ``histogram`` (default: by Spark's size estimate)
+    decides cost only.
     """
-    some = newest_days(prices, n, key=key, date_col=date_col)
+    if histogram is None:
+        histogram = int(str(prices._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= HISTOGRAM_BYTES
+    some = newest_days(prices, n, key=key, date_col=date_col) if histogram else prices
     rn = F.expr(f"row_number() {_desc_over(key, date_col, tiebreak)}")
     return some.withColumn(rn_col, rn).where(F.expr(f"{ident(rn_col)} <= {int(n)}"))
 

@@ -87,6 +87,7 @@ def write_report(report: DataFrame, path: str) -> str:
     # an empty report has no part in some Spark versions
     done = files.move(spark, f"{aside}/{parts[0]}", target, replace=True) if parts else files.write_text(spark, target, "")
     files.remove(spark, aside)
+    files.remove(spark, f"{folder}/.{REPORT_NAME}.crc")  # the local file system's checksum, of no use to a reader
     if not done:
         raise OSError(f"the report could not be moved to {target}")
     return target

@@ -394,9 +394,10 @@ def with_ewm(
         raise ValueError("span must be >= 1")
     alpha = 2.0 / (1.0 + span)
     beta = 1.0 - alpha
-    # values in a stretch; with b = 0 every value replaces the mean
-    stretch = min(1 << 40, max(1, int(WEIGHT_BITS / -math.log2(beta)))) if beta else 1
     plan = _plan(df, s, plan)
+    if not beta:
+        return _with_last_value(df, s, col, out, plan)
+    stretch = min(1 << 40, max(1, int(WEIGHT_BITS / -math.log2(beta))))  # values in a stretch
 
     def power(k: Column) -> Column:
         return F.pow(F.lit(beta), k)
@@ -415,6 +416,16 @@ def with_ewm(
     return finish(res, df, s, F.when(F.col("_seen") + F.col("_v") > 0, F.coalesce(odd, y)).alias(out))
 
 
+def _with_last_value(df: DataFrame, s: Series, col: str, out: str, plan: BlockPlan) -> DataFrame:
+    """``out`` = the newest non-null value: the mean of span 1, where each value replaces it."""
+    x = F.col(col).cast("double")
+    so_far = _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = plan.rows.withColumn("_here", F.last(x, ignorenulls=True).over(so_far))
+    ends = plan.summary(f"newest {col}", lambda of: of.groupBy(KEY, BLOCK).agg(F.max_by(x, F.when(x.isNotNull(), F.col(INDEX))).alias("_end")))
+    carry = ends.select(KEY, BLOCK, F.last("_end", ignorenulls=True).over(_before()).alias("_prior"))
+    return finish(join_on(rows, carry), df, s, F.coalesce("_here", "_prior").alias(out))
+
+
 Power = Callable[[Column], Column]
 
 
@@ -424,10 +435,7 @@ def _ewm_rows(rows: DataFrame, col: str, alpha: float, stretch: int, power: Powe
     x = F.col(col).cast("double")
     finite = F.abs(x) < float("inf")
     so_far = _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if alpha == 1.0:  # every value replaces the mean, whatever it is
-        b = rows.withColumns({"_x": x, "_odd": F.lit(None).cast("double")})
-    else:
-        b = rows.withColumns({"_x": F.when(finite, x).when(x.isNotNull(), F.lit(0.0)), "_odd": F.when(~finite, x)})
+    b = rows.withColumns({"_x": F.when(finite, x).when(x.isNotNull(), F.lit(0.0)), "_odd": F.when(~finite, x)})
     b = b.withColumns({"_v": F.count("_x").over(so_far), "_odd": F.sum("_odd").over(so_far)})
     b = b.withColumn("_st", F.floor(F.greatest(F.col("_v") - 1, F.lit(0)) / stretch).cast("bigint"))
     b = b.withColumn("_c", F.col("_v") - F.col("_st") * stretch)

@@ -23,6 +23,7 @@ from assetrank.operators import features as feat
 from assetrank.operators import ranking as rk
 from assetrank.operators import report as rep
 from assetrank.operators import series as ser
+from assetrank.operators.layout import StoredPlan, append_layout, open_layout, store_layout
 from assetrank.operators.scan import Series
 from assetrank.plans.program import rank_from_files
 from assetrank.plans.rank import rank_investments
@@ -259,7 +260,7 @@ def _written(spark: SparkSession, sf_dir: str, kind: str, source: str, write) ->
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, files.changed(spark, f"{sf_dir}/{source}.parquet"))
     path = _WRITTEN.get(key)
-    if path is None or files.changed(spark, f"{path}/_SUCCESS") is None:
+    if path is None or files.changed(spark, path) is None:
         path = shared_dir(spark, kind)
         write(path)
         _WRITTEN[key] = path
@@ -274,6 +275,19 @@ def _assets_json_path(spark: SparkSession, sf_dir: str) -> str:
     return _written(spark, sf_dir, "assets_json", "supplier", lambda p: asrc.write_assets_json(fx.asset_records(spark, sf_dir), p))
 
 
+def _layout(spark: SparkSession, sf_dir: str, kind: str, source: str, df: DataFrame, s: Series) -> StoredPlan:
+    """The stored layout of a series: the first query that needs it writes it, the others reopen it."""
+    return open_layout(spark, _written(spark, sf_dir, f"layout_{kind}", source, lambda p: store_layout(df, s, p)))
+
+
+def _ticks_layout(spark, sf_dir, by="event_type"):
+    return _layout(spark, sf_dir, f"ticks_{by}", "events", fx.ticks(spark, sf_dir, by=by), TICK_SERIES)
+
+
+def _bars_layout(spark, sf_dir):
+    return _layout(spark, sf_dir, "bars", "events", fx.bars(spark, sf_dir), BAR_SERIES)
+
+
 def _written_price_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return psrc.scan_prices_csv(spark, _price_csv_path(spark, sf_dir))
 
@@ -317,6 +331,18 @@ def q_parse_rejects(spark, sf_dir):
     return psrc.rejected_prices(fx.price_text(spark, sf_dir))
 
 
+@query(
+    "parse_rejects_from_files",
+    f"""with {PRICE_TEXT}
+    select *, case when open is null then 'empty open' else 'unparsable close' end as reason, true as from_csv
+    from price_text where open is null or try_cast(close as double) is null""",
+)
+def q_parse_rejects_from_files(spark, sf_dir):
+    """Rejected lines of the price files with reason and origin."""
+    found = psrc.explain_rejects(spark, _price_csv_path(spark, sf_dir))
+    return found.select(*psrc.RAW_COLUMNS, "reason", F.col("file").endswith(".csv").alias("from_csv"))
+
+
 def _written_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asrc.scan_assets_json(spark, _assets_json_path(spark, sf_dir), multi_line=False)
 
@@ -538,8 +564,8 @@ def q_group_prices(spark, sf_dir):
     cast(row_number() over (partition by ticker order by {_ORD_ASC}) as bigint) as rn from prices""",
 )
 def q_order_within_ticker(spark, sf_dir):
-    p = fx.prices(spark, sf_dir).drop("close")
-    return ser.order_within(p, PRICE_SERIES)
+    p = _layout(spark, sf_dir, "prices", "lineitem", fx.prices(spark, sf_dir), PRICE_SERIES)
+    return ser.order_within(p.source, PRICE_SERIES, plan=p).drop("close")
 
 
 @query(
@@ -587,8 +613,8 @@ def q_returns_k(spark, sf_dir):
     select ticker, n, round(case when n < 2 then 0.0 else sd end, 6) as vol from g""",
 )
 def q_volatility(spark, sf_dir):
-    t = fx.ticks(spark, sf_dir, by="user_id")
-    return r6(ser.volatility(t, TICK_SERIES, "x"))
+    t = _ticks_layout(spark, sf_dir, by="user_id")
+    return r6(ser.volatility(t.source, TICK_SERIES, "x", plan=t))
 
 
 def _type_aggs(spark, sf_dir):
@@ -617,8 +643,8 @@ def q_series_std(spark, sf_dir):
       as cum_sum from tt""",
 )
 def q_cum_sum(spark, sf_dir):
-    t = fx.ticks(spark, sf_dir)
-    return r6(ser.cum_sum(t, TICK_SERIES, "x").select("ticker", "event_id", "x", "cum_sum"))
+    t = _ticks_layout(spark, sf_dir)
+    return r6(ser.cum_sum(t.source, TICK_SERIES, "x", plan=t).select("ticker", "event_id", "x", "cum_sum"))
 
 
 @query(
@@ -628,8 +654,29 @@ def q_cum_sum(spark, sf_dir):
       lambda a, v: a + (2.0::double / {EWM_SPAN + 1}.0::double) * (v - a)), 6) as ewm from tt""",
 )
 def q_ewm(spark, sf_dir):
+    t = _ticks_layout(spark, sf_dir)
+    return r6(ser.ewm(t.source, TICK_SERIES, "x", EWM_SPAN, plan=t).select("ticker", "event_id", "ewm"))
+
+
+@query(
+    "appended_day",
+    f"""with {TYPE_TICKS}, s as (
+      select ticker, ts, event_id,
+        sum(x) over (partition by ticker order by ts, event_id rows between unbounded preceding and current row) as cum_sum,
+        list_reduce(list(x) over (partition by ticker order by ts, event_id rows between unbounded preceding and current row),
+          lambda a, v: a + (2.0::double / {EWM_SPAN + 1}.0::double) * (v - a)) as ewm from tt)
+    select ticker, event_id, round(cum_sum, 6) as cum_sum, round(ewm, 6) as ewm from s
+    where date_trunc('day', ts) = (select date_trunc('day', max(ts)) from tt)""",
+)
+def q_appended_day(spark, sf_dir):
+    """The last day's ticks appended to a stored layout of the days before; only they are computed."""
     t = fx.ticks(spark, sf_dir)
-    return r6(ser.ewm(t, TICK_SERIES, "x", EWM_SPAN).select("ticker", "event_id", "ewm"))
+    last = t.agg(F.date_trunc("day", F.max("ts"))).first()[0]
+    before = store_layout(t.where(F.col("ts") < F.lit(last)), TICK_SERIES, shared_dir(spark, "layout_ticks"))
+    day = append_layout(before, t.where(F.col("ts") >= F.lit(last))).newest()
+    sums = ser.cum_sum(day.source, TICK_SERIES, "x", plan=day).select("ticker", "event_id", "cum_sum")
+    means = ser.ewm(day.source, TICK_SERIES, "x", EWM_SPAN, plan=day).select("ticker", "event_id", "ewm")
+    return r6(sums.join(means, ["ticker", "event_id"]))
 
 
 @query(
@@ -638,8 +685,8 @@ def q_ewm(spark, sf_dir):
     round(x - coalesce(lag(x) over (partition by ticker order by ts, event_id), x), 6) as diff from tt""",
 )
 def q_diff(spark, sf_dir):
-    t = fx.ticks(spark, sf_dir)
-    return r6(ser.diff(t, TICK_SERIES, "x").select("ticker", "event_id", "diff"))
+    t = _ticks_layout(spark, sf_dir)
+    return r6(ser.diff(t.source, TICK_SERIES, "x", plan=t).select("ticker", "event_id", "diff"))
 
 
 @query(
@@ -648,8 +695,8 @@ def q_diff(spark, sf_dir):
     select ticker, {BAR_TEXT}, round(greatest(abs(low - pc), high - low, abs(high - pc)), 6) as true_range from p""",
 )
 def q_true_range(spark, sf_dir):
-    b = fx.bars(spark, sf_dir)
-    return r6(ser.true_range(b, BAR_SERIES).select("ticker", _bar_text(), "true_range"))
+    b = _bars_layout(spark, sf_dir)
+    return r6(ser.true_range(b.source, BAR_SERIES, plan=b).select("ticker", _bar_text(), "true_range"))
 
 
 @query("true_price", f"with {BARS} select ticker, {BAR_TEXT}, round((high + low + close) / 3.0, 6) as true_price from bars")
@@ -668,8 +715,8 @@ def q_true_price(spark, sf_dir):
            round(win_std, 6) as win_std from w where n = {SLIDE}""",
 )
 def q_sliding_agg(spark, sf_dir):
-    b = fx.bars(spark, sf_dir)
-    s = ser.sliding_agg(b, BAR_SERIES, "close", SLIDE)
+    b = _bars_layout(spark, sf_dir)
+    s = ser.sliding_agg(b.source, BAR_SERIES, "close", SLIDE, plan=b)
     return r6(s.select("ticker", _bar_text(), "win_sum", "win_mean", "win_std"))
 
 
@@ -682,8 +729,8 @@ def q_sliding_agg(spark, sf_dir):
     from w where len(l) = {LIST_SLIDE}""",
 )
 def q_sliding_list(spark, sf_dir):
-    t = fx.ticks(spark, sf_dir, by="user_id")
-    s = ser.sliding_list(t, TICK_SERIES, "x", LIST_SLIDE)
+    t = _ticks_layout(spark, sf_dir, by="user_id")
+    s = ser.sliding_list(t.source, TICK_SERIES, "x", LIST_SLIDE, plan=t)
     text = F.concat_ws(",", F.transform("window", lambda v: F.format_string("%.6f", round6(v))))
     return s.select("ticker", "event_id", text.alias("window"))
 
@@ -700,8 +747,8 @@ def q_sliding_list(spark, sf_dir):
 def q_expanding_agg(spark, sf_dir):
     # the mean is shown as (sum to 6 places) / n: sums of 2-decimal prices over
     # 32 rows land exactly on a 6-place tie, where one ulp decides the rounding
-    b = fx.bars(spark, sf_dir)
-    e = ser.expanding_agg(b, BAR_SERIES, "close")
+    b = _bars_layout(spark, sf_dir)
+    e = ser.expanding_agg(b.source, BAR_SERIES, "close", plan=b)
     shown = round6(round6(F.col("exp_sum")) / F.col("exp_n")).alias("exp_mean")
     return r6(e.select("ticker", _bar_text(), "exp_n", "exp_sum", shown, "exp_std"))
 

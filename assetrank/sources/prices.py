@@ -62,6 +62,31 @@ def rejected_prices(raw: DataFrame) -> DataFrame:
     return raw.where(bad)
 
 
+def explain_rejects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The lines of price files that cleaning drops, with ``reason`` and origin.
+
+    Columns: the eight fields as read, ``reason``, ``line`` (the line as it stands, where its
+    fields could not be told apart) and ``file``, ``block_start`` (Spark's file path and the
+    first byte of the split that held it). ``reason`` names what is wrong first, from left to right:
+    ``wrong number of fields``, ``empty <field>`` or ``unparsable <field>``. A quoted
+    field may hold line breaks with ``multi_line``, which reads a file in one task;
+    without it such a line is two lines with a wrong number of fields.
+    """
+    schema = StructType([*RAW_SCHEMA, StructField("line", StringType(), True)])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "line").option("mode", "PERMISSIVE")
+    rows = reader.option("multiLine", multi_line).csv(path)
+    typed = {"date": parse_date("date")} | {c: F.col(c).try_cast("double") for c in NUMERIC_COLUMNS}
+    # more fields than eight are no fault: the ones past the eighth are ignored
+    short = F.col("line").isNotNull() & F.col(RAW_COLUMNS[-1]).isNull()
+    reason = F.when(short, F.lit("wrong number of fields"))
+    for c in RAW_COLUMNS:
+        reason = reason.when(F.col(c).isNull(), F.lit(f"empty {c}"))
+        if c in typed:
+            reason = reason.when(typed[c].isNull(), F.lit(f"unparsable {c}"))
+    found = rows.select(*RAW_COLUMNS, reason.alias("reason"), "line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"))
+    return found.where("reason IS NOT NULL")
+
+
 def load_prices(raw: DataFrame) -> DataFrame:
     """F1 then P1, then drop rows whose fields did not parse (Q1).
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from assetrank.operators import features as feat
 from assetrank.operators import ranking as rk
 from assetrank.operators import report as rep
+from assetrank.plans.program import run_program
 from assetrank.plans.rank import rank_investments
 from assetrank.sources import assets as asrc
 from assetrank.sources import prices as psrc
@@ -371,3 +372,43 @@ def test_file_program_takes_all_settings(spark, tmp_dir):
     assert rank_from_files(spark, *paths, **settings).first().ticker is None  # too short a history
     got = rank_from_files(spark, *paths, window=20, return_days=2, price_col="adj_close", min_history=30, **settings).first()
     assert got.ticker == "AAA" and got.ret == pytest.approx(walk(40)[-1] / walk(40)[-3] - 1)
+
+
+def test_rejects_tell_reason_and_file(spark, tmp_dir):
+    good = "2020-01-02,1,2,3,4,5,6,AAA"
+    lines = {
+        "a.csv": [good, "2020-1-2,1,2,3,4,5,6,AAA,more,fields", "bad,1,2,3,4,5,6,AAA", "2020-01-02,1,,3,4,5,6,AAA", "2020-01-02,1,2", ""],
+        "b.csv": ["2020-01-02,1,2,3,x,5,6,AAA", "2020-01-02,1,2,3,4,5,6,", '2020-01-02,1,2,3,4,5,6,"A', 'B"', good],
+    }
+    os.makedirs(f"{tmp_dir}/csv")
+    for name, text in lines.items():
+        with open(f"{tmp_dir}/csv/{name}", "w") as f:
+            f.write("\n".join(text) + "\n")
+    found = psrc.explain_rejects(spark, f"{tmp_dir}/csv").collect()
+    got = sorted((os.path.basename(r.file), r.reason, r.line) for r in found)
+    assert ("a.csv", "unparsable date", None) in got and ("a.csv", "empty high", None) in got
+    assert ("a.csv", "wrong number of fields", "2020-01-02,1,2") in got
+    assert ("b.csv", "unparsable close", None) in got and ("b.csv", "empty ticker", None) in got
+    assert [r for r in got if r[0] == "b.csv" and r[1] == "wrong number of fields"]
+    # what is told here is what cleaning drops, no more
+    raw = psrc.scan_prices_csv(spark, f"{tmp_dir}/csv")
+    assert len(found) + psrc.load_prices(raw).count() == raw.count()
+    # a quoted line break is one field
+    whole = psrc.explain_rejects(spark, f"{tmp_dir}/csv", multi_line=True)
+    assert whole.where("file LIKE '%b.csv'").count() == 2
+
+
+def test_program_runs_once_and_reports_a_file(spark, tmp_dir):
+    """The report is one file that appears whole; the returned ranking reads what was ranked."""
+    rows = [(f"2020-{1 + d // 28}-{1 + d % 28}", *["1"] * 3, str(10 + (d * 7) % 5), "1", "1", "T1") for d in range(300 // 28 * 28)]
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in psrc.RAW_COLUMNS)).write.csv(f"{tmp_dir}/prices")
+    spark.createDataFrame([("T1", "One", "I", "S", 3.0)], "symbol string, name string, industry string, sector string, price_earning_ratio double").write.json(f"{tmp_dir}/assets")
+    os.makedirs(f"{tmp_dir}/out")
+    with open(f"{tmp_dir}/out/SPARK.DONE", "w") as f:
+        f.write("old")
+    ranked = run_program(spark, f"{tmp_dir}/prices", f"{tmp_dir}/assets", f"{tmp_dir}/out", end_date="2021-01-01", window=20, min_history=20, volatility_ceiling=100.0, assets_multi_line=False)
+    with open(f"{tmp_dir}/out/SPARK.DONE") as f:
+        assert f.read().startswith("Rank 1: One (T1)\n")
+    assert sorted(n for n in os.listdir(f"{tmp_dir}/out") if not n.endswith(".crc")) == ["SPARK.DONE"]
+    assert [r.ticker for r in ranked.collect()] == ["T1", None, None, None, None]
+    assert "/prices" not in ranked._jdf.queryExecution().executedPlan().toString()

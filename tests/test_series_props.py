@@ -299,3 +299,63 @@ def test_a_plan_is_for_its_input(spark, data):
     df, _, s, plan = data
     with pytest.raises(ValueError):
         S.cum_sum(df.where("x > 0"), s, "x", plan=plan)
+
+
+@pytest.mark.parametrize("span", [1, 1.2, 2, 12, 500, 1e6])
+@pytest.mark.parametrize("block_rows", [70, 5000])
+def test_ewm_over_many_stretches(spark, span, block_rows):
+    """Long series (many stretches of weights), big and small values, nulls, infinities and NaN, against the loop."""
+    rnd = random.Random(3)
+    series = {
+        "long": [rnd.uniform(-50, 150) for _ in range(4000)],
+        "scales": [10.0 ** rnd.randint(-100, 100) for _ in range(1500)],
+        "decay": [1e300] + [0.0] * 2000 + [1.0],
+        "huge": [1.7e308, 1.6e308] * 300,
+        "gaps": [None] * 90 + [rnd.choice([None, rnd.uniform(0, 9)]) for _ in range(900)],
+        "inf": [1.0, 2.0, math.inf] + [3.0] * 400,
+        "odd": [1.0, math.inf, 5.0, -math.inf] + [3.0] * 400,
+        "nan": [1.0] * 200 + [math.nan] + [3.0] * 400,
+        "none": [None] * 30,
+    }
+    rows = [(k, i, x) for k, xs in series.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "ticker string, i long, x double").repartition(4)
+    s = Series.of("ticker", "i")
+    got = {(r.ticker, r.i): r.ewm for r in S.ewm(df, s, "x", span, plan=plan_blocks(df, s, block_rows)).collect()}
+    alpha = 2.0 / (1.0 + span)
+    for k, xs in series.items():
+        acc, top = None, 0.0
+        for i, x in enumerate(xs):
+            if x is not None:
+                odd = acc is not None and (math.isinf(acc) or math.isnan(acc))
+                if acc is None or alpha == 1.0:
+                    acc = x
+                elif odd or math.isinf(x) or math.isnan(x):
+                    acc = acc + x if odd and (math.isinf(x) or math.isnan(x)) else acc if odd else x
+                else:
+                    acc = (1 - alpha) * acc + alpha * x
+                top = max(top, abs(x)) if math.isfinite(x) else top
+            y = got[k, i]
+            if acc is None or math.isnan(acc) or math.isinf(acc):
+                assert (y is None) == (acc is None) and (acc is None or y == acc or (math.isnan(y) and math.isnan(acc))), (k, i, y, acc)
+            else:
+                assert abs(y - acc) <= 1e-9 * abs(acc) + 1e-15 * top * (1 - alpha) ** min(i, 10**6) + 1e-100 * top, (k, i, y, acc)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 64, 500])
+def test_sliding_parts_against_plain_windows(spark, size):
+    """Sum, mean, deviation, minimum and maximum with nulls, NaN, infinities and large offsets."""
+    from pyspark.sql import Window
+
+    rnd = random.Random(size)
+    rows = [("a", i, 1e6 + rnd.random()) for i in range(1500)] + [("b", i, rnd.choice([None, rnd.uniform(-5, 5)])) for i in range(700)]
+    rows += [("c", i, rnd.choice([1.0, 2.0, math.nan, math.inf, None])) for i in range(200)] + [("d", i, float(i)) for i in range(size)] + [("e", i, None) for i in range(80)]
+    df = spark.createDataFrame(rows, "ticker string, i long, x double").repartition(3)
+    s = Series.of("ticker", "i")
+    w = Window.partitionBy("ticker").orderBy("i").rowsBetween(-(size - 1), 0)
+    want = df.select("ticker", "i", F.count(F.lit(1)).over(w).alias("n"), *(fn("x").over(w).alias(c) for c, fn in (("win_sum", F.sum), ("win_mean", F.avg), ("win_std", F.stddev_pop), ("win_min", F.min), ("win_max", F.max))))
+    want = {(r.ticker, r.i): r for r in want.where(F.col("n") == size).collect()}
+    got = {(r.ticker, r.i): r for r in S.sliding_agg(df, s, "x", size, plan=plan_blocks(df, s, 90)).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        for c in ("win_sum", "win_mean", "win_std", "win_min", "win_max"):
+            assert want[k][c] == got[k][c] or _close(want[k][c], got[k][c], 1e-6 if c == "win_std" else 1e-9), (k, c, want[k], got[k])
