@@ -1,9 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. The n-grams of all test items set bits in a filter of fixed size. Documents
-   count, over the whole corpus, how many of them hold each n-gram that passes.
-2. Seeds of an item are its n-grams held by few documents; the rarer half of
-   its n-grams are seeds in any case, so an item that leaked widely keeps seeds.
+1. Seeds are n words in order, each next to the one before or one place further
+   (``a b c``, ``a _ b c``, ``a b _ c``, ``a _ b _ c``), named by the words alone, so a
+   copy with every third word replaced, or a word put in after each, still shares some.
+   The seeds of all test items set bits in a filter sized by their number. Documents count, over the
+   whole corpus, how many of them hold each seed that passes.
+2. An item keeps the seeds held by few documents, or by at most four times as many as its
+   rarer ones are; the rarer half stay in any case. So an item that leaked widely keeps
+   its own seeds, and loses those that many other texts hold.
 3. Documents are scanned for seeds. Neighbouring hits form a window of words,
    wide enough for the longest item on both sides. Windows join items by seed.
 4. Each (window, item) pair is aligned locally, word by word (match +2,
@@ -11,26 +15,36 @@
    score reaches ``min_score`` of a perfect one, so edited, shortened and
    paraphrased copies count.
 
-Defined cases: null or empty texts hold nothing; items with fewer words than a
-seed match nothing; items with the same words each give a row; documents are
+An alignment that scores 0.5 has at most one edit a match on average, so most neighbouring
+matches are at most one place apart on both sides, and two such steps in a row make a seed. Only
+copies whose edits come in pairs between single words can have none; tests/llm measures the
+recall against alignment of everything with everything.
+
+Defined cases: null or empty texts hold nothing; an item with fewer words than a
+seed is found where all its words stand together; an item without words matches nothing; items
+with the same words each give a row; documents are
 told apart by doc_id and text, and rows alike in both give one row per item;
-empty tables give an empty result; other columns are ignored.
+texts of any length are scanned to their end; empty tables give an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetrank.llm import tables, words
 
-FILTER_BITS = 22
+#: Bits of the seed filter, as powers of two: at least, at most, and per seed.
+FILTER_LOG, FILTER_LOG_MOST, BITS_EACH = 22, 28, 16
 
 
 def smith_waterman(item: np.ndarray, windows: list[np.ndarray], match: int = 2, other: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -61,8 +75,39 @@ def smith_waterman(item: np.ndarray, windows: list[np.ndarray], match: int = 2,
     return best, end
 
 
+Patterns = list[tuple[int, ...]]
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype="uint64")
+
+
+def patterns(n: int) -> Patterns:
+    """Places of a seed's words: n words in order, each next to the one before or one place further."""
+    return [tuple(np.cumsum((0, *steps)).tolist()) for steps in itertools.product((1, 2), repeat=n - 1)]
+
+
+def seeds_of(hashed: np.ndarray, wanted: Patterns) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit names, first places) of all seeds, by pattern. The name is that of the words, so a
+    word left out or put in between leaves it as it is."""
+    names, places = [], []
+    for places_ in wanted:
+        count = len(hashed) - places_[-1]
+        if count <= 0:
+            continue
+        total = np.full(count, len(places_), dtype="uint64")
+        for k, at in enumerate(places_):
+            total += (hashed[at : at + count] + np.uint64(k)) * _FACTORS[k]
+        names.append(words.mixed(total))
+        places.append(np.arange(count))
+    if not names:
+        return np.empty(0, dtype="uint64"), np.empty(0, dtype="int64")
+    return np.concatenate(names), np.concatenate(places)
+
+
 def _items(benchmark: DataFrame, n: int) -> DataFrame:
-    """item_key, item_id, words (uint64 bytes), n_words, grams."""
+    """item_key, item_id, words (uint64 bytes), n_words, grams (its seeds; a short item is one)."""
+
+    def seeds(hashed: np.ndarray) -> np.ndarray:
+        wanted = patterns(n) if len(hashed) >= n else [tuple(range(len(hashed)))] if len(hashed) else []
+        return words.signed(np.unique(seeds_of(hashed, wanted)[0]))
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -73,7 +118,7 @@ def _items(benchmark: DataFrame, n: int) -> DataFrame:
                     "item_id": batch["item_id"],
                     "words": [h.tobytes() for h in hashed],
                     "n_words": [len(h) for h in hashed],
-                    "grams": [words.signed(np.unique(words.grams(h, n))) for h in hashed],
+                    "grams": [seeds(h) for h in hashed],
                 }
             )
 
@@ -81,55 +126,64 @@ def _items(benchmark: DataFrame, n: int) -> DataFrame:
     return only.mapInPandas(made, "item_key long, item_id long, words binary, n_words int, grams array<long>")
 
 
-def _filter_of(grams: DataFrame) -> np.ndarray:
-    """A bit per hash bucket that some gram falls into. At most 2^22 / 64 rows
-    reach the driver, whatever the number of grams."""
-    bucket = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
-    rows = grams.select(F.shiftright(bucket, 6).alias("at"), (bucket % 64).cast("int").alias("bit"))
-    rows = rows.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).collect()
-    bits = np.zeros(1 << (FILTER_BITS - 6), dtype="int64")
-    for row in rows:
-        bits[row["at"]] = row["bits"]
-    return np.unpackbits(bits.view("uint8"), bitorder="little").astype(bool)
+class SeedFilter:
+    """A bit per hash bucket that some seed falls into."""
+
+    def __init__(self, size_log: int, table: np.ndarray):
+        self.size_log, self.table = size_log, table
+
+    def passing(self, names: np.ndarray) -> np.ndarray:
+        at = (names >> np.uint64(64 - self.size_log)).astype("int64")
+        return (self.table[at >> 6] >> (at & 63).astype("uint64")) & np.uint64(1) != 0
 
 
-def _passing(grams: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    return seen[(grams >> np.uint64(64 - FILTER_BITS)).astype("int64")]
+def _filter_of(grams: DataFrame, rows: int) -> SeedFilter:
+    """The filter of the column ``gram``. At most 2^FILTER_LOG_MOST / 64 words reach
+    the driver, whatever the number of seeds."""
+    size_log = min(FILTER_LOG_MOST, max(FILTER_LOG, (rows * BITS_EACH).bit_length()))
+    bucket = F.shiftrightunsigned("gram", 64 - size_log)
+    words_ = grams.select(F.shiftright(bucket, 6).alias("at"), (bucket % 64).cast("int").alias("bit"))
+    got = words_.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
+    table = np.zeros(1 << (size_log - 6), dtype="uint64")
+    table[got["at"].to_numpy()] = got["bits"].to_numpy().view("uint64")
+    return SeedFilter(size_log, table)
 
 
-def _holders(docs: DataFrame, filter_bits, n: int) -> DataFrame:
-    """gram, holders: counts of documents per passing gram and batch."""
+def _holders(docs: DataFrame, seen: Broadcast, wanted: Patterns) -> DataFrame:
+    """gram, holders: counts of documents per passing seed and batch."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        seen = filter_bits.value
         for batch in tables.each(batches):
             held: Counter[int] = Counter()
             for text in batch.column(0):
-                grams = words.grams(words.hashes(words.plain_words(text.as_py() or "")), n)
-                held.update(words.signed(np.unique(grams[_passing(grams, seen)])).tolist())
+                names, _ = seeds_of(words.hashes(words.plain_words(text.as_py() or "")), wanted)
+                held.update(words.signed(np.unique(names[seen.value.passing(names)])).tolist())
             yield pa.RecordBatch.from_pydict({"gram": pa.array(held.keys(), pa.int64()), "holders": pa.array(held.values(), pa.int64())})
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, "gram long, holders long")
 
 
-def _windows(docs: DataFrame, filter_bits, n: int, margin: int) -> DataFrame:
+def _windows(docs: DataFrame, seen: Broadcast, wanted: Patterns, margin: int) -> DataFrame:
     """Windows of words around seed hits: doc_id, key, nth, first, words, grams."""
+    widest = max(p[-1] for p in wanted) + 1
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = filter_bits.value
         for batch in tables.each(batches):
             rows = []
             for k, text in enumerate(batch.column(2)):
                 hashed = words.hashes(words.plain_words(text.as_py() or ""))
-                grams = words.grams(hashed, n)
-                hits = np.nonzero(_passing(grams, seen))[0]
-                if not len(hits):
+                names, places = seeds_of(hashed, wanted)
+                hit = seen.value.passing(names)
+                if not hit.any():
                     continue
-                cuts = np.nonzero(np.diff(hits) > margin)[0] + 1
-                for nth, near in enumerate(np.split(hits, cuts)):
+                names, places = names[hit], places[hit]
+                order = np.argsort(places, kind="stable")
+                names, places = names[order], places[order]
+                cuts = np.nonzero(np.diff(places) > margin)[0] + 1
+                for nth, (near, some) in enumerate(zip(np.split(places, cuts), np.split(names, cuts), strict=True)):
                     first = max(0, int(near[0]) - margin)
-                    part = hashed[first : int(near[-1]) + n + margin]
-                    rows.append((k, nth, first, part.tobytes(), words.signed(np.unique(grams[near]))))
+                    part = hashed[first : int(near[-1]) + widest + margin]
+                    rows.append((k, nth, first, part.tobytes(), words.signed(np.unique(some))))
             picked = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -181,20 +235,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share:
     texts = items.where(F.size("grams") > 0).groupBy("item_key").agg(*(F.first(c).alias(c) for c in ("words", "n_words", "grams")))
     texts = tables.stored(texts, "item-texts")
     owned = texts.select("item_key", F.explode("grams").alias("gram"), F.size("grams").alias("n_grams"))
-    seen = sc.broadcast(_filter_of(owned))
+    lengths = texts.where(F.col("n_words") < n).select("n_words").distinct().collect()  # n - 1 at most
+    wanted = patterns(n) + [tuple(range(r["n_words"])) for r in sorted(lengths)]
+    seen = sc.broadcast(_filter_of(owned, owned.count()))
 
     total = docs.count()
-    holders = _holders(docs, seen, n).groupBy("gram").agg(F.sum("holders").alias("holders"))
+    holders = _holders(docs, seen, wanted).groupBy("gram").agg(F.sum("holders").alias("holders"))
     ranked = owned.join(holders, "gram")
     # an item's grams are a bounded list: one sorted array per item gives the ranks
     ranked = ranked.groupBy("item_key").agg(F.array_sort(F.collect_list(F.struct("holders", "gram"))).alias("grams"), F.max("n_grams").alias("n_grams"))
-    ranked = ranked.select("item_key", "n_grams", F.posexplode("grams").alias("rank", "held")).select("item_key", "n_grams", "rank", "held.*")
-    seeds = ranked.where((F.col("holders") <= max(3.0, rare_share * total)) | (F.col("rank") * 2 < F.col("n_grams")))
+    usual = F.get("grams", (F.size("grams") / 4).cast("int"))["holders"].alias("usual")
+    ranked = ranked.select("item_key", "n_grams", usual, F.posexplode("grams").alias("rank", "held")).select("item_key", "n_grams", "usual", "rank", "held.*")
+    rare = (F.col("holders") <= max(3.0, rare_share * total)) | (F.col("holders") <= 4 * F.col("usual"))
+    seeds = ranked.where(rare | (F.col("rank") * 2 < F.col("n_grams")))
     seeds = tables.stored(seeds.select("gram", "item_key"), "seeds")
 
     margin = texts.agg(F.max("n_words")).first()[0] or 0
-    windows = tables.stored(_windows(docs, sc.broadcast(_filter_of(seeds)), n, margin), "windows")
     seed_rows, text_rows = seeds.count(), texts.count()
+    windows = tables.stored(_windows(docs, sc.broadcast(_filter_of(seeds, seed_rows)), wanted, margin), "windows")
     hit = windows.select("doc_id", "key", "nth", "first", F.explode("grams").alias("gram")).join(tables.small_side(seeds, seed_rows, 64), "gram")
     hit = hit.groupBy("doc_id", "key", "nth", "first", "item_key").agg(F.count("*").alias("hits"))
     same = [F.col(f"h.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "key", "nth", "first")]

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from helpers import docs, edge_rows, sentences, with_clashes
@@ -32,15 +33,15 @@ def test_alignment_against_brute_force():
 
 
 def brute(rows, items, least=0.5):
+    """Every item aligned with every whole text; items of one or two words must stand there as a whole."""
     out = set()
     for doc_id, text in rows:
         tokens = words.plain_words(text or "")
-        held = set(zip(tokens, tokens[1:], tokens[2:]))
         for item_id, item in items:
             item = words.plain_words(item or "")
-            if any(g in held for g in zip(item, item[1:], item[2:])):
+            if item and 2 * sum((Counter(tokens) & Counter(item)).values()) >= least * 2 * len(item):  # else no score can reach it
                 score = brute_score(item, tokens) / (2 * len(item))
-                if score >= least:
+                if score >= (least if len(item) > 2 else 1.0):
                     out.add((doc_id, item_id, round(score, 6)))
     return out
 
@@ -78,14 +79,36 @@ def test_edited_and_hot_copies(spark):
     assert {d for d, _, _ in got} == set(range(1000, 1200))
 
 
+def test_recall_on_edited_copies(spark):
+    """Copies with every k-th word replaced, deleted, or another inserted, against plain alignment: none is lost."""
+    items = list(enumerate(sentences(31, 8, 30))) + [(100 + k, t) for k, t in enumerate(sentences(32, 6, 9))]
+    rows = []
+    for item_id, text in items:
+        for k in (2, 3, 4, 5, 7):
+            for begin in range(k):
+                w = text.split()
+                for how, edit in (("replaced", lambda x: [f"new{x}"]), ("deleted", lambda x: []), ("inserted", lambda x: [x, f"new{x}"])):
+                    copy = [y for at, x in enumerate(w) for y in (edit(x) if at % k == begin else [x])]
+                    rows.append((len(rows), " ".join([*sentences(len(rows), 1, 12)[0].split(), *copy, *sentences(len(rows) + 7, 1, 12)[0].split()])))
+        rows.append((len(rows), " ".join(y for x in text.split() for y in (x, f"noise{x}"))))  # a word after every word
+    want = brute(rows, items)
+    got = found(decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")))
+    assert got <= want
+    assert len(want) > 600 and len(got) >= 0.999 * len(want), sorted(want - got)[:10]
+
+
 def test_edges(spark):
     item = "alpha beta gamma delta epsilon zeta"
     items = spark.createDataFrame([(1, item), (1, item), (2, item.upper()), (None, item), (3, None), (4, ""), (5, "two words"), (6, "one")], "item_id long, text string")
     rows = edge_rows() + [(50, f"x {item} y"), (50, f"x {item} y"), (51, "two words one"), (None, item)]
     table = docs(spark, rows)
     got = sorted(((r.doc_id, r.item_id) for r in decontaminate.contaminated(with_clashes(table), with_clashes(items)).collect()), key=str)
-    assert got == sorted([(d, i) for d in (50, None) for i in (1, 1, 2, None)], key=str)
+    # an item of one or two words is found where it stands as a whole
+    short = [(51, 5), (51, 6), (4, 6), (4, 6)]
+    want = {(d, i) for d, i, _ in brute(rows, [(i, t) for i, t in [(1, item), (2, item), (5, "two words"), (6, "one")]])}
+    assert {g for g in got if g[1] is not None} == want and {(d, i) for d, i in short} <= want
+    assert [g for g in got if g[1] in (1, 2, None)] == sorted([(d, i) for d in (50, None) for i in (1, 1, 2, None)], key=str)
     clean = decontaminate.decontaminate(with_clashes(table), items)
-    assert clean.columns == with_clashes(table).columns and clean.count() == len(rows) - 3
+    assert clean.columns == with_clashes(table).columns and clean.count() == len(rows) - 6  # 50, 50, 51, 4, 4 and the item itself
     assert decontaminate.contaminated(table.limit(0), items).count() == 0
     assert decontaminate.decontaminate(table, items.limit(0)).count() == len(rows)
