@@ -15,9 +15,9 @@ every shard is exactly full and counts differ by one at most (law ``rows``).
 With ``slack`` > 0 a shard holds at most (1 + slack) times the mean, and
 adding a shard moves fewer rows.
 
-Defined cases: null ids share one cell and are told apart by text; a null text
-has no bytes; rows that are equal in id and text are interchangeable; an empty
-table gives an empty result; other columns of the input are ignored.
+Defined cases: rows with a null id are placed by their text; a null text
+has no bytes; rows that are equal in id and text are interchangeable; a text of any length
+counts whole; an empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +28,11 @@ from hashlib import blake2b
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from assetrank.llm import tables
+
 CELLS = 1 << 16
+#: Equal rows that unfold at once.
+STEP = 1 << 16
 
 
 def ring(shards: int, virtual_nodes: int, cells: int = CELLS) -> list[tuple[int, int]]:
@@ -97,7 +101,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, virtual_nodes: int = 128,
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
     )
     alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("alike"))
-    alike = alike.withColumn("cell", ring_cell(F.col("doc_id")))
+    # rows without an id go by their text
+    alike = alike.withColumn("cell", F.when(F.col("doc_id").isNull(), ring_cell(F.struct("text_crc32", "size"))).otherwise(ring_cell(F.col("doc_id"))))
+    alike = tables.stored(alike, "alike")
     counts = alike.groupBy("cell").agg(F.sum("alike").alias("n"))
     counted = {r["cell"]: r["n"] for r in counts.collect()}  # at most CELLS rows
     if not counted:
@@ -109,6 +115,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, virtual_nodes: int = 128,
     ranged = alike.withColumn("end", F.sum("alike").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)))
     # at most CELLS + shards * virtual nodes rows, so the side is small by construction
     met = ranged.join(F.broadcast(plan), "cell").where((F.col("first") < F.col("end")) & (F.col("until") > F.col("end") - F.col("alike")))
-    rank = F.explode(F.sequence(F.greatest("first", F.col("end") - F.col("alike")), F.least("until", "end") - 1))
+    # equal rows unfold in steps, so that no array holds more than STEP of them
+    met = met.withColumns({"low": F.greatest("first", F.col("end") - F.col("alike")), "high": F.least("until", "end") - 1})
+    met = met.withColumn("part", F.explode(F.sequence(F.col("low"), F.col("high"), F.lit(STEP))))
+    rank = F.explode(F.sequence(F.col("part"), F.least(F.col("part") + STEP - 1, F.col("high"))))
     placed = met.select("doc_id", "size", "text_crc32", "shard", "base", "first", rank.alias("rank"))
     return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("first")).alias("slot"))

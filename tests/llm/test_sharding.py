@@ -78,3 +78,16 @@ def test_native_plan(spark):
     from tests_plan_util import plan_text
 
     assert not any(w in plan_text(op7_consistent_hash_shards(spark, SF)) for w in ("EvalPython", "InPandas", "InArrow", "CartesianProduct"))
+
+
+def test_rows_without_id_spread_over_the_ring(spark, monkeypatch):
+    """A third of all rows has no id, and another third is one row many times."""
+    monkeypatch.setattr(sharding, "STEP", 64)
+    rows = [(k, f"t{k}") for k in range(1000)] + [(None, f"text {k} " + "x" * (k % 7)) for k in range(1000)] + [(5, "same")] * 500 + [(None, None)] * 500
+    out = sharding.shard_documents(docs(spark, rows), 8).collect()
+    counts = slots_are_gapless(out)
+    assert sum(counts.values()) == 3000 and max(counts.values()) == min(counts.values()) == 375
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    # the rows without id are in many shards, as those with one are
+    assert len({r.shard for r in out if r.doc_id is None and r.size > 1}) == 8
