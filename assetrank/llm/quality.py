@@ -195,16 +195,20 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, bits
 
 
 def _voted(docs: DataFrame, share: float, bits: int) -> DataFrame:
-    """pattern, pick and, for about ``share`` of all rows, their features (at, value)."""
+    """pattern, pick (a hash of the text) and, for about ``share`` of all texts, their features
+    (at, value), which come with a text's first row in a task."""
     limit = int(share * 2**32)
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in tables.each(batches):
             patterns, ats, values = [], [], []
             for text, pick in zip(batch.column(1), batch.column(0).to_pylist(), strict=True):
                 m = Measures(text.as_py() or "")
                 patterns.append(vote(m))
-                chosen = pick & 0xFFFFFFFF < limit
+                chosen = pick & 0xFFFFFFFF < limit and pick not in seen
+                if chosen:
+                    seen.add(pick)
                 at, value = features(m, patterns[-1], bits) if chosen else (None, None)
                 ats.append(at.tobytes() if chosen else None)
                 values.append(value.tobytes() if chosen else None)
@@ -230,7 +234,8 @@ class Model:
 
 
 def fit(docs: DataFrame, sample: int = 10_000, bits: int = 16) -> Model | None:
-    """Fit both models; None for an empty table. The sample is at most ``sample`` rows."""
+    """Fit both models; None for an empty table. The sample is at most ``sample`` texts,
+    each once, however many rows hold it."""
     tables.ship(docs.sparkSession)
     total = docs.count()
     if not total:
@@ -247,7 +252,8 @@ def fit(docs: DataFrame, sample: int = 10_000, bits: int = 16) -> Model | None:
             patterns += batch["pattern"].tolist()
         yield pd.DataFrame({"weights": [fit_scorer(rows, labels.good(unpack(np.array(patterns, dtype="int64").reshape(-1))), bits).tobytes()]})
 
-    picked = voted.where("at IS NOT NULL AND pattern > 0").orderBy("pick", "pattern").limit(sample).coalesce(1)
+    texts = voted.where("at IS NOT NULL AND pattern > 0").dropDuplicates(["pick"])
+    picked = texts.orderBy("pick", "pattern").limit(sample).coalesce(1)
     fitted = picked.select("pattern", "at", "value").mapInPandas(train, "weights binary").first()
     weights = np.frombuffer(fitted["weights"], dtype="float32") if fitted else np.zeros((1 << bits) + 1, dtype="float32")
     return Model(labels, weights, bits)

@@ -88,3 +88,13 @@ def test_edges(spark):
     kept = quality.keep_good(table)
     assert kept.columns == table.columns and kept.count() == sum(r.keep for r in out)
     assert quality.classify(table.limit(0)).count() == 0 and quality.keep_good(table.limit(0)).count() == 0
+
+
+def test_sample_holds_each_text_once(spark):
+    """A text that a third of all rows hold doesn't fill the sample."""
+    rows = [(k, f"A plain sentence number {k % 40} that stands here for a while, with words.") for k in range(400)] + [(1000 + k, "The same text again and again, as ever.") for k in range(200)]
+    voted = quality._voted(docs(spark, rows).repartition(3), 1.0, 10)
+    assert voted.count() == 600
+    held = [r.pick for r in voted.where("at IS NOT NULL").dropDuplicates(["pick"]).collect()]
+    assert len(held) == len(set(held)) == 41
+    assert voted.where("at IS NOT NULL").count() <= 3 * 41
