@@ -357,16 +357,25 @@ def q_scan_assets_json(spark, sf_dir):
     return r6(_written_assets(spark, sf_dir))
 
 
-@query(
-    "scan_assets_json_documents",
-    f"""with {ASSETS}, {ASSET_RECORDS}
+_RECORDS_SQL = f"""with {ASSETS}, {ASSET_RECORDS}
     select symbol, isin, figi, name, description, industry, sector,
-           round(price_earning_ratio, 6) as price_earning_ratio, growth from records""",
-)
+           round(price_earning_ratio, 6) as price_earning_ratio, growth from records"""
+
+
+def _documents_path(spark, sf_dir):
+    return _written(spark, sf_dir, "assets_json_documents", "supplier", lambda p: asrc.write_assets_documents(fx.asset_records(spark, sf_dir), p))
+
+
+@query("scan_assets_json_documents", _RECORDS_SQL)
 def q_scan_assets_json_documents(spark, sf_dir):
     """The multi-line form: every file is one JSON array over many lines."""
-    path = _written(spark, sf_dir, "assets_json_documents", "supplier", lambda p: asrc.write_assets_documents(fx.asset_records(spark, sf_dir), p))
-    return r6(asrc.scan_assets_json(spark, path, multi_line=True))
+    return r6(asrc.scan_assets_json(spark, _documents_path(spark, sf_dir), multi_line=True))
+
+
+@query("scan_assets_json_split", _RECORDS_SQL)
+def q_scan_assets_json_split(spark, sf_dir):
+    """The same files cut into records by many tasks."""
+    return r6(asrc.scan_assets_json(spark, _documents_path(spark, sf_dir), multi_line="split"))
 
 
 @query(

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from assetrank.sources.json_arrays import scan_json_arrays
+
 # The metadata fields the pipeline reads, by name.
 STRING_FIELDS = ("symbol", "isin", "figi", "name", "description", "industry", "sector")
 DOUBLE_FIELDS = ("price_earning_ratio", "growth")
@@ -16,15 +18,18 @@ ASSET_SCHEMA = StructType(
 )
 
 
-def scan_assets_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def scan_assets_json(spark: SparkSession, path: str, multi_line: bool | str = True) -> DataFrame:
     """Read asset metadata with an explicit schema.
 
     The schema replaces inference: an integer P/E reads as a double, a text
     P/E such as ``"n/a"`` becomes null for that record only, and an absent
     field reads as null. ``multi_line`` accepts one JSON document (or array)
-    per file, which Spark cannot split; JSON Lines (``multi_line=False``) is
-    the splittable form for large inputs.
+    per file, read in one task; ``multi_line="split"`` reads such files by many
+    tasks (:mod:`json_arrays`, which runs jobs); JSON Lines (``multi_line=False``)
+    needs neither.
     """
+    if multi_line == "split":
+        return scan_json_arrays(spark, path, ASSET_SCHEMA)
     reader = spark.read.schema(ASSET_SCHEMA).option("multiLine", multi_line)
     return reader.option("recursiveFileLookup", True).json(path)
 
