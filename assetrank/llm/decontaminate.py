@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. Seeds are n words in order, each next to the one before or one place further
-   (``a b c``, ``a _ b c``, ``a b _ c``, ``a _ b _ c``), named by the words alone, so a
-   copy with every third word replaced, or a word put in after each, still shares some.
+1. Seeds are n words in a row, or with one word left out before the last (``a b c``,
+   ``a b _ c``), in texts and items alike and named by the words alone, so a
+   copy with every third word replaced, taken out or put in still shares some.
    The seeds of all test items set bits in a filter sized by their number. Documents count, over the
    whole corpus, how many of them hold each seed that passes.
 2. An item keeps the seeds held by few documents, or by at most four times as many as its
@@ -15,9 +15,9 @@
    score reaches ``min_score`` of a perfect one, so edited, shortened and
    paraphrased copies count.
 
-An alignment that scores 0.5 has at most one edit a match on average, so most neighbouring
-matches are at most one place apart on both sides, and two such steps in a row make a seed. Only
-copies whose edits come in pairs between single words can have none; tests/llm measures the
+A copy that scores 0.5 keeps at least two thirds of the words when words are replaced, and then
+holds a seed wherever the item has eight words or more. What can be lost is a copy with an
+edit beside nearly every word, as one with a word put in after each; tests/llm measures the
 recall against alignment of everything with everything.
 
 Defined cases: null or empty texts hold nothing; an item with fewer words than a
@@ -30,9 +30,9 @@ columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,6 +45,8 @@ from assetrank.llm import tables, words
 
 #: Bits of the seed filter, as powers of two: at least, at most, and per seed.
 FILTER_LOG, FILTER_LOG_MOST, BITS_EACH = 22, 28, 16
+#: Up to so many seeds go to every task with their items; more are joined by Spark.
+SEEDS_SHARED = 2_000_000
 
 
 def smith_waterman(item: np.ndarray, windows: list[np.ndarray], match: int = 2, other: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -80,21 +82,22 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 
 
 def patterns(n: int) -> Patterns:
-    """Places of a seed's words: n words in order, each next to the one before or one place further."""
-    return [tuple(np.cumsum((0, *steps)).tolist()) for steps in itertools.product((1, 2), repeat=n - 1)]
+    """Places of a seed's words: n in a row, and with one word left out before the last."""
+    return [tuple(range(n)), (*range(n - 1), n)] if n > 1 else [(0,)]
 
 
 def seeds_of(hashed: np.ndarray, wanted: Patterns) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit names, first places) of all seeds, by pattern. The name is that of the words, so a
     word left out or put in between leaves it as it is."""
     names, places = [], []
+    products = [(hashed + np.uint64(k)) * _FACTORS[k] for k in range(max(map(len, wanted), default=0))]
     for places_ in wanted:
         count = len(hashed) - places_[-1]
         if count <= 0:
             continue
-        total = np.full(count, len(places_), dtype="uint64")
-        for k, at in enumerate(places_):
-            total += (hashed[at : at + count] + np.uint64(k)) * _FACTORS[k]
+        total = products[0][:count] + np.uint64(len(places_))
+        for product, at in zip(products[1:], places_[1:], strict=False):
+            total += product[at : at + count]
         names.append(words.mixed(total))
         places.append(np.arange(count))
     if not names:
@@ -132,8 +135,14 @@ class SeedFilter:
     def __init__(self, size_log: int, table: np.ndarray):
         self.size_log, self.table = size_log, table
 
+    @cached_property
+    def flags(self) -> np.ndarray:
+        return np.unpackbits(self.table.view("uint8"), bitorder="little").astype(bool)
+
     def passing(self, names: np.ndarray) -> np.ndarray:
         at = (names >> np.uint64(64 - self.size_log)).astype("int64")
+        if self.size_log <= 24:  # a byte a bucket is faster, and small enough
+            return self.flags[at]
         return (self.table[at >> 6] >> (at & 63).astype("uint64")) & np.uint64(1) != 0
 
 
@@ -149,41 +158,70 @@ def _filter_of(grams: DataFrame, rows: int) -> SeedFilter:
     return SeedFilter(size_log, table)
 
 
-def _holders(docs: DataFrame, seen: Broadcast, wanted: Patterns) -> DataFrame:
+def _hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (hash of the text), words (their hashes as uint64 bytes) of the rows that hold words."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tables.each(batches):
+            found = pa.array([words.hashes(words.plain_words(text.as_py() or "")).tobytes() for text in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["doc_id", "key", "words"])
+
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("\x00")))
+    only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), F.col("text").cast("string").alias("text"))
+    return only.mapInArrow(made, "doc_id long, key long, words binary").where(F.octet_length("words") > 0)
+
+
+def _holders(hashed: DataFrame, seen: Broadcast, wanted: Patterns) -> DataFrame:
     """gram, holders: counts of documents per passing seed and batch."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables.each(batches):
             held: Counter[int] = Counter()
-            for text in batch.column(0):
-                names, _ = seeds_of(words.hashes(words.plain_words(text.as_py() or "")), wanted)
+            for found in batch.column(0):
+                names, _ = seeds_of(np.frombuffer(found.as_buffer(), dtype="uint64"), wanted)
                 held.update(words.signed(np.unique(names[seen.value.passing(names)])).tolist())
             yield pa.RecordBatch.from_pydict({"gram": pa.array(held.keys(), pa.int64()), "holders": pa.array(held.values(), pa.int64())})
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(counted, "gram long, holders long")
+    return hashed.select("words").mapInArrow(counted, "gram long, holders long")
+
+
+class SeedItems:
+    """The items of each seed, as sorted arrays."""
+
+    def __init__(self, grams: np.ndarray, items: np.ndarray):
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.items = grams[order], items[order]
 
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        """Distinct items that hold one of the seeds."""
+        first, last = np.searchsorted(self.grams, grams, "left"), np.searchsorted(self.grams, grams, "right")
+        some = [self.items[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True) if a < b]
+        return np.unique(np.concatenate(some)) if some else np.empty(0, dtype="int64")
 
-def _windows(docs: DataFrame, seen: Broadcast, wanted: Patterns, margin: int) -> DataFrame:
-    """Windows of words around seed hits: doc_id, key, nth, first, words, grams."""
+
+def _windows(hashed: DataFrame, seen: Broadcast, wanted: Patterns, margin: int, owners: Broadcast | None) -> DataFrame:
+    """Windows of words around seed hits: doc_id, key, nth, first, words, and ``held``: the window's
+    seeds, or with ``owners`` the items that they lead to (windows without any are left out)."""
     widest = max(p[-1] for p in wanted) + 1
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables.each(batches):
             rows = []
-            for k, text in enumerate(batch.column(2)):
-                hashed = words.hashes(words.plain_words(text.as_py() or ""))
-                names, places = seeds_of(hashed, wanted)
+            for k, all_words in enumerate(batch.column(2)):
+                hashes = np.frombuffer(all_words.as_buffer(), dtype="uint64")
+                names, places = seeds_of(hashes, wanted)
                 hit = seen.value.passing(names)
                 if not hit.any():
                     continue
-                names, places = names[hit], places[hit]
+                names, places = words.signed(names[hit]), places[hit]
                 order = np.argsort(places, kind="stable")
                 names, places = names[order], places[order]
                 cuts = np.nonzero(np.diff(places) > margin)[0] + 1
                 for nth, (near, some) in enumerate(zip(np.split(places, cuts), np.split(names, cuts), strict=True)):
-                    first = max(0, int(near[0]) - margin)
-                    part = hashed[first : int(near[-1]) + widest + margin]
-                    rows.append((k, nth, first, part.tobytes(), words.signed(np.unique(some))))
+                    held = owners.value.of(np.unique(some)) if owners is not None else np.unique(some)
+                    if len(held):
+                        first = max(0, int(near[0]) - margin)
+                        rows.append((k, nth, first, hashes[first : int(near[-1]) + widest + margin].tobytes(), held))
             picked = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -194,12 +232,10 @@ def _windows(docs: DataFrame, seen: Broadcast, wanted: Patterns, margin: int) ->
                     pa.array([r[3] for r in rows], pa.binary()),
                     pa.array([r[4] for r in rows], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "key", "nth", "first", "words", "grams"],
+                names=["doc_id", "key", "nth", "first", "words", "held"],
             )
 
-    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("\x00")))
-    only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), F.col("text").cast("string").alias("text"))
-    return only.mapInArrow(found, "doc_id long, key long, nth int, first int, words binary, grams array<long>")
+    return hashed.select("doc_id", "key", "words").mapInArrow(found, "doc_id long, key long, nth int, first int, words binary, held array<long>")
 
 
 def _aligned(pairs: DataFrame, min_score: float) -> DataFrame:
@@ -225,7 +261,7 @@ def _aligned(pairs: DataFrame, min_score: float) -> DataFrame:
     )
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: float = 0.001, min_score: float = 0.5) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share: float = 0.0001, min_score: float = 0.5) -> DataFrame:
     """One row per (document, test item) whose best alignment reaches ``min_score``:
     doc_id, key (hash of the text), item_id, score, end (word position after the copy)."""
     spark = docs.sparkSession
@@ -239,8 +275,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share:
     wanted = patterns(n) + [tuple(range(r["n_words"])) for r in sorted(lengths)]
     seen = sc.broadcast(_filter_of(owned, owned.count()))
 
+    hashed = tables.stored(_hashed(docs), "hashed")  # both passes read the words' hashes, not the texts
     total = docs.count()
-    holders = _holders(docs, seen, wanted).groupBy("gram").agg(F.sum("holders").alias("holders"))
+    holders = _holders(hashed, seen, wanted).groupBy("gram").agg(F.sum("holders").alias("holders"))
     ranked = owned.join(holders, "gram")
     # an item's grams are a bounded list: one sorted array per item gives the ranks
     ranked = ranked.groupBy("item_key").agg(F.array_sort(F.collect_list(F.struct("holders", "gram"))).alias("grams"), F.max("n_grams").alias("n_grams"))
@@ -252,12 +289,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share:
 
     margin = texts.agg(F.max("n_words")).first()[0] or 0
     seed_rows, text_rows = seeds.count(), texts.count()
-    windows = tables.stored(_windows(docs, sc.broadcast(_filter_of(seeds, seed_rows)), wanted, margin), "windows")
-    hit = windows.select("doc_id", "key", "nth", "first", F.explode("grams").alias("gram")).join(tables.small_side(seeds, seed_rows, 64), "gram")
-    hit = hit.groupBy("doc_id", "key", "nth", "first", "item_key").agg(F.count("*").alias("hits"))
-    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "key", "nth", "first")]
-    once = windows.dropDuplicates(["doc_id", "key", "nth", "first"]).drop("grams")
-    pairs = hit.alias("h").join(once.alias("w"), same).select("w.*", "h.item_key")
+    chosen = sc.broadcast(_filter_of(seeds, seed_rows))
+    if seed_rows <= SEEDS_SHARED:  # 16 bytes each: every task can tell a window's items itself
+        got = seeds.toArrow()
+        owners = sc.broadcast(SeedItems(got["gram"].to_numpy(), got["item_key"].to_numpy()))
+        pairs = _windows(hashed, chosen, wanted, margin, owners).withColumn("item_key", F.explode("held")).drop("held")
+    else:
+        windows = tables.stored(_windows(hashed, chosen, wanted, margin, None), "windows")
+        hit = windows.select("doc_id", "key", "nth", "first", F.explode("held").alias("gram")).join(seeds, "gram")
+        hit = hit.select("doc_id", "key", "nth", "first", "item_key").distinct()
+        same = [F.col(f"h.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "key", "nth", "first")]
+        once = windows.dropDuplicates(["doc_id", "key", "nth", "first"]).drop("held")
+        pairs = hit.alias("h").join(once.alias("w"), same).select("w.*", "h.item_key")
     sides = texts.select("item_key", F.col("words").alias("item_words"))
     pairs = pairs.join(tables.small_side(sides, text_rows, 16 * max(1, margin)), "item_key")
     best = _aligned(pairs, min_score).groupBy("doc_id", "key", "item_key").agg(F.max_by(F.struct("score", "end"), F.col("score")).alias("b"))
