@@ -27,9 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local[") and master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    folder = tempfile.mkdtemp(prefix="assetrank-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), f"assetrank-{os.getpid()}")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
