@@ -6,19 +6,27 @@ occurs ``least`` times has parts that occur as often, so:
 1. **sample**: a quarter of the documents (by a hash of id and text, so copies
    are spread) is counted with a lowered limit; what reaches it is proposed.
 2. **full pass**: over all documents the proposed phrases and their negative border
-   are counted exactly, that is every phrase all of whose parts are proposed: all
+   are counted, that is every phrase all of whose parts are proposed: all
    words, the pairs of proposed words, the triples of two proposed pairs. A border
    phrase that occurs is counted where it stands; one that doesn't needs no row.
 3. **border failures**: counted phrases that reach ``least`` but were not proposed.
    They are added, and a further full pass counts just the phrases that this makes
-   countable, until no failure is left. The result is then exact: it depends
+   countable, until no failure is left. The result then depends
    on the sample in no way, only the number of passes does.
+4. a last pass takes the frequent phrases word by word: (hash of each word, count)
+   rows, pre-summed per chunk of words and summed by Spark.
+
+Most border phrases occur once or twice, and a row for each would be several times
+the corpus. In step 2 a phrase is a 48-bit name: a task sorts the names of
+millions of words, and each range of names leaves it as one packed list (differences
+and counts, 4 bytes a name). The lists of a range meet in one task, which adds up the
+counts of every name. Ranges are as many as the words ask for, and a hot phrase is
+one entry of a list, so no range is hot. Names that coincide only let a phrase
+more into step 4, where phrases are told apart by their words.
 
 Proposals are looked up in bit tables, sized by their number (``BITS_EACH`` bits a
-phrase, ``most_bits`` at most). A false hit only counts a phrase more. Counting
-is exact: the rows that leave a task are (hash of each word, count), pre-summed
-per chunk of words, summed by Spark. Words are told apart by 64-bit hashes seeded by
-their language; their own counts are grouped by text.
+phrase, ``most_bits`` at most). A false hit only counts a phrase more. Words are
+told apart by 64-bit hashes seeded by their language; their own counts are grouped by text.
 
 Score of a cut into parts with counts l and r, for a phrase with count a:
 floor(1000000 * a * a / (l * r)) in decimals of 38 digits, which hold every product
@@ -36,6 +44,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
@@ -49,8 +58,15 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 _TO_STOP = bytes.maketrans(ENDS, b"." * len(ENDS))
 STOP = b"."
 BITS_EACH = 16
-#: Words whose phrases are counted at once in a task.
-CHUNK = 1 << 21
+NAME_BITS = 48
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype="uint64")
+#: Words whose phrases a task looks up at once, and names that it holds before it passes them on.
+CHUNK = 1 << 18
+NAMES_HELD = 1 << 21
+#: Names of a range, about.
+RANGE_NAMES = 1 << 18
+#: Distinct words that a task counts before it passes them on.
+WORDS_HELD = 150_000
 #: Rows that one window of a ranking step holds, about.
 RANK_ROWS = 65_536
 
@@ -60,222 +76,293 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().translate(_TO_STOP).replace(STOP, b" . ").split()
 
 
-class LanguageHashes:
-    """Word -> 64-bit hash, by language; 0 stands for the end of a piece only."""
+class LanguageHashes(dict):
+    """Word -> 64-bit hash for one language; 0 stands for the end of a piece only. ``room`` is
+    shared by all languages: without any left a table keeps what it has."""
 
-    def __init__(self, most: int = 200_000):
-        self.most = most
-        self.tables: dict[str, dict[bytes, int]] = {}
-        self.held = 0
+    def __init__(self, lang: str, room: list[int]):
+        super().__init__({STOP: 0})
+        self.seed, self.room = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass")), room
 
-    def of(self, lang: str, found: list[bytes]) -> np.ndarray:
-        if lang not in self.tables and len(self.tables) >= 1000:  # languages are few; junk ones start anew
-            self.tables.clear()
-            self.held = 0
-        table = self.tables.setdefault(lang, {STOP: 0})
-        seed = xxhash.xxh32_intdigest(lang.encode("utf-8", "surrogatepass"))
-        get = table.get
-        out = [get(w) for w in found]
-        if None in out:
-            for k, (w, h) in enumerate(zip(found, out, strict=True)):
-                if h is None:
-                    out[k] = self._new(table, w, seed)
-        return np.array(out, dtype="uint64")
-
-    def _new(self, table: dict[bytes, int], word: bytes, seed: int) -> int:
-        value = xxhash.xxh64_intdigest(word, seed) or 1
-        if self.held < self.most and word not in table:
-            table[word] = value
-            self.held += 1
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh64_intdigest(word, self.seed) or 1
+        if self.room[0] > 0:
+            self[word] = value
+            self.room[0] -= 1
         return value
 
 
-_HASHES = LanguageHashes()
+class Hashes:
+    """A table per language, ``most`` words in all."""
+
+    def __init__(self, most: int = 250_000):
+        self.most, self.room = most, [most]
+        self.tables: dict[str, LanguageHashes] = {}
+
+    def of(self, lang: str, found: list[bytes]) -> np.ndarray:
+        if lang not in self.tables:
+            if len(self.tables) >= 1000:  # junk in the column: begin anew
+                self.tables.clear()
+                self.room[0] = self.most
+            self.tables[lang] = LanguageHashes(lang, self.room)
+        return np.fromiter(map(self.tables[lang].__getitem__, found), dtype="uint64", count=len(found))
 
 
-def pair_name(h: np.ndarray) -> np.ndarray:
-    """64 bits per neighbouring pair, for bit tables and sorting only."""
-    return words.mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0xC2B2AE3D27D4EB4F))
+_HASHES = Hashes()
+
+
+def names_of(h: np.ndarray, size: int) -> np.ndarray:
+    """A 48-bit name for the run of ``size`` word hashes at every place; a word's is its own top bits."""
+    if size == 1:
+        return h >> np.uint64(64 - NAME_BITS)
+    count = max(0, len(h) - size + 1)
+    total = np.zeros(count, dtype="uint64")
+    for k, factor in enumerate(_FACTORS[:size]):
+        total += (h[k : k + count] ^ (h[k : k + count] >> np.uint64(29))) * factor
+    return words.mixed(total) >> np.uint64(64 - NAME_BITS)
 
 
 class Bits:
-    """A set of 64-bit names as a bit table; it may hold more, never less."""
+    """A set of names as a bit table; it may hold more, never less."""
 
     def __init__(self, size_log: int, table: np.ndarray):
         self.size_log, self.table = size_log, table
 
     def has(self, names: np.ndarray) -> np.ndarray:
-        at = (names >> np.uint64(64 - self.size_log)).astype("int64")
+        at = (names >> np.uint64(NAME_BITS - self.size_log)).astype("int64")
         return (self.table[at >> 6] >> (at & 63).astype("uint64")) & np.uint64(1) != 0
 
+    def with_names(self, names: DataFrame) -> "Bits":
+        """The table with the column ``name`` as well; the driver gets its words at most, whatever the rows."""
+        shift = NAME_BITS - self.size_log
+        parts = names.groupBy(F.shiftright("name", shift + 6).alias("at"))
+        got = parts.agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftright(name, {shift}) & 63 as int)))").alias("bits")).toArrow()
+        more = self.table.copy()
+        more[got["at"].to_numpy()] |= got["bits"].to_numpy().view("uint64")
+        return Bits(self.size_log, more)
+
 
 def bits_of(names: DataFrame, rows: int, most_bits: int) -> Bits:
-    """The bit table of the column ``name``: one bit in ``BITS_EACH`` is set, as long
-    as ``most_bits`` allows; the driver gets as many bits as that, whatever the rows."""
-    size_log = min(max(10, (max(1, rows) * BITS_EACH - 1).bit_length()), most_bits.bit_length() - 1)
-    at = F.shiftrightunsigned("name", 64 - size_log)
-    parts = names.groupBy(F.shiftright(at, 6).alias("at")).agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(name, {64 - size_log}) & 63 as int)))").alias("bits"))
-    table = np.zeros(1 << (size_log - 6), dtype="uint64")
-    got = parts.toArrow()
-    table[got["at"].to_numpy()] = got["bits"].to_numpy().view("uint64")
-    return Bits(size_log, table)
+    """The bit table of the column ``name``: one bit in ``BITS_EACH`` is set, as long as ``most_bits`` allows."""
+    size_log = min(max(10, (max(1, rows) * BITS_EACH - 1).bit_length()), most_bits.bit_length() - 1, NAME_BITS - 6)
+    return Bits(size_log, np.zeros(1 << (size_log - 6), dtype="uint64")).with_names(names)
 
 
 class Proposed:
-    """What a pass may count: words and pairs now proposed, and before."""
+    """What a pass counts: phrases countable by the words and pairs proposed now, but not by those before."""
 
-    def __init__(self, old_words: Bits | None, new_words: Bits, old_pairs: Bits | None, new_pairs: Bits):
-        self.words, self.pairs = (old_words, new_words), (old_pairs, new_pairs)
+    def __init__(self, old_words: Bits | None, new_words: Bits, old_pairs: Bits | None, new_pairs: Bits | None):
+        self.before, self.now = (old_words, old_pairs), (new_words, new_pairs)
 
     def countable(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a pair, where a triple begins that is countable now and was not before."""
+        """Names of the pairs, and of the triples, that this pass counts."""
         real = h != 0
         joined = real[:-1] & real[1:]
-        named = pair_name(h)
+        pair_names = names_of(h, 2)
 
-        def both(table: Bits | None, names: np.ndarray, where: np.ndarray) -> np.ndarray:
+        def starts(table: Bits | None, names: np.ndarray, where: np.ndarray) -> np.ndarray:
+            """Places where two neighbours are both in the table."""
             hit = np.zeros(len(names), dtype=bool)
             if table is not None:
                 hit[where] = table.has(names[where])
             return hit[:-1] & hit[1:]
 
-        old_words, new_words = self.words
-        old_pairs, new_pairs = self.pairs
-        # a triple needs both pairs proposed, and both pairs their words
-        pairs = {k: both(t, h, real) & joined for k, t in (("old", old_words), ("new", new_words))}
-        triples = {k: both(t, named, pairs[k]) for k, t in (("old", old_pairs), ("new", new_pairs))}
-        return pairs["new"] & ~pairs["old"], triples["new"] & ~triples["old"]
-
-
-def _hashed(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """Word hashes of a batch's texts (columns lang, text), 0 after each piece, some texts at a time."""
+        def both(tables_: tuple[Bits | None, Bits | None]) -> tuple[np.ndarray, np.ndarray]:
+            pairs = starts(tables_[0], names_of(h, 1), real) & joined
+            return pairs, starts(tables_[1], pair_names, pairs)
+
+        pairs, triples = both(self.now)
+        if self.before[0] is not None:
+            old_pairs, old_triples = both(self.before)
+            pairs, triples = pairs & ~old_pairs, triples & ~old_triples
+        return pair_names[pairs], names_of(h, 3)[triples]
+
+
+def packed(names: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+    """(range, packed list) of names: per range of the top ``bits`` the count of entries, the first
+    name, the differences to the next ones, and place and count of entries that are several."""
+    names = np.sort(names)
+    new = np.ones(len(names), dtype=bool)
+    new[1:] = names[1:] != names[:-1]
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(names)))
+    names = names[first]
+    at = (names >> np.uint64(NAME_BITS - bits)).astype("int64")
+    cuts = np.append(np.flatnonzero(np.diff(at, prepend=-1)), len(names))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        steps = np.diff(names[a:b])
+        wide = len(steps) > 0 and int(steps.max()) >= 1 << 32
+        several = np.flatnonzero(count[a:b] > 1)
+        head = np.array([b - a, names[a], wide, len(several)], dtype="uint64").tobytes()
+        yield int(at[a]), head + steps.astype("uint64" if wide else "uint32").tobytes() + several.astype("uint32").tobytes() + count[a:b][several].astype("uint32").tobytes()
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(names, counts) of a packed list."""
+    size, first, wide, several = np.frombuffer(blob, dtype="uint64", count=4).tolist()
+    kind = np.dtype("uint64" if wide else "uint32")
+    steps = np.frombuffer(blob, dtype=kind, count=size - 1, offset=32)
+    names = np.cumsum(np.concatenate([[np.uint64(first)], steps.astype("uint64")]), dtype="uint64")
+    counts = np.ones(size, dtype="int64")
+    place = np.frombuffer(blob, dtype="uint32", count=several, offset=32 + steps.nbytes)
+    counts[place] = np.frombuffer(blob, dtype="uint32", count=several, offset=32 + steps.nbytes + place.nbytes)
+    return names, counts
+
+
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Word hashes of the texts (columns lang, text), 0 after each piece, some texts at a time."""
     some, size = [], 0
-    for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-        found = tokens(text.as_py())
-        if not found:
-            continue
-        h = np.append(_HASHES.of(lang.as_py(), found), np.uint64(0))
-        some.append(h)
-        size += len(h)
-        if size >= CHUNK:
-            yield np.concatenate(some)
-            some, size = [], 0
+    for batch in tables.each(batches):
+        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+            found = tokens(text.as_py())
+            if found:
+                some.append(np.append(_HASHES.of(lang.as_py(), found), np.uint64(0)))
+                size += len(found)
+            if size >= CHUNK:
+                yield np.concatenate(some)
+                some, size = [], 0
     if some:
         yield np.concatenate(some)
 
 
-def _summed(h: np.ndarray, pairs: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows h1, h2, h3 (null for pairs), n: equal phrases of a chunk as one row."""
-    names = pair_name(h)
-    for size, starts in ((2, np.flatnonzero(pairs)), (3, np.flatnonzero(triples))):
-        if not len(starts):
-            continue
-        by = names[starts] if size == 2 else words.mixed(names[starts] + h[starts + 2])
-        starts = starts[np.argsort(by, kind="stable")]
-        cols = [h[starts + k] for k in range(size)]
-        new = np.ones(len(starts), dtype=bool)
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(starts)))
-        arrays = [pa.array(c[first].view("int64")) for c in cols]
-        if size == 2:
-            arrays.append(pa.nulls(len(first), pa.int64()))
-        for k in range(0, len(first), 1 << 17):
-            yield pa.RecordBatch.from_arrays([*(a.slice(k, 1 << 17) for a in arrays), pa.array(count[k : k + (1 << 17)])], names=["h1", "h2", "h3", "n"])
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """lang, word, h (hash), n for every word."""
+def count_words(texts: DataFrame) -> DataFrame:
+    """lang, word, h (hash), n and drawn_n (in the sample) for every word of the texts (lang, text, drawn)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+        counts: dict[tuple[str, bool], Counter] = {}
         size = 0
         for batch in tables.each(batches):
-            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-                count = counts.setdefault(lang.as_py(), Counter())
+            for lang, text, drawn in zip(*batch.columns, strict=True):
+                count = counts.setdefault((lang.as_py(), drawn.as_py()), Counter())
                 size -= len(count)
                 count.update(tokens(text.as_py()))
                 size += len(count)
-                if size > 400_000:
+                if size > WORDS_HELD:
                     yield from as_batches(counts)
                     counts, size = {}, 0
         yield from as_batches(counts)
 
-    def as_batches(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        for lang, count in counts.items():
+    def as_batches(counts: dict[tuple[str, bool], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, drawn), count in counts.items():
             del count[STOP]
             found = list(count)
             for k in range(0, len(found), 50_000):
                 part = found[k : k + 50_000]
-                h = _HASHES.of(lang, part).view("int64")
+                n = pa.array([count[w] for w in part], pa.int64())
                 kinds = [pa.array([lang] * len(part), pa.string()), pa.array([w.decode("utf-8", "replace") for w in part], pa.string())]
-                yield pa.RecordBatch.from_arrays([*kinds, pa.array(h), pa.array([count[w] for w in part], pa.int64())], names=["lang", "word", "h", "n"])
+                h = pa.array(_HASHES.of(lang, part).view("int64"))
+                yield pa.RecordBatch.from_arrays([*kinds, h, n, n if drawn else pa.array([0] * len(part), pa.int64())], names=["lang", "word", "h", "n", "drawn_n"])
 
-    found = docs.mapInArrow(made, "lang string, word string, h long, n long")
-    return found.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
+    found = texts.select("lang", "text", "drawn").mapInArrow(made, "lang string, word string, h long, n long, drawn_n long")
+    return found.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"), F.sum("drawn_n").alias("drawn_n"))
 
 
-def count_phrases(docs: DataFrame, proposed: Broadcast) -> DataFrame:
-    """h1, h2, h3 (null for pairs), n of the phrases that this pass counts."""
+def count_names(texts: DataFrame, proposed: Broadcast, least: int, bits: int) -> DataFrame:
+    """size (2 or 3), name, n of the countable phrases that occur ``least`` times, in 2^``bits`` ranges."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tables.each(batches):
-            for h in _hashed(batch):
-                pairs, triples = proposed.value.countable(h)
-                yield from _summed(h, pairs, triples)
-
-    return docs.mapInArrow(made, "h1 long, h2 long, h3 long, n long").groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n"))
-
-
-def named(pairs: DataFrame) -> DataFrame:
-    """``name``, the 64 bits of :func:`pair_name`, of rows h1, h2."""
+        held: dict[int, list[np.ndarray]] = {2: [], 3: []}
+        size = 0
+        for h in _arrays(batches):
+            for k, names in zip((2, 3), proposed.value.countable(h), strict=True):
+                held[k].append(names)
+                size += len(names)
+            if size >= NAMES_HELD:
+                yield from lists(held)
+                held, size = {2: [], 3: []}, 0
+        yield from lists(held)
+
+    def lists(held: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for k, some in held.items():
+            names = np.concatenate(some) if some else np.empty(0, dtype="uint64")
+            some.clear()
+            rows = list(packed(names, bits)) if len(names) else []
+            for i in range(0, len(rows), 4096):
+                part = rows[i : i + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(part), pa.int32()), pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.binary())], names=["size", "range", "names"])
+
+    def summed(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
+        names, counts = map(np.concatenate, zip(*map(unpacked, lists["names"]), strict=True))
+        order = np.argsort(names, kind="stable")
+        names, counts = names[order], counts[order]
+        first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+        total = np.add.reduceat(counts, first)
+        stay = total >= least
+        return pd.DataFrame({"size": np.int32(key[0]), "name": names[first][stay].view("int64"), "n": total[stay]})
+
+    found = texts.select("lang", "text").mapInArrow(made, "size int, range int, names binary")
+    return found.groupBy("size", "range").applyInPandas(summed, "size int, name long, n long")
+
+
+def count_phrases(texts: DataFrame, chosen: Broadcast) -> DataFrame:
+    """h1, h2, h3 (null for pairs), n of the pairs and triples whose names ``chosen`` (two bit tables) holds."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = np.stack([c.to_numpy(zero_copy_only=False).view("uint64") for c in batch.columns])
-            names = pair_name(h)[0] if len(h[0]) else h[0]
-            yield pa.RecordBatch.from_arrays([pa.array(names.view("int64"))], names=["name"])
+        for h in _arrays(batches):
+            real = h != 0
+            within = real
+            for size, table in zip((2, 3), chosen.value, strict=True):
+                within = within[:-1] & real[size - 1 :]
+                names = names_of(h, size)
+                starts = np.flatnonzero(within)
+                starts = starts[table.has(names[starts])]
+                if len(starts):
+                    yield from rows(h, starts[np.argsort(names[starts], kind="stable")], size)
+
+    def rows(h: np.ndarray, starts: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+        """Equal phrases of a chunk (neighbours by name) as one row."""
+        cols = [h[starts + k] for k in range(size)]
+        new = np.ones(len(starts), dtype=bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+        first = np.flatnonzero(new)
+        count = np.diff(np.append(first, len(starts)))
+        arrays = [pa.array(c[first].view("int64")) for c in cols] + [pa.nulls(len(first), pa.int64())] * (3 - size)
+        for k in range(0, len(first), 1 << 16):
+            yield pa.RecordBatch.from_arrays([*(a.slice(k, 1 << 16) for a in arrays), pa.array(count[k : k + (1 << 16)])], names=["h1", "h2", "h3", "n"])
 
-    return pairs.select("h1", "h2").mapInArrow(made, "name long")
+    return texts.select("lang", "text").mapInArrow(made, "h1 long, h2 long, h3 long, n long").groupBy("h1", "h2", "h3").agg(F.sum("n").alias("n"))
 
 
 def frequent(docs: DataFrame, least: int, share: float, most_bits: int) -> tuple[DataFrame, DataFrame, int]:
-    """(all words with counts, phrases of 2 and 3 words that occur ``least`` times, passes)."""
+    """(all words with counts, phrases of 2 and 3 words that occur ``least`` times, full passes that counted)."""
     spark = docs.sparkSession
     spread = F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         (F.pmod(spread, F.lit(1 << 20)) < int(share * (1 << 20))).alias("drawn"),
     )
-    sample, texts = texts.where("drawn").select("lang", "text"), texts.select("lang", "text")
     low = max(1, int(0.8 * share * least))
+    word_name = F.shiftrightunsigned("h", 64 - NAME_BITS).alias("name")
+
+    counted = tables.stored(count_words(texts), "words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    bits = min(18, max(4, (2 * total // RANGE_NAMES).bit_length()))
 
-    def bits(names: DataFrame) -> Bits:
-        names = tables.stored(names, "names")
+    def table(names: DataFrame) -> Bits:
         return bits_of(names, names.count(), most_bits)
 
+    def names_from(now: Proposed, some: DataFrame, least: int) -> DataFrame:
+        return tables.stored(count_names(some, spark.sparkContext.broadcast(now), least, bits), "names")
+
     # the sample proposes words, then pairs of them
-    nothing = Bits(6, np.zeros(1, dtype="uint64"))
-    seen = count_words(sample).where(F.col("n") >= low)
-    word_bits = bits(seen.select(F.col("h").alias("name")))
-    drawn_pairs = count_phrases(sample, spark.sparkContext.broadcast(Proposed(None, word_bits, None, nothing)))
-    pair_bits = bits(named(drawn_pairs.where(F.col("n") >= low)))
+    word_bits = table(counted.where(F.col("drawn_n") >= low).select(word_name))
+    pair_bits = table(names_from(Proposed(None, word_bits, None, None), texts.where("drawn"), low).where("size = 2"))
 
-    counted = tables.stored(count_words(texts), "words")
     old_words = old_pairs = None
-    phrases, passes = None, 0
+    found, passes = None, 0
     while True:
-        proposed = Proposed(old_words, word_bits, old_pairs, pair_bits)
-        new = count_phrases(texts, spark.sparkContext.broadcast(proposed))
-        new = tables.stored(new.where(F.col("n") >= least), "phrases")
-        phrases, passes = new if phrases is None else phrases.union(new), passes + 1
+        new = names_from(Proposed(old_words, word_bits, old_pairs, pair_bits), texts, least)
+        found, passes = new if found is None else found.union(new), passes + 1
         # border failures: frequent, counted, not proposed
-        word_failures = tables.stored(_outside(counted.where(F.col("n") >= least).select(F.col("h").alias("name")), word_bits), "word-failures")
-        pair_failures = tables.stored(_outside(named(new.where("h3 IS NULL")), pair_bits), "pair-failures")
+        word_failures = tables.stored(_outside(counted.where(F.col("n") >= least).select(word_name), word_bits), "word-failures")
+        pair_failures = tables.stored(_outside(new.where("size = 2").select("name"), pair_bits), "pair-failures")
         if word_failures.isEmpty() and pair_failures.isEmpty():
-            return counted, phrases, passes
+            break
         old_words, old_pairs = word_bits, pair_bits
-        word_bits, pair_bits = _with(word_bits, word_failures), _with(pair_bits, pair_failures)
+        word_bits, pair_bits = word_bits.with_names(word_failures), pair_bits.with_names(pair_failures)
+    chosen = tuple(table(found.where(F.col("size") == size)) for size in (2, 3))
+    phrases = count_phrases(texts, spark.sparkContext.broadcast(chosen)).where(F.col("n") >= least)
+    return counted, tables.stored(phrases, "phrases"), passes
 
 
 def _outside(names: DataFrame, table: Bits) -> DataFrame:
@@ -290,16 +377,6 @@ def _outside(names: DataFrame, table: Bits) -> DataFrame:
     return names.mapInArrow(made, "name long")
 
 
-def _with(table: Bits, names: DataFrame) -> Bits:
-    """A bit table with further names."""
-    shift = 64 - table.size_log
-    parts = names.groupBy(F.expr(f"shiftright(shiftrightunsigned(name, {shift}), 6)").alias("at"))
-    got = parts.agg(F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(name, {shift}) & 63 as int)))").alias("bits")).toArrow()
-    more = table.table.copy()
-    more[got["at"].to_numpy()] |= got["bits"].to_numpy().view("uint64")
-    return Bits(table.size_log, more)
-
-
 def score_sql(a: str, left: str, right: str) -> str:
     """floor(1000000 * a * a / (l * r)) exactly."""
     wide = "decimal(38,0)"

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import with_clashes
 from pyspark.sql import functions as F
@@ -85,6 +86,15 @@ def test_border_failures_expand_until_closed(spark):
     assert passes == 1
 
 
+def test_packed_names():
+    rng = np.random.default_rng(3)
+    for size, top in ((1, 48), (5, 48), (1000, 48), (5000, 12), (300, 3)):
+        names = rng.integers(0, 1 << top, size, dtype="uint64")
+        back = [(name, n) for _, blob in collocations.packed(names, 4) for name, n in zip(*(x.tolist() for x in collocations.unpacked(blob)), strict=True)]
+        assert sorted(back) == sorted(Counter(names.tolist()).items())
+        assert all(name >> 44 == r for r, blob in collocations.packed(names, 4) for name in collocations.unpacked(blob)[0].tolist())
+
+
 def test_ranking_in_parts(spark, monkeypatch):
     rows = [("en", f"p{k:05d}", k % 97, k % 13) for k in range(5000)] + [("de", "only", 1, 1)]
     frame = spark.createDataFrame(rows, "lang string, phrase string, score long, a long")
