@@ -293,7 +293,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare_share:
     if seed_rows <= SEEDS_SHARED:  # 16 bytes each: every task can tell a window's items itself
         got = seeds.toArrow()
         owners = sc.broadcast(SeedItems(got["gram"].to_numpy(), got["item_key"].to_numpy()))
-        pairs = _windows(hashed, chosen, wanted, margin, owners).withColumn("item_key", F.explode("held")).drop("held")
+        # an exchange: a task that cuts and aligns at once would hold two Python workers, which stay for a minute
+        windows = _windows(hashed, chosen, wanted, margin, owners).repartition("doc_id", "key")
+        pairs = windows.withColumn("item_key", F.explode("held")).drop("held")
     else:
         windows = tables.stored(_windows(hashed, chosen, wanted, margin, None), "windows")
         hit = windows.select("doc_id", "key", "nth", "first", F.explode("held").alias("gram")).join(seeds, "gram")

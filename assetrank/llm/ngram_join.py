@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetrank.llm import tables, words
@@ -225,6 +225,17 @@ def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, counts, n: int,
     return total.where(F.col("overlap") * 100 >= percent * (F.col("a_size") + F.col("b_size") - F.col("overlap"))).select("a", "b")
 
 
+def _lists(sets: DataFrame) -> DataFrame:
+    """gram, set, size, at, c (the most central set) of the n-grams that stand in the
+    heads of several sets. Postings meet by n-gram in one exchange, which is read and
+    sorted once: a task holds one sort, not the aggregates and sorts of a join with
+    itself. Equal sets become one among the few postings that are left."""
+    posted = sets.where("head IS NOT NULL").select("set", "size", F.posexplode("head").alias("at", "gram")).repartition("gram")
+    listed, end = Window.partitionBy("gram"), F.struct("at", "size", "set")
+    ends = posted.withColumns({"c": F.min(end).over(listed), "other": F.max("set").over(listed), "one": F.min("set").over(listed)})
+    return ends.where("one <> other").select("gram", "set", "size", "at", "c").distinct()
+
+
 def _may_link(percent: int):
     """Length and position bounds for two sets that meet at an n-gram."""
     left, right = F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at")
@@ -247,11 +258,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
     counts = spark.sparkContext.broadcast(bucket_counts(docs, n))  # of fixed size
     sets = tables.stored(_sets(docs, counts, n, percent), "sets")
 
-    # postings meet by n-gram in one exchange; equal sets become one there
-    posted = sets.where("head IS NOT NULL").select("set", "size", F.posexplode("head").alias("at", "gram")).repartition("gram")
-    posted = posted.groupBy("gram", "set", "size", "at").agg(F.lit(1).alias("one"))
-    lists = posted.groupBy("gram").agg(F.count("*").alias("sets"), F.min(F.struct("at", "size", "set")).alias("c")).where("sets > 1")
-    lists = tables.stored(posted.drop("one").join(lists.drop("sets"), "gram"), "lists")
+    lists = tables.stored(_lists(sets), "lists")
 
     # round one: every set of a list meets the list's most central set
     met = lists.select(F.struct("set", "size", "at").alias("l"), F.struct("c.set", "c.size", "c.at").alias("r"))
@@ -262,8 +269,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, fragments
     roots = components(links).withColumnRenamed("node", "set")
     roots = tables.small_side(roots, 2 * links.count(), 24)
     rooted = lists.drop("c").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")).repartition("gram")
-    mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("gram")
-    rooted = rooted.join(mixed, "gram")
+    listed = Window.partitionBy("gram")
+    rooted = rooted.withColumns({"lo": F.min("root").over(listed), "hi": F.max("root").over(listed)}).where("lo <> hi").drop("lo", "hi")
     ends = (F.col("l.gram") == F.col("r.gram")) & (F.struct("l.size", "l.set") < F.struct("r.size", "r.set"))
     across = rooted.alias("l").join(rooted.alias("r"), ends & (F.col("l.root") != F.col("r.root")) & _may_link(percent))
     more = _linked(_pair(across), docs, sets, counts, n, percent, fragments)

@@ -123,3 +123,14 @@ def test_edges(spark):
     assert clean.columns == with_clashes(table).columns and clean.count() == len(rows) - 6  # 50, 50, 51, 4, 4 and the item itself
     assert decontaminate.contaminated(table.limit(0), items).count() == 0
     assert decontaminate.decontaminate(table, items.limit(0)).count() == len(rows)
+
+
+def test_a_task_holds_one_python_worker(spark):
+    """Windows are cut and aligned in different stages: two Python steps in one would hold two workers a core."""
+    texts = sentences(31, 40)
+    found = decontaminate.contaminated(docs(spark, [(k, t) for k, t in enumerate(texts)]), spark.createDataFrame([(1, texts[3]), (2, texts[7])], "item_id long, text string"))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].splitlines()
+    aligned, cut = (next(k for k, line in enumerate(plan) if kind in line) for kind in ("MapInPandas", "MapInArrow"))
+    between = plan[aligned + 1 : cut]
+    assert aligned < cut and any("Exchange hashpartitioning(doc_id" in line for line in between), "\n".join(plan)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} >= {(3, 1), (7, 2)}

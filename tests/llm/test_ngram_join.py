@@ -150,3 +150,19 @@ def test_signatures_never_hide_a_link(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>, differ long")
     got = df.select("differ", ngram_join._bits_apart(F.col("a"), F.col("b")).alias("bits")).collect()
     assert all(r.bits <= r.differ for r in got) and any(r.bits for r in got) and any(len(a) != len(b) for a, b, _ in rows)
+
+
+def test_lists_sort_each_posting_once(spark):
+    """Lists of equal, near and lone sets against plain Python; a task reads and sorts its postings once, without a join with itself."""
+    heads = {7: [1, 2, 3], 8: [2, 4], 9: [5, 2], 10: [6], 11: [12], -3: [3, 5]}
+    rows = [(s, 10 + len(h), h) for s, h in heads.items()] + [(11, 11, [12]), (7, 13, [1, 2, 3]), (7, 13, None), (None, 0, None)]
+    sets = spark.createDataFrame(rows, "set long, size long, head array<long>")
+    lists = ngram_join._lists(sets)
+    held = {}
+    for s, h in heads.items():
+        for at, g in enumerate(h):
+            held.setdefault(g, []).append((at, 10 + len(h), s))
+    expected = sorted((g, s, size, at, min(ends)) for g, ends in held.items() if len(ends) > 1 for at, size, s in ends)
+    assert sorted((r["gram"], r["set"], r["size"], r["at"], tuple(r["c"])) for r in lists.collect()) == expected
+    plan = lists._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Join" not in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1 and plan.count("Sort ") == 1, plan
